@@ -33,32 +33,23 @@ def encode_flag(flag: Column | str, yes: str = "Y", no: str = "N") -> Column:
     return F.when(as_column(flag), F.lit(yes)).otherwise(F.lit(no))
 
 
-def money(amount: Column | str) -> Column:
-    """Amount in cents: decimal(18,2), halves rounded up."""
-    return F.round(as_column(amount), 2).cast("decimal(18,2)")
-
-
 def cents(amount: Column | str) -> Column:
     """Whole cents of an amount kept as a double.
 
-    Sums of whole numbers are exact and stay in generated code, where wide decimals fall
+    Whole-number money is exact and stays in generated code, where wide decimals fall
     back to objects. A sum of cents is good up to 9e16 units of money.
     """
     return F.round(as_column(amount) * F.lit(100)).cast("long")
 
 
-def percent_of(amount: Column, percent: Column | int) -> Column:
-    """Whole-number percentage of an amount in cents, rounded to the cent, halves away from zero."""
-    product = amount * percent
-    half = F.when(product < 0, F.lit(-50)).otherwise(F.lit(50))
-    return F.call_function("div", product + half, F.lit(100))
-
+def share_of(amount: Column, part: Column | int, whole: int) -> Column:
+    """``part`` / ``whole`` of a whole-number amount, rounded to a whole number, halves up.
 
-def from_cents(amount: Column) -> Column:
-    """Cents to decimal(18,2)."""
-    return (amount.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+    Exact while the product of amount and part stays below 2**53.
+    """
+    return F.floor((amount * part + F.lit(whole // 2)) / F.lit(whole))
 
 
-def exact(draw: Column | str) -> Column:
-    """A draw as a decimal with its six digits, for money arithmetic without floating point."""
-    return as_column(draw).cast("decimal(7,6)")
+def from_cents(amount: Column | str) -> Column:
+    """Cents to decimal(18,2)."""
+    return (as_column(amount).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The default seed, and the number of steps of a draw.
@@ -44,21 +44,21 @@ def uniform(salt: str, *keys: Column | str, seed: int = SEED, method: str = "xxh
     return draw_steps(salt, *keys, seed=seed, method=method).cast("double") / F.lit(float(STEPS))
 
 
-def with_draws(
-    frame: DataFrame,
+def draw_columns(
     salts: Mapping[str, str],
     *keys: Column | str,
     seed: int = SEED,
     method: str = "xxhash64",
-) -> DataFrame:
-    """Add one draw column per entry of ``salts`` (column name -> salt), all on the same keys.
+    whole: bool = False,
+) -> dict[str, Column]:
+    """One draw per entry of ``salts`` (column name -> salt), all on the same keys.
 
-    Draws used in several branches should be made here once; Spark then hashes each
-    key once per salt instead of once per branch.
+    Add them with ``withColumns`` before they are used in several branches, so that Spark
+    hashes each key once per salt. ``whole`` gives whole numbers of steps instead, for
+    exact arithmetic.
     """
-    return frame.withColumns(
-        {name: uniform(salt, *keys, seed=seed, method=method) for name, salt in salts.items()}
-    )
+    make = draw_steps if whole else uniform
+    return {name: make(salt, *keys, seed=seed, method=method) for name, salt in salts.items()}
 
 
 def choose(options: Sequence[str], index: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,17 @@ def month_panel(
     return numbered.withColumn(month, F.add_months(F.lit(first_month), F.col(index)))
 
 
+def computed_once(frame: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add costly columns that later filters use.
+
+    Spark moves a filter on a derived column below its definition and copies the definition
+    into the filter, hashes and all. These columns are unfolded from a one-element array
+    instead, which no filter passes, so each is worked out once per row.
+    """
+    entry = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return frame.select("*", F.inline(F.array(entry)))
+
+
 def keyed_sample(
     frame: DataFrame, salt: str, keys: Sequence[str | Column], share: float, **draw_options
 ) -> DataFrame:

@@ -99,8 +99,13 @@ def account(
     )
     if encounters is not None:
         located = _with_primary_encounter(located, encounters)
+    return with_reporting_columns(located.join(financials, "hospital_account_id"), fiscal_start)
+
+
+def with_reporting_columns(accounts: DataFrame, fiscal_start: int = 10) -> DataFrame:
+    """Reporting month, fiscal period and revenue after direct costs of account rows."""
     day = F.col("discharge_date")
-    return located.join(financials, "hospital_account_id").withColumns(
+    return accounts.withColumns(
         {
             "discharge_month": reporting_month(day),
             "fiscal_year": fiscal_year(day, fiscal_start),

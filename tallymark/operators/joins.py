@@ -7,28 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.sources.sizes import broadcast_limit, source_bytes
+
 SALT = "_salt"
 PIECES = "_pieces"
 
 
-def source_bytes(frame: DataFrame) -> int | None:
-    """Spark's size estimate of the tables a plan reads, or None where a session hides it."""
-    if not hasattr(frame, "_jdf"):
-        return None
-    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(at).stats().sizeInBytes()) for at in range(leaves.size()))
-
-
-def broadcast_limit(frame: DataFrame) -> int:
-    """The session's own broadcast threshold in bytes; 0 if broadcasting is off."""
-    threshold = frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().strip()
-    units = {"k": 2**10, "m": 2**20, "g": 2**30}
-    number = threshold.rstrip("b")
-    if number and number[-1] in units:
-        return int(number[:-1]) * units[number[-1]]
-    return max(int(number), 0)
-
-
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,

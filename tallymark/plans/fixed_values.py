@@ -6,7 +6,6 @@ They are data, not logic. Shares are cumulative and amounts are plain units.
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from tallymark.functions.text import EvidenceRules
 
@@ -47,8 +46,8 @@ ASSESSMENT_DAY = "2025-09-15"
 # --- Clinic: patient-months -------------------------------------------------------------
 CLINIC_FIRST_MONTH = dt.date(2025, 10, 1)
 CLINIC_MONTHS = 12
+DAY_SALT = "day"
 VISIT_SALTS = {
-    "u_day": "day",
     "u_screen": "screen",
     "u_intervention": "intervention",
     "u_documentation": "documentation",
@@ -124,18 +123,22 @@ FIRST_ACCOUNT = 10_000_001
 FIRST_ENCOUNTER = 20_000_001
 FIRST_ACCOUNT_PATIENT = 400_001
 ACCOUNT_PATIENTS = 40_000
-ACCOUNT_SALTS = {
+DISCHARGE_SALTS = {
     "u_day": "finance_day",
     "u_department": "finance_department",
     "u_decline": "finance_ed_decline",
+}
+ACCOUNT_SALTS = {
     "u_patient": "finance_patient",
     "u_stay": "finance_los",
     "u_payer": "finance_payer",
-    "u_weight": "finance_drg_weight",
-    "u_charge": "finance_charge",
-    "u_direct": "finance_direct_cost",
-    "u_indirect": "finance_indirect_cost",
-    "u_payment": "finance_payment",
+}
+AMOUNT_SALTS = {
+    "weight_steps": "finance_drg_weight",
+    "charge_steps": "finance_charge",
+    "direct_steps": "finance_direct_cost",
+    "indirect_steps": "finance_indirect_cost",
+    "payment_steps": "finance_payment",
 }
 DEPARTMENT_SCHEMA = "department_id INT, facility STRING, service_line STRING, product STRING"
 DEPARTMENTS = [
@@ -187,9 +190,9 @@ SURGICAL_PRODUCTS = ["Cardiac Surgery", "Joint Replacement"]
 LONGEST_STAY = 6
 PAYER_SHARES = [(0.42, "Commercial"), (0.75, "Medicare"), (0.95, "Medi-Cal")]
 PAYER_OTHERWISE = "Other"
-WEIGHT_BASE = Decimal("0.8")
-WEIGHT_SPAN = Decimal("2.2")
-WEIGHT_SURGICAL = Decimal("0.3")
+# Weights in hundredths, fractions in percent: (base, span of the draw).
+WEIGHT_FACTOR = (80, 220)
+WEIGHT_SURGICAL = 30
 CHARGE_BASELINES = {
     "ED Visit": 3400,
     "Observation": 7100,
@@ -201,16 +204,12 @@ CHARGE_BASELINES = {
     "Neurology": 20000,
 }
 CHARGE_OTHERWISE = 16000
-CHARGE_FACTOR = (Decimal("0.75"), Decimal("0.50"))
-REVENUE_FRACTIONS = {
-    "Commercial": Decimal("0.55"),
-    "Medicare": Decimal("0.38"),
-    "Medi-Cal": Decimal("0.30"),
-}
-REVENUE_OTHERWISE = Decimal("0.25")
-DIRECT_SURGICAL = Decimal("0.61")
-DIRECT_EMERGENCY = Decimal("0.54")
-DIRECT_OTHERWISE = Decimal("0.52")
-DIRECT_SPAN = Decimal("0.08")
-INDIRECT_FACTOR = (Decimal("0.18"), Decimal("0.07"))
-PAYMENT_FACTOR = (Decimal("0.90"), Decimal("0.06"))
+CHARGE_FACTOR = (75, 50)
+REVENUE_PERCENTS = {"Commercial": 55, "Medicare": 38, "Medi-Cal": 30}
+REVENUE_OTHERWISE = 25
+DIRECT_SURGICAL = 61
+DIRECT_EMERGENCY = 54
+DIRECT_OTHERWISE = 52
+DIRECT_SPAN = 8
+INDIRECT_FACTOR = (18, 7)
+PAYMENT_FACTOR = (90, 6)

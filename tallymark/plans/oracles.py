@@ -434,7 +434,7 @@ PATIENT_DRAWS = ",\n         ".join(
 )
 VISIT_DRAWS = ",\n         ".join(
     f"{draw(salt, 'patient_id', 'month_index')} AS {name}"
-    for name, salt in {**fixed.VISIT_SALTS, "u_visit": "visit"}.items()
+    for name, salt in {**fixed.VISIT_SALTS, "u_day": "day", "u_visit": "visit"}.items()
 )
 PEOPLE = f"""
 patient_keys AS (SELECT c_custkey + 100001 AS patient_id FROM customer),
@@ -796,7 +796,7 @@ ORACLES["clinic_source_checks"] = with_parts(
 # === Hospital tables derived from the order keys ===========================================
 
 ACCOUNT_DRAWS = ",\n         ".join(
-    f"{draw(salt, 'seed_account_id')} AS {name}" for name, salt in fixed.ACCOUNT_SALTS.items()
+    f"{draw(salt, 'seed_account_id')} AS {name}" for name, salt in {**fixed.DISCHARGE_SALTS, **fixed.ACCOUNT_SALTS, **fixed.AMOUNT_SALTS}.items()
 )
 DEPARTMENT_ROWS = ",\n    ".join(
     "(" + ", ".join([str(row[0]), *[sql_text(text) for text in row[1:]]]) + ")" for row in fixed.DEPARTMENTS
@@ -863,9 +863,9 @@ charged AS (
   SELECT *,
          CASE patient_type WHEN 'Inpatient' THEN CAST(floor(u_stay * 6) AS INTEGER) + 1
               WHEN 'Observation' THEN 1 ELSE 0 END AS length_of_stay_days,
-         CASE WHEN patient_type = 'Inpatient' THEN CAST(round(0.8 + {exact('u_weight')} * 2.2
+         CASE WHEN patient_type = 'Inpatient' THEN CAST(round(0.8 + {exact('weight_steps')} * 2.2
               + CASE WHEN surgical_case_flag THEN 0.3 ELSE 0.0 END, 2) AS DOUBLE) END AS ms_drg_weight,
-         CAST(round(baseline * (0.75 + {exact('u_charge')} * 0.50), 2) AS DECIMAL(18,2)) AS total_charges
+         CAST(round(baseline * (0.75 + {exact('charge_steps')} * 0.50), 2) AS DECIMAL(18,2)) AS total_charges
   FROM typed
 ),
 earned AS (
@@ -877,11 +877,11 @@ earned AS (
 base AS (
   SELECT *, discharge_date - length_of_stay_days AS admission_date,
          CAST(round(estimated_net_revenue * (CASE WHEN surgical_case_flag THEN 0.61
-              WHEN patient_type = 'Emergency' THEN 0.54 ELSE 0.52 END + {exact('u_direct')} * 0.08), 2)
+              WHEN patient_type = 'Emergency' THEN 0.54 ELSE 0.52 END + {exact('direct_steps')} * 0.08), 2)
               AS DECIMAL(18,2)) AS total_direct_cost,
-         CAST(round(estimated_net_revenue * (0.18 + {exact('u_indirect')} * 0.07), 2) AS DECIMAL(18,2))
+         CAST(round(estimated_net_revenue * (0.18 + {exact('indirect_steps')} * 0.07), 2) AS DECIMAL(18,2))
               AS total_indirect_cost,
-         CAST(round(estimated_net_revenue * (0.90 + {exact('u_payment')} * 0.06), 2) AS DECIMAL(18,2))
+         CAST(round(estimated_net_revenue * (0.90 + {exact('payment_steps')} * 0.06), 2) AS DECIMAL(18,2))
               AS total_actual_payment
   FROM earned
 ),

@@ -21,6 +21,7 @@ from tallymark.operators.joins import join_dimension
 from tallymark.plans import clinic, hospital, sales
 from tallymark.plans import fixed_values as fixed
 from tallymark.sources import tables as sources
+from tallymark.sources.sizes import fill_cores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -349,11 +350,13 @@ def headline(spark, folder):
 
 def patient_keys(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey") + fixed.FIRST_PATIENT
-    return sources.load(spark, folder, "customer").select(key.alias("patient_id"))
+    keys = sources.load(spark, folder, "customer").select(key.alias("patient_id"))
+    return fill_cores(keys, "patient_id")
 
 
 def account_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return sources.load(spark, folder, "orders").select(F.col("o_orderkey").alias(hospital.KEY))
+    keys = sources.load(spark, folder, "orders").select(F.col("o_orderkey").alias(hospital.KEY))
+    return fill_cores(keys, hospital.KEY)
 
 
 def people(spark: SparkSession, folder: str) -> DataFrame:
@@ -376,6 +379,10 @@ def hospital_base(spark: SparkSession, folder: str) -> DataFrame:
     return hospital.account_base(account_keys(spark, folder), METHOD)
 
 
+def hospital_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return hospital.wide_gold(account_keys(spark, folder), METHOD)
+
+
 def hospital_tables(spark: SparkSession, folder: str) -> hospital.HospitalTables:
     return hospital.tables(account_keys(spark, folder), METHOD)
 
@@ -909,7 +916,7 @@ def hospital_gold(spark, folder):
 @query
 def hospital_measures(spark, folder):
     return measures.evaluate(
-        hospital.gold(hospital_tables(spark, folder)),
+        hospital_rows(spark, folder),
         measures.FINANCE,
         ["fiscal_year", "facility", "service_line", "product", "patient_type", "financial_class_group"],
     )
@@ -918,17 +925,17 @@ def hospital_measures(spark, folder):
 @query
 def hospital_trend(spark, folder):
     return compare.trend(
-        hospital.gold(hospital_tables(spark, folder)), measures.FINANCE, "discharge_month", ["service_line"]
+        hospital_rows(spark, folder), measures.FINANCE, "discharge_month", ["service_line"]
     )
 
 
 def hospital_compare(spark, folder, comparisons, dims, chosen=measures.FINANCE, where=None):
-    tables = hospital_tables(spark, folder)
+    rows = hospital_rows(spark, folder)
     return compare.compare(
-        hospital.gold(tables),
+        rows,
         chosen,
         "discharge_date",
-        compare.extent(tables.accounts, "discharge_date"),
+        compare.extent(rows, "discharge_date"),
         comparisons,
         dims,
         where,

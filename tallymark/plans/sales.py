@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.coding import cents, from_cents, map_values, percent_of
+from tallymark.functions.coding import cents, from_cents, map_values, share_of
 from tallymark.operators import gold as gold_tables
 from tallymark.operators.conform import conform
 from tallymark.operators.joins import collapse, join_dimension
@@ -65,15 +65,21 @@ def financials(spark: SparkSession, folder: str) -> DataFrame:
     """Line amounts, each rounded to cents, added up to one row per order."""
     price = cents("l_extendedprice")
     discount, tax = cents("l_discount"), cents("l_tax")  # whole percents
-    net = percent_of(price, 100 - discount)
+    lines = load(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("hospital_account_id"),
+        share_of(price, 100 - discount, 100).alias("net"),
+        share_of(price, discount, 100).alias("direct"),
+        share_of(price, tax, 100).alias("indirect"),
+        tax.alias("tax"),
+    )
     amounts = {
-        "estimated_net_revenue": net,
-        "total_direct_cost": percent_of(price, discount),
-        "total_indirect_cost": percent_of(price, tax),
-        "total_actual_payment": percent_of(net, 100 + tax),
+        "estimated_net_revenue": F.col("net"),
+        "total_direct_cost": F.col("direct"),
+        "total_indirect_cost": F.col("indirect"),
+        "total_actual_payment": share_of(F.col("net"), 100 + F.col("tax"), 100),
     }
     return collapse(
-        load(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "hospital_account_id"),
+        lines,
         "hospital_account_id",
         *[from_cents(F.sum(amount)).alias(name) for name, amount in amounts.items()],
     )

@@ -1,0 +1,43 @@
+"""Sizes that decide between two ways of doing the same work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+UNITS = {"k": 2**10, "m": 2**20, "g": 2**30}
+
+
+def as_bytes(setting: str) -> int:
+    """A size setting such as ``10m`` or ``10485760b`` in bytes; negative ones give 0."""
+    number = setting.strip().lower().rstrip("b")
+    if number and number[-1] in UNITS:
+        return int(number[:-1]) * UNITS[number[-1]]
+    return max(int(number), 0)
+
+
+def source_bytes(frame: DataFrame) -> int | None:
+    """Spark's size estimate of the tables a plan reads, or None where a session hides it."""
+    if not hasattr(frame, "_jdf"):
+        return None
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(at).stats().sizeInBytes()) for at in range(leaves.size()))
+
+
+def broadcast_limit(frame: DataFrame) -> int:
+    """The session's own broadcast threshold in bytes; 0 if broadcasting is off."""
+    return as_bytes(frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+
+def fill_cores(frame: DataFrame, key: str) -> DataFrame:
+    """Spread the rows of a table too small to give every core a split.
+
+    For costly work per row only. A table of normal size has splits enough and is
+    returned as it is, without a shuffle.
+    """
+    session = frame.sparkSession
+    size = source_bytes(frame)
+    split = as_bytes(session.conf.get("spark.sql.files.openCostInBytes"))
+    partitions = int(session.conf.get("spark.sql.shuffle.partitions"))
+    if size is None or size >= partitions * split:
+        return frame
+    return frame.repartition(partitions, key)
