@@ -1,0 +1,98 @@
+"""Derived tables at the default sizes, against the arithmetic on the fixed values."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymark.operators import checks, measures
+from tallymark.plans import clinic, hospital
+from tallymark.sources.tables import spine
+
+
+@pytest.fixture(scope="module")
+def clinic_source(spark):
+    return clinic.tables(spine(spark, 6_000, "patient_id", 100_001))
+
+
+@pytest.fixture(scope="module")
+def hospital_keys(spark):
+    return spine(spark, 72_000, hospital.KEY)
+
+
+def near(count, size, share):
+    return abs(count - size * share) < 4 * (size * share * (1 - share)) ** 0.5
+
+
+def test_clinic_volumes_and_rates(clinic_source):
+    gold = clinic.gold(clinic_source)
+    rows = clinic_source.encounters.count()
+    assert near(rows, 72_000, 0.37)
+    assert near(clinic_source.notes.count() - rows, rows, 0.14)
+    result = measures.evaluate(gold, measures.CLINICAL).first()
+    assert near(result.screening_num, result.screening_den, 0.81)
+    late = measures.evaluate(
+        gold, measures.CLINICAL, [(F.col("reporting_month") >= "2026-04-01").alias("late"), "clinic"]
+    ).collect()
+    rates = {(row.late, row.clinic): row.cessation_rate for row in late}
+    assert abs(rates[(True, "SOUTH")] - 0.461) < 0.08
+    assert abs(rates[(False, "SOUTH")] - 0.741) < 0.08
+    assert gold.count() == rows
+    # Two thirds of the interventions are structured, the rest is found in the notes alone.
+    given = gold.agg(
+        F.count_if("structured_cessation_intervention").alias("structured"),
+        F.count_if(F.col("note_intervention") & ~F.col("structured_cessation_intervention")).alias("noted"),
+    ).first()
+    assert near(given.structured, given.structured + given.noted, 0.60)
+
+
+def test_notes_recover_every_intervention(spark, clinic_source):
+    visits = clinic.visits(clinic.patients(spine(spark, 6_000, "patient_id", 100_001)))
+    gold = clinic.gold(clinic_source)
+    wrong = visits.join(gold, "encounter_id").where(F.col("care_given") != F.col("has_intervention"))
+    assert wrong.isEmpty()
+
+
+def test_clinic_checks(clinic_source):
+    checks.require_empty(checks.duplicates(clinic_source.encounters, "patient_id", "reporting_month"), "grain")
+    checks.require_empty(
+        checks.orphans(clinic_source.notes, clinic_source.encounters, {"encounter_id": "encounter_id"}), "notes"
+    )
+    checks.require_empty(checks.duplicates(clinic_source.assessments, "patient_id"), "assessments")
+
+
+def test_hospital_volumes_and_decline(hospital_keys):
+    accounts = hospital.wide_gold(hospital_keys)
+    assert abs(accounts.count() - 69_470) < 200
+    fell = checks.expected_trend(
+        accounts,
+        "discharge_date",
+        2026,
+        (4, 8),
+        (F.col("facility") == "Main Hospital") & (F.col("product") == "ED Visit"),
+    )
+    checks.require_all(fell, "fell", "the decline is missing")
+    row = fell.first()
+    assert abs(row.prior_year - 3_000) < 220 and abs(row.current_year - 1_650) < 220
+    assert str(accounts.agg(F.max("discharge_date")).first()[0]) == "2026-09-20"
+
+
+def test_star_join_gives_the_wide_base_back(hospital_keys):
+    keys = hospital_keys.where(F.col(hospital.KEY) < 5_000)
+    joined = hospital.gold(hospital.tables(keys))
+    wide = hospital.wide_gold(keys).select(*joined.columns)
+    assert joined.exceptAll(wide).isEmpty() and wide.exceptAll(joined).isEmpty()
+
+
+def test_amounts_follow_from_each_other(hospital_keys):
+    accounts = hospital.wide_gold(hospital_keys.where(F.col(hospital.KEY) < 3_000))
+    share = F.col("total_direct_cost") / F.col("estimated_net_revenue")
+    bounds = accounts.agg(
+        F.min(share).alias("low"),
+        F.max(share).alias("high"),
+        F.min("ms_drg_weight").alias("light"),
+        F.max("ms_drg_weight").alias("heavy"),
+        F.count_if((F.col("patient_type") == "Inpatient") != F.col("ms_drg_weight").isNotNull()).alias("wrong"),
+        F.count_if(F.date_add("admission_date", F.col("length_of_stay_days")) != F.col("discharge_date")).alias("stay"),
+    ).first()
+    assert 0.519 < bounds.low and bounds.high < 0.691
+    assert 0.8 <= bounds.light and bounds.heavy <= 3.3
+    assert bounds.wrong == 0 and bounds.stay == 0
