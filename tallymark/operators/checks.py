@@ -57,36 +57,48 @@ def join_grain(parent: DataFrame, child: DataFrame, parent_key: str, child_key:
     )
 
 
-def reconcile(source: DataFrame, gold: DataFrame, amounts: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Row counts and amount totals of a source and of what was built from it.
+def reconcile(
+    sources: Mapping[str, tuple[DataFrame, Mapping[str, tuple[str, str]]]], gold: DataFrame
+) -> DataFrame:
+    """Row counts and amount totals of sources and of what was built from them.
 
-    ``amounts`` maps a label to the source column and the gold column.
+    ``sources`` maps a name to a table and its amounts, label -> (source column, gold
+    column). The gold rows are read once, for all sources together.
     """
+    rows = F.count("*").cast("decimal(38,2)")
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("decimal(38,2)")
+
+    def lines(frame: DataFrame, side: str, entries: list[tuple[str, str, Column]]) -> DataFrame:
+        sums = frame.agg(*[value.alias(f"_{at}") for at, (_, _, value) in enumerate(entries)])
+        return sums.select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(source).alias("source"),
+                            F.lit(label).alias("total"),
+                            F.lit(side).alias("_side"),
+                            F.col(f"_{at}").alias("_value"),
+                        )
+                        for at, (source, label, _) in enumerate(entries)
+                    ]
+                )
+            )
+        )
 
-    def side(frame: DataFrame, at: int) -> DataFrame:
-        totals = [
-            F.coalesce(F.sum(columns[at]), F.lit(0)).cast("decimal(38,2)").alias(label)
-            for label, columns in amounts.items()
-        ]
-        return frame.agg(F.count("*").cast("decimal(38,2)").alias("rows"), *totals)
+    def entries(name: str, amounts: Mapping[str, tuple[str, str]], at: int):
+        return [(name, "rows", rows), *[(name, label, total(pair[at])) for label, pair in amounts.items()]]
 
-    labels = ["rows", *amounts]
-    lines = [
-        side(frame, at).select(
-            F.lit(at).alias("_side"),
-            F.inline(F.array(*[F.struct(F.lit(n).alias("total"), F.col(n).alias("_value")) for n in labels])),
-        )
-        for at, frame in enumerate((source, gold))
-    ]
-    value = F.col("_value")
+    parts = [lines(frame, "source", entries(name, amounts, 0)) for name, (frame, amounts) in sources.items()]
+    built = [entry for name, (_, amounts) in sources.items() for entry in entries(name, amounts, 1)]
+    parts.append(lines(gold, "gold", built))
+    sides = [F.max(F.when(F.col("_side") == side, F.col("_value"))).alias(f"{side}_value") for side in ("source", "gold")]
     return (
-        lines[0]
-        .unionByName(lines[1])
-        .groupBy("total")
-        .agg(
-            F.max(F.when(F.col("_side") == 0, value)).alias("source_value"),
-            F.max(F.when(F.col("_side") == 1, value)).alias("gold_value"),
-        )
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("source", "total")
+        .agg(*sides)
         .withColumn("difference", (F.col("source_value") - F.col("gold_value")).cast("decimal(38,2)"))
     )
 

@@ -169,6 +169,18 @@ def _place(rows: DataFrame, day: str, layout: dict[str, Column]) -> DataFrame:
     return numbered.where(F.col(day).between(F.col("_bounds.start"), F.col("_bounds.end"))).drop("_bounds")
 
 
+def within(
+    rows: DataFrame, day: str, last: DataFrame | dt.date, comparisons: Iterable[Comparison]
+) -> DataFrame:
+    """Rows between the earliest start and the latest end of the windows.
+
+    For use before joins: the joins, and the search for hot keys in them, then see only
+    the rows that a comparison needs.
+    """
+    layout = _resolve(last, comparisons)
+    return rows.where((F.col(day) >= layout["earliest"]) & (F.col(day) <= layout["latest"]))
+
+
 def _label(layout: dict[str, Column], comparison: Column) -> list[Column]:
     entry = F.element_at(layout["labels"], comparison + F.lit(1))
     return [entry.getField(name).alias(name) for name in LABELS]

@@ -73,15 +73,12 @@ def sales_extent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_compare(spark, folder, comparison, dims=SEGMENT, chosen=measures.FINANCE, where=None):
-    return compare.compare(
-        sales.gold(spark, folder),
-        chosen,
-        "discharge_date",
-        sales_extent(spark, folder),
-        [comparison],
-        dims,
-        where,
-    )
+    """A comparison whose accounts are cut to its windows before they are joined."""
+    accounts = sales.accounts(spark, folder)
+    last = compare.extent(accounts, "discharge_date")
+    needed = compare.within(accounts, "discharge_date", last, [comparison])
+    rows = sales.gold(spark, folder, needed)
+    return compare.compare(rows, chosen, "discharge_date", last, [comparison], dims, where)
 
 
 @query
@@ -178,17 +175,13 @@ def conversation_grain(spark, folder):
 
 @query
 def reconcile_totals(spark, folder):
-    gold = sales.gold(spark, folder)
-    charges = checks.reconcile(
-        sales.accounts(spark, folder), gold, {"charges": ("total_charges", "total_charges")}
-    )
-    amounts = checks.reconcile(
-        sales.financials(spark, folder),
-        gold,
-        {"revenue": ("estimated_net_revenue", "estimated_net_revenue")},
-    )
-    return charges.select(F.lit("accounts").alias("source"), "*").unionByName(
-        amounts.select(F.lit("financials").alias("source"), "*")
+    accounts, financials = sales.accounts(spark, folder), sales.financials(spark, folder)
+    return checks.reconcile(
+        {
+            "accounts": (accounts, {"charges": ("total_charges", "total_charges")}),
+            "financials": (financials, {"revenue": ("estimated_net_revenue", "estimated_net_revenue")}),
+        },
+        sales.gold(spark, folder),
     )
 
 
@@ -215,7 +208,7 @@ def category_profile(spark, folder):
 
 @query
 def manifest(spark, folder):
-    return sources.manifest({name: sources.load(spark, folder, name) for name in TABLES})
+    return sources.manifest({name: sources.row_counter(spark, folder, name) for name in TABLES})
 
 
 @query
@@ -331,12 +324,11 @@ def fiscal_periods(spark, folder):
 
 @query
 def headline(spark, folder):
-    placed = compare.in_windows(
-        sales.gold(spark, folder),
-        "discharge_date",
-        sales_extent(spark, folder),
-        [compare.month_over_month("latest complete month")],
-    )
+    accounts = sales.accounts(spark, folder)
+    last = compare.extent(accounts, "discharge_date")
+    month = [compare.month_over_month("latest complete month")]
+    needed = compare.within(accounts, "discharge_date", last, month)
+    placed = compare.in_windows(sales.gold(spark, folder, needed), "discharge_date", last, month)
     return measures.evaluate(
         placed,
         measures.FINANCE,

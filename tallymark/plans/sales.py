@@ -95,7 +95,7 @@ def located_accounts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def gold(spark: SparkSession, folder: str) -> DataFrame:
-    return gold_tables.account(
-        accounts(spark, folder), departments(spark, folder), financials(spark, folder)
-    )
+def gold(spark: SparkSession, folder: str, account_rows: DataFrame | None = None) -> DataFrame:
+    """All accounts, or the given ones of them."""
+    rows = accounts(spark, folder) if account_rows is None else account_rows
+    return gold_tables.account(rows, departments(spark, folder), financials(spark, folder))

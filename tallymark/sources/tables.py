@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def spine(spark: SparkSession, count: int, key: str, offset: int = 0) -> DataFrame:
@@ -27,9 +28,38 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
+# Types of the tables that are read by name. With a schema given, Spark plans a scan
+# without a job that reads file footers first.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+        "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table of a folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One Parquet table of a folder, with its declared types if it has any."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
+
+
+def row_counter(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A Parquet table of a folder without any column: enough to count its rows."""
+    return spark.read.schema(StructType([])).parquet(f"{folder}/{name}.parquet")
 
 
 def scan(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:

@@ -145,7 +145,7 @@ def test_account_gold_joins_on_both_keys(spark):
     keys = {"primary_encounter_id": "encounter_id", "hospital_account_id": "hospital_account_id"}
     lost = checks.orphans(accounts, primary, keys).collect()
     assert [(r.primary_encounter_id, r.row_count) for r in lost] == [(14, 1)]
-    difference = {r.total: r.difference for r in checks.reconcile(accounts, result, {"charges": ("total_charges", "total_charges")}).collect()}
+    difference = {r.total: r.difference for r in checks.reconcile({"accounts": (accounts, {"charges": ("total_charges", "total_charges")})}, result).collect()}
     assert difference == {"rows": 1, "charges": Decimal("100.00")}
 
 
