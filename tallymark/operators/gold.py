@@ -47,9 +47,8 @@ def patient_month(
     """
     evidence = evidence_per_parent(label_notes(notes, rules))
     needs = assessments.select("patient_id", *SDOH_FLAGS)
-    joined = join_dimension(encounters, needs, "patient_id", spread="encounter_id", how="left").join(
-        evidence, "encounter_id", "left"
-    )
+    noted = encounters.join(evidence, "encounter_id", "left")
+    joined = join_dimension(noted, needs, "patient_id", spread="encounter_id", how="left")
     structured = F.coalesce(F.col("structured_cessation_intervention"), F.lit(False))
     known = joined.withColumns(
         {

@@ -1,0 +1,104 @@
+"""Typed tables written once, checked, and counted; reports then read them by name."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallymark.operators import checks
+from tallymark.plans import clinic, hospital
+from tallymark.plans import fixed_values as fixed
+from tallymark.sources.tables import manifest, scan, write_full
+
+# Table name -> bucket key of the tables that grow with the data.
+CLINIC_TABLES = {
+    "silver_encounters": "encounter_id",
+    "silver_notes": "encounter_id",
+    "silver_assessments": "patient_id",
+}
+HOSPITAL_TABLES = {
+    "silver_accounts": "hospital_account_id",
+    "silver_primary_encounters": "hospital_account_id",
+    "silver_departments": None,
+    "silver_financials": "hospital_account_id",
+}
+
+
+def _write(schema: str, frames: dict[str, DataFrame], keys: dict[str, str | None], buckets: int) -> None:
+    for name, frame in frames.items():
+        key = keys[name] if buckets else None
+        write_full(frame, f"{schema}.{name}", key, buckets if key else 0)
+
+
+def _manifest(spark: SparkSession, schema: str, names) -> DataFrame:
+    return manifest({f"{schema}.{name}": scan(spark, name, schema) for name in names})
+
+
+def clinic_tables(spark: SparkSession, schema: str) -> clinic.ClinicTables:
+    return clinic.ClinicTables(*[scan(spark, name, schema) for name in CLINIC_TABLES])
+
+
+def hospital_tables(spark: SparkSession, schema: str) -> hospital.HospitalTables:
+    return hospital.HospitalTables(*[scan(spark, name, schema) for name in HOSPITAL_TABLES])
+
+
+def write_clinic(
+    spark: SparkSession, schema: str, keys: DataFrame, buckets: int = 0, method: str = "xxhash64"
+) -> DataFrame:
+    """Write the clinic tables of some patient keys, check them, and give their row counts."""
+    made = clinic.tables(keys, method)
+    frames = dict(zip(CLINIC_TABLES, (made.encounters, made.notes, made.assessments), strict=True))
+    _write(schema, frames, CLINIC_TABLES, buckets)
+    saved = clinic_tables(spark, schema)
+    for violations, message in [
+        (
+            checks.duplicates(saved.encounters, "patient_id", "reporting_month"),
+            "a patient has more than one encounter in a month",
+        ),
+        (checks.duplicates(saved.encounters, "encounter_id"), "an encounter id occurs more than once"),
+        (checks.duplicates(saved.notes, "note_id"), "a note id occurs more than once"),
+        (
+            checks.orphans(saved.notes, saved.encounters, {"encounter_id": "encounter_id"}),
+            "a note has no encounter",
+        ),
+        (checks.duplicates(saved.assessments, "patient_id"), "a patient has more than one assessment"),
+    ]:
+        checks.require_empty(violations, message)
+    return _manifest(spark, schema, CLINIC_TABLES)
+
+
+def write_hospital(
+    spark: SparkSession, schema: str, keys: DataFrame, buckets: int = 0, method: str = "xxhash64"
+) -> DataFrame:
+    """Write the hospital tables of some account keys, check them, and give their row counts."""
+    made = hospital.tables(keys, method)
+    parts = (made.accounts, made.encounters, made.departments, made.financials)
+    _write(schema, dict(zip(HOSPITAL_TABLES, parts, strict=True)), HOSPITAL_TABLES, buckets)
+    saved = hospital_tables(spark, schema)
+    account = {"hospital_account_id": "hospital_account_id"}
+    for violations, message in [
+        (checks.duplicates(saved.accounts, "hospital_account_id"), "an account id occurs more than once"),
+        (checks.duplicates(saved.encounters, "encounter_id"), "an encounter id occurs more than once"),
+        (
+            checks.duplicates(saved.financials, "hospital_account_id"),
+            "an account has more than one financial row",
+        ),
+        (checks.duplicates(saved.departments, "department_id"), "a department id occurs more than once"),
+        (
+            checks.orphans(saved.accounts, saved.encounters, {**account, "primary_encounter_id": "encounter_id"}),
+            "an account has no primary encounter",
+        ),
+        (checks.orphans(saved.accounts, saved.financials, account), "an account has no financial row"),
+        (
+            checks.orphans(saved.accounts, saved.departments, {"discharge_department_id": "department_id"}),
+            "an account has no department",
+        ),
+    ]:
+        checks.require_empty(violations, message)
+    located = saved.accounts.withColumnRenamed("discharge_department_id", "department_id").join(
+        saved.departments, "department_id"
+    )
+    declining = F.col("department_id") == fixed.DECLINE_DEPARTMENT
+    fell = checks.expected_trend(located, "discharge_date", 2026, (4, 8), declining)
+    checks.require_all(fell, "fell", "the planned decline is not present")
+    return _manifest(spark, schema, HOSPITAL_TABLES)

@@ -31,13 +31,15 @@ def broadcast_limit(frame: DataFrame) -> int:
 def fill_cores(frame: DataFrame, key: str) -> DataFrame:
     """Spread the rows of a table too small to give every core a split.
 
-    For costly work per row only. A table of normal size has splits enough and is
-    returned as it is, without a shuffle.
+    For costly work per row only. Spark cuts files no finer than its open cost, so a table
+    below that size per core leaves cores idle. A table of normal size has splits enough
+    and is returned as it is, without a shuffle.
     """
-    session = frame.sparkSession
     size = source_bytes(frame)
-    split = as_bytes(session.conf.get("spark.sql.files.openCostInBytes"))
-    partitions = int(session.conf.get("spark.sql.shuffle.partitions"))
-    if size is None or size >= partitions * split:
+    if size is None:
+        return frame
+    session = frame.sparkSession
+    cores = session.sparkContext.defaultParallelism
+    if size >= cores * as_bytes(session.conf.get("spark.sql.files.openCostInBytes")):
         return frame
-    return frame.repartition(partitions, key)
+    return frame.repartition(cores, key)

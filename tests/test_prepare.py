@@ -1,0 +1,97 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallymark.operators import compare, measures
+from tallymark.plans import clinic, hospital, prepare
+from tallymark.plans import fixed_values as fixed
+from tallymark.sources.tables import query_table, spine
+
+
+@pytest.fixture(scope="module")
+def schema(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS prepared")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield "prepared"
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture(scope="module")
+def counts(spark, schema):
+    written = [
+        prepare.write_clinic(spark, schema, spine(spark, 3_000, "patient_id", fixed.FIRST_PATIENT), buckets=4),
+        prepare.write_hospital(spark, schema, spine(spark, 24_000, hospital.KEY), buckets=4),
+    ]
+    return {r.table_name: r.row_count for frame in written for r in frame.collect()}
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_manifest_counts_every_table(counts):
+    assert len(counts) == 7
+    assert counts["prepared.silver_departments"] == 14
+    assert counts["prepared.silver_accounts"] == counts["prepared.silver_financials"] > 23_000
+
+
+def test_written_tables_equal_the_derived_ones(spark, counts):
+    made = hospital.tables(spine(spark, 24_000, hospital.KEY)).accounts
+    saved = prepare.hospital_tables(spark, "prepared").accounts
+    assert made.exceptAll(saved).isEmpty() and saved.exceptAll(made).isEmpty()
+
+
+def test_bucketed_tables_are_joined_without_shuffling_them(spark, counts):
+    tables = prepare.hospital_tables(spark, "prepared")
+    located = tables.accounts.withColumnRenamed("discharge_department_id", "department_id")
+    joined = located.join(tables.financials, "hospital_account_id").join(tables.encounters, "hospital_account_id")
+    assert exchanges(joined) == 0
+    source = prepare.clinic_tables(spark, "prepared")
+    noted = source.encounters.join(source.notes.groupBy("encounter_id").count(), "encounter_id", "left")
+    assert exchanges(noted) == 0
+
+
+def test_gold_over_written_tables(spark, counts):
+    months = clinic.gold(prepare.clinic_tables(spark, "prepared"))
+    assert months.count() == counts["prepared.silver_encounters"]
+    accounts = hospital.gold(prepare.hospital_tables(spark, "prepared"))
+    assert accounts.count() == counts["prepared.silver_accounts"]
+    changes = compare.compare(
+        accounts,
+        [measures.count_rows("accounts")],
+        "discharge_date",
+        fixed.HOSPITAL_CUTOFF,
+        [compare.season(4)],
+        ["facility", "product"],
+        where=F.col("service_line") == "Emergency",
+    )
+    shares = compare.contribution(changes, "accounts", ["facility", "product"])
+    parts = {(r.facility, r.product): r for r in shares.collect()}
+    assert max(parts.values(), key=lambda r: r.share_of_change).product == "ED Visit"
+    assert parts[("Main Hospital", "ED Visit")].accounts_change < -300
+
+
+def test_sql_over_written_tables(spark, counts):
+    profile = query_table(
+        spark,
+        """
+        SELECT tobacco_screen_status, COUNT(*) AS months, COUNT_IF(age_at_encounter >= 12) AS eligible
+        FROM IDENTIFIER(:source_schema || '.silver_encounters')
+        GROUP BY tobacco_screen_status ORDER BY months DESC
+        """,
+        source_schema="prepared",
+    ).collect()
+    assert {r.tobacco_screen_status for r in profile} == {"current_user", "non_user", "unknown", "not_done"}
+    assert sum(r.months for r in profile) == counts["prepared.silver_encounters"]
+
+
+def test_writing_again_changes_nothing(spark, counts):
+    keys = spine(spark, 3_000, "patient_id", fixed.FIRST_PATIENT)
+    again = {r.table_name: r.row_count for r in prepare.write_clinic(spark, "prepared", keys, buckets=4).collect()}
+    assert all(counts[name] == rows for name, rows in again.items())
+
+
+def test_bucket_arguments(spark):
+    from tallymark.sources.tables import write_full
+
+    with pytest.raises(ValueError):
+        write_full(spark.range(1).toDF("id"), "x", bucket_by="id")
