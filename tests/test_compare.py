@@ -47,7 +47,7 @@ SET = (
     measures.count_rows("n"),
     measures.count_distinct("people", "patient"),
     measures.total("amount", "cash"),
-    measures.average("weight_mean", "weight", lambda: F.lit(True)),
+    measures.average("weight_mean", "weight"),
 )
 
 
@@ -141,3 +141,43 @@ def test_rate_change_in_points_and_trend(spark):
 def test_extent(rows):
     row = compare.extent(rows, "day").first()
     assert [str(v) for v in row] == ["2025-08-31", "2026-09-20", "2026-09-01", "2026-08-01"]
+
+
+def test_windows_of_every_last_date(spark):
+    """All windows against plain date arithmetic, for each day of five years."""
+    import calendar as cal
+
+    def month(year, number):
+        year, number = year + (number - 1) // 12, (number - 1) % 12 + 1
+        return dt.date(year, number, 1)
+
+    def end(first):
+        return first.replace(day=cal.monthrange(first.year, first.month)[1])
+
+    def expected(last):
+        this = last.replace(day=1)
+        done = this if last == end(this) else month(this.year, this.month - 1)
+        before, year_before = month(done.year, done.month - 1), month(done.year - 1, done.month)
+        start = month(done.year, done.month - (done.month - 4) % 12)
+        same_days = dt.date(last.year - 1, last.month, min(last.day, end(month(last.year - 1, last.month)).day))
+        half = month(this.year, this.month - 5)
+        return [
+            (done, end(done), before, end(before)),
+            (done, end(done), year_before, end(year_before)),
+            (this, last, month(last.year - 1, last.month), same_days),
+            (start, end(done), month(start.year - 1, start.month), end(year_before)),
+            (half, end(this), month(half.year, half.month - 6), half - dt.timedelta(days=1)),
+        ]
+
+    kinds = [
+        compare.month_over_month(),
+        compare.year_over_year(),
+        compare.month_to_date(),
+        compare.season(4),
+        compare.latest_months(6, "half"),
+    ]
+    days = spark.sql("SELECT explode(sequence(DATE'2023-01-01', DATE'2027-12-31')) AS last")
+    found = days.select("last", *[F.array(*kind.bounds(F.col("last"))) for kind in kinds]).collect()
+    assert len(found) == 1826
+    for row in found:
+        assert [tuple(entry) for entry in row[1:]] == expected(row[0]), row[0]
