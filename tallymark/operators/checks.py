@@ -29,6 +29,36 @@ def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataF
     return child_keys.join(parent_keys, same, "left_anti")
 
 
+def presence(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Rows of each key in each of several tables: one scan per table and one shuffle in all.
+
+    ``tables`` maps a name to a table and its key columns, which are matched by position
+    and take the names that the first table gives them. Uniqueness and completeness of the
+    tables are then conditions on a row of the result, so many checks cost no more than one.
+    """
+    names = list(next(iter(tables.values()))[1])
+    tagged = [
+        frame.select(
+            *[F.col(key).alias(name) for key, name in zip(keys, names, strict=True)],
+            *[F.lit(1 if other == table else 0).cast("long").alias(other) for other in tables],
+        )
+        for table, (frame, keys) in tables.items()
+    ]
+    return reduce(DataFrame.union, tagged).groupBy(*names).agg(*[F.sum(table).alias(table) for table in tables])
+
+
+def count_violations(frame: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Number of rows that meet each condition, one line per condition, in one pass."""
+    counts = frame.agg(*[F.count_if(rule).alias(f"_{at}") for at, rule in enumerate(rules.values())])
+    lines = F.array(
+        *[
+            F.struct(F.lit(name).alias("check"), F.col(f"_{at}").alias("violations"))
+            for at, name in enumerate(rules)
+        ]
+    )
+    return counts.select(F.inline(lines))
+
+
 def key_profile(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows against distinct keys of several tables, one line each."""
     lines = [

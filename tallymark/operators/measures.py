@@ -141,3 +141,27 @@ def evaluate(
     """The measures of a selection for each combination of the dimensions (or overall)."""
     selected = rows if where is None else rows.where(where)
     return selected.groupBy(*dims).agg(*[measure.column() for measure in measures])
+
+
+@dataclass(frozen=True)
+class MeasureView:
+    """A reporting table with its measures and the dimensions it is reported by."""
+
+    rows: DataFrame
+    measures: tuple[Measure, ...]
+    dimensions: tuple[str, ...]
+
+    def by(self, *dims: str, where: Column | None = None) -> DataFrame:
+        """All measures of a selection, for each combination of some of the dimensions."""
+        unknown = [dim for dim in dims if dim not in self.dimensions]
+        if unknown:
+            raise ValueError(f"no dimension named {', '.join(unknown)}")
+        return evaluate(self.rows, self.measures, dims, where)
+
+
+def clinical_view(patient_months: DataFrame) -> MeasureView:
+    return MeasureView(patient_months, CLINICAL, CLINICAL_DIMENSIONS)
+
+
+def finance_view(accounts: DataFrame) -> MeasureView:
+    return MeasureView(accounts, FINANCE, FINANCE_DIMENSIONS)

@@ -93,10 +93,11 @@ def account_measures(spark, folder):
 
 @query
 def account_measures_by_segment(spark, folder):
-    return measures.evaluate(
-        sales.gold(spark, folder),
-        measures.FINANCE,
-        ["fiscal_year", *SEGMENT, "patient_type"],
+    return measures.finance_view(sales.gold(spark, folder)).by(
+        "fiscal_year",
+        "facility",
+        "product",
+        "patient_type",
         where=(F.col("discharge_date") >= F.lit(dt.date(1996, 10, 1)))
         & (F.col("financial_class_group") != "5-LOW"),
     )
@@ -630,10 +631,8 @@ def quality_rates(spark, folder):
 
 @query
 def quality_rates_by_cohort(spark, folder):
-    return measures.evaluate(
-        clinic_gold(spark, folder),
-        measures.CLINICAL,
-        ["clinic", "has_copd", "has_diabetes", "transportation_barrier"],
+    return measures.clinical_view(clinic_gold(spark, folder)).by(
+        "clinic", "has_copd", "has_diabetes", "transportation_barrier"
     )
 
 
@@ -773,18 +772,27 @@ def assessment_grain(spark, folder):
 @query
 def clinic_source_checks(spark, folder):
     source = clinic_tables(spark, folder)
-    return violation_counts(
+    encounters, notes = F.col("encounters"), F.col("notes")
+    by_encounter = checks.presence(
+        {"encounters": (source.encounters, ["encounter_id"]), "notes": (source.notes, ["encounter_id"])}
+    )
+    linked = checks.count_violations(
+        by_encounter,
         {
-            "patient-month occurs more than once": checks.duplicates(
-                source.encounters, "patient_id", "reporting_month"
-            ),
-            "encounter id occurs more than once": checks.duplicates(source.encounters, "encounter_id"),
-            "note id occurs more than once": checks.duplicates(source.notes, "note_id"),
-            "note without encounter": checks.orphans(
-                source.notes, source.encounters, {"encounter_id": "encounter_id"}
-            ),
-            "patient with more than one assessment": checks.duplicates(source.assessments, "patient_id"),
-        }
+            "encounter id occurs more than once": encounters > 1,
+            "note without encounter": (notes > 0) & (encounters == 0),
+        },
+    )
+    return linked.unionByName(
+        violation_counts(
+            {
+                "patient-month occurs more than once": checks.duplicates(
+                    source.encounters, "patient_id", "reporting_month"
+                ),
+                "note id occurs more than once": checks.duplicates(source.notes, "note_id"),
+                "patient with more than one assessment": checks.duplicates(source.assessments, "patient_id"),
+            }
+        )
     )
 
 
@@ -907,10 +915,8 @@ def hospital_gold(spark, folder):
 
 @query
 def hospital_measures(spark, folder):
-    return measures.evaluate(
-        hospital_rows(spark, folder),
-        measures.FINANCE,
-        ["fiscal_year", "facility", "service_line", "product", "patient_type", "financial_class_group"],
+    return measures.finance_view(hospital_rows(spark, folder)).by(
+        "fiscal_year", "facility", "service_line", "product", "patient_type", "financial_class_group"
     )
 
 
@@ -974,27 +980,42 @@ def emergency_financial_change(spark, folder):
 @query
 def hospital_source_checks(spark, folder):
     tables = hospital_tables(spark, folder)
-    return violation_counts(
+    accounts, financials, encounters = F.col("accounts"), F.col("financials"), F.col("encounters")
+    by_account = checks.presence(
         {
-            "account id occurs more than once": checks.duplicates(tables.accounts, "hospital_account_id"),
-            "encounter id occurs more than once": checks.duplicates(tables.encounters, "encounter_id"),
-            "account with more than one financial row": checks.duplicates(
-                tables.financials, "hospital_account_id"
-            ),
-            "department id occurs more than once": checks.duplicates(tables.departments, "department_id"),
-            "account without its primary encounter": checks.orphans(
-                tables.accounts,
-                tables.encounters,
-                {"primary_encounter_id": "encounter_id", "hospital_account_id": "hospital_account_id"},
-            ),
-            "account without a financial row": checks.orphans(
-                tables.accounts, tables.financials, {"hospital_account_id": "hospital_account_id"}
-            ),
-            "account without a department": checks.orphans(
-                tables.accounts, tables.departments, {"discharge_department_id": "department_id"}
-            ),
+            "accounts": (tables.accounts, ["hospital_account_id"]),
+            "financials": (tables.financials, ["hospital_account_id"]),
+        }
+    )
+    by_pair = checks.presence(
+        {
+            "accounts": (tables.accounts, ["hospital_account_id", "primary_encounter_id"]),
+            "encounters": (tables.encounters, ["hospital_account_id", "encounter_id"]),
         }
     )
+    linked = checks.count_violations(
+        by_account,
+        {
+            "account id occurs more than once": accounts > 1,
+            "account with more than one financial row": financials > 1,
+            "account without a financial row": (accounts > 0) & (financials == 0),
+        },
+    ).unionByName(
+        checks.count_violations(
+            by_pair, {"account without its primary encounter": (accounts > 0) & (encounters == 0)}
+        )
+    )
+    return linked.unionByName(
+        violation_counts(
+            {
+                "encounter id occurs more than once": checks.duplicates(tables.encounters, "encounter_id"),
+                "department id occurs more than once": checks.duplicates(tables.departments, "department_id"),
+                "account without a department": checks.orphans(
+                    tables.accounts, tables.departments, {"discharge_department_id": "department_id"}
+                ),
+            }
+        )
+    )
 
 
 @query

@@ -11,6 +11,7 @@ def local_session(cores: int | str = "*", app: str = "tallymark", **extra: str)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         # Without a record of the Python line behind every Column, plans are built faster.

@@ -161,3 +161,8 @@ def test_finance_measures(spark):
     assert sum(g.net_revenue for g in groups) == total.net_revenue
     with pytest.raises(ValueError):
         measures.pick(measures.FINANCE, "profit")
+    view = measures.finance_view(result)
+    assert view.by("product").exceptAll(measures.evaluate(result, measures.FINANCE, ["product"])).isEmpty()
+    assert set(view.dimensions) <= set(result.columns) | {"financial_class_group"}
+    with pytest.raises(ValueError):
+        view.by("surgeon")

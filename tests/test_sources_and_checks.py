@@ -69,3 +69,18 @@ def test_key_profile_and_profile_order(spark):
     frame = spark.createDataFrame([("a", 1), ("b", 1), ("b", None)], "c string, k int")
     assert [tuple(r) for r in checks.key_profile({"t": (frame, "k")}).collect()] == [("t", 3, 1)]
     assert [r.c for r in checks.profile(frame, "c", F.count("*").alias("n"), order="n").collect()] == ["b", "a"]
+
+
+def test_presence_finds_duplicates_and_orphans_in_one_pass(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,), (4,)], "p int")
+    child = spark.createDataFrame([(1,), (1,), (3,), (None,)], "c int")
+    both = checks.presence({"parents": (parent, ["p"]), "children": (child, ["c"])})
+    assert {r.p: (r.parents, r.children) for r in both.collect()} == {1: (1, 2), 2: (2, 0), 3: (0, 1), 4: (1, 0), None: (0, 1)}
+    rules = {
+        "parent twice": F.col("parents") > 1,
+        "child alone": (F.col("children") > 0) & (F.col("parents") == 0),
+    }
+    found = {r.check: r.violations for r in checks.count_violations(both, rules).collect()}
+    assert found == {"parent twice": 1, "child alone": 2}
+    alone = checks.orphans(child, parent, {"c": "p"}).count()
+    assert alone == found["child alone"]
