@@ -145,10 +145,15 @@ def _layout(last: Column, comparisons: Sequence[Comparison]) -> dict[str, Column
     }
 
 
-def _resolve(last: DataFrame | dt.date, comparisons: Iterable[Comparison]) -> dict[str, Column]:
+def _wanted(comparisons: Iterable[Comparison]) -> list[Comparison]:
     wanted = list(comparisons)
     if not 1 <= len(wanted) <= COMPARISON_LIMIT:
         raise ValueError(f"give 1 to {COMPARISON_LIMIT} comparisons")
+    return wanted
+
+
+def _resolve(last: DataFrame | dt.date, comparisons: Iterable[Comparison]) -> dict[str, Column]:
+    wanted = _wanted(comparisons)
     if isinstance(last, dt.date):
         return _layout(F.lit(last), wanted)
     # The windows are worked out on the one-row side, once for the whole query.
@@ -157,6 +162,22 @@ def _resolve(last: DataFrame | dt.date, comparisons: Iterable[Comparison]) -> di
     return {name: single.select(name).scalar() for name in layout}
 
 
+def earliest_start(
+    last: DataFrame | dt.date, comparisons: Iterable[Comparison], dtype: str = "date"
+) -> Column:
+    """First date that any window needs, for a filter on a date column of type ``dtype``.
+
+    Spark fetches several scalars of one frame as fields of one subquery, and a filter on a
+    field, or on a cast of a subquery, stays out of the scan. This bound is an aggregate
+    with its type inside: used once in a query, it stays a subquery of its own and is pushed.
+    """
+    wanted = _wanted(comparisons)
+    if isinstance(last, dt.date):
+        return _layout(F.lit(last), wanted)["earliest"].cast(dtype)
+    start = _layout(F.col("last_date"), wanted)["earliest"]
+    return last.agg(F.min(start).cast(dtype)).scalar()
+
+
 def _place(rows: DataFrame, day: str, layout: dict[str, Column]) -> DataFrame:
     """Each row once per window that holds its date, with the window's number only.
 
@@ -172,13 +193,12 @@ def _place(rows: DataFrame, day: str, layout: dict[str, Column]) -> DataFrame:
 def within(
     rows: DataFrame, day: str, last: DataFrame | dt.date, comparisons: Iterable[Comparison]
 ) -> DataFrame:
-    """Rows between the earliest start and the latest end of the windows.
+    """Rows from the first date that a window needs.
 
-    For use before joins: the joins, and the search for hot keys in them, then see only
-    the rows that a comparison needs.
+    For use on a source before its joins: the scan, the joins, and the search for hot keys
+    in them, then see only the rows that the comparisons need.
     """
-    layout = _resolve(last, comparisons)
-    return rows.where((F.col(day) >= layout["earliest"]) & (F.col(day) <= layout["latest"]))
+    return rows.where(F.col(day) >= earliest_start(last, comparisons))
 
 
 def _label(layout: dict[str, Column], comparison: Column) -> list[Column]:

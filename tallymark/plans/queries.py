@@ -72,12 +72,15 @@ def sales_extent(spark: SparkSession, folder: str) -> DataFrame:
     return compare.extent(sales.accounts(spark, folder), "discharge_date")
 
 
+def needed_accounts(spark: SparkSession, folder: str, last: DataFrame, comparisons) -> DataFrame:
+    """Accounts from the first date that the comparisons need."""
+    return sales.accounts(spark, folder, compare.earliest_start(last, comparisons, "timestamp_ntz"))
+
+
 def sales_compare(spark, folder, comparison, dims=SEGMENT, chosen=measures.FINANCE, where=None):
     """A comparison whose accounts are cut to its windows before they are joined."""
-    accounts = sales.accounts(spark, folder)
-    last = compare.extent(accounts, "discharge_date")
-    needed = compare.within(accounts, "discharge_date", last, [comparison])
-    rows = sales.gold(spark, folder, needed)
+    last = sales_extent(spark, folder)
+    rows = sales.gold(spark, folder, needed_accounts(spark, folder, last, [comparison]))
     return compare.compare(rows, chosen, "discharge_date", last, [comparison], dims, where)
 
 
@@ -325,11 +328,10 @@ def fiscal_periods(spark, folder):
 
 @query
 def headline(spark, folder):
-    accounts = sales.accounts(spark, folder)
-    last = compare.extent(accounts, "discharge_date")
+    last = sales_extent(spark, folder)
     month = [compare.month_over_month("latest complete month")]
-    needed = compare.within(accounts, "discharge_date", last, month)
-    placed = compare.in_windows(sales.gold(spark, folder, needed), "discharge_date", last, month)
+    rows = sales.gold(spark, folder, needed_accounts(spark, folder, last, month))
+    placed = compare.in_windows(rows, "discharge_date", last, month)
     return measures.evaluate(
         placed,
         measures.FINANCE,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.coding import cents, from_cents, map_values, share_of
@@ -19,12 +19,19 @@ SURGICAL_PRIORITY = "1-URGENT"
 WEIGHT_PER_UNIT = Decimal("0.00001")
 
 
-def accounts(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order, with the columns of its own primary encounter."""
+def accounts(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
+    """One row per order, with the columns of its own primary encounter.
+
+    ``since`` is a first instant, compared with the stored timestamp: a filter on the date
+    made from it would not reach the scan when its bound comes from a subquery.
+    """
+    orders = load(spark, folder, "orders")
+    if since is not None:
+        orders = orders.where(F.col("o_orderdate") >= since)
     charges = F.col("o_totalprice").cast("decimal(18,2)")
     inpatient = F.col("o_orderstatus") == "F"
     return conform(
-        load(spark, folder, "orders"),
+        orders,
         {
             "hospital_account_id": F.col("o_orderkey"),
             "patient_id": F.col("o_custkey"),

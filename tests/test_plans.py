@@ -21,6 +21,7 @@ def plan(spark, name):
         ("expected_trend", ["GreaterThanOrEqual(o_orderdate,1999-04-01", "LessThan(o_orderdate,2000-09-01"]),
         ("account_measures_by_segment", ["GreaterThanOrEqual(o_orderdate,1996-10-01"]),
         ("keyword_candidates", ["EqualTo(toxic,0)"]),
+        ("mom_change", ["GreaterThanOrEqual(o_orderdate,ScalarSubquery"]),
     ],
 )
 def test_filters_reach_the_scan(spark, name, filters):
