@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from tallymark.plans.queries import TABLES
+from tallymark.plans.queries import QUERIES, TABLES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,14 +20,15 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     assert not contract.entry(spark).isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     frame = contract.queries()[name](spark, FOLDER)
     found = frame.collect()
