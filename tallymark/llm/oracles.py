@@ -3,3 +3,68 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLES["op4_line_dedup"] = f"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+    SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, {BLANKS}), {LOWER}) AS line_key FROM line
+), shared AS (
+    SELECT line_key, max(doc_id) AS last FROM keyed WHERE length(line_key) >= 20
+    GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+    SELECT keyed.*, coalesce(doc_id < last, false) AS dropped
+    FROM keyed LEFT JOIN shared ON keyed.line_key = shared.line_key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
+           AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+ORACLES["op8_mixing"] = f"""
+WITH sized AS (
+    SELECT doc_id, source, CAST({WORDS} AS BIGINT) AS size,
+           md5('mix:' || CAST(doc_id AS VARCHAR)) AS order_key
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighted AS (
+    SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
+           3 * source_size AS cap, sum(source_size) OVER () AS total
+    FROM sources
+), rising AS (
+    SELECT *, coalesce(sum(cap) OVER before, 0) AS caps_before, sum(weight) OVER after AS weights_from
+    FROM weighted
+    WINDOW before AS (ORDER BY 10 * cap / weight, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           after AS (ORDER BY 10 * cap / weight, source NULLS LAST
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), clamped AS (
+    SELECT *, cap * weights_from <= weight * (total - caps_before) AS capped FROM rising
+), planned AS (
+    SELECT source, source_size,
+           CASE WHEN capped THEN CAST(cap AS DOUBLE)
+                ELSE CAST(weight * (total - coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0)) AS DOUBLE)
+                     / CAST(sum(weight) FILTER (WHERE NOT capped) OVER () AS DOUBLE) END AS target
+    FROM clamped
+), shares AS (
+    SELECT *, CAST(round(target) AS BIGINT) AS words,
+           CASE WHEN source_size = 0 THEN 0 ELSE CAST(round(target) AS BIGINT) // source_size END AS whole
+    FROM planned
+), placed AS (
+    SELECT sized.*, source_size, target, whole, words - whole * source_size AS rest,
+           coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY order_key, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM sized JOIN shares ON sized.source IS NOT DISTINCT FROM shares.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
+FROM placed
+"""

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymark.llm import token_counts
+from tallymark.llm import line_dedup, mixing, simhash, token_counts
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+LINE_CHARS, LINE_DOCS = 20, 3
+SHINGLE, BITS_APART = 3, 2
+WEIGHTS, EPOCHS = (5, 2, 1), 3
 TOKEN_LIMIT = 512
 
 
@@ -22,6 +26,25 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines before and dropped, and a digest of what stays, of every document."""
+    cut = line_dedup.dedup_lines(table(spark, folder, "documents"), LINE_CHARS, LINE_DOCS)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of near copies of every document."""
+    return simhash.near_copies(table(spark, folder, "documents"), SHINGLE, BITS_APART)
+
+
+@query
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mix(table(spark, folder, "documents"), WEIGHTS, EPOCHS)
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document in the 50k byte-level vocabulary."""
