@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.texts import word_count
 
-CELL_DIGITS = 4  # hexadecimal digits of the hash that name one of a source's 65,536 cells
+CELL_DIGITS = 3  # hexadecimal digits of the hash that name one of a source's 4,096 cells
 EXACT = "decimal(38,0)"
 
 

@@ -68,3 +68,76 @@ SELECT doc_id, size, source_size, target,
        CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
 FROM placed
 """
+
+ORACLES["op3_quality"] = r"""
+WITH worded AS (
+    SELECT doc_id, lang, coalesce(text, '') AS body,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), place AS (
+    SELECT doc_id, unnest(range(1, len(words) - 1)) AS i,
+           unnest(list_transform(range(1, len(words) - 1),
+                  lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) AS triple
+    FROM worded WHERE len(words) >= 3
+), triple AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, triple) AS n FROM place
+), covered AS (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS word FROM triple WHERE n >= 2
+), repeated AS (
+    SELECT doc_id, count(DISTINCT word) AS n_repeat_words FROM covered GROUP BY doc_id
+), counted AS (
+    SELECT worded.doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(len(lines) AS BIGINT) AS n_word_lines,
+           CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+    FROM worded LEFT JOIN repeated ON worded.doc_id = repeated.doc_id
+), based AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+), rules AS (
+    SELECT doc_id, lang, base_failed, unnest([
+        {'rule': 'symbols', 'part': n_symbols, 'whole': word_chars, 'risk': 0.03::DOUBLE},
+        {'rule': 'dup_lines', 'part': n_dup_lines, 'whole': n_word_lines, 'risk': 0.01::DOUBLE},
+        {'rule': 'repeats', 'part': n_repeat_words, 'whole': n_words, 'risk': 0.01::DOUBLE}
+    ], recursive := true) FROM based
+), seen AS (
+    SELECT rules.*, quality = 1 AS good
+    FROM rules JOIN (SELECT DISTINCT doc_id, quality FROM labels WHERE quality IS NOT NULL) l
+        ON rules.doc_id = l.doc_id
+    WHERE NOT base_failed
+), totals AS (
+    SELECT lang, rule, risk, count(*) FILTER (WHERE good) AS n, 0.05 / count(*) OVER () AS level
+    FROM seen GROUP BY lang, rule, risk
+), tail AS (
+    SELECT lang, rule, k, level, sum(term) OVER (PARTITION BY lang, rule ORDER BY k) AS tail
+    FROM (SELECT lang, rule, level, k,
+                 exp(CASE WHEN n = 0 THEN 0 ELSE lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) END
+                     + k * ln(risk) + (n - k) * ln(1 - risk)) AS term
+          FROM (SELECT *, unnest(range(CAST(n AS BIGINT) + 1)) AS k FROM totals))
+), bounds AS (
+    SELECT lang, rule, max(k) AS most FROM tail WHERE tail <= level GROUP BY lang, rule
+), steps AS (
+    SELECT lang, rule, c, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad
+    FROM (SELECT *, unnest(range(1, 51)) AS c FROM seen) WHERE 100 * part > c * whole
+    GROUP BY lang, rule, c
+), proven AS (
+    SELECT steps.* FROM steps JOIN bounds
+        ON steps.lang IS NOT DISTINCT FROM bounds.lang AND steps.rule = bounds.rule
+    WHERE good <= most AND bad > good
+), best AS (
+    SELECT lang, rule, c FROM proven
+    QUALIFY bad - good = max(bad - good) OVER (PARTITION BY lang, rule)
+), cut AS (
+    SELECT lang, rule, list_sort(list(c))[1 + (count(*) - 1) // 2] AS cutoff FROM best GROUP BY lang, rule
+), rejected AS (
+    SELECT DISTINCT rules.doc_id FROM rules JOIN cut
+        ON rules.lang IS NOT DISTINCT FROM cut.lang AND rules.rule = cut.rule
+    WHERE 100 * part > cutoff * whole
+)
+SELECT based.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rejected.doc_id IS NULL AS kept
+FROM based LEFT JOIN rejected ON based.doc_id = rejected.doc_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import line_dedup, mixing, simhash, token_counts
+from tallymark.llm import line_dedup, mixing, quality, simhash, token_counts
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    return quality.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines before and dropped, and a digest of what stays, of every document."""
