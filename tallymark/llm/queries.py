@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import line_dedup, mixing, quality, simhash, token_counts
+from tallymark.llm import language, line_dedup, mixing, quality, simhash, token_counts
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(table(spark, folder, "documents"), SHINGLE, BITS_APART)
 
 
+@query
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes from every document."""
