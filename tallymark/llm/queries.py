@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import language, line_dedup, mixing, quality, simhash, token_counts
+from tallymark.llm import language, line_dedup, mixing, quality, simhash, token_counts, toxicity
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels of those that are not held out."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of near copies of every document."""
