@@ -141,3 +141,54 @@ SELECT based.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
        NOT base_failed AND rejected.doc_id IS NULL AS kept
 FROM based LEFT JOIN rejected ON based.doc_id = rejected.doc_id
 """
+
+ORACLES["op2_chat_windows"] = r"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), counted AS (
+    SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+           23 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n'))
+              + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 1 AS chars
+    FROM given
+), placed AS (
+    SELECT *, row_number() OVER w - 1 AS place, sum(tokens) OVER w - tokens AS before
+    FROM counted
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), headed AS (
+    SELECT *, place = 0 AND role = 'system' AS is_system,
+           coalesce(max(tokens) FILTER (WHERE place = 0 AND role = 'system')
+                    OVER (PARTITION BY conv_id), 0) AS head
+    FROM placed
+), begun AS (
+    SELECT *, CASE WHEN is_system THEN 0 ELSE before - head END AS begin, greatest(384 - head, 1) AS room
+    FROM headed
+), spanned AS (
+    SELECT *, CASE WHEN is_system THEN 0
+                   ELSE 2 * (begin // room) + CAST(begin // room <> (begin + tokens - 1) // room AS INT)
+              END AS span
+    FROM begun
+), spans AS (
+    SELECT conv_id, span, min(begin) FILTER (WHERE NOT is_system) AS opens, bool_or(is_system) AS has_system
+    FROM spanned GROUP BY conv_id, span
+), chars AS (
+    SELECT conv_id, sum(chars) AS chars FROM (
+        SELECT conv_id, chars FROM spanned
+        UNION ALL SELECT s.conv_id, t.chars FROM spans s JOIN spanned t
+            ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND t.is_system AND NOT s.has_system
+        UNION ALL SELECT s.conv_id, t.chars FROM spans s JOIN spanned t
+            ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND NOT t.is_system
+               AND t.begin < s.opens AND t.begin >= s.opens - 128
+    ) GROUP BY conv_id
+)
+SELECT p.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), ''))
+           AS loss_sha256,
+       CAST(any_value(chars.chars) AS BIGINT) AS formatted_chars
+FROM placed p JOIN chars ON p.conv_id IS NOT DISTINCT FROM chars.conv_id
+GROUP BY p.conv_id
+"""
