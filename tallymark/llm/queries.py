@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import chat, decontamination, language, line_dedup, mixing, quality, simhash, token_counts, toxicity
+from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, quality, simhash, token_counts, toxicity
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+NGRAM, BACKOFF, MIN_COUNT = 3, 0.4, 2
 WINDOW_TOKENS, HISTORY_TOKENS = 512, 128
 LINE_CHARS, LINE_DOCS = 20, 3
 SHINGLE, BITS_APART = 3, 2
@@ -27,6 +28,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all of them."""
+    return lm_scoring.score_documents(table(spark, folder, "documents"), NGRAM, BACKOFF, MIN_COUNT)
+
+
 @query
 def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of all conversations, and of one that holds control strings, as read back
