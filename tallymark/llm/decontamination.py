@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.llm.shared import written
 from tallymark.llm.texts import rows_of
 
 Q = 8
@@ -303,4 +304,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A row without ``doc_id`` goes if any such row holds one.
     """
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaking_id")).distinct()
+    # Written, so that its true size decides how it is joined to the documents.
+    found = written(found, "leaking")
     return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaking_id")), "left_anti")

@@ -113,3 +113,18 @@ def near_copies(docs: DataFrame, length: int = 3, max_bits: int = 2) -> DataFram
     return marked.join(members, "fingerprint").select(
         "doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(docs: DataFrame, length: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all columns, that are their component's ``component_id``.
+
+    Of rows that share this ``doc_id`` the least one stays. Rows without ``doc_id`` cannot
+    be told apart and all stay.
+    """
+    marked = near_copies(docs, length, max_bits)
+    first = marked.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    named = docs.join(first, F.col("doc_id").cast("long") == F.col("first_id"), "left_semi")
+    order = [F.col(name) for name in docs.columns if name != "doc_id"]
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
+    once = named.withColumn("__nth", nth).where("__nth = 1").drop("__nth")
+    return once.unionByName(docs.where("doc_id is null"))
