@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.functions.draws import as_column
+from tallymark.functions.columns import as_column
 
 ISO_DATE = "yyyy-MM-dd"
 
@@ -58,3 +58,13 @@ def latest_complete_month(last_day_of_data: Column) -> Column:
     """First day of the last month that the data covers to its end."""
     month = reporting_month(last_day_of_data)
     return F.when(is_month_end(last_day_of_data), month).otherwise(F.add_months(month, -1))
+
+
+def reporting_week(day: Column | str) -> Column:
+    """Monday of the week, as a date."""
+    return F.trunc(as_column(day), "week")
+
+
+def latest_complete_week(last_day_of_data: Column) -> Column:
+    """Monday of the last week that the data covers to its Sunday."""
+    return F.date_sub(reporting_week(F.date_add(last_day_of_data, 1)), 7)

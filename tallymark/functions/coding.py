@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.functions.draws import as_column
+from tallymark.functions.columns import as_column
 
 
 def map_values(code: Column | str, values: Mapping[Any, Any], otherwise: Any = None) -> Column:
@@ -33,23 +32,24 @@ def encode_flag(flag: Column | str, yes: str = "Y", no: str = "N") -> Column:
     return F.when(as_column(flag), F.lit(yes)).otherwise(F.lit(no))
 
 
-def cents(amount: Column | str) -> Column:
-    """Whole cents of an amount kept as a double.
+CENTS = "decimal(20,2)"
+RATE = "decimal(10,6)"
 
-    Whole-number money is exact and stays in generated code, where wide decimals fall
-    back to objects. A sum of cents is good up to 9e16 units of money.
-    """
-    return F.round(as_column(amount) * F.lit(100)).cast("long")
 
+def money(amount: Column | str) -> Column:
+    """An amount as a decimal of whole cents."""
+    return as_column(amount).cast(CENTS)
 
-def share_of(amount: Column, part: Column | int, whole: int) -> Column:
-    """``part`` / ``whole`` of a whole-number amount, rounded to a whole number, halves up.
 
-    Exact while the product of amount and part stays below 2**53.
-    """
-    return F.floor((amount * part + F.lit(whole // 2)) / F.lit(whole))
+def rate(share: Column | str) -> Column:
+    """A rate as a decimal of six places: 0.125 stays 12.5 percent."""
+    return as_column(share).cast(RATE)
 
 
-def from_cents(amount: Column | str) -> Column:
-    """Cents to decimal(18,2)."""
-    return (as_column(amount).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+def share_of(amount: Column, share: Column) -> Column:
+    """``share`` (a decimal rate) of an amount of money, rounded to cents.
+
+    Halves go away from zero, so a reversal is the exact opposite of its charge. Decimals
+    all the way: no amount is too large to be exact.
+    """
+    return F.round(amount * share, 2).cast(CENTS)

@@ -9,21 +9,16 @@ because other engines can compute it too, so results can be checked elsewhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from typing import Any
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallymark.functions.columns import as_column
+
 # The default seed, and the number of steps of a draw.
 SEED = 42
 STEPS = 1_000_000
 
 
-def as_column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
 def draw_steps(
     salt: str, *keys: Column | str, seed: int = SEED, method: str = "xxhash64"
 ) -> Column:
@@ -42,86 +37,3 @@ def draw_steps(
 def uniform(salt: str, *keys: Column | str, seed: int = SEED, method: str = "xxhash64") -> Column:
     """Draw in [0, 1) with a step of one millionth."""
     return draw_steps(salt, *keys, seed=seed, method=method).cast("double") / F.lit(float(STEPS))
-
-
-def draw_columns(
-    salts: Mapping[str, str],
-    *keys: Column | str,
-    seed: int = SEED,
-    method: str = "xxhash64",
-    whole: bool = False,
-) -> dict[str, Column]:
-    """One draw per entry of ``salts`` (column name -> salt), all on the same keys.
-
-    Add them with ``withColumns`` before they are used in several branches, so that Spark
-    hashes each key once per salt. ``whole`` gives whole numbers of steps instead, for
-    exact arithmetic.
-    """
-    make = draw_steps if whole else uniform
-    return {name: make(salt, *keys, seed=seed, method=method) for name, salt in salts.items()}
-
-
-def choose(options: Sequence[str], index: Column) -> Column:
-    """The option at ``index``, counting on from the start past the end of the list."""
-    if not options:
-        raise ValueError("choose needs at least one option")
-    position = F.pmod(index, F.lit(len(options))) + F.lit(1)
-    return F.element_at(F.array(*[F.lit(option) for option in options]), position.cast("int"))
-
-
-def weighted_choice(
-    draw: Column | str, ladder: Iterable[tuple[float, Any]], otherwise: Any
-) -> Column:
-    """Value of the first rung whose cumulative share lies above the draw."""
-    rungs = list(ladder)
-    shares = [share for share, _ in rungs]
-    if not rungs or shares != sorted(shares) or shares[0] <= 0 or shares[-1] >= 1:
-        raise ValueError("cumulative shares must rise strictly inside (0, 1)")
-    drawn = as_column(draw)
-    column = None
-    for share, value in rungs:
-        branch = drawn < F.lit(float(share))
-        column = F.when(branch, F.lit(value)) if column is None else column.when(branch, F.lit(value))
-    return column.otherwise(F.lit(otherwise))
-
-
-def bernoulli(
-    draw: Column | str, share: float, adjustments: Iterable[tuple[Column | str, float]] = ()
-) -> Column:
-    """True with probability ``share``, raised by each adjustment whose flag holds."""
-    return as_column(draw) < adjusted_score(share, adjustments)
-
-
-def adjusted_score(
-    base: float,
-    adjustments: Iterable[tuple[Column | str, float]] = (),
-    low: float | None = None,
-    high: float | None = None,
-) -> Column:
-    """Base plus the increments whose flags hold, held inside [low, high] where given."""
-    score = F.lit(float(base))
-    for flag, increment in adjustments:
-        score = score + F.when(as_column(flag), F.lit(float(increment))).otherwise(F.lit(0.0))
-    if high is not None:
-        score = F.least(F.lit(float(high)), score)
-    if low is not None:
-        score = F.greatest(F.lit(float(low)), score)
-    return score
-
-
-def bounded_int(draw: Column | str, count: int | Column, start: int = 0, dtype: str = "int") -> Column:
-    """One of ``count`` consecutive whole numbers from ``start``."""
-    span = count if isinstance(count, Column) else F.lit(count)
-    return (F.floor(as_column(draw) * span) + F.lit(start)).cast(dtype)
-
-
-def day_in_month(month: Column | str, draw: Column | str, days: int | None = None, skip: int = 0) -> Column:
-    """A date of the month: among ``days`` days after the first ``skip``, or the whole month."""
-    first = as_column(month)
-    count = F.dayofmonth(F.last_day(first)) if days is None else days
-    return F.date_add(first, bounded_int(draw, count, skip))
-
-
-def birth_date(age: Column | str, reference_year: int) -> Column:
-    """The first of January of the year that gives ``age`` in ``reference_year``."""
-    return F.make_date(F.lit(reference_year) - as_column(age), F.lit(1), F.lit(1))

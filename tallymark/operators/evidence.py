@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.text import EvidenceRules, evidence_phrase, matches
+from tallymark.functions.text import EvidenceRules, evidence_phrases, matches
 from tallymark.operators.joins import collapse, join_dimension
 
 
@@ -15,7 +15,6 @@ def keyword_candidates(
     notes: DataFrame,
     parents: DataFrame,
     on: str,
-    spread: str | Sequence[str],
     text: str,
     pattern: str,
     parent_filter: Column | None = None,
@@ -25,40 +24,48 @@ def keyword_candidates(
     Both sides are filtered before the join. A keyword alone does not make evidence.
     """
     chosen = parents if parent_filter is None else parents.where(parent_filter)
-    return join_dimension(notes.where(matches(text, pattern)), chosen, on, spread)
+    return join_dimension(notes.where(matches(text, pattern)), chosen, on)
 
 
 def label_notes(notes: DataFrame, rules: EvidenceRules, text: str = "note_text") -> DataFrame:
-    """Every note with its supporting phrase (NULL without evidence) and its label.
-
-    This is the review table: one row per note, made without a shuffle.
-    """
-    return notes.withColumn("phrase", evidence_phrase(text, rules)).withColumn(
-        "label", F.when(F.col("phrase").isNotNull(), "provided").otherwise("not_provided")
+    """Every note with its label, its supporting phrases and their number; no shuffle."""
+    return notes.withColumn("phrases", evidence_phrases(text, rules)).withColumns(
+        {
+            "n_phrases": F.size("phrases"),
+            "label": F.when(F.size("phrases") > 0, "provided").otherwise("not_provided"),
+        }
     )
 
 
+def phrase_rows(labelled: DataFrame, *keys: str) -> DataFrame:
+    """The review table: a row for each supporting phrase, with its place in the note."""
+    placed = F.posexplode("phrases").alias("place", "phrase")
+    return labelled.select(*keys, placed)
+
+
 def evidence_per_parent(
     labelled: DataFrame, parent: str = "encounter_id", note_id: str = "note_id"
 ) -> DataFrame:
-    """One row per parent with evidence: number of notes, and the first note and its phrase.
+    """One row per parent with evidence: number of notes and phrases, and the first of each.
 
-    The whole list stays in the review table, one row per note; here every column is a
-    mergeable aggregate, so no parent's notes are gathered in one task.
+    The whole list stays in the review table; here every column is a mergeable aggregate,
+    so no parent's notes are gathered in one task.
     """
-    positive = labelled.where(F.col("phrase").isNotNull())
-    first = F.min(F.struct(F.col(note_id), F.col("phrase")))
+    positive = labelled.where(F.col("n_phrases") > 0)
+    first = F.min(F.struct(F.col(note_id), F.get("phrases", F.lit(0)).alias("phrase")))
     collapsed = collapse(
         positive,
         parent,
         F.lit(True).alias("note_intervention"),
         F.count("*").alias("evidence_notes"),
+        F.sum("n_phrases").alias("evidence_phrases"),
         first.alias("_first"),
     )
     return collapsed.select(
         parent,
         "note_intervention",
         "evidence_notes",
+        "evidence_phrases",
         F.col(f"_first.{note_id}").alias("evidence_note_id"),
         F.col("_first.phrase").alias("evidence_phrase"),
     )

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions import calendar, coding, text
 from tallymark.plans import fixed_values as fixed
+from tests.labelled_notes import NOTES
 
 
 def values(spark, *columns):
@@ -52,43 +54,55 @@ def test_codes_and_flags(spark):
     assert [tuple(r) for r in rows] == [(True, "Y", 1), (False, "N", 2), (False, "N", 0), (None, "N", 0)]
 
 
-def test_shares_round_halves_up_and_are_exact(spark):
-    cases = [(101, 50, 100), (103, 50, 100), (99, 33, 100), (7_500_000, 124_999_999, 100_000_000), (-160, 1, 100), (0, 5, 100)]
-    for amount, part, whole in cases:
-        expected = (2 * amount * part + whole) // (2 * whole)
-        assert values(spark, coding.share_of(F.lit(amount).cast("long"), F.lit(part).cast("long"), whole)) == (expected,)
-    assert str(values(spark, coding.from_cents(F.lit(123456789).cast("long")))[0]) == "1234567.89"
-    assert values(spark, coding.cents(F.lit(63058.350000000006))) == (6305835,)
+def test_shares_round_halves_away_from_zero_and_are_exact(spark):
+    cases = [
+        ("1.01", "0.5", "0.51"), ("-1.01", "0.5", "-0.51"), ("1.03", "0.125", "0.13"), ("-0.01", "0.5", "-0.01"),
+        ("-0.03", "0.5", "-0.02"), ("90071992547409.93", "0.333333", "30023967491805.79"), ("0", "0.05", "0.00"),
+        ("100.00", "0.125", "12.50"),
+    ]
+    for amount, share, expected in cases:
+        found = values(spark, coding.share_of(coding.money(F.lit(amount)), coding.rate(F.lit(share))))[0]
+        wanted = (Decimal(amount) * Decimal(share)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert found == wanted == Decimal(expected)
+    assert values(spark, coding.money(F.lit(63058.350000000006))) == (Decimal("63058.35"),)
+    assert values(spark, coding.rate(F.lit(0.125))) == (Decimal("0.125000"),)
 
 
-def phrase_of(spark, note):
-    return values(spark, text.evidence_phrase(F.lit(note).cast("string"), fixed.NOTE_RULES))[0]
+def phrases_of(spark, note, rules=fixed.NOTE_RULES):
+    return values(spark, text.evidence_phrases(F.lit(note).cast("string"), rules))[0]
 
 
-def test_note_texts_are_labelled_right(spark):
-    for note in fixed.POSITIVE_NOTES:
-        assert phrase_of(spark, note) is not None, note
-    for note in [*fixed.NEGATIVE_NOTES, *fixed.GENERAL_NOTES, *fixed.STRUCTURED_NOTES, fixed.SECOND_NOTE, "", None]:
-        assert phrase_of(spark, note) is None, note
+def test_notes_are_labelled_as_by_hand(spark):
+    frame = spark.createDataFrame([(i, note) for i, (note, _) in enumerate(NOTES)], "i int, t string")
+    found = {r.i: len(r.p) > 0 for r in frame.select("i", text.evidence_phrases("t", fixed.NOTE_RULES).alias("p")).collect()}
+    assert len(NOTES) >= 40
+    assert [NOTES[i] for i in found if found[i] != NOTES[i][1]] == []
 
 
-def test_one_declined_offer_does_not_hide_care_that_was_given(spark):
-    note = "Patient declined the patch. Counseled on quitting today! No further counseling planned"
-    assert phrase_of(spark, note) == "Counseled on quitting today"
+def test_every_supporting_phrase_is_kept_in_order(spark):
+    note = "Patient declined the patch. Counseled on quitting today! Also referred to quitline; no drugs"
+    assert phrases_of(spark, note) == ["Counseled on quitting today", "Also referred to quitline"]
+    assert phrases_of(spark, None) == [] and phrases_of(spark, "") == []
 
 
-def test_candidate_pattern_changes_nothing(spark):
-    import dataclasses
-
-    plain = dataclasses.replace(fixed.NOTE_RULES, candidate=None)
-    notes = [(n,) for n in [*fixed.POSITIVE_NOTES, *fixed.NEGATIVE_NOTES, *fixed.GENERAL_NOTES, "Referred today to a program"]]
-    frame = spark.createDataFrame(notes, "t string")
-    rows = frame.select(text.evidence_phrase("t", plain), text.evidence_phrase("t", fixed.NOTE_RULES)).collect()
-    assert all(a == b for a, b in rows)
+def test_rules_work_one_by_one(spark):
+    plain = text.EvidenceRules(care="done")
+    assert phrases_of(spark, "a done. b. done", plain) == ["a done", "done"]
+    about = text.EvidenceRules(care="done", topic="topic", other_topic="other")
+    assert phrases_of(spark, "topic. done. done. topic. other done", about) == ["done"]
+    refused = text.EvidenceRules(care="done", excluded="not", refusal="^no$")
+    assert phrases_of(spark, "done 1. no. not done. done 2. no way", refused) == ["done 2"]
 
 
 def test_keyword_match_alone_is_not_evidence(spark):
-    frame = spark.createDataFrame([(n,) for n in [*fixed.POSITIVE_NOTES, *fixed.NEGATIVE_NOTES]], "t string")
+    frame = spark.createDataFrame([(n,) for n, _ in NOTES], "t string")
     found = frame.where(text.matches("t", fixed.CANDIDATE_KEYWORDS)).count()
-    assert found > len(fixed.POSITIVE_NOTES)
+    assert found > sum(given for _, given in NOTES)
     assert values(spark, text.matches(F.lit("Counseled"), "counsel")) == (False,)
+
+
+def test_weeks(spark):
+    cases = {"2024-01-30": "2024-01-22", "2024-01-28": "2024-01-22", "2024-01-29": "2024-01-22", "2024-02-04": "2024-01-29"}
+    for last, week in cases.items():
+        assert str(values(spark, calendar.latest_complete_week(day(last)))[0]) == week
+    assert str(values(spark, calendar.reporting_week(day("2024-01-28")))[0]) == "2024-01-22"
