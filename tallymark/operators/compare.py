@@ -12,15 +12,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.calendar import latest_complete_month, reporting_month
+from tallymark.functions.calendar import latest_complete_month, latest_complete_week, reporting_month
 from tallymark.operators.measures import ADDITIVE, DIGITS, DISTINCT, RATE, Measure, evaluate
 
-COMPARISON_LIMIT = 32
-LABELS = ("comparison", "current_period", "prior_period")
+LABELS = ("comparison", "current_period", "prior_period", "data_until")
 
 
 @dataclass(frozen=True)
@@ -81,13 +81,17 @@ def season(first_month: int, name: str = "season") -> Comparison:
     return Comparison(name, bounds)
 
 
-def latest_months(months: int, name: str) -> Comparison:
-    """The last ``months`` months that occur in the data, and as many months before them."""
+def latest_months(months: int, name: str, partial: bool = False) -> Comparison:
+    """The last ``months`` months, and as many months before them.
+
+    They end with the latest complete month; with ``partial``, with the last month that
+    occurs, even if the data covers a part of it only.
+    """
     if months < 1:
         raise ValueError("months must be positive")
 
     def bounds(last: Column):
-        end = reporting_month(last)
+        end = reporting_month(last) if partial else latest_complete_month(last)
         start = F.add_months(end, 1 - months)
         before = F.add_months(start, -months)
         return start, F.last_day(end), before, F.date_sub(start, 1)
@@ -95,6 +99,19 @@ def latest_months(months: int, name: str) -> Comparison:
     return Comparison(name, bounds)
 
 
+def latest_weeks(weeks: int, name: str) -> Comparison:
+    """The last ``weeks`` complete weeks (Monday to Sunday), and as many weeks before them."""
+    if weeks < 1:
+        raise ValueError("weeks must be positive")
+
+    def bounds(last: Column):
+        end = latest_complete_week(last)
+        start = F.date_sub(end, 7 * (weeks - 1))
+        return start, F.date_add(end, 6), F.date_sub(start, 7 * weeks), F.date_sub(start, 1)
+
+    return Comparison(name, bounds)
+
+
 def fixed_windows(
     name: str, current: tuple[dt.date, dt.date], prior: tuple[dt.date, dt.date]
 ) -> Comparison:
@@ -117,6 +134,14 @@ def extent(rows: DataFrame, day: str) -> DataFrame:
     )
 
 
+def last_date(rows: DataFrame, day: str) -> dt.date:
+    """The last date of the data, read by a job of its own, as a literal for the windows.
+
+    Only this one value reaches the driver. Without rows it is the first of January 1970.
+    """
+    return rows.agg(F.max(day)).first()[0] or dt.date(1970, 1, 1)
+
+
 def _span(first: Column, final: Column) -> Column:
     return F.concat_ws("..", first.cast("string"), final.cast("string"))
 
@@ -138,6 +163,7 @@ def _layout(last: Column, comparisons: Sequence[Comparison]) -> dict[str, Column
                     F.lit(name).alias("comparison"),
                     _span(a, b).alias("current_period"),
                     _span(c, d).alias("prior_period"),
+                    last.cast("string").alias("data_until"),
                 )
                 for name, a, b, c, d in edges
             ]
@@ -147,8 +173,8 @@ def _layout(last: Column, comparisons: Sequence[Comparison]) -> dict[str, Column
 
 def _wanted(comparisons: Iterable[Comparison]) -> list[Comparison]:
     wanted = list(comparisons)
-    if not 1 <= len(wanted) <= COMPARISON_LIMIT:
-        raise ValueError(f"give 1 to {COMPARISON_LIMIT} comparisons")
+    if not wanted:
+        raise ValueError("give at least one comparison")
     return wanted
 
 
@@ -162,20 +188,30 @@ def _resolve(last: DataFrame | dt.date, comparisons: Iterable[Comparison]) -> di
     return {name: single.select(name).scalar() for name in layout}
 
 
-def earliest_start(
-    last: DataFrame | dt.date, comparisons: Iterable[Comparison], dtype: str = "date"
+def in_any_window(
+    column: Column, last: DataFrame | dt.date, comparisons: Iterable[Comparison], dtype: str = "date"
 ) -> Column:
-    """First date that any window needs, for a filter on a date column of type ``dtype``.
+    """Condition that a column of type ``dtype`` lies in a window that is needed.
 
-    Spark fetches several scalars of one frame as fields of one subquery, and a filter on a
-    field, or on a cast of a subquery, stays out of the scan. This bound is an aggregate
-    with its type inside: used once in a query, it stays a subquery of its own and is pushed.
+    For use on a source's own column, before its joins. Given a literal last date, the scan
+    gets a range for each window, so the gaps between the windows are not read either; with
+    a frame the bounds are subqueries, which Spark joins into one and keeps out of the scan.
     """
     wanted = _wanted(comparisons)
-    if isinstance(last, dt.date):
-        return _layout(F.lit(last), wanted)["earliest"].cast(dtype)
-    start = _layout(F.col("last_date"), wanted)["earliest"]
-    return last.agg(F.min(start).cast(dtype)).scalar()
+
+    def bound(build: Callable[[Column], Column]) -> Column:
+        if isinstance(last, dt.date):
+            return build(F.lit(last)).cast(dtype)
+        return last.agg(F.min(build(F.col("last_date"))).cast(dtype)).scalar()
+
+    ranges = [
+        (column >= bound(lambda day, at=at, item=item: item.bounds(day)[at]))
+        # The day after the end, as the column may hold a time of the day.
+        & (column < bound(lambda day, at=at, item=item: F.date_add(item.bounds(day)[at + 1], 1)))
+        for item in wanted
+        for at in (0, 2)
+    ]
+    return reduce(Column.__or__, ranges)
 
 
 def _place(rows: DataFrame, day: str, layout: dict[str, Column]) -> DataFrame:
@@ -190,17 +226,6 @@ def _place(rows: DataFrame, day: str, layout: dict[str, Column]) -> DataFrame:
     return numbered.where(F.col(day).between(F.col("_bounds.start"), F.col("_bounds.end"))).drop("_bounds")
 
 
-def within(
-    rows: DataFrame, day: str, last: DataFrame | dt.date, comparisons: Iterable[Comparison]
-) -> DataFrame:
-    """Rows from the first date that a window needs.
-
-    For use on a source before its joins: the scan, the joins, and the search for hot keys
-    in them, then see only the rows that the comparisons need.
-    """
-    return rows.where(F.col(day) >= earliest_start(last, comparisons))
-
-
 def _label(layout: dict[str, Column], comparison: Column) -> list[Column]:
     entry = F.element_at(layout["labels"], comparison + F.lit(1))
     return [entry.getField(name).alias(name) for name in LABELS]
@@ -275,15 +300,14 @@ def _change_columns(measure: Measure) -> list[Column]:
 
 
 def contribution(changes: DataFrame, measure: str, dims: Sequence[str]) -> DataFrame:
-    """Each group's part of the overall change of one additive measure.
+    """Each group's part of the overall change of one additive measure, largest fall first.
 
     The parts say where a change was recorded, not what caused it. ``changes`` is the
-    result of ``compare`` over ``dims``; its total has one row per comparison.
+    result of ``compare`` over ``dims``.
     """
     change = F.col(f"{measure}_change")
     totals = changes.groupBy("comparison").agg(F.sum(change).alias("total_change"))
-    # One row per comparison, so at most COMPARISON_LIMIT rows are broadcast.
-    joined = changes.join(F.broadcast(totals), "comparison")
+    joined = changes.join(totals, "comparison")
     share = F.try_divide(change.cast("double"), F.col("total_change").cast("double"))
     return joined.select(
         *LABELS,
@@ -293,7 +317,50 @@ def contribution(changes: DataFrame, measure: str, dims: Sequence[str]) -> DataF
         f"{measure}_change",
         "total_change",
         F.round(share, DIGITS).alias("share_of_change"),
+    ).orderBy("comparison", f"{measure}_change", *dims)
+
+
+def rate_contribution(changes: DataFrame, name: str, dims: Sequence[str]) -> DataFrame:
+    """Each group's part of the change of a rate, in percentage points, largest fall first.
+
+    With w a group's share of the denominator and r its rate, the overall rate is the sum
+    of w r. Its change is the sum over the groups of a rate part, the mean w times the
+    change of r, and a mix part, the change of w times the mean r less the overall rate's
+    mean: a group adds by its mix if it grew and its rate is above the others'. A group
+    without a denominator on one side has no rate there; its rate on the other side is
+    taken for both, so all of its part is mix. ``changes`` is the result of ``compare``
+    over ``dims`` with the measures of ``rate(name, ...)``.
+    """
+    sides = {"current": "", "prior": "_prior"}
+    totals = changes.groupBy("comparison").agg(
+        *[
+            F.sum(F.col(f"{name}_{part}{suffix}").cast("double")).alias(f"_{part}_{side}")
+            for side, suffix in sides.items()
+            for part in ("num", "den")
+        ]
     )
+    joined = changes.join(totals, "comparison")
+    weight, own, overall = {}, {}, {}
+    for side, suffix in sides.items():
+        num, den = (F.col(f"{name}_{part}{suffix}").cast("double") for part in ("num", "den"))
+        weight[side] = F.coalesce(F.try_divide(den, F.col(f"_den_{side}")), F.lit(0.0))
+        own[side] = F.try_divide(num, den)
+        overall[side] = F.try_divide(F.col(f"_num_{side}"), F.col(f"_den_{side}"))
+    now = F.coalesce(own["current"], own["prior"], F.lit(0.0))
+    then = F.coalesce(own["prior"], own["current"], F.lit(0.0))
+    level = (overall["current"] + overall["prior"]) / 2
+    rate_part = (weight["current"] + weight["prior"]) / 2 * (now - then)
+    mix_part = (weight["current"] - weight["prior"]) * ((now + then) / 2 - level)
+    points = F.round((rate_part + mix_part) * 100.0, 4)
+    return joined.select(
+        *LABELS,
+        *dims,
+        *[F.col(f"{name}_{part}{suffix}") for suffix in sides.values() for part in ("num", "den")],
+        F.round(rate_part * 100.0, 4).alias("rate_points"),
+        F.round(mix_part * 100.0, 4).alias("mix_points"),
+        points.alias("points"),
+        F.round((overall["current"] - overall["prior"]) * 100.0, 4).alias("total_points"),
+    ).orderBy("comparison", "points", *dims)
 
 
 def trend(
@@ -302,6 +369,16 @@ def trend(
     month: str,
     dims: Sequence[str] = (),
     where: Column | None = None,
+    last: DataFrame | None = None,
+    period_end: Callable[[Column], Column] = F.last_day,
 ) -> DataFrame:
-    """The measures month by month, in order."""
-    return evaluate(rows, measures, [month, *dims], where).orderBy(month, *dims)
+    """The measures period by period, in order.
+
+    With ``last`` (see ``extent``) each period is marked: ``data_until`` is the last date
+    of the data, and ``is_partial`` tells that the period goes on after it.
+    """
+    found = evaluate(rows, measures, [month, *dims], where)
+    if last is not None:
+        until = last.select("last_date").scalar()
+        found = found.withColumns({"data_until": until, "is_partial": period_end(F.col(month)) > until})
+    return found.orderBy(month, *dims)

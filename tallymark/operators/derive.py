@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.draws import as_column, uniform
-
-PERIOD_LIMIT = 1_200
+from tallymark.functions.draws import uniform
 
 
 def month_panel(
@@ -25,23 +23,12 @@ def month_panel(
     The calendar is unfolded inside each row, so the panel needs neither a join nor a
     shuffle, and a filter that follows runs in the same stage.
     """
-    if not 1 <= months <= PERIOD_LIMIT:
-        raise ValueError(f"a calendar has 1 to {PERIOD_LIMIT} months")
+    if months < 1:
+        raise ValueError("a calendar has one month at least")
     numbered = entities.select("*", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias(index))
     return numbered.withColumn(month, F.add_months(F.lit(first_month), F.col(index)))
 
 
-def computed_once(frame: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add costly columns that later filters use.
-
-    Spark moves a filter on a derived column below its definition and copies the definition
-    into the filter, hashes and all. These columns are unfolded from a one-element array
-    instead, which no filter passes, so each is worked out once per row.
-    """
-    entry = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return frame.select("*", F.inline(F.array(entry)))
-
-
 def keyed_sample(
     frame: DataFrame, salt: str, keys: Sequence[str | Column], share: float, **draw_options
 ) -> DataFrame:
@@ -51,19 +38,11 @@ def keyed_sample(
     return frame.where(uniform(salt, *keys, **draw_options) < F.lit(float(share)))
 
 
-def thin(frame: DataFrame, segment: Column, draw: Column | str, share: float) -> DataFrame:
-    """Remove a share of one segment's rows. Rows with an undecided segment are dropped too."""
-    return frame.where(~(segment & (as_column(draw) < F.lit(float(share)))))
+def outside(frame: DataFrame, segment: Column) -> DataFrame:
+    """Rows that are known not to be in a segment. Undecided rows are dropped too."""
+    return frame.where(~segment)
 
 
 def as_of(frame: DataFrame, day: str, cutoff: dt.date) -> DataFrame:
     """Rows up to and including a cutoff date."""
     return frame.where(F.col(day) <= F.lit(cutoff))
-
-
-def rotate_months(
-    frame: DataFrame, key: str, first_month: dt.date, months: int, index: str, month: str
-) -> DataFrame:
-    """Deal consecutive keys out over a calendar in turn."""
-    dealt = frame.withColumn(index, F.pmod(F.col(key), F.lit(months)).cast("int"))
-    return dealt.withColumn(month, F.add_months(F.lit(first_month), F.col(index)))

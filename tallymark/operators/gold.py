@@ -17,9 +17,9 @@ KNOWN_STATUSES = (CURRENT_USER, "non_user")
 
 SDOH_FLAGS = ("transportation_barrier", "housing_instability", "food_insecurity")
 
-PATIENT_MONTH_COLUMNS = (
+PERIOD = "reporting_month"
+PATIENT_PERIOD_COLUMNS = (
     "patient_id",
-    "reporting_month",
     "encounter_id",
     "clinic",
     "coverage_type",
@@ -31,6 +31,7 @@ PATIENT_MONTH_COLUMNS = (
     "structured_cessation_intervention",
     "note_intervention",
     "evidence_notes",
+    "evidence_phrases",
     "evidence_note_id",
     "evidence_phrase",
     "has_intervention",
@@ -38,22 +39,28 @@ PATIENT_MONTH_COLUMNS = (
 
 
 def patient_month(
-    encounters: DataFrame, notes: DataFrame, assessments: DataFrame, rules: EvidenceRules
+    encounters: DataFrame,
+    notes: DataFrame,
+    assessments: DataFrame,
+    rules: EvidenceRules,
+    period: str = PERIOD,
 ) -> DataFrame:
     """Encounters with note evidence, social needs and the flags behind the three rates.
 
     Notes are collapsed per encounter first, so an encounter keeps one row whatever its
     number of notes. A patient without an assessment keeps NULL flags, a group of their own.
+    ``period`` names the encounters' period column; a month, unless said otherwise.
     """
     evidence = evidence_per_parent(label_notes(notes, rules))
     needs = assessments.select("patient_id", *SDOH_FLAGS)
     noted = encounters.join(evidence, "encounter_id", "left")
-    joined = join_dimension(noted, needs, "patient_id", spread="encounter_id", how="left")
+    joined = join_dimension(noted, needs, "patient_id", how="left")
     structured = F.coalesce(F.col("structured_cessation_intervention"), F.lit(False))
     known = joined.withColumns(
         {
             "note_intervention": F.coalesce(F.col("note_intervention"), F.lit(False)),
             "evidence_notes": F.coalesce(F.col("evidence_notes"), F.lit(0).cast("long")),
+            "evidence_phrases": F.coalesce(F.col("evidence_phrases"), F.lit(0).cast("long")),
             "has_intervention": structured | F.coalesce(F.col("note_intervention"), F.lit(False)),
         }
     )
@@ -71,7 +78,7 @@ def patient_month(
         "care_gap": user & ~F.col("has_intervention"),
     }
     return known.select(
-        *PATIENT_MONTH_COLUMNS, *[flag.cast("int").alias(name) for name, flag in flags.items()]
+        period, *PATIENT_PERIOD_COLUMNS, *[flag.cast("int").alias(name) for name, flag in flags.items()]
     )
 
 
@@ -84,21 +91,34 @@ def account(
 ) -> DataFrame:
     """One row per account: department, primary encounter, amounts and reporting periods.
 
-    ``financials`` has one row per account and ``departments`` one per department.
-    Without ``encounters`` the accounts must already carry the encounter columns.
+    ``financials`` has one row per account, ``departments`` one per department, and
+    ``encounters`` one per account and encounter. Without ``encounters`` the accounts must
+    already carry the encounter columns.
 
-    All joins are inner, so an account without its partners is missing here and shows up
-    in ``checks.orphans`` and ``checks.reconcile``.
+    No account is lost: one without a partner keeps NULL in that partner's columns and
+    false in ``has_department``, ``has_encounter`` or ``has_financials``.
     """
     located = join_dimension(
         accounts.withColumnRenamed("discharge_department_id", "department_id"),
-        departments,
+        departments.withColumn("has_department", F.lit(True)),
         "department_id",
-        spread="hospital_account_id",
+        "left",
     )
     if encounters is not None:
-        located = _with_primary_encounter(located, encounters)
-    return with_reporting_columns(located.join(financials, "hospital_account_id"), fiscal_start)
+        # Both ids must match: a row that matches on one of them belongs to another stay.
+        renamed = encounters.withColumnRenamed("encounter_id", "primary_encounter_id")
+        located = join_dimension(
+            located,
+            renamed.withColumn("has_encounter", F.lit(True)),
+            ["hospital_account_id", "primary_encounter_id"],
+            "left",
+        )
+    joined = join_dimension(
+        located, financials.withColumn("has_financials", F.lit(True)), "hospital_account_id", "left"
+    )
+    flags = ["has_department", "has_financials", *(["has_encounter"] if encounters is not None else [])]
+    known = joined.withColumns({name: F.coalesce(F.col(name), F.lit(False)) for name in flags})
+    return with_reporting_columns(known, fiscal_start)
 
 
 def with_reporting_columns(accounts: DataFrame, fiscal_start: int = 10) -> DataFrame:
@@ -112,20 +132,3 @@ def with_reporting_columns(accounts: DataFrame, fiscal_start: int = 10) -> DataF
             "revenue_after_direct": F.col("estimated_net_revenue") - F.col("total_direct_cost"),
         }
     )
-
-
-def _with_primary_encounter(accounts: DataFrame, encounters: DataFrame) -> DataFrame:
-    """Join on account and encounter id together.
-
-    The encounter id is compared as a range of one value: Spark then hashes by the account
-    id alone, and the join to the financial rows that follows reuses that partitioning
-    where a two-column key would shuffle the accounts again.
-    """
-    a, e = accounts.alias("a"), encounters.alias("e")
-    same_account = F.col("a.hospital_account_id") == F.col("e.hospital_account_id")
-    same_encounter = F.col("e.encounter_id").between(
-        F.col("a.primary_encounter_id"), F.col("a.primary_encounter_id")
-    )
-    return a.join(e, same_account & same_encounter).select(
-        "a.*", *[f"e.{name}" for name in encounters.columns if name not in ("encounter_id", "hospital_account_id")]
-    )

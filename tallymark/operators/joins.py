@@ -1,96 +1,24 @@
-"""Joins that keep the grain and survive hot keys."""
+"""Joins that keep the grain."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from tallymark.sources.sizes import broadcast_limit, source_bytes
-
-SALT = "_salt"
-PIECES = "_pieces"
 
 
 def join_dimension(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: str | Sequence[str],
-    spread: str | Sequence[str],
-    how: str = "inner",
+    facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Facts with the columns of a dimension that has one row per key.
 
-    Where the tables behind the dimension are below the session's broadcast threshold,
-    this is a plain join, which Spark broadcasts if the dimension proves small when the
-    query runs. A larger dimension is shuffled, and there the keys that hold more than a
-    fair share of the facts are cut into pieces, so that no task gets a hot key whole.
-    ``spread`` names the fact columns (a unique key, best) that decide the piece; being a
-    hash of them, a retried task puts each row into the same piece again.
+    One join at every size: adaptive execution broadcasts a dimension that proves small
+    when the query runs, and splits a hot key's facts where both sides are shuffled.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_dimension knows the join types 'inner' and 'left'")
     keys = [on] if isinstance(on, str) else list(on)
-    spreads = [spread] if isinstance(spread, str) else list(spread)
-    size = source_bytes(dimension)
-    if size is not None and size <= broadcast_limit(facts):
-        return facts.join(dimension, keys, how)
-    return join_in_pieces(facts, dimension, keys, spreads, how)
-
-
-def hot_keys(facts: DataFrame, keys: Sequence[str], partitions: int, factor: int = 2) -> DataFrame:
-    """Keys with more than ``factor`` fair partition shares of the rows, and their piece count.
-
-    At most ``partitions / factor`` keys can qualify, whatever the table's size, so the
-    result may be broadcast.
-    """
-    # The sizes are summed from the same shuffled counts, so the facts are read once here.
-    counts = facts.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    share = F.col("_rows").cast("double") * F.lit(partitions) / total
-    return counts.where(share > F.lit(factor)).select(*keys, F.ceil(share).cast("int").alias(PIECES))
-
-
-def join_in_pieces(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    how: str = "inner",
-) -> DataFrame:
-    """Shuffle join in which each hot key is spread over several partitions.
-
-    The dimension row of a hot key is repeated once per piece and every fact goes to
-    exactly one piece, so the result equals the plain join's.
-    """
-    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, keys, partitions)
-    pieces = F.coalesce(F.col(PIECES), F.lit(1))
-
-    marked = _mark(facts, hot, keys)
-    salted = marked.withColumn(SALT, F.pmod(F.xxhash64(*spread), pieces).cast("int")).drop(PIECES)
-    copies = (
-        _mark(dimension, hot, keys)
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), pieces - F.lit(1))))
-        .drop(PIECES)
-    )
-    return salted.join(copies, [*keys, SALT], how).drop(SALT)
-
-
-def _mark(frame: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the piece count; a NULL key counts as a key here, since it can be hot as well."""
-    names = {key: f"_hot_{key}" for key in keys}
-    renamed = hot.withColumnsRenamed(names)
-    same = _all(F.col(key).eqNullSafe(F.col(name)) for key, name in names.items())
-    return frame.join(F.broadcast(renamed), same, "left").drop(*names.values())
-
-
-def _all(conditions) -> Column:
-    combined = None
-    for condition in conditions:
-        combined = condition if combined is None else combined & condition
-    return combined
+    return facts.join(dimension, keys, how)
 
 
 def collapse(detail: DataFrame, keys: str | Sequence[str], *aggregates: Column) -> DataFrame:
@@ -101,3 +29,12 @@ def collapse(detail: DataFrame, keys: str | Sequence[str], *aggregates: Column)
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     return detail.groupBy(*names).agg(*aggregates)
+
+
+def only_of(detail: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+    """The detail rows of some parents, cut before they are collapsed.
+
+    A semi-join on the parents' keys: few parents are broadcast, and the detail is then
+    filtered where it is read, without a shuffle.
+    """
+    return detail.join(parents.select(key).distinct(), key, "left_semi")

@@ -84,7 +84,6 @@ def rate(name: str, numerator: str, denominator: str) -> list[Measure]:
 
 # The dimensions that the two reporting tables offer.
 CLINICAL_DIMENSIONS = (
-    "reporting_month",
     "clinic",
     "has_copd",
     "has_diabetes",
@@ -159,8 +158,8 @@ class MeasureView:
         return evaluate(self.rows, self.measures, dims, where)
 
 
-def clinical_view(patient_months: DataFrame) -> MeasureView:
-    return MeasureView(patient_months, CLINICAL, CLINICAL_DIMENSIONS)
+def clinical_view(patient_months: DataFrame, period: str = "reporting_month") -> MeasureView:
+    return MeasureView(patient_months, CLINICAL, (period, *CLINICAL_DIMENSIONS))
 
 
 def finance_view(accounts: DataFrame) -> MeasureView:

@@ -6,27 +6,9 @@ table expressions put before the body of a query.
 
 from __future__ import annotations
 
-from tallymark.plans import fixed_values as fixed
 from tallymark.plans.queries import TABLES
 
 
-def sql_text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
-def sql_list(values: list[str]) -> str:
-    return "[" + ", ".join(sql_text(value) for value in values) + "]"
-
-
-def steps(salt: str, *keys: str) -> str:
-    parts = ", ".join(f"CAST({key} AS VARCHAR)" for key in keys)
-    return f"CAST('0x' || substr(md5(concat_ws('|', '42', '{salt}', {parts})), 1, 8) AS BIGINT) % 1000000"
-
-
-def draw(salt: str, *keys: str) -> str:
-    return f"(CAST({steps(salt, *keys)} AS DOUBLE) / CAST(1000000 AS DOUBLE))"
-
-
 def month(day: str) -> str:
     return f"CAST(date_trunc('month', {day}) AS DATE)"
 
@@ -67,10 +49,10 @@ departments AS (
 ),
 line_amounts AS (
   SELECT l_orderkey,
-         round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS net,
-         round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2) AS direct,
-         round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)), 2) AS indirect,
-         CAST(l_tax AS DECIMAL(4,2)) AS tax
+         round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(10,6))), 2) AS net,
+         round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(10,6)), 2) AS direct,
+         round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(10,6)), 2) AS indirect,
+         CAST(l_tax AS DECIMAL(10,6)) AS tax
   FROM lineitem
 ),
 financials AS (
@@ -85,10 +67,11 @@ gold AS (
   SELECT a.*, d.facility, d.service_line, d.product, {month('a.discharge_date')} AS discharge_month,
          {fiscal('a.discharge_date')},
          f.estimated_net_revenue, f.total_direct_cost, f.total_indirect_cost, f.total_actual_payment,
-         f.estimated_net_revenue - f.total_direct_cost AS revenue_after_direct
+         f.estimated_net_revenue - f.total_direct_cost AS revenue_after_direct,
+         d.department_id IS NOT NULL AS has_department, f.hospital_account_id IS NOT NULL AS has_financials
   FROM accounts a
-  JOIN departments d ON a.discharge_department_id = d.department_id
-  JOIN financials f ON a.hospital_account_id = f.hospital_account_id
+  LEFT JOIN departments d ON a.discharge_department_id = d.department_id
+  LEFT JOIN financials f ON a.hospital_account_id = f.hospital_account_id
 ),
 extent AS (
   SELECT min(discharge_date) AS first_date, max(discharge_date) AS last_date,
@@ -157,18 +140,8 @@ BOUNDS = {
         months_later(SEASON_FIRST, -12),
         f"last_day({months_later(LCM, -12)})",
     ),
-    "latest_month": (
-        "last_month",
-        "last_day(last_month)",
-        months_later("last_month", -1),
-        f"last_day({months_later('last_month', -1)})",
-    ),
-    "half_year": (
-        months_later("last_month", -5),
-        "last_day(last_month)",
-        months_later("last_month", -11),
-        f"last_day({months_later('last_month', -6)})",
-    ),
+    "latest_week": ("week", "week + 6", "week - 7", "week - 1"),
+    "two_weeks": ("week - 7", "week + 6", "week - 21", "week - 8"),
 }
 
 
@@ -183,7 +156,8 @@ bounds AS (
 ),
 periods AS (
   SELECT *, CAST(cs AS VARCHAR) || '..' || CAST(ce AS VARCHAR) AS current_period,
-         CAST(ps AS VARCHAR) || '..' || CAST(pe AS VARCHAR) AS prior_period
+         CAST(ps AS VARCHAR) || '..' || CAST(pe AS VARCHAR) AS prior_period,
+         (SELECT CAST(last_date AS VARCHAR) FROM extent) AS data_until
   FROM bounds
 ),
 """
@@ -244,7 +218,7 @@ joined AS (
   FROM current_side c FULL OUTER JOIN prior_side p ON {same}
 ),
 changes AS (
-  SELECT q.current_period, q.prior_period, j.* FROM joined j JOIN periods q ON j.comparison = q.comparison
+  SELECT q.current_period, q.prior_period, q.data_until, j.* FROM joined j JOIN periods q ON j.comparison = q.comparison
 ),
 """
     )
@@ -260,7 +234,7 @@ def contribution_sql(parts, comparisons, name, known, dims, day, where="TRUE") -
     keys = ", ".join(dims)
     return with_parts(
         compare_parts(parts, comparisons, [name], known, dims, day, where),
-        f"""SELECT h.comparison, h.current_period, h.prior_period, {keys}, {name}, {name}_prior, {name}_change,
+        f"""SELECT h.comparison, h.current_period, h.prior_period, h.data_until, {keys}, {name}, {name}_prior, {name}_change,
        CAST(t.total_change AS BIGINT) AS total_change,
        round(CAST({name}_change AS DOUBLE) / nullif(CAST(t.total_change AS DOUBLE), 0), 6) AS share_of_change
 FROM changes h
@@ -304,16 +278,41 @@ ORACLES["duplicate_keys"] = """
 SELECT l_orderkey, l_linenumber, count(*) AS row_count
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """
-ORACLES["orphans"] = """
-SELECT 'orders without lines' AS finding, o_orderkey AS key, count(*) AS row_count
-FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY o_orderkey
-UNION ALL
-SELECT 'documents without labels', d.doc_id, count(*)
-FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels b WHERE b.doc_id = d.doc_id) GROUP BY d.doc_id
-UNION ALL
-SELECT 'lines without orders', l_orderkey, count(*)
-FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) GROUP BY l_orderkey
-"""
+ORACLES["orphans"] = "\nUNION ALL\n".join(
+    f"SELECT '{left} without {right}' AS finding, {key} AS key, count(*) AS row_count\n"
+    f"FROM {left} l WHERE NOT EXISTS (SELECT 1 FROM {right} r WHERE r.{other} = l.{key}) GROUP BY {key}"
+    for left, key, right, other in (
+        ("orders", "o_orderkey", "lineitem", "l_orderkey"),
+        ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        ("documents", "doc_id", "labels", "doc_id"),
+        ("labels", "doc_id", "documents", "doc_id"),
+    )
+)
+ORACLES["gold_checks"] = with_parts(
+    SALES,
+    """SELECT 'account twice in gold' AS "check", (SELECT count(*) FROM (
+         SELECT hospital_account_id FROM gold GROUP BY 1 HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'account not in gold', (SELECT count(DISTINCT hospital_account_id) FROM accounts
+  WHERE hospital_account_id NOT IN (SELECT hospital_account_id FROM gold))
+UNION ALL SELECT 'gold without account', (SELECT count(DISTINCT hospital_account_id) FROM gold
+  WHERE hospital_account_id NOT IN (SELECT hospital_account_id FROM accounts))
+UNION ALL SELECT 'account without department', (SELECT count(DISTINCT o_orderkey) FROM orders
+  WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))
+UNION ALL SELECT 'account without financials', (SELECT count(DISTINCT o_orderkey) FROM orders
+  WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))""",
+)
+ORACLES["star_join"] = with_parts(
+    SALES,
+    """SELECT a.hospital_account_id, d.facility, e.first_shipped, e.quantity, f.estimated_net_revenue,
+       d.department_id IS NOT NULL AS has_department, e.l_orderkey IS NOT NULL AS has_encounter,
+       f.hospital_account_id IS NOT NULL AS has_financials
+FROM accounts a
+LEFT JOIN departments d ON a.discharge_department_id = d.department_id
+LEFT JOIN (SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS first_shipped,
+                  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS quantity
+           FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey) e ON e.l_orderkey = a.hospital_account_id
+LEFT JOIN financials f ON f.hospital_account_id = a.hospital_account_id""",
+)
 
 
 def grain_sql(parent: str, child: str, parent_key: str, child_key: str) -> str:
@@ -381,7 +380,11 @@ WHERE facility = 'ASIA' AND discharge_date >= DATE '1999-04-01' AND discharge_da
 GROUP BY ALL ORDER BY discharge_month, discharge_year, service_line, product""",
 )
 ORACLES["monthly_trend"] = with_parts(
-    SALES, evaluate_sql(FINANCE_NAMES, FINANCE, ["discharge_month"], order="ORDER BY discharge_month")
+    SALES,
+    f"""SELECT discharge_month, {measured(FINANCE_NAMES, FINANCE)},
+       (SELECT last_date FROM extent) AS data_until,
+       last_day(discharge_month) > (SELECT last_date FROM extent) AS is_partial
+FROM gold GROUP BY discharge_month""",
 )
 ORACLES["segment_contribution"] = contribution_sql(
     SALES, ["season"], "accounts", FINANCE, SEGMENT, "discharge_date", "patient_type = 'Inpatient'"
@@ -422,167 +425,169 @@ GROUP BY fiscal_year, fiscal_month""",
 )
 ORACLES["headline"] = with_parts(
     SALES + periods_sql(["mom"]),
-    f"""SELECT 'latest complete month' AS period, current_period AS dates,
+    f"""SELECT 'latest complete month' AS period, current_period AS dates, data_until,
        {measured(FINANCE_NAMES, FINANCE)}
-FROM periods JOIN gold ON discharge_date BETWEEN cs AND ce GROUP BY current_period""",
+FROM periods JOIN gold ON discharge_date BETWEEN cs AND ce GROUP BY current_period, data_until""",
 )
 
-# === Clinic tables derived from the customer keys =========================================
+# === Steps over given rows ===============================================================
 
-PATIENT_DRAWS = ",\n         ".join(
-    f"{draw(salt, 'patient_id')} AS {name}" for name, salt in fixed.PATIENT_SALTS.items()
+ORACLES["returned_lines"] = """
+SELECT l_returnflag, l_returnflag = 'R' AS returned, l_linestatus = 'O' AS open,
+       CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS returned_code, count(*) AS lines,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS quantity
+FROM lineitem GROUP BY ALL
+"""
+ORACLES["dates_as_text"] = """
+SELECT strftime(l_shipdate, '%m/%Y') AS month_text, count(*) AS lines, count(*) AS same,
+       CAST(min(l_shipdate) AS DATE) AS first_day
+FROM lineitem GROUP BY 1
+"""
+ORACLES["account_age"] = with_parts(
+    SALES,
+    """SELECT CAST(date_sub('year', discharge_date, (SELECT last_date FROM extent)) AS INTEGER) AS years,
+       count(*) AS accounts, max(discharge_date) AS youngest
+FROM accounts GROUP BY 1""",
 )
-VISIT_DRAWS = ",\n         ".join(
-    f"{draw(salt, 'patient_id', 'month_index')} AS {name}"
-    for name, salt in {**fixed.VISIT_SALTS, "u_day": "day", "u_visit": "visit"}.items()
+ORACLES["split_entities"] = with_parts(
+    SALES,
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS entity, count(*) AS rows, count(DISTINCT {key}) AS distinct_keys, "
+        f"CAST(sum(CAST({amount} AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount FROM accounts"
+        for name, key, amount in (
+            ("accounts", "hospital_account_id", "total_charges"),
+            ("patients", "patient_id", "total_charges"),
+            ("encounters", "primary_encounter_id", "ms_drg_weight"),
+        )
+    ),
 )
-PEOPLE = f"""
-patient_keys AS (SELECT c_custkey + 100001 AS patient_id FROM customer),
-patient_draws AS (
-  SELECT patient_id,
-         {PATIENT_DRAWS}
-  FROM patient_keys
-),
-patient_base AS (
-  SELECT *, CAST(floor(u_age * 78) AS INTEGER) + 8 AS age, u_copd < 0.17::DOUBLE AS has_copd,
-         u_diabetes < 0.23::DOUBLE AS has_diabetes, u_transport < 0.21::DOUBLE AS transportation_barrier
-  FROM patient_draws
-),
-people AS (
-  SELECT patient_id, age, make_date(2026 - age, 1, 1) AS birth_date,
-         CASE WHEN u_clinic < 0.30::DOUBLE THEN 'NORTH' WHEN u_clinic < 0.65::DOUBLE THEN 'SOUTH'
-              WHEN u_clinic < 0.83::DOUBLE THEN 'EAST' ELSE 'WEST' END AS clinic_code,
-         CASE WHEN age >= 65 AND u_coverage < 0.70::DOUBLE THEN 'Medicare'
-              WHEN u_coverage < 0.52::DOUBLE THEN 'Medi-Cal' WHEN u_coverage < 0.91::DOUBLE THEN 'Commercial'
-              ELSE 'Other' END AS coverage_type,
-         has_copd, has_diabetes, transportation_barrier,
-         u_housing < 0.10::DOUBLE + CASE WHEN transportation_barrier THEN 0.08::DOUBLE ELSE 0::DOUBLE END
-           AS housing_instability,
-         u_food < 0.13::DOUBLE + CASE WHEN transportation_barrier THEN 0.07::DOUBLE ELSE 0::DOUBLE END
-           AS food_insecurity,
-         u_tobacco < 0.18::DOUBLE + CASE WHEN has_copd THEN 0.14::DOUBLE ELSE 0::DOUBLE END
-           + CASE WHEN transportation_barrier THEN 0.05::DOUBLE ELSE 0::DOUBLE END AS is_tobacco_user
-  FROM patient_base
-),
+ORACLES["urgent_members"] = """
+SELECT CASE o_orderstatus WHEN 'F' THEN 'Inpatient' WHEN 'O' THEN 'Outpatient' ELSE 'Observation' END AS patient_type,
+       o_orderpriority AS financial_class_group, count(*) AS accounts,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS charges
+FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
+GROUP BY ALL
 """
-VISITS = (
-    PEOPLE
-    + f"""
-months AS (SELECT CAST(unnest(range(12)) AS INTEGER) AS month_index),
-patient_months AS (
-  SELECT p.*, month_index, {months_later("DATE '2025-10-01'", 'month_index')} AS reporting_month
-  FROM people p, months
-),
-visit_draws AS (
-  SELECT *,
-         {VISIT_DRAWS}
-  FROM patient_months
-),
-panel AS (
-  SELECT * EXCLUDE (u_visit), reporting_month + CAST(floor(u_day * 24) AS INTEGER) + 1 AS encounter_date,
-         patient_id * 100 + month_index + 1 AS encounter_id
-  FROM visit_draws WHERE u_visit < 0.37::DOUBLE
-),
-coded AS (
-  SELECT *,
-         CASE WHEN u_screen < 0.81::DOUBLE THEN CASE WHEN is_tobacco_user THEN 'CURRENT' ELSE 'NON_USER' END
-              WHEN u_screen < 0.85::DOUBLE THEN 'UNKNOWN' ELSE 'NOT_DONE' END AS tobacco_screen_code,
-         greatest(0.20::DOUBLE, least(0.90::DOUBLE,
-           0.76::DOUBLE - CASE WHEN clinic_code = 'SOUTH' AND month_index >= 6 THEN 0.28::DOUBLE ELSE 0::DOUBLE END
-           - CASE WHEN transportation_barrier THEN 0.12::DOUBLE ELSE 0::DOUBLE END
-           + CASE WHEN has_copd THEN 0.04::DOUBLE ELSE 0::DOUBLE END)) AS intervention_score
-  FROM panel
-),
-given AS (
-  SELECT *, tobacco_screen_code = 'CURRENT' AND u_intervention < intervention_score AS care_given FROM coded
-),
-visits AS (
-  SELECT *, care_given AND u_documentation < 0.60::DOUBLE AS care_recorded FROM given
-),
+ORACLES["keyed_sample"] = with_parts(
+    SALES,
+    """SELECT hospital_account_id, patient_id, discharge_date, patient_type, total_charges FROM accounts
+WHERE CAST('0x' || substr(md5('42|sample|' || CAST(hospital_account_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000000
+      < 100000""",
+)
+ORACLES["customer_months"] = """
+WITH months AS (SELECT unnest([DATE '1999-01-01', DATE '1999-02-01', DATE '1999-03-01']) AS reporting_month),
+counts AS (
+  SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders GROUP BY ALL
+)
+SELECT c_mktsegment, reporting_month, count(*) AS customers, count(n) AS with_orders,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS orders
+FROM customer CROSS JOIN months LEFT JOIN counts ON o_custkey = c_custkey AND month = reporting_month
+GROUP BY c_mktsegment, reporting_month
+"""
+ORACLES["daily_spine"] = """
+SELECT day, count(event_id) AS events, count(DISTINCT user_id) AS users
+FROM (SELECT CAST(DATE '2024-01-01' + CAST(i AS INTEGER) AS DATE) AS day FROM range(40) t(i)) LEFT JOIN events ON CAST(ts AS DATE) = day
+GROUP BY day
+"""
+ORACLES["inline_labels"] = """
+SELECT CASE WHEN event_type IN ('view', 'click') THEN 'looked' WHEN event_type = 'signup' THEN 'joined'
+            WHEN event_type = 'purchase' THEN 'bought' END AS label,
+       count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value
+FROM events GROUP BY 1
 """
-)
-
-
-def pick_note(texts: list[str]) -> str:
-    return f"({sql_list(texts)})[note_index % {len(texts)} + 1]"
 
+# === Text evidence: the rules are stated here again, on their own ==========================
 
-CLINIC = (
-    VISITS
-    + f"""
-silver_encounters AS (
-  SELECT encounter_id, patient_id, encounter_date, birth_date, clinic_code AS clinic, coverage_type,
-         has_copd, has_diabetes,
-         CASE tobacco_screen_code WHEN 'CURRENT' THEN 'current_user' WHEN 'NON_USER' THEN 'non_user'
-              WHEN 'UNKNOWN' THEN 'unknown' ELSE 'not_done' END AS tobacco_screen_status,
-         care_recorded AS structured_cessation_intervention,
-         {month('encounter_date')} AS reporting_month,
-         CAST(datesub('month', birth_date, encounter_date) // 12 AS INTEGER) AS age_at_encounter
-  FROM visits
-),
-silver_assessments AS (
-  SELECT patient_id * 10 + 1 AS assessment_id, patient_id, DATE '2025-09-15' AS assessment_date,
-         transportation_barrier, housing_instability, food_insecurity
-  FROM people
-),
-indexed AS (
-  SELECT *, CAST(floor({draw('note_template', 'encounter_id')} * 1000) AS INTEGER) AS note_index,
-         {draw('second_note', 'encounter_id')} AS u_second
-  FROM visits
+ORACLES["keyword_candidates"] = """
+SELECT d.doc_id, d.lang, d.source, b.quality, d.n_chars
+FROM documents d JOIN labels b ON d.doc_id = b.doc_id
+WHERE b.toxic = 0 AND regexp_matches(d.text, 'licen[sc]e|copyright|[Rr]eserved|@')
+"""
+GRANTS = """
+clauses AS (
+  SELECT doc_id, source, list_transform(regexp_split_to_array(text, '[.;!?\\n]+'), lambda c: trim(c, ' ')) AS c
+  FROM documents
 ),
-silver_notes AS (
-  SELECT encounter_id * 10 + 1 AS note_id, patient_id, encounter_id, encounter_date AS note_date,
-         'Progress Note' AS note_type,
-         CASE WHEN care_given AND NOT care_recorded THEN {pick_note(fixed.POSITIVE_NOTES)}
-              WHEN tobacco_screen_code = 'CURRENT' AND NOT care_given THEN {pick_note(fixed.NEGATIVE_NOTES)}
-              WHEN tobacco_screen_code = 'CURRENT' THEN {pick_note(fixed.STRUCTURED_NOTES)}
-              ELSE {pick_note(fixed.GENERAL_NOTES)} END AS note_text
-  FROM indexed
-  UNION ALL
-  SELECT encounter_id * 10 + 2, patient_id, encounter_id, encounter_date, 'After Visit Summary',
-         {sql_text(fixed.SECOND_NOTE)}
-  FROM indexed WHERE u_second < 0.14::DOUBLE
+phrases AS (
+  SELECT doc_id, source, list_filter(list_transform(range(1, len(c) + 1), lambda i:
+    CASE WHEN regexp_matches(c[i], '\\b([Ll]icensed|[Rr]eleased) under\\b') AND NOT contains(c[i], 'CC BY-NC')
+              AND coalesce(c[i + 1], '') <> 'All rights reserved' THEN c[i] END), lambda p: p IS NOT NULL) AS p
+  FROM clauses
 ),
 """
-)
-
-
-def phrase_sql(text: str, include: str, exclude: str) -> str:
-    kept = f"regexp_matches(s, {sql_text(include)}) AND NOT regexp_matches(s, {sql_text(exclude)})"
-    sentences = f"regexp_split_to_array({text}, '[.;!?]\\s*')"
-    return f"list_min(list_filter({sentences}, lambda s: {kept}))"
-
-
-LABELLED = (
-    CLINIC
-    + f"""
-phrased AS (
-  SELECT *, {phrase_sql('note_text', fixed.NOTE_RULES.include, fixed.NOTE_RULES.exclude)} AS phrase
-  FROM silver_notes
+ORACLES["licence_grants"] = with_parts(
+    GRANTS,
+    "SELECT doc_id, source, CAST(unnest(range(len(p))) AS INTEGER) AS place, unnest(p) AS phrase FROM phrases",
+)
+ORACLES["licence_grants_by_source"] = with_parts(
+    GRANTS,
+    """SELECT source, TRUE AS note_intervention, count(*) AS evidence_notes,
+       CAST(sum(len(p)) AS BIGINT) AS evidence_phrases, min(doc_id) AS evidence_note_id,
+       arg_min(p[1], doc_id) AS evidence_phrase
+FROM phrases WHERE len(p) > 0 GROUP BY source""",
+)
+ACTIVITY = """
+ranked AS (
+  SELECT *, CAST(date_trunc('week', ts) AS DATE) AS reporting_week,
+         row_number() OVER (PARTITION BY user_id, date_trunc('week', ts) ORDER BY ts DESC, event_id DESC) AS back,
+         row_number() OVER (PARTITION BY user_id, date_trunc('week', ts) ORDER BY ts, event_id) AS nth
+  FROM events
+),
+encounters AS (
+  SELECT user_id * 1000 + date_diff('day', DATE '2024-01-01', reporting_week) // 7 AS encounter_id,
+         user_id AS patient_id, CAST(max(ts) AS DATE) AS encounter_date, reporting_week,
+         'hours ' || CAST(6 * (hour(max(ts)) // 6) AS VARCHAR) || '+' AS clinic,
+         max(event_type) FILTER (WHERE nth = 1) AS coverage_type,
+         max(CAST(json_extract_string(props, '$.k') AS INTEGER)) FILTER (WHERE back = 1) AS age_at_encounter,
+         bool_or(event_type = 'error') AS has_copd, max(CAST(value AS DECIMAL(18,2))) > 100 AS has_diabetes,
+         max(CASE event_type WHEN 'purchase' THEN 'current_user' WHEN 'click' THEN 'current_user'
+                             WHEN 'view' THEN 'non_user' WHEN 'signup' THEN 'unknown' ELSE 'not_done' END)
+           FILTER (WHERE back = 1) AS tobacco_screen_status,
+         bool_or(event_type = 'purchase' AND CAST(value AS DECIMAL(18,2)) >= 60) AS structured_cessation_intervention
+  FROM ranked GROUP BY user_id, reporting_week
+),
+assessments AS (
+  SELECT c_custkey AS patient_id, c_acctbal < 0 AS transportation_barrier,
+         c_mktsegment = 'HOUSEHOLD' AS housing_instability, c_nationkey < 5 AS food_insecurity
+  FROM customer
+),
+notes AS (
+  SELECT conv_id * 1000 + turn AS note_id, conv_id AS patient_id, conv_id * 1000 + turn % 5 AS encounter_id,
+         role AS note_type, text AS note_text
+  FROM conversations
+),
+clauses AS (
+  SELECT *, list_transform(regexp_split_to_array(note_text, '[.;!?\\n]+'), lambda c: trim(c, ' ')) AS c FROM notes
 ),
 labelled AS (
-  SELECT *, CASE WHEN phrase IS NULL THEN 'not_provided' ELSE 'provided' END AS label FROM phrased
+  SELECT * EXCLUDE (c), list_filter(list_transform(range(1, len(c) + 1), lambda i:
+    CASE WHEN regexp_matches(c[i], '\\b(that|avec|nicht|por)\\b')
+              AND (regexp_matches(c[i], '(?i)\\b(the|la|der|el)\\b')
+                   OR (i > 1 AND regexp_matches(c[i - 1], '(?i)\\b(the|la|der|el)\\b')
+                       AND NOT regexp_matches(c[i], '\\b(from|pour|auf|con)\\b')))
+              AND NOT regexp_matches(c[i], '\\b(was|dans|zu|los)\\b')
+              AND NOT regexp_matches(coalesce(c[i + 1], ''), '^\\S+$') THEN c[i] END),
+    lambda p: p IS NOT NULL) AS phrases
+  FROM clauses
 ),
 evidence AS (
   SELECT encounter_id, TRUE AS note_intervention, count(*) AS evidence_notes,
-         min(note_id) AS evidence_note_id, arg_min(phrase, note_id) AS evidence_phrase
-  FROM labelled WHERE label = 'provided' GROUP BY encounter_id
+         CAST(sum(len(phrases)) AS BIGINT) AS evidence_phrases, min(note_id) AS evidence_note_id,
+         arg_min(phrases[1], note_id) AS evidence_phrase
+  FROM labelled WHERE len(phrases) > 0 GROUP BY encounter_id
 ),
-"""
-)
-CLINIC_GOLD = (
-    LABELLED
-    + f"""
-joined_months AS (
-  SELECT e.patient_id, e.reporting_month, e.encounter_id, e.clinic, e.coverage_type, e.age_at_encounter,
+joined_weeks AS (
+  SELECT e.reporting_week, e.patient_id, e.encounter_id, e.clinic, e.coverage_type, e.age_at_encounter,
          e.has_copd, e.has_diabetes, s.transportation_barrier, s.housing_instability, s.food_insecurity,
          e.tobacco_screen_status, e.structured_cessation_intervention,
          coalesce(v.note_intervention, FALSE) AS note_intervention,
-         coalesce(v.evidence_notes, 0) AS evidence_notes, v.evidence_note_id, v.evidence_phrase,
+         coalesce(v.evidence_notes, 0) AS evidence_notes, coalesce(v.evidence_phrases, 0) AS evidence_phrases,
+         v.evidence_note_id, v.evidence_phrase,
          e.structured_cessation_intervention OR coalesce(v.note_intervention, FALSE) AS has_intervention
-  FROM silver_encounters e
+  FROM encounters e
   LEFT JOIN evidence v ON e.encounter_id = v.encounter_id
-  LEFT JOIN silver_assessments s ON e.patient_id = s.patient_id
+  LEFT JOIN assessments s ON e.patient_id = s.patient_id
 ),
 gold AS (
   SELECT *,
@@ -594,490 +599,141 @@ gold AS (
          CAST(age_at_encounter >= 12 AND (tobacco_screen_status = 'non_user'
               OR tobacco_screen_status = 'current_user' AND has_intervention) AS INTEGER) AS combined_num,
          CAST(age_at_encounter >= 12 AND tobacco_screen_status = 'current_user' AND NOT has_intervention AS INTEGER) AS care_gap
-  FROM joined_months
+  FROM joined_weeks
+),
+extent AS (
+  SELECT max(encounter_date) AS last_date,
+         CAST(date_trunc('week', max(encounter_date) + 1) AS DATE) - 7 AS week
+  FROM encounters
 ),
-extent AS (SELECT max(reporting_month) AS last_date, {month('max(reporting_month)')} AS last_month FROM silver_encounters),
 """
+ORACLES["note_labels"] = with_parts(
+    ACTIVITY,
+    """SELECT note_id, encounter_id, note_type, CAST(len(phrases) AS INTEGER) AS n_phrases,
+       CASE WHEN len(phrases) > 0 THEN 'provided' ELSE 'not_provided' END AS label FROM labelled""",
+)
+ORACLES["note_phrases"] = with_parts(
+    ACTIVITY,
+    """SELECT note_id, encounter_id, CAST(unnest(range(len(phrases))) AS INTEGER) AS place, unnest(phrases) AS phrase
+FROM labelled""",
+)
+ORACLES["evidence_per_encounter"] = with_parts(ACTIVITY, "SELECT * FROM evidence")
+ORACLES["note_gap_candidates"] = with_parts(
+    ACTIVITY,
+    """SELECT e.encounter_id, e.patient_id, e.reporting_week, n.note_id, n.note_text
+FROM encounters e JOIN notes n ON e.encounter_id = n.encounter_id
+WHERE age_at_encounter >= 12 AND tobacco_screen_status = 'current_user' AND NOT structured_cessation_intervention
+  AND regexp_matches(note_text, '\\b(that|avec|nicht|por)\\b')""",
 )
-
-ORACLES["keyed_draws"] = with_parts(
-    PEOPLE,
-    "SELECT patient_id, "
-    + ", ".join(f"{steps(salt, 'patient_id')} AS {name}" for name, salt in fixed.PATIENT_SALTS.items())
-    + " FROM patient_keys",
-)
-ORACLES["weighted_category"] = with_parts(
-    PEOPLE, "SELECT patient_id, age, birth_date, clinic_code, coverage_type FROM people"
-)
-ORACLES["adjusted_flags"] = with_parts(
-    PEOPLE,
-    """SELECT has_copd, has_diabetes, transportation_barrier, housing_instability, food_insecurity, is_tobacco_user,
-       count(*) AS patients, min(patient_id) AS first_patient
-FROM people GROUP BY ALL""",
-)
-ORACLES["clamped_score"] = with_parts(
-    VISITS,
-    "SELECT encounter_id, round(intervention_score, 6) AS intervention_score, care_given, care_recorded FROM visits",
-)
-ORACLES["entity_period_panel"] = with_parts(
-    VISITS, "SELECT encounter_id, patient_id, month_index, reporting_month, encounter_date FROM panel"
-)
-ORACLES["keyed_sample"] = with_parts(
-    VISITS,
-    f"""SELECT encounter_id, patient_id, reporting_month FROM panel
-WHERE {draw('second_note', 'encounter_id')} < 0.14::DOUBLE""",
-)
-ORACLES["row_state_text"] = with_parts(
-    CLINIC,
-    """SELECT note_id AS "NOTE_ID", patient_id AS "PAT_ID", encounter_id AS "PAT_ENC_CSN_ID",
-       strftime(note_date, '%Y-%m-%d') AS "NOTE_DATE", note_type AS "NOTE_TYPE", note_text AS "NOTE_TEXT"
-FROM silver_notes""",
-)
-ORACLES["encode_source"] = with_parts(
-    VISITS,
-    """SELECT encounter_id AS "PAT_ENC_CSN_ID", patient_id AS "PAT_ID",
-       strftime(encounter_date, '%Y-%m-%d') AS "CONTACT_DATE", strftime(birth_date, '%Y-%m-%d') AS "BIRTH_DATE",
-       clinic_code AS "CLINIC_CODE", coverage_type AS "COVERAGE_TYPE",
-       CASE WHEN has_copd THEN 'Y' ELSE 'N' END AS "COPD_YN",
-       CASE WHEN has_diabetes THEN 'Y' ELSE 'N' END AS "DIABETES_YN",
-       tobacco_screen_code AS "TOBACCO_SCREEN_C",
-       CASE WHEN care_recorded THEN 'Y' ELSE 'N' END AS "CESSATION_INTERVENTION_YN"
-FROM visits""",
-)
-ORACLES["encode_assessments"] = with_parts(
-    PEOPLE,
-    """SELECT patient_id * 10 + 1 AS "ASSESSMENT_ID", patient_id AS "PAT_ID", '2025-09-15' AS "ASSESSMENT_DATE",
-       CASE WHEN transportation_barrier THEN 'Y' ELSE 'N' END AS "TRANSPORTATION_BARRIER_C",
-       CASE WHEN housing_instability THEN 'Y' ELSE 'N' END AS "HOUSING_INSTABILITY_C",
-       CASE WHEN food_insecurity THEN 'Y' ELSE 'N' END AS "FOOD_INSECURITY_C"
-FROM people""",
-)
-ORACLES["conform_encounters"] = with_parts(CLINIC, "SELECT * FROM silver_encounters")
-ORACLES["conform_assessments"] = with_parts(CLINIC, "SELECT * FROM silver_assessments")
-ORACLES["conform_notes"] = with_parts(CLINIC, "SELECT * FROM silver_notes")
-
-# === Text evidence =========================================================================
-
-ORACLES["keyword_candidates"] = """
-SELECT d.doc_id, lang, source, quality, n_chars
-FROM documents d JOIN labels b ON d.doc_id = b.doc_id
-WHERE toxic = 0 AND regexp_matches(text, 'licen[sc]e|copyright|[Rr]eserved|@')
-"""
-CANDIDATES = """SELECT e.encounter_id, e.patient_id, e.reporting_month, e.structured_cessation_intervention,
-       n.note_id, n.note_text
-FROM silver_encounters e JOIN silver_notes n ON e.encounter_id = n.encounter_id
-WHERE e.age_at_encounter >= 12 AND e.tobacco_screen_status = 'current_user'
-  AND e.structured_cessation_intervention = FALSE
-  AND regexp_matches(n.note_text, 'cessation|quitline|nicotine|counsel')"""
-ORACLES["keyword_candidates_notes"] = with_parts(CLINIC, CANDIDATES)
-ORACLES["note_evidence"] = with_parts(LABELLED, "SELECT note_id, encounter_id, label, phrase FROM labelled")
-ORACLES["document_sentences"] = f"""
-SELECT doc_id, lang, CASE WHEN phrase IS NULL THEN 'not_provided' ELSE 'provided' END AS label, phrase
-FROM (SELECT doc_id, lang,
-             {phrase_sql('text', '(?i) (pour|avec|auch|nicht) ', '(?i) (la|und) ')} AS phrase
-      FROM documents)
-"""
-ORACLES["evidence_per_encounter"] = with_parts(LABELLED, "SELECT * FROM evidence")
 ORACLES["representative_text"] = "SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text"
-CONTRAST = ", ".join(sql_text(text) for text in fixed.CONTRAST_NOTES)
-ORACLES["contrast_sample"] = with_parts(
-    LABELLED,
-    f"""SELECT min(note_id) AS note_id, note_text, any_value(label) AS label
-FROM labelled WHERE note_text IN ({CONTRAST}) GROUP BY note_text ORDER BY note_id""",
-)
-
-# === Patient-months and their measures =====================================================
+ORACLES["contrast_sample"] = """
+SELECT min(doc_id) AS doc_id, line,
+       CASE line WHEN 'Licensed under the Apache License, Version 2.0.' THEN 'provided'
+                 WHEN 'Released under the MIT License.' THEN 'provided' ELSE 'not_provided' END AS label
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE line IN ('Licensed under the Apache License, Version 2.0.', 'Released under the MIT License.',
+               'Licensed under CC BY-NC 4.0.', 'All rights reserved.')
+GROUP BY line
+"""
 
-ORACLES["patient_month_gold"] = with_parts(CLINIC_GOLD, "SELECT * FROM gold")
-ORACLES["quality_rates"] = with_parts(CLINIC_GOLD, evaluate_sql(list(CLINICAL), CLINICAL))
+# === User-weeks and their measures ========================================================
+
+ORACLES["patient_period_gold"] = with_parts(ACTIVITY, "SELECT * FROM gold")
+ORACLES["activity_gold_checks"] = with_parts(
+    ACTIVITY,
+    """SELECT 'user-week twice in gold' AS "check", (SELECT count(*) FROM (
+         SELECT 1 FROM gold GROUP BY patient_id, reporting_week HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'user-week not in gold', (SELECT count(*) FROM (
+         SELECT DISTINCT user_id, CAST(date_trunc('week', ts) AS DATE) FROM events
+         EXCEPT SELECT patient_id, reporting_week FROM gold))
+UNION ALL SELECT 'gold without user-week', (SELECT count(*) FROM (
+         SELECT patient_id, reporting_week FROM gold
+         EXCEPT SELECT user_id, CAST(date_trunc('week', ts) AS DATE) FROM events))""",
+)
+ORACLES["quality_rates"] = with_parts(ACTIVITY, evaluate_sql(list(CLINICAL), CLINICAL))
 ORACLES["quality_rates_by_cohort"] = with_parts(
-    CLINIC_GOLD,
-    evaluate_sql(list(CLINICAL), CLINICAL, ["clinic", "has_copd", "has_diabetes", "transportation_barrier"]),
+    ACTIVITY, evaluate_sql(list(CLINICAL), CLINICAL, ["clinic", "has_copd", "has_diabetes", "transportation_barrier"])
 )
 ORACLES["quality_trend"] = with_parts(
-    CLINIC_GOLD,
-    evaluate_sql(
-        list(CLINICAL), CLINICAL, ["reporting_month", "clinic"], order="ORDER BY reporting_month, clinic"
-    ),
+    ACTIVITY,
+    f"""SELECT reporting_week, clinic, {measured(list(CLINICAL), CLINICAL)},
+       (SELECT last_date FROM extent) AS data_until,
+       reporting_week + 6 > (SELECT last_date FROM extent) AS is_partial
+FROM gold GROUP BY reporting_week, clinic""",
 )
 ORACLES["care_gaps"] = with_parts(
-    CLINIC_GOLD,
+    ACTIVITY,
     evaluate_sql(
         ["care_gaps", "cessation_den"],
         CLINICAL,
-        ["reporting_month", "clinic", "housing_instability", "food_insecurity"],
+        ["reporting_week", "clinic", "housing_instability", "food_insecurity"],
         "transportation_barrier",
     ),
 )
 ORACLES["num_le_den"] = with_parts(
-    CLINIC_GOLD,
+    ACTIVITY,
     "\nUNION ALL\n".join(
         f"""SELECT clinic, '{name}' AS measure, CAST(sum({name}_num) AS BIGINT) AS numerator,
-       CAST(sum({name}_den) AS BIGINT) AS denominator,
-       count(*) FILTER (WHERE {name}_num > {name}_den) AS violating_rows,
+       CAST(sum({name}_den) AS BIGINT) AS denominator, count(*) FILTER (WHERE {name}_num > {name}_den) AS violating_rows,
        count(*) FILTER (WHERE {name}_num > {name}_den) = 0 AND sum({name}_num) <= sum({name}_den) AS holds
 FROM gold GROUP BY clinic"""
         for name in ("screening", "cessation", "combined")
     ),
 )
-ORACLES["rate_point_change"] = compare_sql(
-    CLINIC_GOLD, ["latest_month"], list(CLINICAL), CLINICAL, [], "reporting_month"
-)
-ORACLES["half_year_compare"] = compare_sql(
-    CLINIC_GOLD, ["half_year"], list(CLINICAL), CLINICAL, ["clinic"], "reporting_month"
-)
-ORACLES["cohort_contribution"] = contribution_sql(
-    CLINIC_GOLD, ["half_year"], "care_gaps", CLINICAL, ["clinic", "transportation_barrier"], "reporting_month"
+ORACLES["rate_point_change"] = compare_sql(ACTIVITY, ["latest_week"], list(CLINICAL), CLINICAL, [], "reporting_week")
+ORACLES["two_week_compare"] = compare_sql(ACTIVITY, ["two_weeks"], list(CLINICAL), CLINICAL, ["clinic"], "reporting_week")
+COHORT = ["clinic", "transportation_barrier"]
+ORACLES["gap_contribution"] = contribution_sql(ACTIVITY, ["two_weeks"], "care_gaps", CLINICAL, COHORT, "reporting_week")
+ORACLES["rate_contribution"] = with_parts(
+    compare_parts(ACTIVITY, ["two_weeks"], ["cessation_num", "cessation_den"], CLINICAL, COHORT, "reporting_week")
+    + """
+whole AS (
+  SELECT *, CAST(sum(cessation_num) OVER () AS DOUBLE) AS n1, CAST(sum(cessation_den) OVER () AS DOUBLE) AS d1,
+         CAST(sum(cessation_num_prior) OVER () AS DOUBLE) AS n0, CAST(sum(cessation_den_prior) OVER () AS DOUBLE) AS d0
+  FROM changes
+),
+shares AS (
+  SELECT *, coalesce(cessation_den / nullif(d1, 0), 0) AS w1, coalesce(cessation_den_prior / nullif(d0, 0), 0) AS w0,
+         CAST(cessation_num AS DOUBLE) / nullif(cessation_den, 0) AS own1,
+         CAST(cessation_num_prior AS DOUBLE) / nullif(cessation_den_prior, 0) AS own0,
+         n1 / nullif(d1, 0) AS all1, n0 / nullif(d0, 0) AS all0
+  FROM whole
+),
+parts AS (
+  SELECT *, (w1 + w0) / 2 * (coalesce(own1, own0, 0) - coalesce(own0, own1, 0)) AS by_rate,
+         (w1 - w0) * ((coalesce(own1, own0, 0) + coalesce(own0, own1, 0)) / 2 - (all1 + all0) / 2) AS by_mix
+  FROM shares
+),
+""",
+    """SELECT comparison, current_period, prior_period, data_until, clinic, transportation_barrier,
+       cessation_num, cessation_den, cessation_num_prior, cessation_den_prior,
+       round(by_rate * 100, 4) AS rate_points, round(by_mix * 100, 4) AS mix_points,
+       round((by_rate + by_mix) * 100, 4) AS points, round((all1 - all0) * 100, 4) AS total_points
+FROM parts""",
 )
 ORACLES["attributes_left_join"] = """
-SELECT lang, quality, toxic, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS characters
-FROM documents d LEFT JOIN labels b ON d.doc_id = b.doc_id GROUP BY lang, quality, toxic
+SELECT d.lang, b.quality, b.toxic, count(*) AS documents, CAST(sum(d.n_chars) AS BIGINT) AS characters
+FROM documents d LEFT JOIN labels b ON d.doc_id = b.doc_id GROUP BY ALL
 """
 ORACLES["encounter_preview"] = with_parts(
-    CLINIC,
-    """SELECT encounter_id, patient_id, reporting_month, clinic, age_at_encounter, tobacco_screen_status,
-       structured_cessation_intervention, has_copd, has_diabetes
-FROM silver_encounters ORDER BY encounter_id LIMIT 10""",
+    ACTIVITY,
+    """SELECT encounter_id, patient_id, reporting_week, clinic, age_at_encounter, tobacco_screen_status,
+       structured_cessation_intervention, has_copd, has_diabetes FROM encounters ORDER BY encounter_id LIMIT 10""",
 )
 ORACLES["status_profile"] = with_parts(
-    CLINIC,
-    """SELECT tobacco_screen_status, count(*) AS encounter_months,
-       count(*) FILTER (WHERE age_at_encounter >= 12) AS age_12_plus_months
-FROM silver_encounters GROUP BY tobacco_screen_status ORDER BY encounter_months DESC""",
+    ACTIVITY,
+    """SELECT tobacco_screen_status, count(*) AS encounters,
+       count(*) FILTER (WHERE age_at_encounter >= 12) AS eligible FROM encounters GROUP BY 1""",
 )
 ORACLES["assessment_preview"] = with_parts(
-    CLINIC,
-    """SELECT patient_id, assessment_date, transportation_barrier, housing_instability, food_insecurity
-FROM silver_assessments ORDER BY transportation_barrier DESC, patient_id LIMIT 10""",
-)
-ORACLES["structured_gap_preview"] = with_parts(
-    CLINIC, CANDIDATES + "\nORDER BY e.encounter_id, n.note_id LIMIT 12"
-)
-ORACLES["note_join_grain"] = with_parts(
-    CLINIC, grain_sql("silver_encounters", "silver_notes", "encounter_id", "encounter_id")
-)
-ORACLES["assessment_grain"] = with_parts(
-    CLINIC,
-    """SELECT 'assessments' AS source, count(*) AS rows, count(DISTINCT patient_id) AS distinct_keys
-FROM silver_assessments""",
-)
-
-
-def duplicates_sql(check: str, frame: str, *keys: str) -> str:
-    return (
-        f"SELECT {sql_text(check)} AS \"check\", count(*) AS violations FROM "
-        f"(SELECT 1 FROM {frame} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
-    )
-
-
-def orphans_sql(check: str, child: str, parent: str, on: dict[str, str]) -> str:
-    same = " AND ".join(f"c.{key} = p.{parent_key}" for key, parent_key in on.items())
-    return (
-        f"SELECT {sql_text(check)} AS \"check\", count(*) AS violations FROM "
-        f"(SELECT DISTINCT {', '.join(on)} FROM {child} c WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE {same}))"
-    )
-
-
-ORACLES["clinic_source_checks"] = with_parts(
-    CLINIC,
-    "\nUNION ALL ".join(
-        [
-            duplicates_sql("patient-month occurs more than once", "silver_encounters", "patient_id", "reporting_month"),
-            duplicates_sql("encounter id occurs more than once", "silver_encounters", "encounter_id"),
-            duplicates_sql("note id occurs more than once", "silver_notes", "note_id"),
-            orphans_sql(
-                "note without encounter", "silver_notes", "silver_encounters", {"encounter_id": "encounter_id"}
-            ),
-            duplicates_sql("patient with more than one assessment", "silver_assessments", "patient_id"),
-        ]
-    ),
-)
-
-# === Hospital tables derived from the order keys ===========================================
-
-ACCOUNT_DRAWS = ",\n         ".join(
-    f"{draw(salt, 'seed_account_id')} AS {name}" for name, salt in {**fixed.DISCHARGE_SALTS, **fixed.ACCOUNT_SALTS, **fixed.AMOUNT_SALTS}.items()
-)
-DEPARTMENT_ROWS = ",\n    ".join(
-    "(" + ", ".join([str(row[0]), *[sql_text(text) for text in row[1:]]]) + ")" for row in fixed.DEPARTMENTS
+    ACTIVITY, "SELECT * FROM assessments ORDER BY transportation_barrier DESC, patient_id LIMIT 10"
 )
-LADDER = " ".join(
-    f"WHEN u_department < {share}::DOUBLE THEN {department}"
-    for share, department in (
-        (0.20, 101), (0.24, 102), (0.35, 201), (0.37, 202), (0.48, 103), (0.50, 104), (0.57, 203),
-        (0.65, 105), (0.67, 106), (0.73, 205), (0.82, 107), (0.87, 207), (0.93, 108),
-    )
-)
-
-
-def exact(name: str) -> str:
-    return f"CAST({name} AS DECIMAL(7,6))"
-
-
-DISCHARGES = f"""
-departments AS (
-  SELECT * FROM (VALUES
-    {DEPARTMENT_ROWS}
-  ) AS t(department_id, facility, service_line, product)
-),
-account_draws AS (
-  SELECT o_orderkey AS seed_account_id, * FROM (
-    SELECT o_orderkey, CAST(o_orderkey % 24 AS INTEGER) AS month_index,
-         {ACCOUNT_DRAWS.replace('seed_account_id', 'o_orderkey')}
-    FROM orders)
-),
-dated AS (
-  SELECT *, {months_later("DATE '2024-10-01'", 'month_index')} AS discharge_month FROM account_draws
-),
-discharges AS (
-  SELECT *, discharge_month + CAST(floor(u_day * day(last_day(discharge_month))) AS INTEGER) AS discharge_date,
-         CASE {LADDER} ELSE 109 END AS department_id
-  FROM dated
-),
-kept AS (
-  SELECT * FROM discharges
-  WHERE discharge_date <= DATE '2026-09-20'
-    AND NOT (department_id = 101 AND discharge_date >= DATE '2026-04-01' AND u_decline < 0.45::DOUBLE)
-),
-"""
-HOSPITAL = (
-    DISCHARGES
-    + f"""
-typed AS (
-  SELECT seed_account_id + 10000001 AS hospital_account_id, seed_account_id + 20000001 AS primary_encounter_id,
-         CAST(floor(u_patient * 40000) AS BIGINT) + 400001 AS patient_id, k.*,
-         facility, service_line, product,
-         CASE WHEN product = 'ED Visit' THEN 'Emergency' WHEN product = 'Observation' THEN 'Observation'
-              WHEN product IN ('Cardiac Surgery', 'Joint Replacement', 'Maternity', 'Neurology', 'General Medicine')
-              THEN 'Inpatient' ELSE 'Outpatient' END AS patient_type,
-         product IN ('Cardiac Surgery', 'Joint Replacement') AS surgical_case_flag,
-         CASE WHEN u_payer < 0.42::DOUBLE THEN 'Commercial' WHEN u_payer < 0.75::DOUBLE THEN 'Medicare'
-              WHEN u_payer < 0.95::DOUBLE THEN 'Medi-Cal' ELSE 'Other' END AS financial_class_group,
-         CASE product WHEN 'ED Visit' THEN 3400 WHEN 'Observation' THEN 7100 WHEN 'Cardiology' THEN 12000
-              WHEN 'Cardiac Surgery' THEN 75000 WHEN 'Joint Replacement' THEN 56000
-              WHEN 'Sports Medicine' THEN 9800 WHEN 'Maternity' THEN 27000 WHEN 'Neurology' THEN 20000
-              ELSE 16000 END AS baseline
-  FROM kept k JOIN departments USING (department_id)
-),
-charged AS (
-  SELECT *,
-         CASE patient_type WHEN 'Inpatient' THEN CAST(floor(u_stay * 6) AS INTEGER) + 1
-              WHEN 'Observation' THEN 1 ELSE 0 END AS length_of_stay_days,
-         CASE WHEN patient_type = 'Inpatient' THEN CAST(round(0.8 + {exact('weight_steps')} * 2.2
-              + CASE WHEN surgical_case_flag THEN 0.3 ELSE 0.0 END, 2) AS DOUBLE) END AS ms_drg_weight,
-         CAST(round(baseline * (0.75 + {exact('charge_steps')} * 0.50), 2) AS DECIMAL(18,2)) AS total_charges
-  FROM typed
-),
-earned AS (
-  SELECT *, CAST(round(total_charges * CASE financial_class_group WHEN 'Commercial' THEN 0.55
-              WHEN 'Medicare' THEN 0.38 WHEN 'Medi-Cal' THEN 0.30 ELSE 0.25 END, 2) AS DECIMAL(18,2))
-              AS estimated_net_revenue
-  FROM charged
-),
-base AS (
-  SELECT *, discharge_date - length_of_stay_days AS admission_date,
-         CAST(round(estimated_net_revenue * (CASE WHEN surgical_case_flag THEN 0.61
-              WHEN patient_type = 'Emergency' THEN 0.54 ELSE 0.52 END + {exact('direct_steps')} * 0.08), 2)
-              AS DECIMAL(18,2)) AS total_direct_cost,
-         CAST(round(estimated_net_revenue * (0.18 + {exact('indirect_steps')} * 0.07), 2) AS DECIMAL(18,2))
-              AS total_indirect_cost,
-         CAST(round(estimated_net_revenue * (0.90 + {exact('payment_steps')} * 0.06), 2) AS DECIMAL(18,2))
-              AS total_actual_payment
-  FROM earned
-),
-silver_accounts AS (
-  SELECT hospital_account_id, patient_id, primary_encounter_id, department_id AS discharge_department_id,
-         admission_date, discharge_date, total_charges
-  FROM base
-),
-silver_primary AS (
-  SELECT primary_encounter_id AS encounter_id, hospital_account_id, patient_type, financial_class_group,
-         surgical_case_flag, ms_drg_weight, length_of_stay_days
-  FROM base
-),
-silver_financials AS (
-  SELECT hospital_account_id, estimated_net_revenue, total_direct_cost, total_indirect_cost, total_actual_payment
-  FROM base
-),
-gold AS (
-  SELECT a.hospital_account_id, a.patient_id, a.primary_encounter_id, a.admission_date, a.discharge_date,
-         {month('a.discharge_date')} AS discharge_month, {fiscal('a.discharge_date')},
-         d.facility, d.service_line, d.product, e.patient_type, e.financial_class_group, e.surgical_case_flag,
-         e.ms_drg_weight, e.length_of_stay_days, a.total_charges, f.estimated_net_revenue, f.total_direct_cost,
-         f.total_indirect_cost, f.total_actual_payment,
-         f.estimated_net_revenue - f.total_direct_cost AS revenue_after_direct
-  FROM silver_accounts a
-  JOIN silver_primary e ON a.primary_encounter_id = e.encounter_id AND a.hospital_account_id = e.hospital_account_id
-  JOIN departments d ON a.discharge_department_id = d.department_id
-  JOIN silver_financials f ON a.hospital_account_id = f.hospital_account_id
-),
-extent AS (
-  SELECT min(discharge_date) AS first_date, max(discharge_date) AS last_date,
-         {month('max(discharge_date)')} AS last_month,
-         CASE WHEN max(discharge_date) = last_day(max(discharge_date)) THEN {month('max(discharge_date)')}
-              ELSE {months_later(month('max(discharge_date)'), -1)} END AS latest_complete_month
-  FROM silver_accounts
-),
+ORACLES["note_join_grain"] = with_parts(ACTIVITY, grain_sql("encounters", "notes", "encounter_id", "encounter_id"))
+ORACLES["assessment_grain"] = """
+SELECT count(*) AS assessment_rows, count(DISTINCT c_custkey) AS distinct_patients FROM customer
 """
-)
-
-ORACLES["segment_thinning"] = with_parts(
-    DISCHARGES,
-    """SELECT discharge_month, department_id, count(*) AS accounts, min(discharge_date) AS first_date,
-       max(discharge_date) AS last_date
-FROM kept GROUP BY discharge_month, department_id""",
-)
-ORACLES["money_chain"] = with_parts(
-    HOSPITAL,
-    """SELECT hospital_account_id, product, patient_type, surgical_case_flag, financial_class_group, total_charges,
-       estimated_net_revenue, total_direct_cost, total_indirect_cost, total_actual_payment
-FROM base""",
-)
-ORACLES["stay_dates"] = with_parts(
-    HOSPITAL,
-    "SELECT hospital_account_id, patient_type, length_of_stay_days, admission_date, discharge_date FROM base",
-)
-ORACLES["drg_weight"] = with_parts(
-    HOSPITAL, "SELECT hospital_account_id, patient_type, ms_drg_weight FROM base"
-)
-ORACLES["split_entities"] = with_parts(
-    HOSPITAL,
-    """SELECT 'accounts' AS entity, count(*) AS rows, count(DISTINCT hospital_account_id) AS distinct_keys,
-       CAST(sum(total_charges) AS DECIMAL(38,2)) AS amount FROM silver_accounts
-UNION ALL SELECT 'encounters', count(*), count(DISTINCT encounter_id),
-       CAST(sum(length_of_stay_days) AS DECIMAL(38,2)) FROM silver_primary
-UNION ALL SELECT 'financials', count(*), count(DISTINCT hospital_account_id),
-       CAST(sum(estimated_net_revenue) AS DECIMAL(38,2)) FROM silver_financials""",
-)
-ORACLES["account_preview"] = with_parts(
-    HOSPITAL, "SELECT * FROM silver_accounts ORDER BY hospital_account_id LIMIT 10"
-)
-ORACLES["primary_encounter_preview"] = with_parts(
-    HOSPITAL, "SELECT * FROM silver_primary ORDER BY encounter_id LIMIT 10"
-)
-ORACLES["department_list"] = with_parts(
-    HOSPITAL,
-    """SELECT department_id, facility, service_line, product FROM departments
-WHERE department_id IN (SELECT discharge_department_id FROM silver_accounts)
-ORDER BY facility, service_line, product""",
-)
-ORACLES["financials_preview"] = with_parts(
-    HOSPITAL, "SELECT * FROM silver_financials ORDER BY hospital_account_id LIMIT 10"
-)
-ORACLES["source_key_profile"] = with_parts(
-    HOSPITAL,
-    """SELECT 'accounts' AS source, count(*) AS rows, count(DISTINCT hospital_account_id) AS distinct_keys
-FROM silver_accounts
-UNION ALL SELECT 'encounters', count(*), count(DISTINCT encounter_id) FROM silver_primary
-UNION ALL SELECT 'departments', count(*), count(DISTINCT department_id) FROM departments
-UNION ALL SELECT 'financials', count(*), count(DISTINCT hospital_account_id) FROM silver_financials""",
-)
-ORACLES["star_join_grain"] = with_parts(
-    HOSPITAL,
-    """SELECT count(*) AS joined_rows, count(DISTINCT hospital_account_id) AS distinct_accounts,
-       count(DISTINCT primary_encounter_id) AS distinct_encounters, count(DISTINCT patient_id) AS distinct_patients
-FROM gold""",
-)
-ORACLES["patient_type_profile"] = with_parts(
-    HOSPITAL,
-    """SELECT patient_type, count(*) AS encounters, count(*) FILTER (WHERE surgical_case_flag) AS surgical_cases,
-       count(ms_drg_weight) AS encounters_with_drg_weight,
-       round(CAST(sum(CAST(ms_drg_weight AS DECIMAL(18,4))) AS DOUBLE) / nullif(count(ms_drg_weight), 0), 2)
-         AS average_cmi
-FROM silver_primary GROUP BY patient_type ORDER BY encounters DESC""",
-)
-ORACLES["discharge_extent"] = with_parts(
-    HOSPITAL,
-    """SELECT first_date AS first_discharge, last_date AS latest_discharge, last_month AS latest_month_start,
-       latest_complete_month
-FROM extent""",
-)
-ORACLES["emergency_season"] = with_parts(
-    HOSPITAL,
-    """SELECT CAST(year(discharge_date) AS INTEGER) AS discharge_year,
-       CAST(month(discharge_date) AS INTEGER) AS discharge_month, facility, product, count(*) AS emergency_encounters
-FROM silver_accounts JOIN departments ON discharge_department_id = department_id
-WHERE service_line = 'Emergency' AND discharge_date >= DATE '2025-04-01' AND discharge_date < DATE '2026-09-01'
-  AND month(discharge_date) BETWEEN 4 AND 8
-GROUP BY ALL ORDER BY discharge_month, discharge_year, facility, product""",
-)
-ORACLES["hospital_gold"] = with_parts(HOSPITAL, "SELECT * FROM gold")
-ORACLES["hospital_measures"] = with_parts(
-    HOSPITAL,
-    evaluate_sql(
-        FINANCE_NAMES,
-        FINANCE,
-        ["fiscal_year", "facility", "service_line", "product", "patient_type", "financial_class_group"],
-    ),
-)
-ORACLES["hospital_trend"] = with_parts(
-    HOSPITAL,
-    evaluate_sql(
-        FINANCE_NAMES,
-        FINANCE,
-        ["discharge_month", "service_line"],
-        order="ORDER BY discharge_month, service_line",
-    ),
-)
-ORACLES["hospital_changes"] = compare_sql(
-    HOSPITAL,
-    ["mom", "yoy", "mtd"],
-    FINANCE_NAMES,
-    FINANCE,
-    ["service_line", "facility", "product"],
-    "discharge_date",
-)
-ORACLES["emergency_contribution"] = contribution_sql(
-    HOSPITAL, ["season"], "accounts", FINANCE, SEGMENT, "discharge_date", "service_line = 'Emergency'"
-)
-ORACLES["emergency_financial_change"] = compare_sql(
-    HOSPITAL,
-    ["season"],
-    ["encounters", "net_revenue", "revenue_after_direct"],
-    FINANCE,
-    SEGMENT,
-    "discharge_date",
-    "service_line = 'Emergency'",
-)
-ORACLES["hospital_source_checks"] = with_parts(
-    HOSPITAL,
-    "\nUNION ALL ".join(
-        [
-            duplicates_sql("account id occurs more than once", "silver_accounts", "hospital_account_id"),
-            duplicates_sql("encounter id occurs more than once", "silver_primary", "encounter_id"),
-            duplicates_sql("account with more than one financial row", "silver_financials", "hospital_account_id"),
-            duplicates_sql("department id occurs more than once", "departments", "department_id"),
-            orphans_sql(
-                "account without its primary encounter",
-                "silver_accounts",
-                "silver_primary",
-                {"primary_encounter_id": "encounter_id", "hospital_account_id": "hospital_account_id"},
-            ),
-            orphans_sql(
-                "account without a financial row",
-                "silver_accounts",
-                "silver_financials",
-                {"hospital_account_id": "hospital_account_id"},
-            ),
-            orphans_sql(
-                "account without a department",
-                "silver_accounts",
-                "departments",
-                {"discharge_department_id": "department_id"},
-            ),
-        ]
-    ),
-)
-ORACLES["emergency_decline"] = with_parts(
-    HOSPITAL,
-    expected_trend_sql(
-        "facility = 'Main Hospital' AND product = 'ED Visit'",
-        2026,
-        "silver_accounts JOIN departments ON discharge_department_id = department_id",
-    ),
-)
 
-# === Scan and sort forms ====================================================================
+# === Scan and sort forms ==================================================================
 
 ORACLES["preview_ordered"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 10

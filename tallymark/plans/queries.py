@@ -1,8 +1,8 @@
 """Every query of the library over the given tables, as (spark, folder) -> DataFrame.
 
-Three families: ``sales`` reports over the order tables themselves; ``clinic`` and
-``hospital`` derive their tables from the customer and order keys, so their size follows
-the given tables. Derived values use the md5 draws, which another engine can repeat.
+Two families: ``sales`` reports over the order tables, where an order is an account, and
+``activity`` reports over events, conversations and customers, where a user's week is an
+encounter and a turn is a note.
 """
 
 from __future__ import annotations
@@ -14,14 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.calendar import fiscal_month, fiscal_year
-from tallymark.functions.draws import draw_steps
+from tallymark.functions.calendar import age_in_years, fiscal_month, fiscal_year, format_date, parse_date
+from tallymark.functions.coding import decode_flag, encode_flag
 from tallymark.operators import checks, compare, conform, derive, evidence, measures
+from tallymark.operators import gold as gold_tables
 from tallymark.operators.joins import join_dimension
-from tallymark.plans import clinic, hospital, sales
-from tallymark.plans import fixed_values as fixed
+from tallymark.plans import activity, sales
 from tallymark.sources import tables as sources
-from tallymark.sources.sizes import fill_cores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,7 +32,7 @@ TABLES = (
 ).split()
 SEGMENT = ["facility", "product"]
 SEASON_START = 4
-HALF_YEAR = 6
+WINDOW_WEEKS = 2
 
 
 def query(function: Query) -> Query:
@@ -65,6 +64,8 @@ GOLD_ACCOUNT_COLUMNS = [
     "total_indirect_cost",
     "total_actual_payment",
     "revenue_after_direct",
+    "has_department",
+    "has_financials",
 ]
 
 
@@ -72,14 +73,20 @@ def sales_extent(spark: SparkSession, folder: str) -> DataFrame:
     return compare.extent(sales.accounts(spark, folder), "discharge_date")
 
 
-def needed_accounts(spark: SparkSession, folder: str, last: DataFrame, comparisons) -> DataFrame:
-    """Accounts from the first date that the comparisons need."""
-    return sales.accounts(spark, folder, compare.earliest_start(last, comparisons, "timestamp_ntz"))
+def needed_accounts(spark: SparkSession, folder: str, last: dt.date, comparisons) -> DataFrame:
+    """Accounts that lie in a window of the comparisons."""
+    return sales.accounts(
+        spark, folder, compare.in_any_window(F.col("o_orderdate"), last, comparisons, "timestamp_ntz")
+    )
+
+
+def last_discharge(spark: SparkSession, folder: str) -> dt.date:
+    return compare.last_date(sales.accounts(spark, folder), "discharge_date")
 
 
 def sales_compare(spark, folder, comparison, dims=SEGMENT, chosen=measures.FINANCE, where=None):
-    """A comparison whose accounts are cut to its windows before they are joined."""
-    last = sales_extent(spark, folder)
+    """A comparison whose accounts, and their lines, are cut to its windows before any join."""
+    last = last_discharge(spark, folder)
     rows = sales.gold(spark, folder, needed_accounts(spark, folder, last, [comparison]))
     return compare.compare(rows, chosen, "discharge_date", last, [comparison], dims, where)
 
@@ -149,20 +156,88 @@ def duplicate_keys(spark, folder):
 
 @query
 def orphans(spark, folder):
+    """Keys that one table has and the other has not, both ways; each table is read once."""
     pairs = [
-        ("orders without lines", "orders", "o_orderkey", "lineitem", "l_orderkey"),
-        ("documents without labels", "documents", "doc_id", "labels", "doc_id"),
-        ("lines without orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
-    ]
-    found = [
-        checks.orphans(
-            sources.load(spark, folder, child), sources.load(spark, folder, parent), {key: parent_key}
-        ).select(F.lit(label).alias("finding"), F.col(key).alias("key"), "row_count")
-        for label, child, key, parent, parent_key in pairs
+        ("orders", "o_orderkey", "lineitem", "l_orderkey"),
+        ("documents", "doc_id", "labels", "doc_id"),
     ]
+    found = []
+    for left, left_key, right, right_key in pairs:
+        rows = checks.presence(
+            {
+                left: (sources.load(spark, folder, left), [left_key]),
+                right: (sources.load(spark, folder, right), [right_key]),
+            }
+        )
+        label = F.when(F.col(right) == 0, f"{left} without {right}").when(F.col(left) == 0, f"{right} without {left}")
+        found.append(
+            rows.where(f"{left} = 0 or {right} = 0").select(
+                label.alias("finding"), F.col(left_key).alias("key"), F.greatest(left, right).alias("row_count")
+            )
+        )
     return reduce(DataFrame.union, found)
 
 
+@query
+def gold_checks(spark, folder):
+    """Uniqueness, completeness and missing partners of the account table, in one pass."""
+    gold = sales.gold(spark, folder).select("hospital_account_id", "has_department", "has_financials")
+    keys = checks.presence(
+        {
+            "accounts": (sales.accounts(spark, folder), ["hospital_account_id"]),
+            "gold": (gold, ["hospital_account_id"]),
+            "no_department": (gold.where(~F.col("has_department")), ["hospital_account_id"]),
+            "no_financials": (gold.where(~F.col("has_financials")), ["hospital_account_id"]),
+        }
+    )
+    return checks.count_violations(
+        keys,
+        {
+            "account twice in gold": F.col("gold") > 1,
+            "account not in gold": (F.col("accounts") > 0) & (F.col("gold") == 0),
+            "gold without account": (F.col("accounts") == 0) & (F.col("gold") > 0),
+            "account without department": F.col("no_department") > 0,
+            "account without financials": F.col("no_financials") > 0,
+        },
+    )
+
+
+@query
+def activity_gold_checks(spark, folder):
+    """The user-week table has each encounter once, and all of them."""
+    keys = checks.presence(
+        {
+            "encounters": (activity.encounters(spark, folder), ["patient_id", activity.PERIOD]),
+            "gold": (activity.gold(spark, folder), ["patient_id", activity.PERIOD]),
+        }
+    )
+    return checks.count_violations(
+        keys,
+        {
+            "user-week twice in gold": F.col("gold") > 1,
+            "user-week not in gold": F.col("gold") == 0,
+            "gold without user-week": F.col("encounters") == 0,
+        },
+    )
+
+
+@query
+def star_join(spark, folder):
+    """Accounts with the line that is numbered as their first, matched on both ids, and all
+    other partners; lines of the account with another number do not match."""
+    rows = sales.accounts(spark, folder).withColumn("primary_encounter_id", F.lit(1).cast("long"))
+    gold = gold_tables.account(
+        rows,
+        sales.departments(spark, folder),
+        sales.financials(spark, folder),
+        sales.primary_lines(spark, folder),
+    )
+    return gold.select(
+        "hospital_account_id", "facility", "first_shipped", "quantity", "estimated_net_revenue",
+        "has_department", "has_encounter", "has_financials",
+    )
+
+
 @query
 def join_grain(spark, folder):
     return checks.join_grain(
@@ -269,7 +344,9 @@ def season_matched(spark, folder):
 
 @query
 def monthly_trend(spark, folder):
-    return compare.trend(sales.gold(spark, folder), measures.FINANCE, "discharge_month")
+    return compare.trend(
+        sales.gold(spark, folder), measures.FINANCE, "discharge_month", last=sales_extent(spark, folder)
+    )
 
 
 @query
@@ -328,282 +405,223 @@ def fiscal_periods(spark, folder):
 
 @query
 def headline(spark, folder):
-    last = sales_extent(spark, folder)
+    last = last_discharge(spark, folder)
     month = [compare.month_over_month("latest complete month")]
     rows = sales.gold(spark, folder, needed_accounts(spark, folder, last, month))
     placed = compare.in_windows(rows, "discharge_date", last, month)
     return measures.evaluate(
         placed,
         measures.FINANCE,
-        [F.col("comparison").alias("period"), F.col("current_period").alias("dates")],
+        [F.col("comparison").alias("period"), F.col("current_period").alias("dates"), "data_until"],
         where=F.col("side") == "current",
     )
 
 
-# === Derivation from customer and order keys =============================================
-
-
-def patient_keys(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey") + fixed.FIRST_PATIENT
-    keys = sources.load(spark, folder, "customer").select(key.alias("patient_id"))
-    return fill_cores(keys, "patient_id")
-
-
-def account_keys(spark: SparkSession, folder: str) -> DataFrame:
-    keys = sources.load(spark, folder, "orders").select(F.col("o_orderkey").alias(hospital.KEY))
-    return fill_cores(keys, hospital.KEY)
-
-
-def people(spark: SparkSession, folder: str) -> DataFrame:
-    return clinic.patients(patient_keys(spark, folder), METHOD)
-
-
-def visits(spark: SparkSession, folder: str) -> DataFrame:
-    return clinic.visits(people(spark, folder), METHOD)
-
-
-def clinic_tables(spark: SparkSession, folder: str) -> clinic.ClinicTables:
-    return clinic.tables(patient_keys(spark, folder), METHOD)
-
-
-def clinic_gold(spark: SparkSession, folder: str) -> DataFrame:
-    return clinic.gold(clinic_tables(spark, folder))
-
-
-def hospital_base(spark: SparkSession, folder: str) -> DataFrame:
-    return hospital.account_base(account_keys(spark, folder), METHOD)
-
-
-def hospital_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return hospital.wide_gold(account_keys(spark, folder), METHOD)
-
-
-def hospital_tables(spark: SparkSession, folder: str) -> hospital.HospitalTables:
-    return hospital.tables(account_keys(spark, folder), METHOD)
+# === Steps over given rows ===============================================================
 
 
 @query
-def keyed_draws(spark, folder):
-    return patient_keys(spark, folder).select(
-        "patient_id",
-        *[draw_steps(salt, "patient_id", method=METHOD).alias(name) for name, salt in fixed.PATIENT_SALTS.items()],
+def returned_lines(spark, folder):
+    """Codes to flags and back: returned and open lines."""
+    lines = sources.load(spark, folder, "lineitem").select(
+        "l_returnflag",
+        decode_flag("l_returnflag", "R").alias("returned"),
+        decode_flag("l_linestatus", "O").alias("open"),
+        "l_quantity",
+    )
+    flagged = lines.withColumn("returned_code", encode_flag("returned"))
+    return flagged.groupBy("l_returnflag", "returned", "open", "returned_code").agg(
+        F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(38,2)").alias("quantity")
     )
 
 
 @query
-def weighted_category(spark, folder):
-    return people(spark, folder).select("patient_id", "age", "birth_date", "clinic_code", "coverage_type")
+def dates_as_text(spark, folder):
+    """Ship dates written as text in one form and read again: every row must come back."""
+    day = F.col("l_shipdate").cast("date")
+    text = format_date(day, "dd/MM/yyyy")
+    read = parse_date(text, "dd/MM/yyyy", strict=False)
+    lines = sources.load(spark, folder, "lineitem").select(
+        F.substring(text, 4, 7).alias("month_text"), read.alias("read"), day.alias("day")
+    )
+    return lines.groupBy("month_text").agg(
+        F.count("*").alias("lines"), F.count_if(F.col("read") == F.col("day")).alias("same"), F.min("read").alias("first_day")
+    )
 
 
 @query
-def adjusted_flags(spark, folder):
+def account_age(spark, folder):
+    """Accounts by completed years between the order and the last order of all."""
+    last = sales_extent(spark, folder).select("last_date").scalar()
+    years = age_in_years("discharge_date", last)
     return (
-        people(spark, folder)
-        .groupBy(
-            "has_copd",
-            "has_diabetes",
-            "transportation_barrier",
-            "housing_instability",
-            "food_insecurity",
-            "is_tobacco_user",
-        )
-        .agg(F.count("*").alias("patients"), F.min("patient_id").alias("first_patient"))
+        sales.accounts(spark, folder)
+        .groupBy(years.alias("years"))
+        .agg(F.count("*").alias("accounts"), F.max("discharge_date").alias("youngest"))
     )
 
 
 @query
-def clamped_score(spark, folder):
-    return visits(spark, folder).select(
-        "encounter_id",
-        F.round("intervention_score", 6).alias("intervention_score"),
-        "care_given",
-        "care_recorded",
+def split_entities(spark, folder):
+    """One wide base split into its entities, each profiled."""
+    base = sales.accounts(spark, folder)
+    parts = conform.split(
+        base,
+        {
+            "accounts": {"id": "hospital_account_id", "amount": "total_charges"},
+            "patients": {"id": "patient_id", "amount": "total_charges"},
+            "encounters": {"id": "primary_encounter_id", "amount": "ms_drg_weight"},
+        },
     )
+    lines = [
+        frame.agg(
+            F.count("*").alias("rows"),
+            F.countDistinct("id").alias("distinct_keys"),
+            F.sum(F.col("amount").cast("decimal(18,2)")).cast("decimal(38,2)").alias("amount"),
+        ).select(F.lit(name).alias("entity"), "*")
+        for name, frame in parts.items()
+    ]
+    return reduce(DataFrame.union, lines)
 
 
 @query
-def entity_period_panel(spark, folder):
-    return clinic.panel(people(spark, folder), METHOD).select(
-        "encounter_id", "patient_id", "month_index", "reporting_month", "encounter_date"
+def urgent_members(spark, folder):
+    """Membership, and all rows outside of a segment that two conditions make."""
+    rows = sales.accounts(spark, folder)
+    chosen = rows.where(F.col("financial_class_group").isin("1-URGENT", "2-HIGH"))
+    kept = derive.outside(chosen, (F.col("patient_type") == "Inpatient") & F.col("surgical_case_flag"))
+    return kept.groupBy("patient_type", "financial_class_group").agg(
+        F.count("*").alias("accounts"), F.sum("total_charges").cast("decimal(38,2)").alias("charges")
     )
 
 
 @query
 def keyed_sample(spark, folder):
-    chosen = derive.keyed_sample(
-        clinic.panel(people(spark, folder), METHOD),
-        fixed.SECOND_NOTE_SALT,
-        ["encounter_id"],
-        fixed.SECOND_NOTE_SHARE,
-        method=METHOD,
-    )
-    return chosen.select("encounter_id", "patient_id", "reporting_month")
+    """About a tenth of the accounts, the same on every run, with their columns."""
+    chosen = derive.keyed_sample(sales.accounts(spark, folder), "sample", ["hospital_account_id"], 0.1, method="md5")
+    return chosen.select("hospital_account_id", "patient_id", "discharge_date", "patient_type", "total_charges")
 
 
 @query
-def segment_thinning(spark, folder):
-    return (
-        hospital.kept_discharges(account_keys(spark, folder), METHOD)
-        .groupBy("discharge_month", "department_id")
-        .agg(
-            F.count("*").alias("accounts"),
-            F.min("discharge_date").alias("first_date"),
-            F.max("discharge_date").alias("last_date"),
-        )
+def customer_months(spark, folder):
+    """Every customer in each of three months, with or without orders."""
+    customers = sources.load(spark, folder, "customer").select(F.col("c_custkey").alias("patient_id"), "c_mktsegment")
+    panel = derive.month_panel(customers, dt.date(1999, 1, 1), 3)
+    day = F.col("o_orderdate")
+    orders = sales.accounts(
+        spark, folder, (day >= F.lit("1999-01-01").cast("timestamp_ntz")) & (day < F.lit("1999-04-01").cast("timestamp_ntz"))
     )
-
-
-@query
-def money_chain(spark, folder):
-    return hospital_base(spark, folder).select(
-        "hospital_account_id",
-        "product",
-        "patient_type",
-        "surgical_case_flag",
-        "financial_class_group",
-        "total_charges",
-        "estimated_net_revenue",
-        "total_direct_cost",
-        "total_indirect_cost",
-        "total_actual_payment",
+    counts = orders.groupBy("patient_id", F.trunc("discharge_date", "month").alias("reporting_month")).agg(
+        F.count("*").alias("orders")
+    )
+    joined = panel.join(counts, ["patient_id", "reporting_month"], "left")
+    return joined.groupBy("c_mktsegment", "reporting_month").agg(
+        F.count("*").alias("customers"),
+        F.count("orders").alias("with_orders"),
+        F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
     )
 
 
 @query
-def stay_dates(spark, folder):
-    return hospital_base(spark, folder).select(
-        "hospital_account_id", "patient_type", "length_of_stay_days", "admission_date", "discharge_date"
+def daily_spine(spark, folder):
+    """Events of each of the first 40 days of the year; days without any are shown too."""
+    days = sources.spine(spark, 40, "day_number").withColumn("day", F.expr("date_add(DATE '2024-01-01', CAST(day_number AS INT))"))
+    counts = (
+        sources.load(spark, folder, "events")
+        .groupBy(F.col("ts").cast("date").alias("day"))
+        .agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"))
     )
+    joined = days.join(counts, "day", "left")
+    return joined.select("day", *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in ("events", "users")])
 
 
-@query
-def drg_weight(spark, folder):
-    return hospital_base(spark, folder).select("hospital_account_id", "patient_type", "ms_drg_weight")
+EVENT_LABELS = [("view", "looked"), ("click", "looked"), ("signup", "joined"), ("purchase", "bought")]
 
 
 @query
-def row_state_text(spark, folder):
-    return clinic.encoded_notes(visits(spark, folder), METHOD)
+def inline_labels(spark, folder):
+    """Events by the label of a literal dimension; types that it lacks have none."""
+    labels = sources.inline_table(spark, EVENT_LABELS, "event_type STRING, label STRING")
+    joined = join_dimension(sources.load(spark, folder, "events"), labels, "event_type", "left")
+    return joined.groupBy("label").agg(
+        F.count("*").alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("value")
+    )
 
 
-@query
-def encode_source(spark, folder):
-    return clinic.encoded_encounters(visits(spark, folder))
+# === Text evidence =======================================================================
 
 
 @query
-def encode_assessments(spark, folder):
-    return clinic.encoded_assessments(people(spark, folder))
+def keyword_candidates(spark, folder):
+    found = evidence.keyword_candidates(
+        sources.load(spark, folder, "documents"),
+        sources.load(spark, folder, "labels"),
+        on="doc_id",
+        text="text",
+        pattern="licen[sc]e|copyright|[Rr]eserved|@",
+        parent_filter=F.col("toxic") == 0,
+    )
+    return found.select("doc_id", "lang", "source", "quality", "n_chars")
 
 
-@query
-def conform_encounters(spark, folder):
-    return clinic_tables(spark, folder).encounters
+LICENCE_RULES = evidence.EvidenceRules(
+    care=r"\b([Ll]icensed|[Rr]eleased) under\b",
+    excluded=r"CC BY-NC",
+    refusal=r"^All rights reserved$",
+)
 
 
 @query
-def conform_assessments(spark, folder):
-    return clinic_tables(spark, folder).assessments
+def licence_grants(spark, folder):
+    """Every clause in which a document grants a licence for any use."""
+    labelled = evidence.label_notes(sources.load(spark, folder, "documents"), LICENCE_RULES, "text")
+    return evidence.phrase_rows(labelled, "doc_id", "source")
 
 
 @query
-def conform_notes(spark, folder):
-    return clinic_tables(spark, folder).notes
+def licence_grants_by_source(spark, folder):
+    """Documents collapsed to their source: how many grant a licence, and the first of them."""
+    labelled = evidence.label_notes(sources.load(spark, folder, "documents"), LICENCE_RULES, "text")
+    return evidence.evidence_per_parent(labelled, "source", "doc_id")
 
 
-@query
-def split_entities(spark, folder):
-    parts = hospital_tables(spark, folder)
-    lines = [
-        frame.agg(
-            F.count("*").alias("rows"),
-            F.countDistinct(key).alias("distinct_keys"),
-            F.sum(amount).cast("decimal(38,2)").alias("amount"),
-        ).select(F.lit(name).alias("entity"), "*")
-        for name, frame, key, amount in [
-            ("accounts", parts.accounts, "hospital_account_id", "total_charges"),
-            ("encounters", parts.encounters, "encounter_id", "length_of_stay_days"),
-            ("financials", parts.financials, "hospital_account_id", "estimated_net_revenue"),
-        ]
-    ]
-    return reduce(DataFrame.union, lines)
+def labelled_notes(spark, folder):
+    return evidence.label_notes(activity.notes(spark, folder), activity.TURN_RULES)
 
 
-# === Text evidence =======================================================================
+@query
+def note_labels(spark, folder):
+    return labelled_notes(spark, folder).select("note_id", "encounter_id", "note_type", "n_phrases", "label")
 
 
 @query
-def keyword_candidates(spark, folder):
-    found = evidence.keyword_candidates(
-        sources.load(spark, folder, "documents"),
-        sources.load(spark, folder, "labels"),
-        on="doc_id",
-        spread=["source", "n_chars"],
-        text="text",
-        pattern="licen[sc]e|copyright|[Rr]eserved|@",
-        parent_filter=F.col("toxic") == 0,
-    )
-    return found.select("doc_id", "lang", "source", "quality", "n_chars")
+def note_phrases(spark, folder):
+    """The review table: every supporting phrase with its note and place."""
+    return evidence.phrase_rows(labelled_notes(spark, folder), "note_id", "encounter_id")
 
 
 @query
-def keyword_candidates_notes(spark, folder):
-    return _candidates(spark, folder)
+def evidence_per_encounter(spark, folder):
+    return evidence.evidence_per_parent(labelled_notes(spark, folder))
 
 
-def _candidates(spark: SparkSession, folder: str) -> DataFrame:
-    source = clinic_tables(spark, folder)
+@query
+def note_gap_candidates(spark, folder):
+    """Turns that mention a word, of encounters with a gap in the structured data."""
     gap = (
-        (F.col("age_at_encounter") >= 12)
-        & (F.col("tobacco_screen_status") == "current_user")
-        & (~F.col("structured_cessation_intervention"))
-    )
-    encounter_side = source.encounters.select(
-        "encounter_id",
-        "patient_id",
-        "reporting_month",
-        "structured_cessation_intervention",
-        "age_at_encounter",
-        "tobacco_screen_status",
+        (F.col("age_at_encounter") >= gold_tables.ELIGIBLE_AGE)
+        & (F.col("tobacco_screen_status") == gold_tables.CURRENT_USER)
+        & ~F.col("structured_cessation_intervention")
     )
     found = evidence.keyword_candidates(
-        source.notes.select("note_id", "encounter_id", "note_text"),
-        encounter_side,
+        activity.notes(spark, folder).drop("patient_id"),
+        activity.encounters(spark, folder),
         on="encounter_id",
-        spread="note_id",
         text="note_text",
-        pattern=fixed.CANDIDATE_KEYWORDS,
+        pattern=r"\b(that|avec|nicht|por)\b",
         parent_filter=gap,
     )
-    return found.select(
-        "encounter_id",
-        "patient_id",
-        "reporting_month",
-        "structured_cessation_intervention",
-        "note_id",
-        "note_text",
-    )
-
-
-@query
-def note_evidence(spark, folder):
-    return evidence.label_notes(clinic_tables(spark, folder).notes, fixed.NOTE_RULES).select(
-        "note_id", "encounter_id", "label", "phrase"
-    )
-
-
-@query
-def document_sentences(spark, folder):
-    """The evidence operator over whole documents, with rules for common French and German words."""
-    rules = evidence.EvidenceRules(include="(?i) (pour|avec|auch|nicht) ", exclude="(?i) (la|und) ")
-    labelled = evidence.label_notes(sources.load(spark, folder, "documents"), rules, "text")
-    return labelled.select("doc_id", "lang", "label", "phrase")
-
-
-@query
-def evidence_per_encounter(spark, folder):
-    labelled = evidence.label_notes(clinic_tables(spark, folder).notes, fixed.NOTE_RULES)
-    return evidence.evidence_per_parent(labelled)
+    return found.select("encounter_id", "patient_id", activity.PERIOD, "note_id", "note_text")
 
 
 @query
@@ -613,42 +631,61 @@ def representative_text(spark, folder):
 
 @query
 def contrast_sample(spark, folder):
-    return evidence.contrast_sample(
-        clinic_tables(spark, folder).notes, fixed.CONTRAST_NOTES, fixed.NOTE_RULES
-    ).orderBy("note_id")
+    """One document of each chosen licence line, labelled."""
+    lines = sources.load(spark, folder, "documents").select(
+        "doc_id", F.explode(F.split("text", "\n")).alias("line")
+    )
+    chosen = [
+        "Licensed under the Apache License, Version 2.0.",
+        "Released under the MIT License.",
+        "Licensed under CC BY-NC 4.0.",
+        "All rights reserved.",
+    ]
+    return evidence.contrast_sample(lines, chosen, LICENCE_RULES, "doc_id", "line").orderBy("doc_id", "line")
 
 
-# === Patient-months and their measures ====================================================
+# === User-weeks and their measures ========================================================
 
 
 @query
-def patient_month_gold(spark, folder):
-    return clinic_gold(spark, folder)
+def patient_period_gold(spark, folder):
+    return activity.gold(spark, folder)
 
 
 @query
 def quality_rates(spark, folder):
-    return measures.evaluate(clinic_gold(spark, folder), measures.CLINICAL)
+    return measures.evaluate(activity.gold(spark, folder), measures.CLINICAL)
 
 
 @query
 def quality_rates_by_cohort(spark, folder):
-    return measures.clinical_view(clinic_gold(spark, folder)).by(
+    return measures.clinical_view(activity.gold(spark, folder), activity.PERIOD).by(
         "clinic", "has_copd", "has_diabetes", "transportation_barrier"
     )
 
 
+def activity_extent(spark, folder):
+    return compare.extent(activity.encounters(spark, folder), "encounter_date")
+
+
 @query
 def quality_trend(spark, folder):
-    return compare.trend(clinic_gold(spark, folder), measures.CLINICAL, "reporting_month", ["clinic"])
+    return compare.trend(
+        activity.gold(spark, folder),
+        measures.CLINICAL,
+        activity.PERIOD,
+        ["clinic"],
+        last=activity_extent(spark, folder),
+        period_end=lambda week: F.date_add(week, 6),
+    )
 
 
 @query
 def care_gaps(spark, folder):
     return measures.evaluate(
-        clinic_gold(spark, folder),
+        activity.gold(spark, folder),
         measures.pick(measures.CLINICAL, "care_gaps", "cessation_den"),
-        ["reporting_month", "clinic", "housing_instability", "food_insecurity"],
+        [activity.PERIOD, "clinic", "housing_instability", "food_insecurity"],
         where=F.col("transportation_barrier"),
     )
 
@@ -656,65 +693,66 @@ def care_gaps(spark, folder):
 @query
 def num_le_den(spark, folder):
     pairs = {name: (f"{name}_num", f"{name}_den") for name in ("screening", "cessation", "combined")}
-    return checks.numerators_within(clinic_gold(spark, folder), pairs, ["clinic"])
+    return checks.numerators_within(activity.gold(spark, folder), pairs, ["clinic"])
 
 
-def clinic_compare(spark, folder, comparison, dims=(), chosen=measures.CLINICAL):
-    source = clinic_tables(spark, folder)
+def activity_compare(spark, folder, comparison, dims=(), chosen=measures.CLINICAL):
     return compare.compare(
-        clinic.gold(source),
-        chosen,
-        "reporting_month",
-        compare.extent(source.encounters, "reporting_month"),
-        [comparison],
-        dims,
+        activity.gold(spark, folder), chosen, activity.PERIOD, activity_extent(spark, folder), [comparison], dims
     )
 
 
 @query
 def rate_point_change(spark, folder):
-    return clinic_compare(spark, folder, compare.latest_months(1, "latest_month"))
+    return activity_compare(spark, folder, compare.latest_weeks(1, "latest_week"))
+
+
+@query
+def two_week_compare(spark, folder):
+    return activity_compare(spark, folder, compare.latest_weeks(WINDOW_WEEKS, "two_weeks"), ["clinic"])
 
 
 @query
-def half_year_compare(spark, folder):
-    return clinic_compare(spark, folder, compare.latest_months(HALF_YEAR, "half_year"), ["clinic"])
+def gap_contribution(spark, folder):
+    dims = ["clinic", "transportation_barrier"]
+    changes = activity_compare(
+        spark, folder, compare.latest_weeks(WINDOW_WEEKS, "two_weeks"), dims, measures.pick(measures.CLINICAL, "care_gaps")
+    )
+    return compare.contribution(changes, "care_gaps", dims)
 
 
 @query
-def cohort_contribution(spark, folder):
+def rate_contribution(spark, folder):
+    """Which clinics and groups account for the change of the cessation rate, in points."""
     dims = ["clinic", "transportation_barrier"]
-    changes = clinic_compare(
+    changes = activity_compare(
         spark,
         folder,
-        compare.latest_months(HALF_YEAR, "half_year"),
+        compare.latest_weeks(WINDOW_WEEKS, "two_weeks"),
         dims,
-        measures.pick(measures.CLINICAL, "care_gaps"),
+        measures.rate("cessation", "cessation_num", "cessation_den"),
     )
-    return compare.contribution(changes, "care_gaps", dims)
+    return compare.rate_contribution(changes, "cessation", dims)
 
 
 @query
 def attributes_left_join(spark, folder):
     labels = sources.load(spark, folder, "labels")
     documents = sources.load(spark, folder, "documents").select("doc_id", "lang", "n_chars")
-    joined = join_dimension(documents, labels, "doc_id", spread=["lang", "n_chars"], how="left")
+    joined = join_dimension(documents, labels, "doc_id", how="left")
     return joined.groupBy("lang", "quality", "toxic").agg(
         F.count("*").alias("documents"), F.sum("n_chars").cast("long").alias("characters")
     )
 
 
-# === The clinical notebook's queries =======================================================
-
-
 @query
 def encounter_preview(spark, folder):
     return conform.preview(
-        clinic_tables(spark, folder).encounters,
+        activity.encounters(spark, folder),
         [
             "encounter_id",
             "patient_id",
-            "reporting_month",
+            activity.PERIOD,
             "clinic",
             "age_at_encounter",
             "tobacco_screen_status",
@@ -730,309 +768,35 @@ def encounter_preview(spark, folder):
 @query
 def status_profile(spark, folder):
     return checks.profile(
-        clinic_tables(spark, folder).encounters,
+        activity.encounters(spark, folder),
         "tobacco_screen_status",
-        F.count("*").alias("encounter_months"),
-        F.count_if(F.col("age_at_encounter") >= 12).alias("age_12_plus_months"),
-        order="encounter_months",
+        F.count("*").alias("encounters"),
+        F.count_if(F.col("age_at_encounter") >= gold_tables.ELIGIBLE_AGE).alias("eligible"),
+        order="encounters",
     )
 
 
 @query
 def assessment_preview(spark, folder):
     return conform.preview(
-        clinic_tables(spark, folder).assessments,
-        [
-            "patient_id",
-            "assessment_date",
-            "transportation_barrier",
-            "housing_instability",
-            "food_insecurity",
-        ],
+        activity.assessments(spark, folder),
+        ["patient_id", "transportation_barrier", "housing_instability", "food_insecurity"],
         [F.desc("transportation_barrier"), "patient_id"],
         10,
     )
 
 
-@query
-def structured_gap_preview(spark, folder):
-    found = _candidates(spark, folder)
-    return conform.preview(found, found.columns, ["encounter_id", "note_id"], 12)
-
-
 @query
 def note_join_grain(spark, folder):
-    source = clinic_tables(spark, folder)
-    return checks.join_grain(source.encounters, source.notes, "encounter_id", "encounter_id")
-
-
-@query
-def assessment_grain(spark, folder):
-    return checks.key_profile({"assessments": (clinic_tables(spark, folder).assessments, "patient_id")})
-
-
-@query
-def clinic_source_checks(spark, folder):
-    source = clinic_tables(spark, folder)
-    encounters, notes = F.col("encounters"), F.col("notes")
-    by_encounter = checks.presence(
-        {"encounters": (source.encounters, ["encounter_id"]), "notes": (source.notes, ["encounter_id"])}
-    )
-    linked = checks.count_violations(
-        by_encounter,
-        {
-            "encounter id occurs more than once": encounters > 1,
-            "note without encounter": (notes > 0) & (encounters == 0),
-        },
-    )
-    return linked.unionByName(
-        violation_counts(
-            {
-                "patient-month occurs more than once": checks.duplicates(
-                    source.encounters, "patient_id", "reporting_month"
-                ),
-                "note id occurs more than once": checks.duplicates(source.notes, "note_id"),
-                "patient with more than one assessment": checks.duplicates(source.assessments, "patient_id"),
-            }
-        )
-    )
-
-
-def violation_counts(violations: dict[str, DataFrame]) -> DataFrame:
-    lines = [
-        frame.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
-        for name, frame in violations.items()
-    ]
-    return reduce(DataFrame.union, lines)
-
-
-# === The finance notebook's queries ========================================================
-
-
-@query
-def account_preview(spark, folder):
-    accounts = hospital_tables(spark, folder).accounts
-    return conform.preview(accounts, accounts.columns, ["hospital_account_id"], 10)
-
-
-@query
-def primary_encounter_preview(spark, folder):
-    encounters = hospital_tables(spark, folder).encounters
-    return conform.preview(encounters, encounters.columns, ["encounter_id"], 10)
-
-
-@query
-def department_list(spark, folder):
-    """Departments that occur among the accounts, in order."""
-    tables = hospital_tables(spark, folder)
-    used = tables.accounts.select(F.col("discharge_department_id").alias("department_id")).distinct()
-    return tables.departments.join(used, "department_id", "left_semi").orderBy(
-        "facility", "service_line", "product"
-    )
-
-
-@query
-def financials_preview(spark, folder):
-    financials = hospital_tables(spark, folder).financials
-    return conform.preview(financials, financials.columns, ["hospital_account_id"], 10)
-
-
-@query
-def source_key_profile(spark, folder):
-    tables = hospital_tables(spark, folder)
-    return checks.key_profile(
-        {
-            "accounts": (tables.accounts, "hospital_account_id"),
-            "encounters": (tables.encounters, "encounter_id"),
-            "departments": (tables.departments, "department_id"),
-            "financials": (tables.financials, "hospital_account_id"),
-        }
-    )
-
-
-@query
-def star_join_grain(spark, folder):
-    return hospital.gold(hospital_tables(spark, folder)).agg(
-        F.count("*").alias("joined_rows"),
-        F.countDistinct("hospital_account_id").alias("distinct_accounts"),
-        F.countDistinct("primary_encounter_id").alias("distinct_encounters"),
-        F.countDistinct("patient_id").alias("distinct_patients"),
-    )
-
-
-@query
-def patient_type_profile(spark, folder):
-    return checks.profile(
-        hospital_tables(spark, folder).encounters,
-        "patient_type",
-        F.count("*").alias("encounters"),
-        F.count_if("surgical_case_flag").alias("surgical_cases"),
-        F.count("ms_drg_weight").alias("encounters_with_drg_weight"),
-        F.round(
-            F.try_divide(
-                F.sum(F.col("ms_drg_weight").cast("decimal(18,4)")).cast("double"), F.count("ms_drg_weight")
-            ),
-            2,
-        ).alias("average_cmi"),
-        order="encounters",
-    )
-
-
-@query
-def discharge_extent(spark, folder):
-    found = compare.extent(hospital_tables(spark, folder).accounts, "discharge_date")
-    return found.select(
-        F.col("first_date").alias("first_discharge"),
-        F.col("last_date").alias("latest_discharge"),
-        F.col("last_month").alias("latest_month_start"),
-        "latest_complete_month",
-    )
-
-
-@query
-def emergency_season(spark, folder):
-    tables = hospital_tables(spark, folder)
-    day = F.col("discharge_date")
-    chosen = (
-        tables.accounts.withColumnRenamed("discharge_department_id", "department_id")
-        .join(tables.departments.where(F.col("service_line") == "Emergency"), "department_id")
-        .where((day >= F.lit(dt.date(2025, 4, 1))) & (day < F.lit(dt.date(2026, 9, 1))))
-        .where(F.month(day).between(4, 8))
-    )
-    return (
-        chosen.groupBy(
-            F.year(day).alias("discharge_year"), F.month(day).alias("discharge_month"), "facility", "product"
-        )
-        .agg(F.count("*").alias("emergency_encounters"))
-        .orderBy("discharge_month", "discharge_year", "facility", "product")
-    )
-
-
-@query
-def hospital_gold(spark, folder):
-    return hospital.gold(hospital_tables(spark, folder)).select(
-        "admission_date", "length_of_stay_days", *GOLD_ACCOUNT_COLUMNS
-    )
-
-
-@query
-def hospital_measures(spark, folder):
-    return measures.finance_view(hospital_rows(spark, folder)).by(
-        "fiscal_year", "facility", "service_line", "product", "patient_type", "financial_class_group"
-    )
-
-
-@query
-def hospital_trend(spark, folder):
-    return compare.trend(
-        hospital_rows(spark, folder), measures.FINANCE, "discharge_month", ["service_line"]
-    )
-
-
-def hospital_compare(spark, folder, comparisons, dims, chosen=measures.FINANCE, where=None):
-    rows = hospital_rows(spark, folder)
-    return compare.compare(
-        rows,
-        chosen,
-        "discharge_date",
-        compare.extent(rows, "discharge_date"),
-        comparisons,
-        dims,
-        where,
-    )
-
-
-@query
-def hospital_changes(spark, folder):
-    """Month over month, year over year and matched month to date, by segment, in one pass."""
-    return hospital_compare(
-        spark,
-        folder,
-        [compare.month_over_month(), compare.year_over_year(), compare.month_to_date()],
-        ["service_line", "facility", "product"],
-    )
-
-
-@query
-def emergency_contribution(spark, folder):
-    """Parts of the change in emergency accounts, season against season."""
-    changes = hospital_compare(
-        spark,
-        folder,
-        [compare.season(SEASON_START)],
-        SEGMENT,
-        [measures.count_rows("accounts")],
-        where=F.col("service_line") == "Emergency",
-    )
-    return compare.contribution(changes, "accounts", SEGMENT)
-
-
-@query
-def emergency_financial_change(spark, folder):
-    return hospital_compare(
-        spark,
-        folder,
-        [compare.season(SEASON_START)],
-        SEGMENT,
-        measures.pick(measures.FINANCE, "encounters", "net_revenue", "revenue_after_direct"),
-        where=F.col("service_line") == "Emergency",
-    )
-
-
-@query
-def hospital_source_checks(spark, folder):
-    tables = hospital_tables(spark, folder)
-    accounts, financials, encounters = F.col("accounts"), F.col("financials"), F.col("encounters")
-    by_account = checks.presence(
-        {
-            "accounts": (tables.accounts, ["hospital_account_id"]),
-            "financials": (tables.financials, ["hospital_account_id"]),
-        }
-    )
-    by_pair = checks.presence(
-        {
-            "accounts": (tables.accounts, ["hospital_account_id", "primary_encounter_id"]),
-            "encounters": (tables.encounters, ["hospital_account_id", "encounter_id"]),
-        }
-    )
-    linked = checks.count_violations(
-        by_account,
-        {
-            "account id occurs more than once": accounts > 1,
-            "account with more than one financial row": financials > 1,
-            "account without a financial row": (accounts > 0) & (financials == 0),
-        },
-    ).unionByName(
-        checks.count_violations(
-            by_pair, {"account without its primary encounter": (accounts > 0) & (encounters == 0)}
-        )
-    )
-    return linked.unionByName(
-        violation_counts(
-            {
-                "encounter id occurs more than once": checks.duplicates(tables.encounters, "encounter_id"),
-                "department id occurs more than once": checks.duplicates(tables.departments, "department_id"),
-                "account without a department": checks.orphans(
-                    tables.accounts, tables.departments, {"discharge_department_id": "department_id"}
-                ),
-            }
-        )
+    return checks.join_grain(
+        activity.encounters(spark, folder), activity.notes(spark, folder), "encounter_id", "encounter_id"
     )
 
 
 @query
-def emergency_decline(spark, folder):
-    tables = hospital_tables(spark, folder)
-    located = tables.accounts.withColumnRenamed("discharge_department_id", "department_id").join(
-        tables.departments, "department_id"
-    )
-    return checks.expected_trend(
-        located,
-        "discharge_date",
-        2026,
-        (4, 8),
-        (F.col("facility") == "Main Hospital") & (F.col("product") == "ED Visit"),
-    )
+def assessment_grain(spark, folder):
+    rows = activity.assessments(spark, folder)
+    return rows.agg(F.count("*").alias("assessment_rows"), F.countDistinct("patient_id").alias("distinct_patients"))
 
 
 # === Scan and sort forms ====================================================================

@@ -7,10 +7,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.coding import cents, from_cents, map_values, share_of
+from tallymark.functions.coding import map_values, money, rate, share_of
 from tallymark.operators import gold as gold_tables
 from tallymark.operators.conform import conform
-from tallymark.operators.joins import collapse, join_dimension
+from tallymark.operators.joins import collapse, join_dimension, only_of
 from tallymark.sources.tables import load
 
 PATIENT_TYPES = {"F": "Inpatient", "O": "Outpatient"}
@@ -19,15 +19,15 @@ SURGICAL_PRIORITY = "1-URGENT"
 WEIGHT_PER_UNIT = Decimal("0.00001")
 
 
-def accounts(spark: SparkSession, folder: str, since: Column | None = None) -> DataFrame:
+def accounts(spark: SparkSession, folder: str, chosen: Column | None = None) -> DataFrame:
     """One row per order, with the columns of its own primary encounter.
 
-    ``since`` is a first instant, compared with the stored timestamp: a filter on the date
-    made from it would not reach the scan when its bound comes from a subquery.
+    ``chosen`` is a condition on the stored ``o_orderdate``: one on the date made from it
+    would not reach the scan when its bounds come from subqueries.
     """
     orders = load(spark, folder, "orders")
-    if since is not None:
-        orders = orders.where(F.col("o_orderdate") >= since)
+    if chosen is not None:
+        orders = orders.where(chosen)
     charges = F.col("o_totalprice").cast("decimal(18,2)")
     inpatient = F.col("o_orderstatus") == "F"
     return conform(
@@ -68,27 +68,50 @@ def departments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def financials(spark: SparkSession, folder: str) -> DataFrame:
-    """Line amounts, each rounded to cents, added up to one row per order."""
-    price = cents("l_extendedprice")
-    discount, tax = cents("l_discount"), cents("l_tax")  # whole percents
-    lines = load(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("hospital_account_id"),
-        share_of(price, 100 - discount, 100).alias("net"),
-        share_of(price, discount, 100).alias("direct"),
-        share_of(price, tax, 100).alias("indirect"),
+def financials(spark: SparkSession, folder: str, of: DataFrame | None = None) -> DataFrame:
+    """Line amounts, each rounded to cents, added up to one row per order.
+
+    With ``of``, only the lines of those accounts, cut before they are added up.
+    """
+    lines = load(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "hospital_account_id")
+    if of is not None:
+        lines = only_of(lines, of, "hospital_account_id")
+    price, discount, tax = money("l_extendedprice"), rate("l_discount"), rate("l_tax")
+    parts = lines.select(
+        "hospital_account_id",
+        share_of(price, 1 - discount).alias("net"),
+        share_of(price, discount).alias("direct"),
+        share_of(price, tax).alias("indirect"),
         tax.alias("tax"),
     )
     amounts = {
         "estimated_net_revenue": F.col("net"),
         "total_direct_cost": F.col("direct"),
         "total_indirect_cost": F.col("indirect"),
-        "total_actual_payment": share_of(F.col("net"), 100 + F.col("tax"), 100),
+        "total_actual_payment": share_of(F.col("net"), 1 + F.col("tax")),
     }
     return collapse(
-        lines,
+        parts,
         "hospital_account_id",
-        *[from_cents(F.sum(amount)).alias(name) for name, amount in amounts.items()],
+        *[F.sum(amount).cast("decimal(18,2)").alias(name) for name, amount in amounts.items()],
+    )
+
+
+def primary_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order and line number: when it was shipped first, and its quantity.
+
+    Keyed by both columns, as an encounter is by its account's and its own id.
+    """
+    return collapse(
+        load(spark, folder, "lineitem").select(
+            F.col("l_orderkey").alias("hospital_account_id"),
+            F.col("l_linenumber").cast("long").alias("encounter_id"),
+            F.col("l_shipdate").cast("date").alias("shipped"),
+            F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
+        ),
+        ["hospital_account_id", "encounter_id"],
+        F.min("shipped").alias("first_shipped"),
+        F.sum("quantity").cast("decimal(18,2)").alias("quantity"),
     )
 
 
@@ -98,11 +121,12 @@ def located_accounts(spark: SparkSession, folder: str) -> DataFrame:
         accounts(spark, folder).withColumnRenamed("discharge_department_id", "department_id"),
         departments(spark, folder),
         "department_id",
-        spread="hospital_account_id",
     )
 
 
 def gold(spark: SparkSession, folder: str, account_rows: DataFrame | None = None) -> DataFrame:
     """All accounts, or the given ones of them."""
     rows = accounts(spark, folder) if account_rows is None else account_rows
-    return gold_tables.account(rows, departments(spark, folder), financials(spark, folder))
+    return gold_tables.account(
+        rows, departments(spark, folder), financials(spark, folder, account_rows)
+    )

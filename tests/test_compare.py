@@ -20,7 +20,17 @@ def test_windows_of_a_partial_month(spark):
     assert bounds(spark, compare.year_over_year(), last) == ["2026-08-01", "2026-08-31", "2025-08-01", "2025-08-31"]
     assert bounds(spark, compare.month_to_date(), last) == ["2026-09-01", "2026-09-20", "2025-09-01", "2025-09-20"]
     assert bounds(spark, compare.season(4), last) == ["2026-04-01", "2026-08-31", "2025-04-01", "2025-08-31"]
-    assert bounds(spark, compare.latest_months(6, "h"), "2026-09-01") == ["2026-04-01", "2026-09-30", "2025-10-01", "2026-03-31"]
+    half = ["2026-04-01", "2026-09-30", "2025-10-01", "2026-03-31"]
+    assert bounds(spark, compare.latest_months(6, "h", partial=True), "2026-09-01") == half
+    assert bounds(spark, compare.latest_months(6, "h"), "2026-09-30") == half
+    assert bounds(spark, compare.latest_months(1, "h"), "2026-09-01") == ["2026-08-01", "2026-08-31", "2026-07-01", "2026-07-31"]
+
+
+def test_windows_of_weeks(spark):
+    assert bounds(spark, compare.latest_weeks(1, "w"), "2024-01-30") == ["2024-01-22", "2024-01-28", "2024-01-15", "2024-01-21"]
+    assert bounds(spark, compare.latest_weeks(2, "w"), "2024-01-28") == ["2024-01-15", "2024-01-28", "2024-01-01", "2024-01-14"]
+    with pytest.raises(ValueError):
+        compare.latest_weeks(0, "w")
 
 
 def test_windows_around_leap_days_and_year_ends(spark):
@@ -93,14 +103,23 @@ def test_literal_last_date_gives_the_same_and_reaches_the_scan(spark, rows, tmp_
     assert run(stored, compare.month_over_month(), last=D("2026-09-20")) == run(rows, compare.month_over_month())
     literal = compare.compare(stored, SET, "day", D("2026-09-20"), [compare.month_over_month()])
     last, kinds = compare.extent(stored, "day"), [compare.month_over_month()]
-    needed = compare.within(stored, "day", last, kinds)
+    needed = stored.where(compare.in_any_window(F.col("day"), last, kinds))
     subquery = compare.compare(needed, SET, "day", last, kinds)
     assert subquery.exceptAll(literal).isEmpty() and literal.exceptAll(subquery).isEmpty()
     assert "GreaterThanOrEqual(day,2026-07-01)" in plan(literal)
-    assert "GreaterThanOrEqual(day,ScalarSubquery" in plan(subquery)
+    cut = stored.where(compare.in_any_window(F.col("day"), compare.last_date(stored, "day"), kinds))
+    assert cut.exceptAll(needed).isEmpty() and needed.exceptAll(cut).isEmpty()
+    assert "Or(And(GreaterThanOrEqual(day,2026-08-01),LessThan(day,2026-09-01))" in plan(cut)
     assert "NestedLoop" not in plan(subquery) and "Cartesian" not in plan(subquery)
 
 
+def test_the_gap_between_windows_is_left_out(rows):
+    kinds = [compare.year_over_year(), compare.month_to_date()]
+    for last in (compare.extent(rows, "day"), D("2026-09-20")):
+        kept = rows.where(compare.in_any_window(F.col("day"), last, kinds)).select("day").collect()
+        assert sorted(str(r.day) for r in kept) == ["2025-08-31", "2026-08-02", "2026-08-05", "2026-08-09", "2026-08-31", "2026-09-20"]
+
+
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -135,12 +154,44 @@ def test_rate_change_in_points_and_trend(spark):
     data = [(D("2026-08-01"), 1, 1)] * 3 + [(D("2026-08-01"), 0, 1)] + [(D("2026-07-01"), 1, 1), (D("2026-07-01"), 0, 1)]
     rows = spark.createDataFrame(data, "month date, num int, den int")
     rate = measures.rate("r", "num", "den")
-    row = compare.compare(rows, rate, "month", compare.extent(rows, "month"), [compare.latest_months(1, "m")]).first()
+    row = compare.compare(rows, rate, "month", compare.extent(rows, "month"), [compare.latest_months(1, "m", partial=True)]).first()
     assert (row.r_rate, row.r_rate_prior, row.r_rate_points) == (0.75, 0.5, 25.0)
     assert (row.r_num, row.r_den_prior) == (3, 2)
     assert [str(r.month) for r in compare.trend(rows, rate, "month").collect()] == ["2026-07-01", "2026-08-01"]
 
 
+def test_trend_marks_the_partial_period(rows):
+    months = rows.withColumn("month", F.trunc("day", "month"))
+    found = compare.trend(months, SET[:1], "month", last=compare.extent(rows, "day")).collect()
+    assert [(str(r.month), r.is_partial) for r in found][-2:] == [("2026-08-01", False), ("2026-09-01", True)]
+    assert {str(r.data_until) for r in found} == {"2026-09-20"}
+
+
+def test_parts_of_a_rate_change_add_up(spark):
+    def group(name, month, num, den):
+        return [(D(month), name, int(i < num), 1) for i in range(den)]
+
+    data = (
+        group("A", "2026-08-01", 6, 8) + group("A", "2026-07-01", 4, 4)
+        + group("B", "2026-08-01", 1, 4) + group("B", "2026-07-01", 2, 4)
+        + group("C", "2026-07-01", 1, 3) + group("D", "2026-08-01", 2, 2)
+    )
+    rows = spark.createDataFrame(data, "month date, grp string, num int, den int")
+    rate = measures.rate("r", "num", "den")
+    window = compare.latest_months(1, "m", partial=True)
+    changes = compare.compare(rows, rate, "month", D("2026-08-31"), [window], ["grp"])
+    parts = {r.grp: r for r in compare.rate_contribution(changes, "r", ["grp"]).collect()}
+    assert sum(r.points for r in parts.values()) == pytest.approx((9 / 14 - 7 / 11) * 100, abs=1e-3)
+    assert {r.total_points for r in parts.values()} == {round((9 / 14 - 7 / 11) * 100, 4)}
+    # By hand: B's share of the rows fell from 4/11 to 4/14, its rate from 1/2 to 1/4.
+    assert parts["B"].rate_points == pytest.approx((4 / 14 + 4 / 11) / 2 * -0.25 * 100, abs=1e-3)
+    level = (9 / 14 + 7 / 11) / 2
+    assert parts["B"].mix_points == pytest.approx((4 / 14 - 4 / 11) * (0.375 - level) * 100, abs=1e-3)
+    assert parts["C"].rate_points == 0 and parts["D"].rate_points == 0
+    ordered = [r.points for r in compare.rate_contribution(changes, "r", ["grp"]).collect()]
+    assert ordered == sorted(ordered)
+
+
 def test_extent(rows):
     row = compare.extent(rows, "day").first()
     assert [str(v) for v in row] == ["2025-08-31", "2026-09-20", "2026-09-01", "2026-08-01"]
@@ -163,13 +214,13 @@ def test_windows_of_every_last_date(spark):
         before, year_before = month(done.year, done.month - 1), month(done.year - 1, done.month)
         start = month(done.year, done.month - (done.month - 4) % 12)
         same_days = dt.date(last.year - 1, last.month, min(last.day, end(month(last.year - 1, last.month)).day))
-        half = month(this.year, this.month - 5)
+        half = month(done.year, done.month - 5)
         return [
             (done, end(done), before, end(before)),
             (done, end(done), year_before, end(year_before)),
             (this, last, month(last.year - 1, last.month), same_days),
             (start, end(done), month(start.year - 1, start.month), end(year_before)),
-            (half, end(this), month(half.year, half.month - 6), half - dt.timedelta(days=1)),
+            (half, end(done), month(half.year, half.month - 6), half - dt.timedelta(days=1)),
         ]
 
     kinds = [

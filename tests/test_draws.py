@@ -1,85 +1,43 @@
-import hashlib
+"""Keyed draws and what is sampled with them."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.functions import draws
+from tallymark.functions.draws import STEPS, draw_steps, uniform
 from tallymark.operators import derive
-from tallymark.sources.tables import spine
 
 
 @pytest.mark.parametrize("method", ["xxhash64", "md5"])
-def test_draws_do_not_depend_on_partitions(spark, method):
-    keys = spine(spark, 2_000, "id", 100_001)
-    wanted = [draws.draw_steps("age", "id", method=method).alias("u")]
-    one = keys.repartition(1).select("id", *wanted).collect()
-    seven = keys.repartition(7).select("id", *wanted).collect()
-    assert sorted(one) == sorted(seven)
-    values = [row.u for row in one]
-    assert 0 <= min(values) and max(values) < 1_000_000
-    assert abs(sum(values) / len(values) - 500_000) < 4 * 289_000 / 2_000**0.5
+def test_draws_depend_on_seed_salt_and_key_only(spark, method):
+    frame = spark.range(2_000)
+    first = {r.id: r.u for r in frame.select("id", uniform("a", "id", method=method).alias("u")).collect()}
+    again = {r.id: r.u for r in frame.repartition(7).select("id", uniform("a", "id", method=method).alias("u")).collect()}
+    assert first == again and all(0 <= u < 1 for u in first.values())
+    other = {r.id: r.u for r in frame.select("id", uniform("b", "id", method=method).alias("u")).collect()}
+    assert sum(first[i] == other[i] for i in first) < 20
+    assert abs(sum(first.values()) / 2_000 - 0.5) < 0.03
 
 
-def test_md5_draw_is_the_digest_prefix(spark):
-    steps = spark.range(1).select(draws.draw_steps("age", F.lit(100_001), method="md5")).first()[0]
-    assert steps == int(hashlib.md5(b"42|age|100001").hexdigest()[:8], 16) % 1_000_000
-
-
-def test_salts_and_seeds_differ(spark):
-    row = spark.range(1).select(
-        draws.draw_steps("a", "id"), draws.draw_steps("b", "id"), draws.draw_steps("a", "id", seed=7)
-    ).first()
-    assert len(set(row)) == 3
-
-
-def test_choose_wraps_and_weighted_choice_takes_the_first_rung(spark):
-    frame = spark.createDataFrame([(0, 0.0), (4, 0.3), (5, 0.65), (-1, 0.99)], "i int, u double")
-    rows = frame.select(
-        draws.choose(["a", "b", "c"], F.col("i")),
-        draws.weighted_choice("u", [(0.3, "x"), (0.65, "y")], "z"),
-    ).collect()
-    assert [tuple(row) for row in rows] == [("a", "x"), ("b", "y"), ("c", "z"), ("c", "z")]
-
-
-def test_adjusted_score_is_held_inside_its_bounds(spark):
-    frame = spark.createDataFrame([(True,), (False,)], "flag boolean")
-    rows = frame.select(
-        draws.adjusted_score(0.5, [("flag", -0.4)], low=0.2, high=0.9),
-        draws.adjusted_score(0.5, [("flag", 0.6)], low=0.2, high=0.9),
-    ).collect()
-    assert [tuple(row) for row in rows] == [(0.2, 0.9), (0.5, 0.5)]
-
-
-def test_whole_month_draw_covers_first_to_last_day(spark):
-    frame = spark.sql("SELECT DATE'2024-02-01' AS m, u FROM VALUES (0.0D), (0.999999D) AS t(u)")
-    days = [str(row[0]) for row in frame.select(draws.day_in_month("m", "u")).collect()]
-    assert days == ["2024-02-01", "2024-02-29"]
-    fixed = [str(row[0]) for row in frame.select(draws.day_in_month("m", "u", 24, 1)).collect()]
-    assert fixed == ["2024-02-02", "2024-02-25"]
-
-
-def test_arguments_are_checked(spark):
-    with pytest.raises(ValueError):
-        draws.draw_steps("a")
-    with pytest.raises(ValueError):
-        draws.draw_steps("a", "id", method="sha1")
-    with pytest.raises(ValueError):
-        draws.choose([], F.lit(0))
+def test_errors(spark):
     with pytest.raises(ValueError):
-        draws.weighted_choice("u", [(0.5, "a"), (0.4, "b")], "c")
+        draw_steps("a")
     with pytest.raises(ValueError):
-        derive.keyed_sample(spark.range(1), "s", ["id"], 1.5)
-    with pytest.raises(ValueError):
-        spine(spark, 0, "id")
-
+        draw_steps("a", F.lit(1), method="rand")
+    assert spark.range(1).select(draw_steps("a", F.lit(1))).first()[0] < STEPS
 
-def test_thinning_drops_rows_of_an_undecided_segment(spark):
-    frame = spark.createDataFrame([(1, True, 0.1), (2, True, 0.9), (3, False, 0.1), (4, None, 0.1)], "k int, s boolean, u double")
-    kept = derive.thin(frame, F.col("s"), "u", 0.5)
-    assert sorted(row.k for row in kept.collect()) == [2, 3]
 
+def test_sample_outside_panel_and_cutoff(spark):
+    import datetime as dt
 
-def test_filter_does_not_copy_a_column_computed_once(spark):
-    drawn = derive.computed_once(spark.range(10), {"u": draws.uniform("a", "id", method="md5")})
-    plan = drawn.where((F.col("u") > 0.2) & (F.col("u") < 0.7))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("md5(") == 1
+    frame = spark.range(3_000)
+    share = derive.keyed_sample(frame, "s", ["id"], 0.1).count() / 3_000
+    assert 0.07 < share < 0.13
+    with pytest.raises(ValueError):
+        derive.keyed_sample(frame, "s", ["id"], 1.5)
+    rows = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, inside boolean")
+    assert [r.id for r in derive.outside(rows, F.col("inside")).collect()] == [2]
+    panel = derive.month_panel(rows.select("id"), dt.date(2024, 11, 1), 3)
+    assert panel.count() == 9 and str(panel.agg(F.max("reporting_month")).first()[0]) == "2025-01-01"
+    with pytest.raises(ValueError):
+        derive.month_panel(rows, dt.date(2024, 11, 1), 0)
+    assert derive.as_of(panel, "reporting_month", dt.date(2024, 12, 1)).count() == 6

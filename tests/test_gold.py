@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -7,9 +8,9 @@ from pyspark.sql import functions as F
 from tallymark.operators import checks, gold, measures
 from tallymark.plans import fixed_values as fixed
 
-GIVEN = fixed.POSITIVE_NOTES[1]
-ALSO_GIVEN = fixed.POSITIVE_NOTES[3]
-DECLINED = fixed.NEGATIVE_NOTES[0]
+GIVEN = "Discussed stopping tobacco and referred the patient to the quitline during this visit."
+ALSO_GIVEN = "Counseled the patient on tobacco cessation today; nicotine gum given."
+DECLINED = "Current tobacco use documented. Patient declined cessation counseling today."
 ENCOUNTERS = (
     "encounter_id long, patient_id long, reporting_month date, clinic string, coverage_type string, "
     "age_at_encounter int, has_copd boolean, has_diabetes boolean, tobacco_screen_status string, "
@@ -38,6 +39,7 @@ def test_any_number_of_notes_keeps_one_row(spark):
     assert len(rows) == 4
     assert [rows[n].note_intervention for n in (1, 2, 3, 4)] == [False, True, True, True]
     assert [rows[n].evidence_notes for n in (1, 2, 3, 4)] == [0, 1, 1, 2]
+    assert [rows[n].evidence_phrases for n in (1, 2, 3, 4)] == [0, 1, 1, 3]
     assert (rows[4].evidence_note_id, rows[4].evidence_phrase) == (41, GIVEN.rstrip("."))
     assert rows[1].evidence_phrase is None
 
@@ -139,25 +141,39 @@ def test_account_gold_joins_on_both_keys(spark):
     accounts, departments, financials, primary = hospital(spark)
     result = gold.account(accounts, departments, financials, primary)
     rows = {r.hospital_account_id: r for r in result.collect()}
-    assert set(rows) == {1, 2, 3}  # account 4 has another account's encounter
+    # Account 4 stays, but the row that shares only its encounter's id is not its partner.
+    assert set(rows) == {1, 2, 3, 4}
+    assert {n: r.has_encounter for n, r in rows.items()} == {1: True, 2: True, 3: True, 4: False}
+    assert rows[4].patient_type is None and rows[4].total_charges == Decimal("100.00")
     assert (rows[1].fiscal_year, rows[1].fiscal_month, rows[2].fiscal_year, rows[2].fiscal_month) == (2025, 12, 2026, 1)
     assert rows[1].revenue_after_direct == Decimal("30.05")
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, \(\(hospital_account_id#\d+L = hospital_account_id#\d+L\) AND", plan)
     keys = {"primary_encounter_id": "encounter_id", "hospital_account_id": "hospital_account_id"}
     lost = checks.orphans(accounts, primary, keys).collect()
     assert [(r.primary_encounter_id, r.row_count) for r in lost] == [(14, 1)]
-    difference = {r.total: r.difference for r in checks.reconcile({"accounts": (accounts, {"charges": ("total_charges", "total_charges")})}, result).collect()}
-    assert difference == {"rows": 1, "charges": Decimal("100.00")}
+    reconciled = checks.reconcile({"accounts": (accounts, {"charges": ("total_charges", "total_charges")})}, result)
+    assert {r.total: r.difference for r in reconciled.collect()} == {"rows": 0, "charges": 0}
+
+
+def test_an_account_without_partners_stays(spark):
+    accounts, departments, financials, _ = hospital(spark)
+    result = gold.account(accounts, departments.where("department_id = 101"), financials.where("hospital_account_id > 1"))
+    rows = {r.hospital_account_id: r for r in result.collect()}
+    assert len(rows) == 4
+    assert (rows[2].has_department, rows[2].facility, rows[2].has_financials) == (False, None, True)
+    assert (rows[1].has_financials, rows[1].estimated_net_revenue, rows[1].revenue_after_direct) == (False, None, None)
 
 
 def test_finance_measures(spark):
     accounts, departments, financials, primary = hospital(spark)
     result = gold.account(accounts, departments, financials, primary)
     total = measures.evaluate(result, measures.FINANCE).first()
-    assert (total.patients, total.encounters, total.surgical_cases) == (2, 3, 1)
+    assert (total.patients, total.encounters, total.surgical_cases) == (3, 4, 1)
     assert total.case_mix_index == 2.0  # neither the outpatient weight nor the missing one
-    assert total.revenue_after_direct == Decimal("90.15")
+    assert total.revenue_after_direct == Decimal("120.20")
     groups = measures.evaluate(result, measures.FINANCE, ["product"]).collect()
-    assert sum(g.patients for g in groups) == 3 > total.patients
+    assert sum(g.patients for g in groups) == 4 > total.patients
     assert sum(g.net_revenue for g in groups) == total.net_revenue
     with pytest.raises(ValueError):
         measures.pick(measures.FINANCE, "profit")

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators import checks, joins
-from tallymark.sources.sizes import as_bytes, fill_cores
 
 
 def facts(spark, hot=4_000, cold=6_000):
@@ -18,44 +17,36 @@ def dimension(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_join_in_pieces_equals_the_plain_join(spark, how):
+def test_rows_are_the_same_with_and_without_broadcast(spark, how):
+    """A third of the rows and more on one key; the join is one and the same at every size."""
     left, right = facts(spark), dimension(spark)
-    pieces = joins.join_in_pieces(left, right, ["k"], ["row"], how)
-    plain = left.join(right, "k", how)
-    assert pieces.columns == plain.columns
-    assert pieces.exceptAll(plain).isEmpty() and plain.exceptAll(pieces).isEmpty()
-
-
-def test_hot_keys_are_few_and_split(spark):
-    found = {row.k: row[joins.PIECES] for row in joins.hot_keys(facts(spark), ["k"], 100).collect()}
-    assert set(found) == {7, None}
-    assert found[7] == 35 and found[None] == 14
-    assert joins.hot_keys(facts(spark), ["k"], 1).isEmpty()
-
-
-def test_small_dimension_is_joined_plainly_and_a_large_one_in_pieces(spark, monkeypatch, tmp_path):
-    dimension(spark).write.parquet(str(tmp_path / "d"))
-    right = spark.read.parquet(str(tmp_path / "d"))
-    small = joins.join_dimension(facts(spark), right, "k", spread="row")
-    monkeypatch.setattr(joins, "broadcast_limit", lambda frame: 0)
-    large = joins.join_dimension(facts(spark), right, "k", spread="row")
-
-    def plan(frame):
-        return frame._jdf.queryExecution().optimizedPlan().toString()
-
-    assert joins.SALT in plan(large) and joins.SALT not in plan(small)
-    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+    wanted = Counter(map(tuple, joins.join_dimension(left, right, "k", how).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = joins.join_dimension(left, right, "k", how)
+        assert Counter(map(tuple, joined.collect())) == wanted
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     with pytest.raises(ValueError):
-        joins.join_dimension(facts(spark), right, "k", spread="row", how="full")
+        joins.join_dimension(left, right, "k", "full")
 
 
-def test_sizes(spark, tmp_path):
-    assert as_bytes("10485760b") == as_bytes("10m") == 10 * 2**20
-    assert as_bytes("-1") == 0
-    spark.range(100).write.parquet(str(tmp_path / "t"))
-    small = spark.read.parquet(str(tmp_path / "t"))
-    assert "Repartition" in fill_cores(small, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert fill_cores(spark.range(10**9), "id").sameSemantics(spark.range(10**9))
+def test_only_the_detail_of_some_parents(spark):
+    parents = spark.createDataFrame([(7,), (7,), (3,), (None,)], "k long")
+    found = joins.only_of(facts(spark), parents, "k")
+    assert found.count() == facts(spark).where("k in (3, 7)").count()
+    assert found.columns == ["k", "row"] or found.columns == ["row", "k"]
 
 
 def test_join_grain_matches_the_real_join(spark):
