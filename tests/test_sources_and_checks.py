@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.functions.draws import uniform
-from tallymark.operators import checks, conform
+from tallymark.operators import checks, conform, evidence
+from tallymark.plans import fixed_values as fixed
 from tallymark.sources import tables
 
 
@@ -84,3 +85,27 @@ def test_presence_finds_duplicates_and_orphans_in_one_pass(spark):
     assert found == {"parent twice": 1, "child alone": 2}
     alone = checks.orphans(child, parent, {"c": "p"}).count()
     assert alone == found["child alone"]
+
+
+def test_contrast_notes_are_labelled_right(spark):
+    rows = [(i, note) for note in fixed.CONTRAST_NOTES for i in range(3)]
+    notes = spark.createDataFrame([(n, text) for n, (_, text) in enumerate(rows)], "note_id int, note_text string")
+    found = evidence.contrast_sample(notes, fixed.CONTRAST_NOTES, fixed.NOTE_RULES).orderBy("note_id").collect()
+    assert [r.note_id for r in found] == [0, 3, 6, 9]
+    assert [r.label for r in found] == ["provided", "not_provided", "not_provided", "not_provided"]
+
+
+def test_tables_bucketed_alike_are_joined_without_a_shuffle(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    tables.write_full(tables.spine(spark, 900, "id"), "bucketed.left", "id", 4)
+    tables.write_full(tables.spine(spark, 900, "id").withColumn("x", F.lit(1)), "bucketed.right", "id", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketed.left").join(spark.table("bucketed.right"), "id")
+        assert joined.count() == 900
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with pytest.raises(ValueError):
+        tables.write_full(tables.spine(spark, 1, "id"), "bucketed.x", bucket_by="id")
