@@ -7,14 +7,18 @@ Counts and scores are one relation of n-grams, exploded, aggregated and joined b
 3. the sums go back to the blocks that asked, are joined to the exploded n-grams, and the
    scores are summed for each document.
 
-An n-gram that every document holds is one row of each block, not of each document, so
-there is no hot key. N-grams travel sorted and packed, some five bytes each.
+Words and pairs are asked for first. A longer n-gram is rarer than both of its parts, so it
+is asked for only where both are frequent enough to count as seen: what is not asked for
+would count as unseen anyway. An n-gram that every document holds is one row of each block,
+not of each document, so there is no hot key. N-grams travel sorted and packed, some five
+bytes each.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +29,13 @@ from xxhash import xxh64_intdigest
 ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2  # an n-gram of two words or more that is rarer counts as unseen
-BLOCK_BYTES = 16 << 20  # of text in a block, about
+BLOCK_BYTES = 8 << 20  # of text in a block, about
 BUCKET_BYTES = 8 << 20  # of text for each part of the count tables, about
 MICRO = 1e6  # scores are whole millionths of a natural logarithm, so sums are exact
 LOW_BYTES = 5
 
 ASKED = "block int, bucket int, grams binary, counts binary"
-ANSWERED = "block int, bucket int, counts binary"
+ANSWERED = "block int, stage int, bucket int, counts binary"
 SCORED = "doc_id long, n_tokens long, n_backed_off long, score_micronats long"
 
 
@@ -64,28 +68,38 @@ def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The n-grams of a block of texts: one hash for each place and order."""
-
-    def __init__(self, texts: list[str | None], order: int):
-        words = [(text or "").encode("utf-8").lower().split() for text in texts]
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        n = int(self.sizes.sum())
-        hashes = np.fromiter((xxh64_intdigest(word) for text in words for word in text), np.uint64, n)
-        starts = np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+    """The n-grams of a block of texts: one hash for each place and length."""
+
+    def __init__(self, texts: pa.ChunkedArray, order: int):
+        parts = [self._hashes(text.as_py()) for text in texts]
+        self.sizes = np.array([len(part) for part in parts], np.int64)
+        hashes = np.concatenate([np.empty(0, np.uint64), *parts])
+        n = len(hashes)
         #: Words before each place in its text.
-        self.history = np.arange(n) - starts
+        self.history = np.arange(n) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         self.grams: list[np.ndarray] = [hashes]
         for length in range(2, order + 1):
             longer = np.zeros(n, np.uint64)
-            longer[length - 1 :] = _mix(self.grams[-1][: n - 1][length - 2 :], hashes[length - 1 :])
+            longer[1:] = _mix(self.grams[-1][:-1], hashes[1:])
             self.grams.append(longer)
 
-    def present(self) -> list[np.ndarray]:
-        """The hashes of each order at the places that have enough words before them."""
-        return [gram[self.history >= k] for k, gram in enumerate(self.grams)]
+    @staticmethod
+    def _hashes(text: str | None) -> np.ndarray:
+        words = (text or "").encode("utf-8").lower().split()
+        return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+    def places(self, length: int, counts: list[np.ndarray], min_count: int) -> np.ndarray:
+        """Where an n-gram of this length ends that may be frequent, by its parts' counts."""
+        there = self.history >= length - 1
+        if length > 2:
+            frequent = counts[length - 2] >= min_count
+            there[1:] &= frequent[1:] & frequent[:-1]
+        return np.flatnonzero(there)
+
 
-    def different(self, **options) -> tuple | np.ndarray:
-        return np.unique(np.concatenate(self.present()), **options)
+def stages(order: int) -> list[list[int]]:
+    """Lengths that are asked for together."""
+    return [[1, 2][:order], *[[length] for length in range(3, order + 1)]]
 
 
 TOTAL = np.uint64(0)  # stands for the empty n-gram, whose count is the number of words
@@ -97,53 +111,95 @@ def _cut(grams: np.ndarray, bits: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(grams, heads), len(grams)]
 
 
-def _with_total(grams: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.r_[TOTAL, grams], np.r_[n, counts]
+def _known(block: Block, answers: pa.Table | None, order: int, n_stages: int, min_count: int):
+    """The number of all words, and the sums that the first stages gave, for each place; 0
+    where none was asked for."""
+    counts: list[np.ndarray] = []
+    total = 0
+    for stage, lengths in enumerate(stages(order)[:n_stages]):
+        found = sorted(
+            (bucket, data)
+            for bucket, data, of in zip(*(answers.column(n).to_pylist() for n in ("bucket", "counts", "stage")))
+            if of == stage
+        )
+        sums = [np.empty(0, np.uint64), *(unpack(d[4:], int.from_bytes(d[:4], "little")) for _, d in found)]
+        known = np.concatenate(sums).astype(np.float64)
+        if stage == 0:
+            total, known = int(known[0]), known[1:]
+        places = [block.places(length, counts, min_count) for length in lengths]
+        grams, inverse = np.unique(
+            np.concatenate([block.grams[k - 1][at] for k, at in zip(lengths, places)]), return_inverse=True
+        )
+        if len(known) != len(grams):
+            raise RuntimeError("a block was not answered for all of its n-grams")
+        begin = 0
+        for at in places:
+            count = np.zeros(len(block.history))
+            count[at] = known[inverse[begin : begin + len(at)]]
+            begin += len(at)
+            counts.append(count)
+    return total, counts
+
 
+def _ask(order: int, stage: int, bits: int, min_count: int):
+    """The n-grams of one stage that a block asks for, in a row for each bucket."""
 
-def _ask(order: int, bits: int):
-    def ask(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        built = Block(table.column("text").to_pylist(), order)
-        grams, counts = built.different(return_counts=True)
-        grams, counts = _with_total(grams, counts, int(built.sizes.sum()))
+    def ask(texts: pa.Table, answers: pa.Table | None) -> pa.Table:
+        number = texts.column("block")[0].as_py() if len(texts) else 0
+        block = Block(texts.column("text"), order)
+        _, known = _known(block, answers, order, stage, min_count)
+        wanted = [block.grams[k - 1][block.places(k, known, min_count)] for k in stages(order)[stage]]
+        grams, counts = np.unique(np.concatenate(wanted), return_counts=True)
+        if stage == 0:
+            grams, counts = np.r_[TOTAL, grams], np.r_[int(block.sizes.sum()), counts]
         bounds = _cut(grams, bits)
         rows = [
-            (block, bucket, pack(np.diff(grams[a:b], prepend=np.uint64(0))), pack(counts[a:b]), b - a)
+            (number, bucket, (b - a).item().to_bytes(4, "little") + pack(np.diff(grams[a:b], prepend=np.uint64(0))), pack(counts[a:b]))
             for bucket, (a, b) in enumerate(zip(bounds, bounds[1:]))
             if a < b
         ]
+        columns = list(zip(*rows)) if rows else [()] * 4
+        types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         return pa.table(
-            {
-                "block": pa.array([r[0] for r in rows], pa.int32()),
-                "bucket": pa.array([r[1] for r in rows], pa.int32()),
-                "grams": pa.array([r[4].item().to_bytes(4, "little") + r[2] for r in rows], pa.binary()),
-                "counts": pa.array([r[3] for r in rows], pa.binary()),
-            }
+            [pa.array(c, t) for c, t in zip(columns, types)], names=["block", "bucket", "grams", "counts"]
         )
 
     return ask
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def _first(ask):
+    """``ask`` of the first stage, before there are answers."""
+
+    def first(texts: pa.Table) -> pa.Table:
+        return ask(texts, None)
+
+    return first
+
+
+def _answer(stage: int):
     """The sums of one part of the count tables, for each block that asked."""
-    grams, counts = [], []
-    for packed, counted in zip(table.column("grams"), table.column("counts")):
-        data = packed.as_py()
-        n = int.from_bytes(data[:4], "little")
-        grams.append(np.cumsum(unpack(data[4:], n), dtype=np.uint64))
-        counts.append(unpack(counted.as_py(), n))
-    sizes = [len(g) for g in grams]
-    _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.uint64)
-    sums = np.split(total[inverse], np.cumsum(sizes)[:-1])
-    return pa.table(
-        {
-            "block": table.column("block"),
-            "bucket": table.column("bucket"),
-            "counts": pa.array([len(s).to_bytes(4, "little") + pack(s) for s in sums], pa.binary()),
-        }
-    )
+
+    def answer(table: pa.Table) -> pa.Table:
+        grams, counts = [], []
+        for packed, counted in zip(table.column("grams"), table.column("counts")):
+            data = packed.as_py()
+            n = int.from_bytes(data[:4], "little")
+            grams.append(np.cumsum(unpack(data[4:], n), dtype=np.uint64))
+            counts.append(unpack(counted.as_py(), n))
+        sizes = [len(g) for g in grams]
+        _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.uint64)
+        sums = np.split(total[inverse], np.cumsum(sizes)[:-1])
+        return pa.table(
+            {
+                "block": table.column("block"),
+                "stage": pa.array([stage] * len(sums), pa.int32()),
+                "bucket": table.column("bucket"),
+                "counts": pa.array([len(s).to_bytes(4, "little") + pack(s) for s in sums], pa.binary()),
+            }
+        )
+
+    return answer
 
 
 def place_scores(block: Block, counts: list[np.ndarray], total: int, backoff: float, min_count: int):
@@ -163,22 +219,11 @@ def place_scores(block: Block, counts: list[np.ndarray], total: int, backoff: fl
     return np.rint((score + steps * math.log(backoff)) * MICRO).astype(np.int64), steps > 0
 
 
-def _score(order: int, bits: int, backoff: float, min_count: int):
+def _score(order: int, backoff: float, min_count: int):
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         ids = texts.column("doc_id")
-        block = Block(texts.column("text").to_pylist(), order)
-        found = sorted(zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist()))
-        known = np.concatenate([unpack(d[4:], int.from_bytes(d[:4], "little")) for _, d in found])
-        grams, inverse = block.different(return_inverse=True)
-        if len(known) != len(grams) + 1:
-            raise RuntimeError("a block was not answered for all of its n-grams")
-        total, known = int(known[0]), known[1:].astype(np.float64)
-        counts, begin = [], 0
-        for k, present in enumerate(block.present()):
-            count = np.ones(len(block.history))
-            count[block.history >= k] = known[inverse[begin : begin + len(present)]]
-            begin += len(present)
-            counts.append(count)
+        block = Block(texts.column("text"), order)
+        total, counts = _known(block, answers, order, len(stages(order)), min_count)
         scores, backed_off = place_scores(block, counts, total, backoff, min_count)
         ends = np.cumsum(block.sizes)
 
@@ -212,6 +257,8 @@ def score_documents(
     text like any other: they count, and get equal rows. Other columns are not read. No
     rows give no rows.
     """
+    if order < 1 or min_count < 1:
+        raise ValueError("order and min_count must be positive")
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -220,12 +267,19 @@ def score_documents(
     n_blocks = max(1, math.ceil(size / BLOCK_BYTES))
     bits = max(1, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
     dealt = slim.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
-    asked = dealt.groupBy("block").applyInArrow(_ask(order, bits), ASKED)
-    answered = asked.groupBy("bucket").applyInArrow(_answer, ANSWERED)
+    answers: list[DataFrame] = []
+    for stage in range(len(stages(order))):
+        ask = _ask(order, stage, bits, min_count)
+        if stage == 0:
+            asked = dealt.groupBy("block").applyInArrow(_first(ask), ASKED)
+        else:
+            earlier = reduce(DataFrame.unionAll, answers).groupBy("block")
+            asked = dealt.groupBy("block").cogroup(earlier).applyInArrow(ask, ASKED)
+        answers.append(asked.groupBy("bucket").applyInArrow(_answer(stage), ANSWERED))
     scored = (
         dealt.groupBy("block")
-        .cogroup(answered.groupBy("block"))
-        .applyInArrow(_score(order, bits, backoff, min_count), SCORED)
+        .cogroup(reduce(DataFrame.unionAll, answers).groupBy("block"))
+        .applyInArrow(_score(order, backoff, min_count), SCORED)
     )
     mean = F.col("score_micronats").cast("double") / F.when(F.col("n_tokens") > 0, F.col("n_tokens")) / MICRO
     return scored.withColumn("mean_score", mean)
