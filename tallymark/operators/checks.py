@@ -29,22 +29,32 @@ def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataF
     return child_keys.join(parent_keys, same, "left_anti")
 
 
-def presence(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def presence(
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]],
+    marks: Mapping[str, Mapping[str, Column]] | None = None,
+) -> DataFrame:
     """Rows of each key in each of several tables: one scan per table and one shuffle in all.
 
     ``tables`` maps a name to a table and its key columns, which are matched by position
-    and take the names that the first table gives them. Uniqueness and completeness of the
+    and take the names that the first table gives them. ``marks`` maps a table's name to
+    conditions whose rows are counted beside its own. Uniqueness and completeness of the
     tables are then conditions on a row of the result, so many checks cost no more than one.
     """
     names = list(next(iter(tables.values()))[1])
+    conditions = {mark: (table, rule) for table, rules in (marks or {}).items() for mark, rule in rules.items()}
     tagged = [
         frame.select(
             *[F.col(key).alias(name) for key, name in zip(keys, names, strict=True)],
             *[F.lit(1 if other == table else 0).cast("long").alias(other) for other in tables],
+            *[
+                (F.when(rule, 1).otherwise(0) if owner == table else F.lit(0)).cast("long").alias(mark)
+                for mark, (owner, rule) in conditions.items()
+            ],
         )
         for table, (frame, keys) in tables.items()
     ]
-    return reduce(DataFrame.union, tagged).groupBy(*names).agg(*[F.sum(table).alias(table) for table in tables])
+    counted = [F.sum(name).alias(name) for name in (*tables, *conditions)]
+    return reduce(DataFrame.union, tagged).groupBy(*names).agg(*counted)
 
 
 def count_violations(frame: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

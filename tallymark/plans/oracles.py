@@ -278,6 +278,10 @@ ORACLES["duplicate_keys"] = """
 SELECT l_orderkey, l_linenumber, count(*) AS row_count
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """
+ORACLES["duplicate_probe"] = """
+SELECT count(*) > 0 AS found FROM (
+  SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+"""
 ORACLES["orphans"] = "\nUNION ALL\n".join(
     f"SELECT '{left} without {right}' AS finding, {key} AS key, count(*) AS row_count\n"
     f"FROM {left} l WHERE NOT EXISTS (SELECT 1 FROM {right} r WHERE r.{other} = l.{key}) GROUP BY {key}"
