@@ -28,11 +28,12 @@ STATUS_OTHERWISE = "not_done"
 INTERVENTION_VALUE = 60
 # The given texts are invented prose, so these terms are ordinary words of it. The rules for
 # real notes are ``fixed_values.NOTE_RULES``; hand-labelled notes test those.
+# Word ends are spelled out, as engines differ on what ``\\b`` means beside accented letters.
 TURN_RULES = EvidenceRules(
-    care=r"\b(that|avec|nicht|por)\b",
-    topic=r"(?i)\b(the|la|der|el)\b",
-    other_topic=r"\b(from|pour|auf|con)\b",
-    excluded=r"\b(was|dans|zu|los)\b",
+    care=r"(^|\P{L})(that|avec|nicht|por)(\P{L}|$)",
+    topic=r"(?i)(^|\P{L})(the|la|der|el)(\P{L}|$)",
+    other_topic=r"(^|\P{L})(from|pour|auf|con)(\P{L}|$)",
+    excluded=r"(^|\P{L})(was|dans|zu|los)(\P{L}|$)",
     refusal=r"^\S+$",
 )
 

@@ -515,7 +515,7 @@ clauses AS (
 ),
 phrases AS (
   SELECT doc_id, source, list_filter(list_transform(range(1, len(c) + 1), lambda i:
-    CASE WHEN regexp_matches(c[i], '\\b([Ll]icensed|[Rr]eleased) under\\b') AND NOT contains(c[i], 'CC BY-NC')
+    CASE WHEN regexp_matches(c[i], '([Ll]icensed|[Rr]eleased) under ') AND NOT contains(c[i], 'CC BY-NC')
               AND coalesce(c[i + 1], '') <> 'All rights reserved' THEN c[i] END), lambda p: p IS NOT NULL) AS p
   FROM clauses
 ),
@@ -566,11 +566,11 @@ clauses AS (
 ),
 labelled AS (
   SELECT * EXCLUDE (c), list_filter(list_transform(range(1, len(c) + 1), lambda i:
-    CASE WHEN regexp_matches(c[i], '\\b(that|avec|nicht|por)\\b')
-              AND (regexp_matches(c[i], '(?i)\\b(the|la|der|el)\\b')
-                   OR (i > 1 AND regexp_matches(c[i - 1], '(?i)\\b(the|la|der|el)\\b')
-                       AND NOT regexp_matches(c[i], '\\b(from|pour|auf|con)\\b')))
-              AND NOT regexp_matches(c[i], '\\b(was|dans|zu|los)\\b')
+    CASE WHEN regexp_matches(c[i], '(^|\\P{L})(that|avec|nicht|por)(\\P{L}|$)')
+              AND (regexp_matches(c[i], '(?i)(^|\\P{L})(the|la|der|el)(\\P{L}|$)')
+                   OR (i > 1 AND regexp_matches(c[i - 1], '(?i)(^|\\P{L})(the|la|der|el)(\\P{L}|$)')
+                       AND NOT regexp_matches(c[i], '(^|\\P{L})(from|pour|auf|con)(\\P{L}|$)')))
+              AND NOT regexp_matches(c[i], '(^|\\P{L})(was|dans|zu|los)(\\P{L}|$)')
               AND NOT regexp_matches(coalesce(c[i + 1], ''), '^\\S+$') THEN c[i] END),
     lambda p: p IS NOT NULL) AS phrases
   FROM clauses
@@ -627,7 +627,7 @@ ORACLES["note_gap_candidates"] = with_parts(
     """SELECT e.encounter_id, e.patient_id, e.reporting_week, n.note_id, n.note_text
 FROM encounters e JOIN notes n ON e.encounter_id = n.encounter_id
 WHERE age_at_encounter >= 12 AND tobacco_screen_status = 'current_user' AND NOT structured_cessation_intervention
-  AND regexp_matches(note_text, '\\b(that|avec|nicht|por)\\b')""",
+  AND regexp_matches(note_text, '(^|\\P{L})(that|avec|nicht|por)(\\P{L}|$)')""",
 )
 ORACLES["representative_text"] = "SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text"
 ORACLES["contrast_sample"] = """

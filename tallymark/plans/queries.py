@@ -571,7 +571,7 @@ def keyword_candidates(spark, folder):
 
 
 LICENCE_RULES = evidence.EvidenceRules(
-    care=r"\b([Ll]icensed|[Rr]eleased) under\b",
+    care=r"([Ll]icensed|[Rr]eleased) under ",
     excluded=r"CC BY-NC",
     refusal=r"^All rights reserved$",
 )
@@ -624,7 +624,7 @@ def note_gap_candidates(spark, folder):
         activity.encounters(spark, folder),
         on="encounter_id",
         text="note_text",
-        pattern=r"\b(that|avec|nicht|por)\b",
+        pattern=activity.TURN_RULES.care,
         parent_filter=gap,
     )
     return found.select("encounter_id", "patient_id", activity.PERIOD, "note_id", "note_text")
