@@ -13,7 +13,7 @@ import math
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.shared import written
@@ -104,8 +104,12 @@ def counts(text: Column) -> Column:
 
 
 def with_counts(docs: DataFrame, struct: str = "__counts") -> DataFrame:
-    """``docs`` with a struct of all counts and ``base_failed``."""
-    raw = docs.withColumn(struct, counts(F.col("text")))
+    """``docs`` with a struct of all counts and ``base_failed``.
+
+    The counts come out of a one-element array, which filters that follow do not pass, so
+    they are made once for each row.
+    """
+    raw = docs.select("*", F.explode(F.array(counts(F.col("text")))).alias(struct))
     part = F.col(struct)
     flat = {
         **{name: part["by_word"][name] for name in ("n_words", "word_chars", "n_repeat_words")},
@@ -181,8 +185,7 @@ def cutoffs(judged: DataFrame, labels: DataFrame, rules: Mapping = RULES, lost:
         "stratum", "rule", F.explode(F.sequence(F.lit(0), F.greatest("level", F.lit(0)))).alias("cutoff"), "n_good", "n_bad"
     ).groupBy("stratum", "rule", "cutoff").agg(F.sum("n_good").alias("good"), F.sum("n_bad").alias("bad"))
     totals = steps.where("cutoff = 0").select("stratum", "rule", F.col("good").alias("n"))
-    n_tests = totals.agg(F.count("*").alias("n_tests"))
-    bounds = totals.join(F.broadcast(n_tests))  # one row
+    bounds = totals.withColumn("n_tests", F.count("*").over(Window.partitionBy()))
     level = F.lit(lost) / F.col("n_tests")
     most = reduce(
         lambda chain, rule: chain.when(F.col("rule") == rule, most_errors(F.col("n"), rules[rule][2], level)),
