@@ -41,7 +41,7 @@ THRESHOLD = 0.3
 WORD = regex.compile(r"\p{L}+")
 
 #: Places of a subsequence's other symbols after its first, and the weight of each form.
-FORMS = [(1 * a, b, c) for a, b, c in combinations(range(1, STRETCH), LENGTH - 1)]
+FORMS = list(combinations(range(1, STRETCH), LENGTH - 1))
 WEIGHTS = [DECAY ** (c + 1 - LENGTH) for _, _, c in FORMS]
 
 

@@ -8,8 +8,6 @@ from tallymark.llm import language
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(1)
     net = language.Network(["a", "b", "c"])
-    for i, p in enumerate(net.parameters()):
-        pass
     net.embedding = net.embedding.astype(np.float64)
     net.kernels = [k.astype(np.float64) for k in net.kernels]
     batch = rng.integers(1, 256, (4, language.WINDOW)).astype(np.uint8)
