@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.llm.shared import written
 from tallymark.llm.texts import text_or_empty, word_count
 
 # The template's marks.
@@ -19,6 +20,7 @@ SYSTEM, ASSISTANT = "system", "assistant"
 MARK_TOKENS = 4  # of a turn: its start, role, end and line break
 BUDGET, HISTORY = 512, 128  # tokens of a window, and of its repeated history
 CELL = 256  # turn numbers whose prefix sums are made together
+NO_CONVERSATION = -(2**63)  # stands for a null conv_id, so that joins compare plain numbers
 
 
 def escape(text: Column) -> Column:
@@ -41,104 +43,105 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\n", "$1\n"))
 
 
-def placed(turns: DataFrame) -> DataFrame:
-    """``conv_id, position, role, text, tokens, before``: the turns in order, and the
-    tokens before each.
+ORDER = ("turn", "role", "tokens", "digest")  # of a conversation's turns, null first
 
-    The sums go over cells of turn numbers first, and then over the turns of one cell, so
-    a conversation of any length is spread over many tasks.
+
+def placed(turns: DataFrame, budget: int, history: int) -> DataFrame:
+    """``conv_id, position, role, text, tokens, is_system, begin, window``: every turn with its
+    place, the tokens before it (without the system turn's) and the window of its span.
+
+    The prefix sums go over cells of turn numbers first, and then over the turns of one
+    cell, so a conversation of any length is spread over many tasks. The room of a window is
+    the budget less the history and the conversation's system turn. Turns that lie whole
+    between two multiples of the room are one span; a turn that lies across a multiple is a
+    span of its own. So only a window of a single new turn can be over the budget.
     """
     counted = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
+        F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_CONVERSATION)).alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         text_or_empty("role").alias("role"),
         text_or_empty("text").alias("text"),
-    ).withColumn("tokens", word_count(F.col("text")) + MARK_TOKENS)
+    ).withColumns({"tokens": word_count(F.col("text")) + MARK_TOKENS, "digest": F.md5("text")})
     counted = counted.withColumn("cell", F.coalesce(F.floor(F.col("turn") / CELL), F.lit(-(2**62))))
     cells = counted.groupBy("conv_id", "cell").agg(
-        F.sum("tokens").alias("cell_tokens"), F.count("*").alias("cell_turns")
+        F.sum("tokens").alias("cell_tokens"),
+        F.count("*").alias("cell_turns"),
+        F.min(F.struct("turn", "role", "tokens")).alias("first"),
     )
-    earlier = Window.partitionBy("conv_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy("conv_id").orderBy("cell")
+    earlier = up_to.rowsBetween(Window.unboundedPreceding, -1)
+    head = F.first("first").over(up_to)
     cells = cells.select(
         F.col("conv_id").alias("of"),
         F.col("cell").alias("of_cell"),
         F.coalesce(F.sum("cell_tokens").over(earlier), F.lit(0)).alias("tokens_before"),
         F.coalesce(F.sum("cell_turns").over(earlier), F.lit(0)).alias("turns_before"),
+        F.when(head["role"] == SYSTEM, head["tokens"]).otherwise(F.lit(0)).alias("system_tokens"),
     )
-    inside = Window.partitionBy("conv_id", "cell").orderBy("turn", "role", "text")
-    sums = counted.withColumn("nth", F.row_number().over(inside) - 1).withColumn(
-        "sum", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    same = F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("cell") == F.col("of_cell"))
-    return sums.join(cells, same).select(
-        "conv_id",
-        (F.col("turns_before") + F.col("nth")).alias("position"),
-        "role",
-        "text",
-        "tokens",
-        (F.col("tokens_before") + F.col("sum") - F.col("tokens")).alias("before"),
+    inside = Window.partitionBy("conv_id", "cell").orderBy(*ORDER)
+    sums = counted.withColumns(
+        {
+            "nth": F.row_number().over(inside) - 1,
+            "sum": F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+        }
     )
-
-
-def spans(turns: DataFrame, budget: int, history: int) -> DataFrame:
-    """Adds ``is_system``, ``begin`` (tokens before, without the system turn's) and ``window``.
-
-    The room of a window is the budget less the history and the conversation's system turn.
-    Turns that lie whole between two multiples of the room are one span; a turn that lies
-    across a multiple is a span of its own. So only a window of a single turn can be over
-    the budget, if that turn alone leaves no other choice.
-    """
-    head = turns.where((F.col("position") == 0) & (F.col("role") == SYSTEM)).select(
-        F.col("conv_id").alias("of"), F.col("tokens").alias("system_tokens")
-    )
-    joined = turns.join(head, F.col("conv_id").eqNullSafe(F.col("of")), "left")
-    system = F.coalesce(F.col("system_tokens"), F.lit(0))
-    room = F.greatest(F.lit(budget - history) - system, F.lit(1))
+    same = (F.col("conv_id") == F.col("of")) & (F.col("cell") == F.col("of_cell"))
+    joined = sums.join(cells, same).withColumn("position", F.col("turns_before") + F.col("nth"))
     is_system = (F.col("position") == 0) & (F.col("role") == SYSTEM)
-    begin = F.when(is_system, F.lit(0)).otherwise(F.col("before") - system)
-    last = begin + F.col("tokens") - 1
-    first_cell, last_cell = F.floor(begin / room), F.floor(last / room)
-    window = F.when(is_system, F.lit(0)).otherwise(
-        2 * first_cell + (first_cell != last_cell).cast("long")
-    )
+    system = F.col("system_tokens")
+    room = F.greatest(F.lit(budget - history) - system, F.lit(1))
+    before = F.col("tokens_before") + F.col("sum") - F.col("tokens")
+    begin = F.when(is_system, F.lit(0)).otherwise(before - system)
+    first_cell, last_cell = F.floor(begin / room), F.floor((begin + F.col("tokens") - 1) / room)
+    window = F.when(is_system, F.lit(0)).otherwise(2 * first_cell + (first_cell != last_cell).cast("long"))
     return joined.select(
-        "conv_id", "position", "role", "text", "tokens",
-        is_system.alias("is_system"), begin.cast("long").alias("begin"), window.cast("long").alias("window"),
+        "conv_id", "position", "role", "text", "tokens", is_system.alias("is_system"),
+        begin.cast("long").alias("begin"), window.cast("long").alias("window"),
     )
 
 
-def members(turns: DataFrame, history: int) -> DataFrame:
-    """``conv_id, window, position, repeated, role, text, tokens``: the turns of each window."""
-    columns = ["position", "role", "text", "tokens"]
-    new = turns.select("conv_id", "window", F.lit(False).alias("repeated"), *columns)
-    windows = turns.groupBy("conv_id", "window").agg(
+def repeats(turns: DataFrame, history: int) -> DataFrame:
+    """``conv_id, position, again``: the windows that repeat a turn of an earlier one."""
+    slim = turns.select("conv_id", "position", "is_system", "begin", "window")
+    windows = slim.groupBy("conv_id", "window").agg(
         F.min(F.when(~F.col("is_system"), F.col("begin"))).alias("opens"),
         F.bool_or("is_system").alias("has_system"),
     )
-    system = turns.where("is_system").select(F.col("conv_id").alias("of"), *columns)
-    headed = (
-        windows.where(~F.col("has_system"))
-        .join(system, F.col("conv_id").eqNullSafe(F.col("of")))
-        .select("conv_id", "window", F.lit(True).alias("repeated"), *columns)
-    )
-    # A turn is history of the windows that open up to ``history`` tokens after its begin.
-    # They open in the turn's stretch of so many tokens, or in the next: an equi-join.
-    later = windows.where("opens > 0").select(
-        F.col("conv_id").alias("of"), F.col("window").alias("to"), "opens",
+    targets = windows.select(
+        F.col("conv_id").alias("of"), F.col("window").alias("to"), "opens", "has_system",
         F.floor(F.col("opens") / history).alias("at"),
     )
+    same = F.col("conv_id") == F.col("of")
+    headed = slim.where("is_system").join(targets.where(~F.col("has_system")), same)
+    # A turn is history of the windows that open up to ``history`` tokens after its begin.
+    # They open in the turn's stretch of so many tokens, or in the next: an equi-join.
     stretch = F.floor(F.col("begin") / history)
-    earlier = turns.where(~F.col("is_system")).withColumn("stretch", F.explode(F.array(stretch, stretch + 1)))
+    earlier = slim.where(~F.col("is_system")).withColumn("stretch", F.explode(F.array(stretch, stretch + 1)))
     near = (
-        F.col("conv_id").eqNullSafe(F.col("of"))
+        same
         & (F.col("stretch") == F.col("at"))
         & (F.col("begin") < F.col("opens"))
         & (F.col("begin") >= F.col("opens") - history)
     )
-    recalled = earlier.join(later, near).select(
-        "conv_id", F.col("to").alias("window"), F.lit(True).alias("repeated"), *columns
+    recalled = earlier.join(targets.where("opens > 0"), near)
+    found = headed.select("conv_id", "position", "to").unionAll(recalled.select("conv_id", "position", "to"))
+    return found.groupBy("conv_id", "position").agg(F.collect_list("to").alias("again"))
+
+
+def members(turns: DataFrame, history: int) -> DataFrame:
+    """``conv_id, window, position, repeated, role, text, tokens``: the turns of each window.
+
+    The windows are planned without the texts, which are dealt out once at the end.
+    """
+    again = repeats(turns, history).withColumnsRenamed({"conv_id": "of", "position": "of_position"})
+    same = (F.col("conv_id") == F.col("of")) & (F.col("position") == F.col("of_position"))
+    own = F.array(F.struct(F.col("window"), F.lit(False).alias("repeated")))
+    more = F.transform(
+        F.coalesce("again", F.array().cast("array<long>")),
+        lambda to: F.struct(to.alias("window"), F.lit(True).alias("repeated")),
     )
-    return new.unionByName(headed).unionByName(recalled)
+    dealt = turns.join(again, same, "left").withColumn("to", F.explode(F.concat(own, more)))
+    return dealt.select("conv_id", "to.window", "to.repeated", "position", "role", "text", "tokens")
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -146,15 +149,16 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
 
     ``loss`` lists the places (start from 0, and length, in code points) of the answers to
     learn in ``formatted``; the first ``n_repeated`` turns repeat earlier windows.
-    Turns are ordered by ``turn`` (null first), then role, then text; repeated rows are
-    turns of their own. A null role or text counts as empty; a null ``conv_id`` is a
+    Turns are ordered by ``turn`` (null first), then role, number of tokens and the text's
+    MD5; repeated rows are turns of their own. A null role or text counts as empty; a null ``conv_id`` is a
     conversation. The first turn is the system turn if its role is ``system``.
     ``history`` must be positive and below ``budget``. Other columns are not read; no rows
     give no rows.
     """
     if not 0 < history < budget:
         raise ValueError("the history must be positive and below the budget")
-    turns = spans(placed(conversations), budget, history)
+    # Written, as both the plan of the windows and their texts come from it.
+    turns = written(placed(conversations, budget, history), "turns")
     grouped = members(turns, history).groupBy("conv_id", "window").agg(
         F.sort_array(F.collect_list(F.struct("position", "repeated", "role", "text"))).alias("turns"),
         F.count_if("repeated").alias("n_repeated"),
@@ -163,8 +167,9 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     heads = F.transform("turns", lambda t: F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n")))
     bodies = F.transform("turns", lambda t: escape(t["text"]))
     learn = F.transform("turns", lambda t: (t["role"] == ASSISTANT) & ~t["repeated"])
-    written = grouped.select(
-        "conv_id", "window", "n_repeated", "n_tokens", F.arrays_zip(heads.alias("head"), bodies.alias("body"), learn.alias("learn")).alias("parts")
+    conv_id = F.nullif(F.col("conv_id"), F.lit(NO_CONVERSATION)).alias("conv_id")
+    parted = grouped.select(
+        conv_id, "window", "n_repeated", "n_tokens", F.arrays_zip(heads.alias("head"), bodies.alias("body"), learn.alias("learn")).alias("parts")
     )
     tail = len(END) + 1
 
@@ -184,7 +189,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     text = F.array_join(
         F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(END + "\n"))), ""
     )
-    return written.select(
+    return parted.select(
         "conv_id", "window", text.alias("formatted"), "n_repeated",
         F.aggregate("parts", zero, add, lambda state: state["loss"]).alias("loss"), "n_tokens",
     )

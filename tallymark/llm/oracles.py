@@ -192,7 +192,7 @@ WITH given AS (
 ), placed AS (
     SELECT *, row_number() OVER w - 1 AS place, sum(tokens) OVER w - tokens AS before
     FROM counted
-    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, tokens, md5(text)
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), headed AS (
     SELECT *, place = 0 AND role = 'system' AS is_system,

@@ -1,5 +1,7 @@
 """Chat windows: round trip, budget, and every answer learnt once."""
 
+import hashlib
+
 import pytest
 
 from tallymark.llm import chat
@@ -17,6 +19,8 @@ ROWS = [
     (1, 7, "assistant", ""),
     (2, 0, "user", "no system turn"),
     (2, 0, "user", "no system turn"),
+    (2, 0, "user", "another turn of this number"),
+    (2, 0, "user", "and one more such"),
     (2, None, "assistant", "first, as its turn is null"),
     (3, 5, "system", "only this"),
     (4, 0, None, "no role"),
@@ -36,7 +40,12 @@ def turns(spark):
 
 def ordered(conv_id):
     own = [(t, r or "", x or "") for c, t, r, x in ROWS if c == conv_id]
-    return sorted(own, key=lambda row: (row[0] is not None, row[0] or 0, row[1], row[2]))
+
+    def key(row):
+        turn, role, text = row
+        return turn is not None, turn or 0, role, len(text.split()), hashlib.md5(text.encode()).hexdigest()
+
+    return sorted(own, key=key)
 
 
 @pytest.mark.parametrize("budget,history", [(128, 32), (512, 128), (40, 10)])
