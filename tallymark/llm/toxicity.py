@@ -35,6 +35,7 @@ RIDGE = 1e-3
 DOCS_PER_LABEL = 1_500  # bound of the training sample
 CHARS_PER_DOC = 20_000  # longer documents are not sampled for training
 ROUNDS = 3  # of choosing the marking places and training again
+THINNED_WEIGHT = 0.1  # of toxic documents with all insults but one left out
 SPELLINGS = 1  # gapped or inserted-character variants of each marking place
 AT_ONCE = 1 << 18  # symbols of a text that are scored together
 THRESHOLD = 0.3
@@ -171,14 +172,24 @@ def facts(sentence_margins: np.ndarray, n_symbols: int) -> np.ndarray:
     return np.r_[np.clip(top, -3, 3), np.log1p(marked), 1000 * marked / (n_symbols + 200)]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+def thinned(sentence_margins: np.ndarray) -> np.ndarray | None:
+    """The sentences that a toxic document has if only its best marked one is left of those
+    that are marked; None if there is nothing to leave out."""
+    marked = np.flatnonzero(sentence_margins > 0)
+    if len(marked) < 2:
+        return None
+    left_out = marked[marked != marked[sentence_margins[marked].argmax()]]
+    return np.delete(sentence_margins, left_out)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Newton's method; the last weight is the offset."""
     x = np.c_[x, np.ones(len(x))]
     beta = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        beta += np.linalg.solve(hessian, x.T @ (y - p) - ridge * beta)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
+        beta += np.linalg.solve(hessian, x.T @ (weight * (y - p)) - ridge * beta)
     return beta
 
 
@@ -275,9 +286,16 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Machine | None:
         share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
         beta, offset = _svm(x, y, share)
         weights = table(beta)
-    documents = np.array([facts(text_margins(text, weights, offset), len(of)) for text, (of, _) in zip(texts, parsed)])
+    found = [(text_margins(text, weights, offset), len(text), label) for text, label in zip(texts, toxic)]
+    documents = np.array([facts(best, n) for best, n, _ in found])
     centre, scale = documents.mean(axis=0), documents.std(axis=0) + 1e-9
-    return Machine(weights, offset, _logistic((documents - centre) / scale, toxic), centre, scale)
+    # Labelled documents repeat their insults. Thinned copies, of low weight, show what a
+    # document with a single one looks like.
+    fewer = [facts(rest, n) for best, n, label in found if label and (rest := thinned(best)) is not None]
+    rows = np.vstack([documents, *fewer])
+    answers = np.r_[toxic, np.ones(len(fewer))]
+    trust = np.r_[np.ones(len(documents)), np.full(len(fewer), THINNED_WEIGHT)]
+    return Machine(weights, offset, _logistic((rows - centre) / scale, answers, trust), centre, scale)
 
 
 def probability(text: str | None, machine: Machine) -> float:

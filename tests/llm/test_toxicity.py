@@ -51,7 +51,7 @@ def test_kernel_is_that_of_all_subsequences():
 def test_held_out_recall_and_precision(labelled, machine):
     tested = [(t.probability(text, machine) >= t.THRESHOLD, toxic) for text, toxic, out in labelled if out]
     hits = sum(p and y for p, y in tested)
-    assert hits >= 0.88 * sum(y for _, y in tested)
+    assert hits >= 0.9 * sum(y for _, y in tested)
     assert sum(p and not y for p, y in tested) <= 0.02 * len(tested)
 
 
@@ -62,6 +62,18 @@ def test_gaps_and_inserted_characters(machine, text):
     assert t.probability(f"the thing and of there. {text} the and.", machine) >= t.THRESHOLD
 
 
+def test_a_single_insult_in_a_clean_document(labelled, machine):
+    clean = [text for text, toxic, out in labelled if out and not toxic][:120]
+    planted = [f"{text[: len(text) // 2]} you clown {text[len(text) // 2 :]}" for text in clean]
+    found = sum(t.probability(text, machine) >= t.THRESHOLD for text in planted)
+    assert found >= 0.85 * len(planted)
+
+
+def test_thinned_leaves_the_best_marked_sentence():
+    assert t.thinned(np.array([-1.0, 0.5, 2.0, -0.2, 0.1])).tolist() == [-1.0, 2.0, -0.2]
+    assert t.thinned(np.array([-1.0, 0.5])) is None
+
+
 def test_long_texts_in_pieces_score_as_a_whole(machine, monkeypatch):
     text = "the thing and of there. you clown the and. " * 40
     whole = t.text_margins(text, machine.weights, machine.offset)
