@@ -231,9 +231,12 @@ def _varied(of: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return np.r_[of[:at], rng.integers(1, 27), of[at:]].astype(np.int32)[: SPAN + STRETCH]
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Machine | None:
+def train(texts: list[str], toxic: np.ndarray, shares: tuple[float, float] | None = None, seed: int = 5) -> Machine | None:
     """The machine for labelled texts; None unless both labels occur.
 
+    ``shares``: of clean and toxic documents where the texts come from, if the texts are
+    another mixture; probabilities are calibrated to these.
+
     Only documents are labelled, so a toxic one's sentences are taken as toxic where the
     machine of the round before finds them so, the best one always; all sentences of the
     other documents are clean.
@@ -294,7 +297,9 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Machine | None:
     fewer = [facts(rest, n) for best, n, label in found if label and (rest := thinned(best)) is not None]
     rows = np.vstack([documents, *fewer])
     answers = np.r_[toxic, np.ones(len(fewer))]
-    trust = np.r_[np.ones(len(documents)), np.full(len(fewer), THINNED_WEIGHT)]
+    own = np.array([(toxic == 0).mean(), (toxic == 1).mean()])
+    by_label = (np.array(shares) if shares else own) / own
+    trust = np.r_[by_label[toxic], np.full(len(fewer), THINNED_WEIGHT * by_label[1])]
     return Machine(weights, offset, _logistic((rows - centre) / scale, answers, trust), centre, scale)
 
 
@@ -313,18 +318,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) ->
     rank = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("doc_id").cast("string")), F.col("n"))
     chosen = learnable.join(sizes, F.col("toxic") == F.col("of")).where(rank < per_label)
     # Written, so that its true size decides how it is joined to the documents.
-    chosen = written(chosen.select(F.col("doc_id").alias("chosen_id"), "toxic"), "toxic-sample")
+    chosen = written(chosen.select(F.col("doc_id").alias("chosen_id"), "toxic", "n"), "toxic-sample")
     rows = (
         docs.where((F.length("text") <= CHARS_PER_DOC) & (F.length("text") > 0))
         .select("doc_id", "text")
         .join(chosen, F.col("doc_id") == F.col("chosen_id"))
-        .select("doc_id", "toxic", "text")
+        .select("doc_id", "toxic", "text", "n")
         .collect()
     )
     rows = sorted(map(tuple, rows))
-    if not rows:
+    sizes = {int(toxic == 1): n for _, toxic, _, n in rows}
+    if len(sizes) < 2:
         return None
-    return train([text for *_, text in rows], np.array([int(toxic == 1) for _, toxic, _ in rows]))
+    shares = tuple(sizes[label] / sum(sizes.values()) for label in (0, 1))
+    return train([text for _, _, text, _ in rows], np.array([int(toxic == 1) for _, toxic, *_ in rows]), shares)
 
 
 def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
