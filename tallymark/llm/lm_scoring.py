@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from tallymark.llm.texts import rows_of
+
 ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2  # an n-gram of two words or more that is rarer counts as unseen
@@ -71,7 +74,8 @@ class Block:
     """The n-grams of a block of texts: one hash for each place and length."""
 
     def __init__(self, texts: pa.ChunkedArray, order: int):
-        parts = [self._hashes(text.as_py()) for text in texts]
+        """``texts``: compressed UTF-8."""
+        parts = [self._hashes(zlib.decompress(text.as_py())) for text in texts]
         self.sizes = np.array([len(part) for part in parts], np.int64)
         hashes = np.concatenate([np.empty(0, np.uint64), *parts])
         n = len(hashes)
@@ -84,8 +88,8 @@ class Block:
             self.grams.append(longer)
 
     @staticmethod
-    def _hashes(text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8").lower().split()
+    def _hashes(text: bytes) -> np.ndarray:
+        words = text.lower().split()
         return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
 
     def places(self, length: int, counts: list[np.ndarray], min_count: int) -> np.ndarray:
@@ -167,6 +171,16 @@ def _ask(order: int, stage: int, bits: int, min_count: int):
     return ask
 
 
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, as they are the bulk of what is dealt to the blocks."""
+    for batch in batches:
+        packed = [zlib.compress((text or "").encode("utf-8"), 1) for (text,) in rows_of([batch], "text")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("block"), pa.array(packed, pa.binary())],
+            ["doc_id", "block", "text"],
+        )
+
+
 def _first(ask):
     """``ask`` of the first stage, before there are answers."""
 
@@ -266,7 +280,8 @@ def score_documents(
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(size / BLOCK_BYTES))
     bits = max(1, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
-    dealt = slim.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int")
+    dealt = slim.withColumn("block", block).mapInArrow(_deal, "doc_id long, block int, text binary")
     answers: list[DataFrame] = []
     for stage in range(len(stages(order))):
         ask = _ask(order, stage, bits, min_count)
