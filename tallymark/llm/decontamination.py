@@ -1,10 +1,16 @@
-"""Benchmark passages in documents, found by the q-gram lemma.
-
-Benchmark texts are cut into passages. A region of a document that differs from a passage
-of m characters by k edits shares at least m - q + 1 - k q of its q-grams, on diagonals
-that are at most k apart. Shared q-grams are counted in bands of diagonals that overlap,
-so that any such region lies in one band whole; bands that reach the bound are verified
-by an alignment restricted to the band.
+"""Copied runs of benchmark texts in documents, found by the q-gram lemma.
+
+A document leaks a benchmark text if it holds any run of at least ``PASSAGE`` characters of
+it, wherever the run begins, within one edit in ten (a shorter text counts as a whole). A
+longer run within its edits has a half within its own, so runs of under twice that length
+are all that have to be looked for.
+
+A region of a document that differs from a run of m characters by k edits shares at least
+m - q + 1 - k q of its q-grams, on diagonals that are at most k apart. Shared q-grams are
+counted in bands of diagonals that overlap, so that any such region lies in one band whole;
+where a stretch of a benchmark text reaches the bound in a band, the same bound is tried on
+all shorter grams of the band, and all runs that begin there and reach it as well are
+verified by an alignment restricted to the band.
 """
 
 from __future__ import annotations
@@ -21,17 +27,19 @@ from tallymark.llm.shared import written
 from tallymark.llm.texts import rows_of
 
 Q = 8
-PASSAGE = 64  # characters; a benchmark text is cut into passages of at least so many
-EDITS = 0.1  # of a passage's length
+FINE = 4  # characters of the shorter grams that are compared before an alignment
+PASSAGE = 64  # characters; the shortest run that counts, but for shorter benchmark texts
+LONGEST = 2 * PASSAGE - 1  # characters; longer runs hold one of these
+EDITS = 0.1  # of a run's length
 BLOCK_CHARS = 2_000_000  # benchmark characters that are broadcast at once
 FILTER_BITS = 20
 PIECE = 1 << 18  # characters of a document that are looked up together
-OFFSET = 1 << 12  # more than any passage is long, so that no diagonal is negative
+STARTS = 1 << 10  # places of a benchmark text whose runs are verified together
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def edit_budget(length: int, edits: float = EDITS, q: int = Q) -> int:
-    """Edits allowed in a passage: its share, as long as the lemma still asks for a q-gram."""
+    """Edits allowed in a run: its share, as long as the lemma still asks for a q-gram."""
     return max(0, min(int(edits * length), (length - q) // q))
 
 
@@ -72,99 +80,118 @@ def grams(of: np.ndarray, q: int = Q) -> np.ndarray:
 
 
 def passages(text: str) -> list[tuple[int, int]]:
-    """Where the passages of a benchmark text begin and end; together they are the text."""
+    """Where the passages of a benchmark text begin and end; together they are the text.
+
+    Found runs are reported by the passage in which they begin; they may end beyond it.
+    """
     n = max(1, len(text) // PASSAGE)
     bounds = [len(text) * i // n for i in range(n + 1)]
     return list(zip(bounds, bounds[1:]))
 
 
+def bounds(length: int, budgets: np.ndarray, q: int = Q) -> list[tuple[int, int]]:
+    """(span, needed): any run of a text of this length, within its edits, shares at least
+    ``needed`` q-grams that begin at most ``span`` after the run's begin, for one of these.
+
+    One for each number of edits; a longer run of as many edits shares one more for each
+    character more.
+    """
+    found = {}
+    for m in range(min(length, PASSAGE), min(length, LONGEST) + 1):
+        found.setdefault(int(budgets[m]), (m - q, m - q + 1 - int(budgets[m]) * q))
+    return list(found.values())
+
+
 @dataclass
 class Index:
-    """The q-grams of a block of benchmark passages, sorted, with a filter before them."""
+    """The q-grams of a block of benchmark texts, sorted, with a filter before them."""
 
     items: np.ndarray  # of each passage, its row in the block
     item_ids: list
-    places: list  # of each passage, its place in the benchmark text
-    texts: list  # of each passage, its code points
-    budgets: np.ndarray
-    needed: np.ndarray  # q-grams that a band must share
+    places: np.ndarray  # of each passage, its place in the benchmark text
+    passage: np.ndarray  # of each row, its first passage; one more at the end
+    texts: list  # of each row, its code points
+    budgets: np.ndarray  # edits allowed in a run, by its length
+    bounds: list  # of each row
+    fine: list  # of each row, the same for grams of FINE characters
+    needed: np.ndarray  # of each row, the fewest q-grams that a band must share
     shift: np.ndarray  # bands are 2 ** shift diagonals wide, and begin at every half of that
+    offset: int  # added to diagonals, so that no band is negative
     numbers: np.ndarray
     first: np.ndarray
-    passage: np.ndarray
+    row: np.ndarray
     place: np.ndarray
     filter: np.ndarray
 
 
 def build_index(rows: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -> Index | None:
-    """None if no passage has q characters; such short texts identify no passage."""
-    items, ids, places, texts, budgets, needed = [], [], [], [], [], []
-    for item_id, text in rows:
-        for begin, end in passages(text):
-            if end - begin >= q:
-                budget = edit_budget(end - begin, edits, q)
-                items.append(len(ids))
-                places.append(begin)
-                texts.append(codes(text[begin:end]))
-                budgets.append(budget)
-                needed.append(end - begin - q + 1 - budget * q)
-        ids.append(item_id)
-    if not texts:
+    """None if no text has q characters; such short texts identify nothing."""
+    rows = [(item_id, text) for item_id, text in rows if len(text) >= q]
+    if not rows:
         return None
+    texts = [codes(text) for _, text in rows]
+    begins = [[begin for begin, _ in passages(text)] for _, text in rows]
+    budgets = np.array([edit_budget(m, edits, q) for m in range(LONGEST + 1)])
+    limits = [bounds(len(text), budgets, q) for text in texts]
+    fine = [bounds(len(text), budgets, FINE) for text in texts]
     found = [grams(text, q) for text in texts]
     numbers = np.concatenate(found)
-    passage = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+    row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
     place = np.concatenate([np.arange(len(f)) for f in found])
     order = np.argsort(numbers, kind="stable")
     unique, first = np.unique(numbers[order], return_index=True)
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[unique >> np.uint64(64 - FILTER_BITS)] = True
-    # A band holds all diagonals of a region with its edits: 2 k + 1 within half a band.
-    shift = np.array([int(np.ceil(np.log2(2 * k + 1))) + 1 for k in budgets])
+    # A region with k edits lies on k + 1 diagonals at most, which half a band holds.
+    most = [int(budgets[min(len(text), LONGEST)]) for text in texts]
+    shift = np.array([int(np.ceil(np.log2(k + 1))) + 1 for k in most])
+    counts = [len(b) for b in begins]
     return Index(
-        np.array(items), ids, places, texts, np.array(budgets), np.array(needed), shift,
-        unique, np.append(first, len(order)), passage[order], place[order], bits,
+        np.repeat(np.arange(len(rows)), counts), [item_id for item_id, _ in rows], np.concatenate(begins),
+        np.cumsum([0, *counts]), texts, budgets, limits, fine, np.array([min(n for _, n in limit) for limit in limits]),
+        shift, max(map(len, texts)) + (1 << int(shift.max())),
+        unique, np.append(first, len(order)), row[order], place[order], bits,
     )
 
 
-def candidates(text: np.ndarray, index: Index, q: int = Q) -> list[tuple[int, int, int]]:
-    """(passage, lowest and highest diagonal) of the bands that share enough q-grams."""
-    hits_at, hits_passage, hits_place = [], [], []
+def candidates(text: np.ndarray, index: Index, q: int = Q) -> list[tuple[int, int, int, np.ndarray]]:
+    """(row, lowest and highest diagonal, begins of runs) of the bands that share enough
+    q-grams with some runs of a benchmark text."""
+    hits_at, hits_row, hits_place = [], [], []
     for start in range(0, len(text), PIECE):
         numbers = grams(text[start : start + PIECE + q - 1], q)
         likely = np.flatnonzero(index.filter[numbers >> np.uint64(64 - FILTER_BITS)])
-        row = np.searchsorted(index.numbers, numbers[likely])
-        row[row == len(index.numbers)] = 0
-        same = index.numbers[row] == numbers[likely]
-        likely, row = likely[same], row[same]
-        counts = index.first[row + 1] - index.first[row]
-        entry = np.repeat(index.first[row], counts) + _within(counts)
+        number = np.searchsorted(index.numbers, numbers[likely])
+        number[number == len(index.numbers)] = 0
+        same = index.numbers[number] == numbers[likely]
+        likely, number = likely[same], number[same]
+        counts = index.first[number + 1] - index.first[number]
+        entry = np.repeat(index.first[number], counts) + _within(counts)
         hits_at.append(np.repeat(likely + start, counts))
-        hits_passage.append(index.passage[entry])
+        hits_row.append(index.row[entry])
         hits_place.append(index.place[entry])
     if not hits_at:
         return []
-    at, passage, place = map(np.concatenate, (hits_at, hits_passage, hits_place))
+    at, row, place = map(np.concatenate, (hits_at, hits_row, hits_place))
     if not len(at):
         return []
-    diagonal = at - place + OFFSET
-    low = diagonal >> (index.shift[passage] - 1)
+    low = (at - place + index.offset) >> (index.shift[row] - 1)
     found = []
     # Each diagonal lies in two bands: the one that begins at its half, and the one before.
     for band in (low, low - 1):
-        key = (passage << 40) | band
-        keys, counts = np.unique(key, return_counts=True)
-        for one in keys[counts >= index.needed[keys >> 40]]:
-            # A passage's q-gram counts once in a band, however often the document repeats it.
-            p = int(one >> 40)
-            if len(np.unique(place[key == one])) >= index.needed[p]:
-                found.append((p, int(one & ((1 << 40) - 1))))
-    bands = []
-    for p, band in sorted(set(found)):
-        width = 1 << int(index.shift[p])
-        begin = (band << (int(index.shift[p]) - 1)) - OFFSET
-        bands.append((p, begin, begin + width - 1))
-    return bands
+        keys, of, counts = np.unique((row << 40) | band, return_inverse=True, return_counts=True)
+        likely = np.flatnonzero((counts >= index.needed[keys >> 40])[of])
+        likely = likely[np.lexsort((place[likely], of[likely]))]
+        heads = np.flatnonzero(np.diff(of[likely], prepend=-1))
+        for head, end in zip(heads, np.append(heads[1:], len(likely))):
+            r, b = divmod(int(keys[of[likely[head]]]), 1 << 40)
+            # A text's q-gram counts once in a band, however often the document repeats it.
+            starts = _begins(np.unique(place[likely[head:end]]), len(index.texts[r]), index.bounds[r])
+            if len(starts):
+                shift = int(index.shift[r])
+                lowest = (b << (shift - 1)) - index.offset
+                found.append((r, lowest, lowest + (1 << shift) - 1, starts))
+    return sorted(found, key=lambda f: f[:2])
 
 
 def _within(counts: np.ndarray) -> np.ndarray:
@@ -173,73 +200,138 @@ def _within(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def align(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
-    """(edits, begin, end) of the best alignment of the whole passage to a region of the
-    text, on the diagonals from ``low - budget`` to ``high + budget``; None above the budget.
-
-    One row of the table for each character of the passage; cell d of row i stands for the
-    text's place i + low - budget + d. Each cell also carries where its region began.
-    """
-    low, high = low - budget, high + budget
-    width = high - low + 1
-    far = budget + 1
-    begin = np.arange(low, high + 1)
-    valid = (begin >= 0) & (begin <= len(text))
-    cost = np.where(valid, 0, far)
-    origin = begin.copy()
-    steps = np.arange(width)
-    padded = np.full(width + len(passage) + 1, 0xFFFFFFFF, np.uint32)
-    source = np.arange(low, low + len(padded))
+def _begins(places: np.ndarray, length: int, limits: list[tuple[int, int]]) -> np.ndarray:
+    """Where runs can begin in a text of this length that shares the q-grams at ``places``."""
+    tried = [(span, n) for span, n in limits if n <= len(places)]
+    if not any((places[n - 1 :] - places[: len(places) - n + 1] <= span).any() for span, n in tried):
+        return places[:0]
+    last = length - min(length, PASSAGE)
+    blocks = np.unique(places[:, None] // PASSAGE - np.arange(LONGEST // PASSAGE + 2))
+    starts = (blocks[:, None] * PASSAGE + np.arange(PASSAGE)).ravel()
+    starts = starts[(starts >= 0) & (starts <= last)]
+    enough = np.zeros(len(starts), bool)
+    for span, needed in limits:
+        shared = np.searchsorted(places, starts + span, "right") - np.searchsorted(places, starts)
+        enough |= shared >= needed
+    return starts[enough]
+
+
+def region(of: np.ndarray, text: np.ndarray, starts: np.ndarray, low: int, high: int):
+    """The stretch of a benchmark text that holds the runs from ``starts``, and beside each
+    of its characters the document's on the diagonals from ``low`` to ``high``."""
+    first = int(starts[0])
+    piece = of[first : int(starts[-1]) + LONGEST]
+    padded = np.full(len(piece) + high - low, 0xFFFFFFFF, np.uint32)
+    source = np.arange(first + low, first + low + len(padded))
     inside = (source >= 0) & (source < len(text))
     padded[inside] = text[source[inside]]
-    for i, code in enumerate(passage):
-        place = begin + i + 1
-        match = cost + (padded[i : i + width] != code)
-        skip = np.append(cost[1:] + 1, far)  # the passage's character has no partner
+    return piece, np.lib.stride_tricks.sliding_window_view(padded, high - low + 1)
+
+
+def compare(of: np.ndarray, text: np.ndarray, starts: np.ndarray, low: int, high: int, limits: list[tuple[int, int]]):
+    """Of each start: the length of the longest run that the text holds unchanged in the band,
+    up to ``LONGEST``, its first place in the text, and whether enough grams of ``FINE``
+    characters are in the band for a run with edits."""
+    piece, beside = region(of, text, starts, low, high)
+    at = starts - starts[0]
+    same = beside == piece[:, None]
+    n = max(0, len(piece) - FINE + 1)
+    shared = np.logical_and.reduce([same[i : i + n] for i in range(FINE)]).any(axis=1)
+    before = np.append(0, np.cumsum(shared))
+    enough = np.zeros(len(at), bool)
+    for span, needed in limits:
+        enough |= before[np.minimum(at + span + 1, n)] - before[np.minimum(at, n)] >= needed
+    if not enough.any():
+        return np.zeros(len(at), int), starts + low, enough
+    other = np.where(same, len(piece), np.arange(len(piece))[:, None])
+    other = np.minimum.accumulate(other[::-1], axis=0)[::-1]
+    length = np.minimum(other[at] - at[:, None], LONGEST)
+    best = length.argmax(axis=1)
+    return length[np.arange(len(at)), best], starts + low + best, enough
+
+
+def align(of: np.ndarray, text: np.ndarray, starts: np.ndarray, low: int, high: int, budgets: np.ndarray):
+    """Of each start: edits, length, begin and end of the run of fewest edits, and the longest
+    of those, that aligns to a region of the text on the diagonals from ``low`` to ``high``.
+    More edits than any budget if there is none.
+
+    One table for each start, all filled together, with one row for each character of the
+    run; cell d of row i stands for the text's place start + i + low + d. Each cell also
+    carries where its region began.
+    """
+    piece, beside = region(of, text, starts, low, high)
+    least, far = min(len(of), PASSAGE), int(budgets.max()) + 1
+    best = np.full((len(starts), 4), far)
+    steps = np.arange(high - low + 1)
+    owner, at = np.arange(len(starts)), starts - starts[0]
+    origin = starts[:, None] + low + steps
+    cost = np.where((origin >= 0) & (origin <= len(text)), 0, far)
+    for i in range(LONGEST):
+        alive = (at + i < len(piece)) & (cost.min(axis=1) < far)
+        if not alive.all():
+            owner, at, cost, origin = owner[alive], at[alive], cost[alive], origin[alive]
+        if not len(at):
+            break
+        place = (at + int(starts[0]) + low + i + 1)[:, None] + steps
+        match = cost + (beside[at + i] != piece[at + i][:, None])
+        # The run's character has no partner.
+        skip, skip_origin = np.full_like(cost, far), np.zeros_like(origin)
+        skip[:, :-1], skip_origin[:, :-1] = cost[:, 1:] + 1, origin[:, 1:]
         better = skip < match
         new = np.where(better, skip, match)
-        new_origin = np.where(better, np.append(origin[1:], 0), origin)
+        new_origin = np.where(better, skip_origin, origin)
         new = np.where((place >= 0) & (place <= len(text)), new, far)
         # Text characters without a partner: along the row, each costs one.
-        reach = np.minimum.accumulate(new - steps) + steps
-        source_cell = np.maximum.accumulate(np.where(new - steps == reach - steps, steps, 0))
-        cost, origin = np.minimum(reach, far), new_origin[source_cell]
-        if cost.min() >= far:
-            return None
-    best = int(cost.argmin())
-    if cost[best] > budget:
-        return None
-    return int(cost[best]), int(origin[best]), int(begin[best] + len(passage))
+        ahead = new - steps
+        reach = np.minimum.accumulate(ahead, axis=1)
+        source = np.maximum.accumulate(np.where(ahead == reach, steps, 0), axis=1)
+        cost = np.minimum(reach + steps, far)
+        origin = np.take_along_axis(new_origin, source, axis=1)
+        if i + 1 >= least:
+            fewest = cost.min(axis=1)
+            good = np.flatnonzero((fewest <= budgets[i + 1]) & (fewest <= best[owner, 0]))
+            cell = cost[good].argmin(axis=1)
+            values = (fewest[good], np.full(len(good), i + 1), origin[good, cell], place[good, cell])
+            best[owner[good]] = np.stack(values, axis=1)
+    return best
 
 
-def exact_place(passage: np.ndarray, text: np.ndarray, low: int, high: int) -> int | None:
-    """First diagonal of a band on which the text holds the passage unchanged."""
-    low, high = max(0, low), min(high, len(text) - len(passage))
-    if low > high:
-        return None
-    region = text[low : high + len(passage)]
-    same = (np.lib.stride_tricks.sliding_window_view(region, len(passage)) == passage).all(axis=1)
-    return low + int(same.argmax()) if same.any() else None
+def _together(starts: np.ndarray) -> list[np.ndarray]:
+    return np.split(starts, np.flatnonzero(np.diff(starts // STARTS)) + 1) if len(starts) else []
 
 
 def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
-    """(passage, edits, begin, end) of every passage that a text holds, at its best place:
-    the one of fewest edits, and the first of those."""
+    """(passage, edits, begin, end) of every passage in which a run begins that a text holds,
+    with the best such run: of fewest edits, the longest of those, and the first of those."""
     of = codes(text)
-    bands = candidates(of, index)
-    best: dict[int, tuple[int, int, int]] = {}
-    for p, low, high in bands:
-        at = exact_place(index.texts[p], of, low, high)
-        if at is not None:
-            found = (0, at, at + len(index.texts[p]))
-            best[p] = min(best.get(p, found), found)
-    unchanged = set(best)
-    for p, low, high in bands:
-        if p not in unchanged:
-            found = align(index.texts[p], of, low, high, int(index.budgets[p]))
-            if found and (p not in best or found < best[p]):
-                best[p] = found
-    return [(p, *found) for p, found in sorted(best.items())]
+    best: dict[int, tuple[int, int, int, int, int]] = {}
+
+    def passage_of(r: int, starts: np.ndarray) -> np.ndarray:
+        first, end = index.passage[r], index.passage[r + 1]
+        return first + np.searchsorted(index.places[first:end], starts, "right") - 1
+
+    def note(r: int, starts: np.ndarray, edits, length, begin, end) -> None:
+        columns = (passage_of(r, starts), edits, -length, starts, begin, end)
+        for p, *found in zip(*(column.tolist() for column in columns)):
+            best[p] = min(best.get(p, tuple(found)), tuple(found))
+
+    close = []
+    for r, low, high, starts in candidates(of, index):
+        item = index.texts[r]
+        for part in _together(starts):
+            length, begin, enough = compare(item, of, part, low, high, index.fine[r])
+            long = length >= min(len(item), PASSAGE)
+            note(r, part[long], np.zeros_like(length[long]), length[long], begin[long], begin[long] + length[long])
+            if enough.any():
+                close.append((r, low, high, part[enough]))
+    whole = np.array(sorted(best), int)
+    for r, low, high, part in close:
+        part = part[~np.isin(passage_of(r, part), whole)]
+        if len(part):
+            edits, length, begin, end = align(index.texts[r], of, part, low, high, index.budgets).T
+            good = edits <= index.budgets.max()
+            note(r, part[good], edits[good], length[good], begin[good], end[good])
+    return [(p, edits, begin, end) for p, (edits, _, _, begin, end) in sorted(best.items())]
 
 
 MATCH = "doc_id long, item_id long, passage_start long, edits long, start long, end long"
@@ -262,10 +354,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, passage_start, edits, start, end``: a row for each passage of the
-    benchmark that a document's whole text holds within the edit budget, at its best place.
+    benchmark in which a run begins that a document's whole text holds within the edit
+    budget, with the best such run. Runs begin at any character and have at least
+    ``PASSAGE`` of them, or are a shorter text as a whole.
 
     ``passage_start`` is in code points of the benchmark text, ``start`` and ``end`` of the
-    document's. Letters are compared in lower case, blanks as spaces. Null and empty texts and
+    run in the document's. Letters are compared in lower case, blanks as spaces. Null and empty texts and
     texts of fewer than q characters hold and identify nothing. Repeated benchmark rows
     count once; repeated documents give repeated rows. The benchmark is the query set: it
     goes to the executors in blocks of ``BLOCK_CHARS`` characters (and one text at most).
@@ -286,7 +380,7 @@ def _search(shared):
         index = shared.value
         for batch in batches:
             rows = [
-                (doc_id, index.item_ids[index.items[p]], index.places[p], edits, begin, end)
+                (doc_id, index.item_ids[index.items[p]], int(index.places[p]), edits, begin, end)
                 for doc_id, text in rows_of([batch], "doc_id", "text")
                 if text
                 for p, edits, begin, end in matches(text, index)
@@ -299,7 +393,7 @@ def _search(shared):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose ``doc_id`` holds no benchmark passage.
+    """The rows of ``docs``, with all columns, whose ``doc_id`` holds no run of the benchmark.
 
     A row without ``doc_id`` goes if any such row holds one.
     """

@@ -85,3 +85,63 @@ def test_given_passages_are_found(spark, given):
     for doc_id, text in given.items():
         found = {index.item_ids[index.items[p]] for p, *_ in d.matches(text, index)}
         assert {item for item, passage in rows if passage in text} <= found
+
+
+def holds(item, text, least=64):
+    """Whether the text holds any run of the item, whatever its place and length, within one edit
+    in ten."""
+    codes = np.array([ord(c) for c in text])
+    steps = np.arange(len(text) + 1)
+    for begin in range(len(item) - least + 1):
+        row = np.zeros(len(text) + 1, int)
+        for i, c in enumerate(item[begin:], 1):
+            new = np.r_[i, np.minimum(row[:-1] + (codes != ord(c)), row[1:] + 1)]
+            row = np.minimum.accumulate(new - steps) + steps
+            if i >= least and 10 * row.min() <= i:
+                return True
+    return False
+
+
+@pytest.mark.parametrize("length", [127, 190, 300])
+def test_copied_runs_are_found_wherever_they_begin(length):
+    rng = random.Random(length)
+    item = sentence(rng, 80)[:length]
+    index = d.build_index([(1, item)])
+    for run in (64, 80, 114, 120):
+        for begin in range(length - run + 1):
+            text = sentence(rng, 20) + " # " + item[begin : begin + run] + " # " + sentence(rng, 20)
+            found = d.matches(text, index)
+            assert found and min(edits for _, edits, *_ in found) == 0, (run, begin)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_against_all_runs_aligned(seed):
+    rng = random.Random(seed)
+    answers = set()
+    for _ in range(12):
+        item = sentence(rng, 60)[: rng.randrange(64, 200)]
+        begin = rng.randrange(len(item) - 50)
+        edited = list(item[begin : begin + rng.randrange(50, 140)])
+        for _ in range(rng.randrange(0, 14)):
+            at = rng.randrange(len(edited))
+            edited[at : at + rng.randrange(2)] = rng.choice(["", "x", "yz"])
+        text = sentence(rng, rng.randrange(12)) + "".join(edited) + sentence(rng, rng.randrange(12))
+        found = d.matches(text, d.build_index([(1, item)]))
+        answers.add(bool(found))
+        assert bool(found) == holds(item, text)
+        for _, edits, start, end in found:
+            assert any(
+                distance(item[b : b + m], text[start:end]) == edits
+                for b in range(len(item) - 63)
+                for m in range(max(64, end - start - edits), min(127, end - start + edits, len(item) - b) + 1)
+            )
+    assert answers == {False, True}
+
+
+def test_a_straddling_copy_is_not_clean(spark, documents):
+    rng = random.Random(3)
+    item = sentence(rng, 60)[:190]
+    docs = documents([(1, sentence(rng, 30) + item[35:155] + sentence(rng, 30)), (2, sentence(rng, 60))])
+    benchmark = spark.createDataFrame([(7, item)], BENCHMARK)
+    assert {(r.doc_id, r.item_id) for r in d.leaks(docs, benchmark).collect()} == {(1, 7)}
+    assert {r.doc_id for r in d.clean(docs, benchmark).collect()} == {2}
