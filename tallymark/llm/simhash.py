@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from tallymark.llm.components import component_roots
@@ -90,6 +91,20 @@ def as_hex(column: Column) -> Column:
     return F.lpad(F.lower(F.hex(column)), BITS // 4, "0")
 
 
+def _members(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``fingerprint, root, component_id`` of every different fingerprint."""
+    # Exact copies fall together here, so a group of any size is one node from now on.
+    nodes = written(
+        marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "nodes"
+    )
+    roots = component_roots(linked(nodes, max_bits))
+    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return written(rooted.join(named, "root").select("fingerprint", "root", "component_id"), "members")
+
+
 def near_copies(docs: DataFrame, length: int = 3, max_bits: int = 2) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row.
 
@@ -100,31 +115,35 @@ def near_copies(docs: DataFrame, length: int = 3, max_bits: int = 2) -> DataFram
     component (null if no row of its component has one). Other columns are not read.
     """
     marked = written(fingerprints(docs, length), "fingerprints")
-    # Exact copies fall together here, so a group of any size is one node from now on.
-    nodes = written(
-        marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "nodes"
-    )
-    roots = component_roots(linked(nodes, max_bits))
-    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = written(rooted.join(named, "root").select("fingerprint", "component_id"), "members")
+    members = _members(marked, max_bits)
     return marked.join(members, "fingerprint").select(
         "doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_first(docs: DataFrame, length: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs``, with all columns, that are their component's ``component_id``.
+    """The rows of ``docs``, with all columns, that are their component's ``component_id``,
+    and of its rows without ``doc_id`` one.
 
-    Of rows that share this ``doc_id`` the least one stays. Rows without ``doc_id`` cannot
-    be told apart and all stay.
+    Of rows that share this ``doc_id``, and of those without one, the least one stays.
     """
-    marked = near_copies(docs, length, max_bits)
-    first = marked.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    marked = written(fingerprints(docs, length), "fingerprints")
+    members = _members(marked, max_bits)
+    first = members.join(marked, "fingerprint").where("doc_id = component_id")
+    first = first.select(F.col("doc_id").alias("first_id")).distinct()
     named = docs.join(first, F.col("doc_id").cast("long") == F.col("first_id"), "left_semi")
     order = [F.col(name) for name in docs.columns if name != "doc_id"]
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
     once = named.withColumn("__nth", nth).where("__nth = 1").drop("__nth")
-    return once.unionByName(docs.where("doc_id is null"))
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([fingerprint(text, length) for (text,) in rows_of([batch], "text")], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "__fingerprint"])
+
+    nameless = docs.where("doc_id is null")
+    nameless = nameless.mapInArrow(compute, StructType([*docs.schema.fields, StructField("__fingerprint", LongType())]))
+    root = members.select(F.col("fingerprint").alias("__fingerprint"), F.col("root").alias("__root"))
+    # A mergeable aggregate, so that a group of any size is cut down where its rows are.
+    least = nameless.join(root, "__fingerprint").groupBy("__root").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return once.unionByName(least.select("__row.*"))

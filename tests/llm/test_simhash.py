@@ -99,3 +99,15 @@ def test_one_of_each_group_stays(spark, documents):
     rows = [(3, "a b c d"), (1, "A b c d"), (1, "A b c d"), (7, "quite another text here"), (None, "a b c d")]
     kept = simhash.keep_first(documents(rows)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "a b c d"), (1, "A b c d"), (7, rows[3][1])]
+
+
+def test_one_row_without_an_id_stays_of_each_group(spark, documents):
+    far = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, "a b c d")] * 3 + [(None, "A B c d"), (None, far, "en"), (None, far, "de"), (None, None), (None, " ")]
+    rows += [(7, "quite another text here"), (8, "quite another text here")]
+    docs = documents(rows).withColumnRenamed("source", "root").withColumnRenamed("n_chars", "fingerprint")
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=repr) == sorted(
+        [(None, "A B c d", None), (None, far, "de"), (None, None, None), (7, rows[-1][1], None)], key=repr
+    )
