@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tallymark.llm.shared import written
 from tallymark.llm.texts import held_out, rows_of
@@ -33,13 +34,14 @@ SPAN = 14  # symbols of a place
 LANDMARKS = 160
 RIDGE = 1e-3
 DOCS_PER_LABEL = 1_500  # bound of the training sample
-CHARS_PER_DOC = 20_000  # longer documents are not sampled for training
+CHARS_PER_DOC = 20_000  # of longer documents, so much in sentences chosen by hash is learnt from
 ROUNDS = 3  # of choosing the marking places and training again
 THINNED_WEIGHT = 0.1  # of toxic documents with all insults but one left out
 SPELLINGS = 1  # gapped or inserted-character variants of each marking place
 AT_ONCE = 1 << 18  # symbols of a text that are scored together
 THRESHOLD = 0.3
 WORD = regex.compile(r"\p{L}+")
+SENTENCE = regex.compile(r"[^\n!.?|]{1,1000}[\n!.?|]*|[\n!.?|]+")  # a very long one in pieces
 
 #: Places of a subsequence's other symbols after its first, and the weight of each form.
 FORMS = list(combinations(range(1, STRETCH), LENGTH - 1))
@@ -310,22 +312,41 @@ def probability(text: str | None, machine: Machine) -> float:
     return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
 
 
+def excerpt(text: str, chars: int = CHARS_PER_DOC) -> str:
+    """The whole text, or of a longer one sentences chosen by hash, in their order, that have
+    ``chars`` characters in all, or up to a sentence less."""
+    if len(text) <= chars:
+        return text
+    parts = SENTENCE.findall(text)
+    order = sorted(range(len(parts)), key=lambda i: xxh64_intdigest(f"{i} {parts[i]}"))
+    sizes = np.cumsum([len(parts[i]) for i in order])
+    return "".join(parts[i] for i in sorted(order[: max(1, int((sizes <= chars).sum()))]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) -> Machine | None:
     """Trained on about ``per_label`` documents of each label, chosen by hash of the
-    ``doc_id``; rows held out are never read."""
+    ``doc_id``, whatever their length; of a long one on an excerpt. Rows held out are never
+    read."""
     learnable = labels.where("toxic is not null").where(~held_out()).select("doc_id", "toxic").distinct()
     sizes = learnable.groupBy(F.col("toxic").alias("of")).agg(F.count("*").alias("n"))
     rank = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("doc_id").cast("string")), F.col("n"))
     chosen = learnable.join(sizes, F.col("toxic") == F.col("of")).where(rank < per_label)
     # Written, so that its true size decides how it is joined to the documents.
     chosen = written(chosen.select(F.col("doc_id").alias("chosen_id"), "toxic", "n"), "toxic-sample")
-    rows = (
-        docs.where((F.length("text") <= CHARS_PER_DOC) & (F.length("text") > 0))
+    sampled = (
+        docs.where(F.length("text") > 0)
         .select("doc_id", "text")
         .join(chosen, F.col("doc_id") == F.col("chosen_id"))
-        .select("doc_id", "toxic", "text", "n")
-        .collect()
+        .select(F.col("doc_id").cast("long"), F.col("toxic").cast("long"), F.col("text").cast("string"), "n")
     )
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([excerpt(text) for (text,) in rows_of([batch], "text")], pa.string())
+            columns = [batch.column("doc_id"), batch.column("toxic"), texts, batch.column("n")]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "text", "n"])
+
+    rows = sampled.mapInArrow(shorten, "doc_id long, toxic long, text string, n long").collect()
     rows = sorted(map(tuple, rows))
     sizes = {int(toxic == 1): n for _, toxic, _, n in rows}
     if len(sizes) < 2:

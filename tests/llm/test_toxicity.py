@@ -96,3 +96,22 @@ def test_held_out_rows_are_never_learnt(spark, documents):
     docs = documents([(i, "you idiot" if i % 2 else "the thing") for i in held])
     labels = spark.createDataFrame([(i, 1, i % 2) for i in held], "doc_id long, quality int, toxic int")
     assert t.fit(docs, labels) is None
+
+
+def test_long_documents_are_learnt_from(spark, documents):
+    clean = "the thing and of there. some more words here. "
+    rude = "you worthless clown. what an idiot you are. "
+    texts = [(i, (clean + (rude if i % 2 else "")) * (900 if i % 2 else 10)) for i in range(60)]
+    assert all(len(text) > t.CHARS_PER_DOC for i, text in texts if i % 2)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in texts], "doc_id long, quality int, toxic int")
+    found = t.classify(documents(texts), labels).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in found)
+
+
+def test_excerpts():
+    text = "".join(f"Sentence {i} of the text. " for i in range(3_000))
+    short = t.excerpt(text)
+    assert t.CHARS_PER_DOC - 1_000 < len(short) <= t.CHARS_PER_DOC and t.excerpt(short) == short
+    assert int(short.rsplit("Sentence ")[-1].split()[0]) > 2_900
+    assert 19_000 <= len(t.excerpt("x" * 100_000)) <= t.CHARS_PER_DOC
+    assert "".join(t.SENTENCE.findall(text + "\n\n||")) == text + "\n\n||"
