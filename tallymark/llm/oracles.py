@@ -229,3 +229,43 @@ SELECT p.conv_id, count(*) AS n_turns,
 FROM placed p JOIN chars ON p.conv_id IS NOT DISTINCT FROM chars.conv_id
 GROUP BY p.conv_id
 """
+
+ORACLES["op11_phrases"] = f"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), {LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece
+), place AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), counted AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS gram, count(*) AS f
+    FROM place, (VALUES (1), (2), (3)) lengths(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+), total AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidate AS (
+    SELECT *, string_split(gram, ' ') AS w FROM counted WHERE m >= 2 AND f >= 10
+), inside AS (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS gram, f FROM candidate WHERE m = 3
+), longer AS (
+    SELECT lang, gram, max(f) AS longer FROM inside GROUP BY ALL
+), kept AS (
+    SELECT candidate.* FROM candidate LEFT JOIN longer USING (lang, gram)
+    WHERE longer IS NULL OR 100 * longer < 50 * f
+), halves AS (
+    SELECT *, array_to_string(w[1:k], ' ') AS begins, array_to_string(w[k + 1:], ' ') AS ends
+    FROM kept, (VALUES (1), (2)) cuts(k) WHERE k < m
+), scored AS (
+    SELECT h.lang, h.gram AS phrase, h.f AS a, x.f AS l, y.f AS r, k,
+           (1000000::HUGEINT * h.f * h.f) // (x.f::HUGEINT * y.f) AS score
+    FROM halves h JOIN counted x ON x.lang = h.lang AND x.gram = begins
+        JOIN counted y ON y.lang = h.lang AND y.gram = ends
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, quality, simhash, token_counts, toxicity
+from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, phrases, quality, simhash, token_counts, toxicity
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ LINE_CHARS, LINE_DOCS = 20, 3
 SHINGLE, BITS_APART = 3, 2
 WEIGHTS, EPOCHS = (5, 2, 1), 3
 TOKEN_LIMIT = 512
+PHRASE_WORDS, PHRASE_COUNT, INSIDE_PERCENT, BEST_PHRASES = 3, 10, 50, 2000
 
 
 def query(function: Query) -> Query:
@@ -94,3 +95,9 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark passage that a document holds, with its place and number of edits."""
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of each language that stand together most."""
+    return phrases.mine(table(spark, folder, "documents"), PHRASE_WORDS, PHRASE_COUNT, INSIDE_PERCENT, BEST_PHRASES)

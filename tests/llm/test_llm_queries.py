@@ -11,7 +11,7 @@ NATIVE = ("op2_chat_windows", "op3_quality", "op8_mixing")
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
 
 
