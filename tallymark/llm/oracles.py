@@ -269,3 +269,26 @@ WITH piece AS (
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
+
+ORACLES["op13_repeats"] = """
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), place AS (
+    SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM worded WHERE len(w) >= 20
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words FROM place
+), firsts AS (
+    SELECT words, min(doc_id::HUGEINT * 4294967296 + i) AS first FROM windows GROUP BY words
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i
+    FROM windows JOIN firsts USING (words) WHERE doc_id::HUGEINT * 4294967296 + i > first
+), word AS (
+    SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM worded
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS words
+    FROM word ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (doc_id)
+"""

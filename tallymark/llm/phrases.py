@@ -14,7 +14,8 @@ itself: it leads from its first words to its last ones and weighs as often as it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,20 +32,21 @@ ENDS = b".,;:!?\n\x0b\x0c\r"  # what ends a piece
 _PIECES = bytes.maketrans(ENDS + b"\t", STOP * len(ENDS) + b" ")
 BUCKET_BYTES = 8 << 20  # of text for each part of the graph, about
 SAMPLE_DOCS, BUSY_SHARE, SALTS = 4096, 256, 64
+BATCH_ROWS = 1 << 16
 PATH_STEP = 256  # edges of a path in one row
 ROUNDS = 60  # doubling steps; a longer path than 2^60 edges means a fault
 EXACT = "decimal(14,0)"  # holds any count; products of two, a million times, stay exact
-EDGES = "lang string, node string, last string, n long"
+EDGES = "cell int, gram string, n long"
 
 
-def _edges(data: bytes, length: int) -> tuple[pa.Array, pa.Array, pa.Array] | None:
-    """``node, last, n`` of the different edges of the pieces; ``last`` is null in a correction."""
+def _edges(lang: str, data: bytes, length: int, busy: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray] | None:
+    """``cell, gram, n`` of the different edges of a lang's pieces, in their order. A gram of
+    fewer than ``length`` words is a correction."""
     words, dictionary, stop = numbered(data)
-    n_words = len(dictionary)
-    inner = words != stop
-    starts = np.flatnonzero(inner)
+    starts = np.flatnonzero(words != stop)
     if not len(starts):
         return None
+    n_words = len(dictionary)
     padded = np.concatenate([words, np.full(length, stop, np.int64)])
     alive, key = np.ones(len(starts), bool), np.zeros(len(starts), np.int64)
     places = []
@@ -56,17 +58,32 @@ def _edges(data: bytes, length: int) -> tuple[pa.Array, pa.Array, pa.Array] | No
             key = np.unique(key, return_inverse=True)[1]
         key = key * (n_words + 1) + places[-1]
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    columns = [
-        pc.take(dictionary, pa.array(place[first] - 1, mask=place[first] == 0)).cast(pa.string())
-        for place in places
-    ]
-    node = columns[0] if length == 2 else pc.binary_join_element_wise(*columns[:-1], " ", null_handling="skip")
-    return node, columns[-1], pa.array(counts, pa.int64())
+    places = [place[first] for place in places]
+    wide = pa.large_string()
+    columns = [pc.take(dictionary, pa.array(place - 1, mask=place == 0)).cast(wide) for place in places]
+    columns[0] = pc.binary_join_element_wise(pa.scalar(lang, wide), columns[0], pa.scalar("\t", wide))
+    gram = pc.binary_join_element_wise(*columns, pa.scalar(" ", wide), null_handling="skip")
+    # The dictionary's place 0 stands for no word.
+    known = [b"", *dictionary.to_pylist()]
+    hashed = np.fromiter((crc32(word) for word in known), np.int64, len(known))
+    cell = hashed[places[0]] ^ crc32(lang.encode())
+    if length > 2:
+        heads = np.fromiter((int.from_bytes(word[:2]) for word in known), np.int64, len(known))
+        cell = cell * 1_000_003 + heads[places[1]]
+    cell = (cell * 2_654_435_761 >> 7) % 2**31
+    salted = -1 - (cell * 31 + hashed[places[-1]] % SALTS) % 2**31
+    return np.where(np.isin(cell, busy), salted, cell), gram, counts
 
 
-def edges(docs: DataFrame, length: int) -> DataFrame:
-    """``lang, node, last, n``: edges and corrections, added up for each batch of ``docs``
-    (``lang, text``). A frequent one is a row of each batch, not of each place."""
+def edges(docs: DataFrame, length: int, busy: Sequence[int] = ()) -> DataFrame:
+    """``cell, gram, n``: edges and corrections, added up for each batch of ``docs`` (``lang,
+    text``). A frequent one is a row of each batch, not of each place.
+
+    ``gram`` is the lang, a tab and the words. Nodes of the same first word whose second
+    begins alike share a cell, so rows that look alike travel together. A ``busy`` cell is
+    dealt out by the last word, to cells below zero.
+    """
+    crowded = np.array(sorted(busy), np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,24 +92,25 @@ def edges(docs: DataFrame, length: int) -> DataFrame:
                 for lang in langs.unique().to_pylist():
                     texts = part.column("text").filter(pc.equal(langs, lang)).to_pylist()
                     data = "\n".join(texts).encode().lower().translate(_PIECES)
-                    found = _edges(data.replace(STOP, b" " + STOP + b" "), length)
+                    found = _edges(lang, data.replace(STOP, b" " + STOP + b" "), length, crowded)
                     if found:
-                        node, last, n = found
-                        of = pa.repeat(pa.scalar(lang, pa.string()), len(n))
-                        table = pa.table({"lang": of, "node": node, "last": last, "n": n})
-                        yield from table.to_batches(max_chunksize=1 << 16)
+                        cell, gram, n = found
+                        for at in range(0, len(n), BATCH_ROWS):
+                            end = at + BATCH_ROWS
+                            columns = [pa.array(cell[at:end], pa.int32()), gram[at:end].cast(pa.string()), pa.array(n[at:end], pa.int64())]
+                            yield pa.RecordBatch.from_arrays(columns, ["cell", "gram", "n"])
 
     return docs.mapInArrow(count, EDGES)
 
 
-def _busy(docs: DataFrame, length: int) -> list[str]:
-    """Nodes that hold more than one in ``BUSY_SHARE`` of the words of a few thousand
+def _busy(docs: DataFrame, length: int) -> list[int]:
+    """Cells that hold more than one in ``BUSY_SHARE`` of the words of a few thousand
     documents: at most that many. They only decide how the graph is dealt out."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    rows = edges(docs.sample(share, seed=11), length).groupBy("node").agg(F.sum("n").alias("n"))
-    rows = written(rows, "sampled-nodes")
+    rows = edges(docs.sample(share, seed=11), length).groupBy("cell").agg(F.sum("n").alias("n"))
+    rows = written(rows, "sampled-cells")
     total = rows.agg(F.sum("n")).first()[0] or 0
-    return [row.node for row in rows.where(F.col("n") > total / BUSY_SHARE).collect()]
+    return [row.cell for row in rows.where(F.col("n") > total / BUSY_SHARE).collect()]
 
 
 def _words(gram: Column, n: int) -> Column:
@@ -106,20 +124,20 @@ def counts(docs: DataFrame, length: int = MAX_WORDS, min_count: int = MIN_COUNT)
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty("text").alias("text")
     )
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    busy = _busy(slim, length)
-    spread = F.pmod(F.hash("last"), F.lit(SALTS)) + 1
-    salt = F.when(F.col("node").isin(busy), spread).otherwise(0) if busy else F.lit(0)
     # A node's edges stay together, so that its flow needs no second shuffle; those of a busy
-    # node are spread over the salts and its flow is added up once more.
-    dealt = edges(slim, length).withColumn("salt", salt.cast("int"))
-    dealt = dealt.repartition(max(1, -(-size // BUCKET_BYTES)), "lang", "node", "salt")
-    edge = dealt.groupBy("lang", "node", "salt", "last").agg(F.sum("n").alias("n"))
-    longest = edge.where(F.col("last").isNotNull() & (F.col("n") >= min_count)).select(
-        "lang", F.concat_ws(" ", "node", "last").alias("gram"), "n"
-    )
-    flow = edge.groupBy("lang", "node", "salt").agg(F.sum("n").alias("n"))
+    # cell are spread and the flows of its nodes are added up once more.
+    dealt = edges(slim, length, _busy(slim, length)).repartition(max(1, -(-size // BUCKET_BYTES)), "cell")
+    edge = dealt.groupBy("cell", "gram").agg(F.sum("n").alias("n"))
+    # No word holds a tab, a lang may.
+    words = F.substring_index("gram", "\t", -1)
+    lang = F.expr("left(gram, length(gram) - length(substring_index(gram, '\t', -1)) - 1)")
+    edge = edge.select("cell", lang.alias("lang"), words.alias("gram"), "n")
+    whole = F.size(F.split("gram", " ")) == length
+    # The count in the condition keeps it behind the shuffle, which both readers share.
+    longest = edge.where(F.when(whole, F.col("n")) >= min_count).select("lang", "gram", "n")
+    flow = edge.groupBy("cell", "lang", _words(F.col("gram"), length - 1).alias("node")).agg(F.sum("n").alias("n"))
     # A node below the threshold is no phrase, but part of what begins like it.
-    frequent = (F.col("n") >= min_count) | (F.col("salt") > 0)
+    frequent = (F.col("n") >= min_count) | (F.col("cell") < 0)
     size_of = F.size(F.split("node", " "))
     shorter = F.array(*[
         F.when((size_of >= m) & (frequent if m == length - 1 else F.lit(True)), _words(F.col("node"), m))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, phrases, quality, simhash, token_counts, toxicity
+from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, phrases, quality, repeats, simhash, token_counts, toxicity
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ LINE_CHARS, LINE_DOCS = 20, 3
 SHINGLE, BITS_APART = 3, 2
 WEIGHTS, EPOCHS = (5, 2, 1), 3
 TOKEN_LIMIT = 512
+REPEATED_WORDS = 20
 PHRASE_WORDS, PHRASE_COUNT, INSIDE_PERCENT, BEST_PHRASES = 3, 10, 50, 2000
 
 
@@ -101,3 +102,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     """The phrases of each language that stand together most."""
     return phrases.mine(table(spark, folder, "documents"), PHRASE_WORDS, PHRASE_COUNT, INSIDE_PERCENT, BEST_PHRASES)
+
+
+@query
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Words before and removed, and a digest of what stays, of every document."""
+    cut = repeats.cut_repeats(table(spark, folder, "documents"), REPEATED_WORDS)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

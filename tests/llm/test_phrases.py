@@ -65,7 +65,8 @@ def test_same_as_counting(spark, documents, length, min_count, inside, best):
 def test_busy_nodes_change_nothing(spark, documents, monkeypatch):
     rows = texts(9)
     docs = documents([(i, text, lang) for i, (text, lang) in enumerate(rows)]).repartition(4)
-    monkeypatch.setattr(phrases, "_busy", lambda docs, length: ["a b", "b a", "of the", "a"])
+    cells = [row.cell for row in phrases.edges(docs.na.fill("").where("doc_id % 3 > 0"), 3).collect()]
+    monkeypatch.setattr(phrases, "_busy", lambda docs, length: cells)
     assert found(phrases.mine(docs)) == plain(rows)
 
 
@@ -100,11 +101,19 @@ def test_empty_and_clashing_columns(spark, documents):
     assert found(phrases.mine(documents([(1, None), (2, " ")]))) == []
     rows = [("x y z. x y", "en")] * 11
     docs = spark.createDataFrame(
-        [(t, l, 1, 2, 3, 4, 5) for t, l in rows], "text string, lang string, n int, salt int, gram int, node int, last int"
+        [(t, l, 1, 2, 3, 4, 5) for t, l in rows], "text string, lang string, n int, cell int, gram int, node int, words int"
     )
     assert found(phrases.mine(docs)) == plain(rows)
 
 
+def test_langs_with_blanks_and_tabs(spark, documents):
+    rows = [("x y z. x y", lang) for lang in ("e n", "e\tn", "", None) for _ in range(10)]
+    docs = documents([(i, text, lang) for i, (text, lang) in enumerate(rows)])
+    assert found(phrases.mine(docs)) == sorted(
+        plain([r for r in rows if r[1] != ""]) + [("", *r[1:]) for r in plain([r for r in rows if r[1] is None])]
+    )
+
+
 def test_wrong_parameters(documents):
     with pytest.raises(ValueError):
         phrases.mine(documents([]), max_words=1)
