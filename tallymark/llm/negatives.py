@@ -27,10 +27,11 @@ from tallymark.llm.shared import written
 SCALE = 256  # a component is taken as a whole number of 256ths
 ANCHOR_STEP, RELABEL_STEP, LABELS = 100, 7, 10
 BEST, LEAST_PERCENT = 5, 80
-BLOCK_ROWS, BLOCK_BYTES, GROUP_ANCHORS = 4096, 16 << 20, 512
+BLOCK_ROWS, BLOCK_BYTES, GROUP_ANCHORS = 2048, 16 << 20, 512
 BASE, LEAF = 1.5, 32
 EXACT = 2.0**53  # whole numbers up to here are exact in doubles, and so are their sums
 LONG = 2**63 - 1
+MOST = 1e100  # components are cut there; squares of them are doubles still
 SLACK = 1e-9  # of the largest square; covers rounding in the bounds
 
 TREES = "block int, rows binary, ids binary, labels binary, points binary, nodes binary, n_dims int"
@@ -44,6 +45,7 @@ def whole(vectors: list, n_dims: int) -> np.ndarray:
     out = np.zeros((len(vectors), n_dims))
     for row, vector in zip(out, vectors):
         row[: len(vector)] = vector
+    out = np.clip(out, -MOST, MOST)
     scaled = np.floor(out * SCALE) if np.abs(out).max(initial=0) < EXACT else out
     if n_dims * np.abs(scaled).max(initial=0) ** 2 < EXACT / 4 and scaled is not out:
         return scaled
@@ -87,7 +89,7 @@ class Tree:
             reach = np.sqrt(((lifted[members] - lifted[members[0]]) ** 2).sum(axis=1))
             radius = float(reach.max())
             own, children = members, []
-            if len(members) > LEAF and radius > 0:
+            if len(members) > LEAF and 0 < radius < math.inf:
                 level = BASE ** (math.ceil(math.log(radius, BASE)) - 1)
                 own, left = [], np.arange(len(members))
                 apart = cls._pairs(lifted[members])
@@ -122,7 +124,9 @@ class Tree:
         low = (square - (far + self.radius[node]) ** 2) / 2
         high = (square - np.maximum(far - self.radius[node], 0) ** 2) / 2
         spread = math.sqrt(float(anchor @ anchor)) * self.radius[node]  # the plain bound may be closer
-        return np.maximum(low, near - spread) - slack, np.minimum(high, near + spread) + slack
+        low, high = np.maximum(low, near - spread) - slack, np.minimum(high, near + spread) + slack
+        # Beyond the range of doubles nothing is known.
+        return np.where(np.isnan(low), -math.inf, low), np.where(np.isnan(high), math.inf, high)
 
     def best(
         self, anchor: np.ndarray, windows: list[tuple], n: int, fits: Callable[[np.ndarray], np.ndarray]
@@ -296,8 +300,8 @@ def mine(
     null label, a null vector, or a component that is null or not finite takes no part; an
     empty vector scores 0, a shorter one as if filled up with zeros. Repeated rows are rows
     of their own, as anchors, positives and negatives. Other columns are not read. No rows,
-    or none that fit, give no rows. Scores that a long cannot hold are cut to its ends in the
-    result, after they have been ranked by 37 digits.
+    or none that fit, give no rows. Components are cut at 1e100. Scores are exact up to 37
+    digits, and cut there; those that a long cannot hold are cut to its ends in the result, after they have been ranked.
     """
     rows = candidates(vectors)
     trees, n_blocks, n_dims = grow_trees(rows)

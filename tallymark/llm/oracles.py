@@ -292,3 +292,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
        sha256(coalesce(words, '')) AS kept_sha256
 FROM worded LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH vector AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+           CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM vector a JOIN vector b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negative AS (
+    SELECT p.anchor_id, positive_id,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT alike
+        AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE rank <= 5
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, phrases, quality, repeats, simhash, token_counts, toxicity
+from tallymark.llm import chat, decontamination, language, line_dedup, lm_scoring, mixing, negatives, phrases, quality, repeats, simhash, token_counts, toxicity
 from tallymark.llm.texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ SHINGLE, BITS_APART = 3, 2
 WEIGHTS, EPOCHS = (5, 2, 1), 3
 TOKEN_LIMIT = 512
 REPEATED_WORDS = 20
+ANCHOR_STEP, POSITIVES, NEGATIVES, LEAST_PERCENT = 100, 5, 5, 80
 PHRASE_WORDS, PHRASE_COUNT, INSIDE_PERCENT, BEST_PHRASES = 3, 10, 50, 2000
 
 
@@ -104,6 +105,12 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.mine(table(spark, folder, "documents"), PHRASE_WORDS, PHRASE_COUNT, INSIDE_PERCENT, BEST_PHRASES)
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The hard negatives of every anchor and positive."""
+    return negatives.mine(table(spark, folder, "embeddings"), ANCHOR_STEP, POSITIVES, NEGATIVES, LEAST_PERCENT)
+
+
 @query
 def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Words before and removed, and a digest of what stays, of every document."""
