@@ -26,7 +26,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from tallymark.llm.texts import BLANKS, rows_of, text_or_empty
 from tallymark.llm.tokens import STOP, numbered
@@ -62,6 +61,21 @@ def _sequences(hashes: np.ndarray, length: int) -> np.ndarray:
     return whole[: max(0, len(hashes) - length + 1)]
 
 
+def _word_hashes(dictionary: pa.Array) -> np.ndarray:
+    """A number for each word, from its bytes alone: a polynomial in 64 bits, mixed. It only
+    decides what is looked at together; what is equal is decided by the words."""
+    if not len(dictionary):
+        return np.empty(0, np.uint64)
+    _, offsets, data = dictionary.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(dictionary) + 1)
+    letters = np.frombuffer(data, np.uint8, int(bounds[-1])).astype(np.uint64) + np.uint64(1)
+    sizes = np.diff(bounds)
+    powers = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+    place = np.arange(len(letters)) - np.repeat(bounds[:-1], sizes)
+    sums = np.add.reduceat(letters * powers[place], bounds[:-1])
+    return _mix(sums, sizes.astype(np.uint64))
+
+
 class Block:
     """The words of a block's texts as numbers, and each window's prefix."""
 
@@ -75,18 +89,13 @@ class Block:
         self.begins = np.r_[0, ends[:-1] + 1]
         self.sizes = ends - self.begins
         self.row = np.repeat(np.arange(len(ends)), self.sizes + 1)
-        of_word = np.fromiter((xxh64_intdigest(w.as_py()) for w in self.dictionary), np.uint64, len(self.dictionary))
-        hashed = of_word[self.words]
+        hashed = _word_hashes(self.dictionary)[self.words]
         n = len(self.words) - window + 1
         if n <= 0:
             self.starts = self.at = self.prefixes = np.empty(0, np.int64)
             self.windows = np.empty(0, np.uint64)
             return
         stops = np.r_[0, np.cumsum(is_stop)]
-        taken = self.dictionary.take(pa.array(self.words))
-        #: All words joined by blanks, and where each begins there.
-        self.joined = b" ".join(taken.to_pylist())
-        self.offsets = np.r_[0, np.cumsum(pc.binary_length(taken).to_numpy() + 1)]
         whole = stops[window:] == stops[:-window]
         keys = _sequences(hashed, prefix)
         seen = np.lib.stride_tricks.sliding_window_view(keys, window - prefix + 1)
@@ -104,8 +113,13 @@ class Block:
         begin = np.flatnonzero(new)
         return begin, np.diff(np.r_[begin, len(self.starts)])
 
-    def text(self, begin: int, end: int) -> bytes:
-        return self.joined[self.offsets[begin] : self.offsets[end] - 1]
+    def texts(self, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The words from each place up to another, joined by blanks."""
+        taken = self.dictionary.take(pa.array(self.words))
+        whole = pa.LargeListArray.from_arrays(pa.array([0, len(taken)], pa.int64()), taken)
+        joined = pc.binary_join(whole, pa.scalar(b" ", pa.large_binary()))[0].as_py()
+        offsets = np.r_[0, np.cumsum(pc.binary_length(taken).to_numpy() + 1)]
+        return [joined[a:b] for a, b in zip(offsets[begin].tolist(), (offsets[end] - 1).tolist())]
 
 
 def _ask(window: int, prefix: int) -> Callable[[pa.Table], pa.Table]:
@@ -172,12 +186,10 @@ def _send(window: int, prefix: int, n_buckets: int, most: int) -> Callable[[pa.T
 
         bucket, place, n, of = (np.concatenate(column) for column in zip(*rows))
         start, row = block.starts[place], block.row[block.starts[place]]
-        words = [
-            None if done >= 0 else block.text(s, s + k + window - 1)
-            for s, k, done in zip(start.tolist(), n.tolist(), of.tolist())
-        ]
         of_row = block.row[block.starts[of]]
         sent = of >= 0
+        texts_of = block.texts(start, start + n + window - 1)
+        words = [None if known else text for known, text in zip(sent.tolist(), texts_of)]
         columns = [
             bucket, np.full(len(place), number), block.ids[row], block.hashes[row], start - block.begins[row], n, words,
             pa.array(block.ids[of_row], mask=~sent),
@@ -195,16 +207,24 @@ def _later(block: Block, places: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return (block.ids[row] > block.ids[of]) | ((block.ids[row] == block.ids[of]) & (start > of_start))
 
 
-def leaves(words: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of the suffix at each place by its first ``depth`` words; equal ones are leaves of
-    one node that deep. By doubling: ranks of twice the length come from pairs of ranks."""
-    rank, known = np.unique(words, return_inverse=True)[1].astype(np.int64), 1
-    while known < depth:
-        step = min(known, depth - known)  # the second half may overlap the first
-        after = np.r_[rank[step:], np.full(min(step, len(rank)), -1)] + 1
-        rank = np.unique(rank * (int(after.max(initial=0)) + 1) + after, return_inverse=True)[1]
-        known += step
-    return rank
+def leaves(words: np.ndarray, depth: int, at: np.ndarray) -> np.ndarray:
+    """Rank of the suffixes at some places by their first ``depth`` words; equal ones are
+    leaves of one node that deep. Ranks of longer beginnings come from several of shorter
+    ones, as many as one number holds, so the length doubles at least from step to step."""
+    rank, known = words, 1
+    while True:
+        base = int(rank.max(initial=0)) + 2
+        parts = min(int(62 / math.log2(base)), -(-depth // known))
+        reach = min(depth, known * parts)
+        where = at if reach == depth else np.arange(len(words))
+        padded = np.r_[rank + 1, np.zeros(depth, np.int64)]  # 0 stands for the end
+        key = np.zeros(len(where), np.int64)
+        for part in range(parts):
+            # The last part may overlap the one before.
+            key = key * base + padded[where + min(part * known, reach - known)]
+        rank, known = np.unique(key, return_inverse=True)[1].astype(np.int64), reach
+        if known == depth:
+            return rank
 
 
 def _grow(window: int) -> Callable[[pa.Table], pa.Table]:
@@ -222,7 +242,7 @@ def _grow(window: int) -> Callable[[pa.Table], pa.Table]:
         begins = np.r_[0, np.flatnonzero(words == stop)[:-1] + 1]
         row = np.repeat(np.arange(len(sizes)), sizes)
         step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        node = leaves(words, window)[begins[row] + step]
+        node = leaves(words, window, begins[row] + step)
         ids = new.column("id").to_numpy()[row]
         start = new.column("start").to_numpy()[row].astype(np.int64) + step
         order = np.lexsort((start, ids, node))
@@ -265,14 +285,14 @@ def _cut(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         counted, removed, kept = [], [], []
         for ident, hashed, text in zip(*(texts.column(c) for c in ("id", "hash", "text"))):
             words = zlib.decompress(text.as_py()).translate(_BLANKS).split()
-            gone = np.zeros(len(words) + 1, np.int32)
-            for begin, end in marked.get((ident.as_py(), hashed.as_py()), ()):
-                gone[begin] += 1
-                gone[end] -= 1
-            gone = np.cumsum(gone)[:-1] > 0
             counted.append(len(words))
-            removed.append(int(gone.sum()))
-            kept.append(b" ".join(w for w, g in zip(words, gone) if not g).decode())
+            stays, upto = [], 0
+            for begin, end in sorted(marked.get((ident.as_py(), hashed.as_py()), ())):
+                stays += words[upto:begin]
+                upto = max(upto, end)
+            stays += words[upto:]
+            removed.append(len(words) - len(stays))
+            kept.append(b" ".join(stays).decode())
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
