@@ -15,6 +15,7 @@ itself: it leads from its first words to its last ones and weighs as often as it
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 from zlib import crc32
 
 import numpy as np
@@ -33,6 +34,7 @@ _PIECES = bytes.maketrans(ENDS + b"\t", STOP * len(ENDS) + b" ")
 BUCKET_BYTES = 8 << 20  # of text for each part of the graph, about
 SAMPLE_DOCS, BUSY_SHARE, SALTS = 4096, 256, 64
 BATCH_ROWS = 1 << 16
+TAB = "\t"
 PATH_STEP = 256  # edges of a path in one row
 ROUNDS = 60  # doubling steps; a longer path than 2^60 edges means a fault
 EXACT = "decimal(14,0)"  # holds any count; products of two, a million times, stay exact
@@ -41,7 +43,7 @@ EDGES = "cell int, gram string, n long"
 
 def _edges(lang: str, data: bytes, length: int, busy: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray] | None:
     """``cell, gram, n`` of the different edges of a lang's pieces, in their order. A gram of
-    fewer than ``length`` words is a correction."""
+    fewer than ``length`` words is a correction; one without any counts all words."""
     words, dictionary, stop = numbered(data)
     starts = np.flatnonzero(words != stop)
     if not len(starts):
@@ -61,7 +63,7 @@ def _edges(lang: str, data: bytes, length: int, busy: np.ndarray) -> tuple[np.nd
     places = [place[first] for place in places]
     wide = pa.large_string()
     columns = [pc.take(dictionary, pa.array(place - 1, mask=place == 0)).cast(wide) for place in places]
-    columns[0] = pc.binary_join_element_wise(pa.scalar(lang, wide), columns[0], pa.scalar("\t", wide))
+    columns[0] = pc.binary_join_element_wise(pa.scalar(quote(lang, safe=""), wide), columns[0], pa.scalar(TAB, wide))
     gram = pc.binary_join_element_wise(*columns, pa.scalar(" ", wide), null_handling="skip")
     # The dictionary's place 0 stands for no word.
     known = [b"", *dictionary.to_pylist()]
@@ -72,16 +74,18 @@ def _edges(lang: str, data: bytes, length: int, busy: np.ndarray) -> tuple[np.nd
         cell = cell * 1_000_003 + heads[places[1]]
     cell = (cell * 2_654_435_761 >> 7) % 2**31
     salted = -1 - (cell * 31 + hashed[places[-1]] % SALTS) % 2**31
-    return np.where(np.isin(cell, busy), salted, cell), gram, counts
+    cell = np.where(np.isin(cell, busy), salted, cell)
+    everything = pa.array([quote(lang, safe="") + TAB], wide)
+    return np.r_[crc32(lang.encode()) >> 1, cell], pa.concat_arrays([everything, gram]), np.r_[len(starts), counts]
 
 
 def edges(docs: DataFrame, length: int, busy: Sequence[int] = ()) -> DataFrame:
     """``cell, gram, n``: edges and corrections, added up for each batch of ``docs`` (``lang,
     text``). A frequent one is a row of each batch, not of each place.
 
-    ``gram`` is the lang, a tab and the words. Nodes of the same first word whose second
-    begins alike share a cell, so rows that look alike travel together. A ``busy`` cell is
-    dealt out by the last word, to cells below zero.
+    ``gram`` is the lang, quoted as in an address, a tab and the words. Nodes of the same first
+    word whose second begins alike share a cell, so rows that look alike travel together. A
+    ``busy`` cell is dealt out by the last word, to cells below zero.
     """
     crowded = np.array(sorted(busy), np.int64)
 
@@ -107,7 +111,8 @@ def _busy(docs: DataFrame, length: int) -> list[int]:
     """Cells that hold more than one in ``BUSY_SHARE`` of the words of a few thousand
     documents: at most that many. They only decide how the graph is dealt out."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    rows = edges(docs.sample(share, seed=11), length).groupBy("cell").agg(F.sum("n").alias("n"))
+    found = edges(docs.sample(share, seed=11), length).where(~F.col("gram").endswith(TAB))
+    rows = found.groupBy("cell").agg(F.sum("n").alias("n"))
     rows = written(rows, "sampled-cells")
     total = rows.agg(F.sum("n")).first()[0] or 0
     return [row.cell for row in rows.where(F.col("n") > total / BUSY_SHARE).collect()]
@@ -128,25 +133,22 @@ def counts(docs: DataFrame, length: int = MAX_WORDS, min_count: int = MIN_COUNT)
     # cell are spread and the flows of its nodes are added up once more.
     dealt = edges(slim, length, _busy(slim, length)).repartition(max(1, -(-size // BUCKET_BYTES)), "cell")
     edge = dealt.groupBy("cell", "gram").agg(F.sum("n").alias("n"))
-    # No word holds a tab, a lang may.
-    words = F.substring_index("gram", "\t", -1)
-    lang = F.expr("left(gram, length(gram) - length(substring_index(gram, '\t', -1)) - 1)")
-    edge = edge.select("cell", lang.alias("lang"), words.alias("gram"), "n")
-    whole = F.size(F.split("gram", " ")) == length
     # The count in the condition keeps it behind the shuffle, which both readers share.
-    longest = edge.where(F.when(whole, F.col("n")) >= min_count).select("lang", "gram", "n")
-    flow = edge.groupBy("cell", "lang", _words(F.col("gram"), length - 1).alias("node")).agg(F.sum("n").alias("n"))
+    whole = F.when(F.col("n") >= min_count, F.size(F.split("gram", " "))) == length
+    flow = dealt.groupBy("cell", _words(F.col("gram"), length - 1).alias("node")).agg(F.sum("n").alias("n"))
     # A node below the threshold is no phrase, but part of what begins like it.
     frequent = (F.col("n") >= min_count) | (F.col("cell") < 0)
     size_of = F.size(F.split("node", " "))
     shorter = F.array(*[
-        F.when((size_of >= m) & (frequent if m == length - 1 else F.lit(True)), _words(F.col("node"), m))
-        for m in range(1, length)
-    ], F.lit(""))
-    begins = flow.select("lang", "n", F.explode(F.array_compact(shorter)).alias("gram"))
-    derived = begins.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    derived = derived.where((F.col("n") >= min_count) | (F.col("gram") == ""))
-    return longest.unionByName(derived.select("lang", "gram", "n"))
+        F.when((size_of >= m) & frequent if m == length - 1 else size_of >= m, _words(F.col("node"), m)) for m in range(2, length)
+    ], _words(F.col("node"), 1))
+    begins = flow.select("n", F.explode(F.array_compact(shorter)).alias("gram"))
+    derived = begins.groupBy("gram").agg(F.sum("n").alias("n"))
+    derived = derived.where((F.col("n") >= min_count) | F.col("gram").endswith(TAB))
+    both = edge.where(whole).select("gram", "n").unionByName(derived)
+    # No word holds a tab, and no quoted lang a tab or a blank.
+    lang, words = F.url_decode(F.substring_index("gram", TAB, 1)), F.substring_index("gram", TAB, -1)
+    return both.select(lang.alias("lang"), words.alias("gram"), "n")
 
 
 def paths(grams: DataFrame, length: int = MAX_WORDS) -> DataFrame:

@@ -107,7 +107,7 @@ def test_empty_and_clashing_columns(spark, documents):
 
 
 def test_langs_with_blanks_and_tabs(spark, documents):
-    rows = [("x y z. x y", lang) for lang in ("e n", "e\tn", "", None) for _ in range(10)]
+    rows = [("x y z. x y", lang) for lang in ("e n", "e\tn", "%20+é", "", None) for _ in range(10)]
     docs = documents([(i, text, lang) for i, (text, lang) in enumerate(rows)])
     assert found(phrases.mine(docs)) == sorted(
         plain([r for r in rows if r[1] != ""]) + [("", *r[1:]) for r in plain([r for r in rows if r[1] is None])]
