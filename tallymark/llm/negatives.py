@@ -28,7 +28,7 @@ SCALE = 256  # a component is taken as a whole number of 256ths
 ANCHOR_STEP, RELABEL_STEP, LABELS = 100, 7, 10
 BEST, LEAST_PERCENT = 5, 80
 BLOCK_ROWS, BLOCK_BYTES, GROUP_ANCHORS = 2048, 16 << 20, 512
-BASE, LEAF = 1.5, 32
+BASE, LEAF = 1.2, 64
 EXACT = 2.0**53  # whole numbers up to here are exact in doubles, and so are their sums
 LONG = 2**63 - 1
 MOST = 1e100  # components are cut there; squares of them are doubles still
@@ -68,6 +68,7 @@ class Tree:
         self.floats = points.astype(float)
         self.squares = (self.floats**2).sum(axis=1)
         self.most = self.squares.max(initial=0.0)
+        self.largest = np.abs(self.floats).max(initial=0)
 
     @staticmethod
     def _pairs(points: np.ndarray) -> np.ndarray:
@@ -97,8 +98,8 @@ class Tree:
                     near = apart[left[0], left] <= level
                     near[0] = True
                     covered = members[left[near]]
-                    if len(covered) == 1:
-                        own.append(covered[0])  # a child of one point needs no node
+                    if len(covered) < LEAF:
+                        own.extend(covered)  # a child of a few points needs no node
                     else:
                         children.append(covered)
                     left = left[~near]
@@ -128,14 +129,12 @@ class Tree:
         # Beyond the range of doubles nothing is known.
         return np.where(np.isnan(low), -math.inf, low), np.where(np.isnan(high), math.inf, high)
 
-    def best(
-        self, anchor: np.ndarray, windows: list[tuple], n: int, fits: Callable[[np.ndarray], np.ndarray]
-    ) -> tuple[list[list[tuple]], int]:
-        """For each window (least score, greatest score) the ``n`` best points that fit:
+    def best(self, anchor: np.ndarray, windows: list[tuple], n: int, fits: np.ndarray) -> tuple[list[list[tuple]], int]:
+        """For each window (least score, greatest score) the ``n`` best of the points that fit:
         (score, id, row), highest score first, then smallest id; and the points scored."""
         plain = anchor.astype(float)
         exact = anchor.dtype != object and self.points.dtype != object and (
-            len(anchor) * np.abs(plain).max(initial=0) * np.abs(self.floats).max(initial=0) < EXACT
+            len(anchor) * np.abs(plain).max(initial=0) * self.largest < EXACT
         )
         found: list[list[tuple]] = [[] for _ in windows]
         floor = np.array([float(low) for low, _ in windows])
@@ -148,21 +147,19 @@ class Tree:
                 break
             if not ((-high >= floor) & (low <= roof)).any():
                 continue
-            own = np.arange(self.own[node], self.own_end[node])
-            own = own[fits(own)]
-            scored += len(own)
-            if len(own):
+            begin, end = self.own[node], self.own_end[node]
+            if end > begin:
+                fit = begin + np.flatnonzero(fits[begin:end])
+                scored += len(fit)
                 if exact:
-                    scores = self.floats[own] @ plain
-                    worth = ((scores[:, None] >= floor) & (scores[:, None] <= roof)).any(axis=1)
-                    own, values = own[worth], scores[worth].astype(np.int64).tolist()
+                    scores = (self.floats[begin:end] @ plain)[fit - begin]
                 else:
-                    values = [sum(int(x) * int(y) for x, y in zip(p, anchor)) for p in self.points[own]]
-                ranked = sorted(zip(values, self.ids[own].tolist(), self.rows[own].tolist()), key=lambda c: (-c[0], c[1], c[2]))
+                    scores = np.array([sum(int(x) * int(y) for x, y in zip(p, anchor)) for p in self.points[fit]], object)
                 for i, (least, greatest) in enumerate(windows):
-                    inside = [c for c in ranked if least <= c[0] <= greatest][:n]
-                    if inside:
-                        found[i] = sorted(found[i] + inside, key=lambda c: (-c[0], c[1], c[2]))[:n]
+                    lowest = max(least, found[i][-1][0]) if len(found[i]) == n else least
+                    inside = np.flatnonzero((scores >= lowest) & (scores <= greatest))
+                    if len(inside):
+                        found[i] = self._first(found[i], scores[inside], fit[inside], n)
                         if len(found[i]) == n:
                             floor[i] = max(floor[i], float(found[i][-1][0]))
             children = np.arange(self.child[node], self.child_end[node])
@@ -173,6 +170,15 @@ class Tree:
                     heapq.heappush(heap, (-greatest, least, child))
         return found, scored
 
+    def _first(self, known: list[tuple], scores: np.ndarray, points: np.ndarray, n: int) -> list[tuple]:
+        """The first ``n`` of those known and of some points, by score, id and row."""
+        if len(scores) > n:
+            # All that tie with the last of the best stay in, and are told apart by id.
+            high = scores >= np.partition(scores, len(scores) - n)[len(scores) - n]
+            scores, points = scores[high], points[high]
+        new = zip(map(int, scores.tolist()), self.ids[points].tolist(), self.rows[points].tolist())
+        return sorted([*known, *new], key=lambda c: (-c[0], c[1], c[2]))[:n]
+
 
 def candidates(vectors: DataFrame) -> DataFrame:
     """``row, vec_id, label, vector`` of the rows that take part, with the new labels, written."""
@@ -254,7 +260,7 @@ def _positives(n: int, n_dims: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             for anchor, *of in zip(points, *(anchors.column(c).to_pylist() for c in ("row", "vec_id", "label"))):
                 row, ident, label = of
                 alike = (tree.labels == label) & (tree.rows != row)
-                ((best,), _) = tree.best(anchor, [(-math.inf, math.inf)], n, alike.__getitem__)
+                ((best,), _) = tree.best(anchor, [(-math.inf, math.inf)], n, alike)
                 for score, of_id, at in best:
                     yield row, ident, at, None if of_id == LONG else of_id, _held(score)
 
@@ -276,7 +282,7 @@ def _negatives(n: int, least_percent: int, n_dims: int) -> Callable[[pa.Table, p
                 scores = [int(p["score"]) for p in positives]
                 windows = [(-((-least_percent * s) // 100), s) for s in scores]
                 other = tree.labels != label
-                best, _ = tree.best(anchor, windows, n, other.__getitem__)
+                best, _ = tree.best(anchor, windows, n, other)
                 for positive, rows in zip(positives, best):
                     for score, of_id, _ in rows:
                         yield row, ident, positive["row"], None if of_id == LONG else of_id, _held(score)

@@ -132,7 +132,7 @@ def test_descent_skips_most_of_clustered_points():
     points = np.floor(256 * (centers[np.arange(4000) % 40] + 0.02 * rng.normal(size=(4000, 16))))
     ids = np.arange(4000)
     tree = Tree.grown(points, ids, ids % 10, ids)
-    everything = np.ones(4000, bool).__getitem__
+    everything = np.ones(4000, bool)
     anchor = points[0]
     (best,), scored = tree.best(anchor, [(-math.inf, math.inf)], 5, everything)
     exact = sorted(((-int(s), i) for i, s in zip(ids.tolist(), points @ anchor)))[:5]
