@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.sources.staging import written
+
 
 def duplicates(frame: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with their row counts."""
@@ -195,6 +197,102 @@ def expected_trend(
     )
 
 
+def agreement(judged: DataFrame, expected: str, predicted: str, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Confusion counts of a yes/no label against what is expected, with precision and recall.
+
+    A row without either counts as ``undecided`` and in nothing else. ``weight`` names a
+    column that says how often each row counts.
+    """
+    says, is_so = F.col(predicted), F.col(expected)
+    times = F.lit(1) if weight is None else F.col(weight)
+
+    def count(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, times)), F.lit(0)).cast("long").alias(name)
+
+    counts = judged.groupBy(*by).agg(
+        count(is_so & says, "true_positive"),
+        count(~is_so & says, "false_positive"),
+        count(is_so & ~says, "false_negative"),
+        count(~is_so & ~says, "true_negative"),
+        count(is_so.isNull() | says.isNull(), "undecided"),
+    )
+    right = F.col("true_positive").cast("double")
+    return counts.withColumns(
+        {
+            "precision": F.round(F.try_divide(right, F.col("true_positive") + F.col("false_positive")), 6),
+            "recall": F.round(F.try_divide(right, F.col("true_positive") + F.col("false_negative")), 6),
+        }
+    )
+
+
+def disagreements(judged: DataFrame, expected: str, predicted: str) -> DataFrame:
+    """The rows whose label is not what is expected; a missing label agrees with nothing."""
+    return judged.where(~F.coalesce(F.col(expected) == F.col(predicted), F.lit(False)))
+
+
+def require_known(judged: DataFrame, expected: str, predicted: str) -> None:
+    """Raise unless every known text is labelled as expected."""
+    require_empty(disagreements(judged, expected, predicted), "known texts are not labelled as expected")
+
+
+def _bucket_sums(frame: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int, side: str) -> DataFrame:
+    """Rows and an order-independent checksum of each bucket of keys."""
+    row = F.xxhash64(*keys, *columns)
+    # Two sums, so that rows which differ and cancel in one of them do not in the other.
+    return frame.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket")).agg(
+        F.struct(
+            F.count("*").alias("rows"),
+            F.sum(row.cast("decimal(38,0)")).alias("total"),
+            F.bit_xor(F.xxhash64(row, F.lit(1))).alias("mixed"),
+        ).alias(side)
+    )
+
+
+def reconcile_rows(
+    source: DataFrame, gold: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int = 1 << 16
+) -> DataFrame:
+    """The keys that differ between a source and what was built from it.
+
+    Both sides are first compared by checksums of buckets of keys, one small row each; only
+    rows of buckets that differ are then brought together by key. ``keys`` and ``columns``
+    are named and typed alike on both sides. The result has the keys, the rows of each side,
+    and ``differs``: the columns whose values are not the same (for keys with rows on both
+    sides; repeated rows are compared by their smallest and largest values).
+    """
+    if buckets < 1 or not keys:
+        raise ValueError("give at least one key and one bucket")
+    sums = _bucket_sums(source, keys, columns, buckets, "_a").join(
+        _bucket_sums(gold, keys, columns, buckets, "_b"), "bucket", "full"
+    )
+    # At most ``buckets`` rows; written, so that their real number decides how they are joined.
+    unequal = written(sums.where(~F.col("_a").eqNullSafe(F.col("_b"))).select("bucket"), "unequal-buckets")
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        kept = frame.select(*keys, *columns, number.alias("bucket")).join(unequal, "bucket", "left_semi")
+        ends = [F.struct(F.min(c).alias("least"), F.max(c).alias("most")).alias(f"_{c}") for c in columns]
+        return kept.groupBy(*keys).agg(F.count("*").alias("rows"), *ends).withColumn("_side", F.lit(name))
+
+    both = side(source, "source").unionByName(side(gold, "gold"))
+
+    def of(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("_side") == name, F.col(column)))
+
+    beside = both.groupBy(*keys).agg(
+        F.coalesce(of("source", "rows"), F.lit(0)).alias("source_rows"),
+        F.coalesce(of("gold", "rows"), F.lit(0)).alias("gold_rows"),
+        F.array_compact(
+            F.array(*[F.when(~of("source", f"_{c}").eqNullSafe(of("gold", f"_{c}")), F.lit(c)) for c in columns])
+            if columns else F.array().cast("array<string>")
+        ).alias("differs"),
+    )
+    nothing = F.array().cast("array<string>")
+    in_both = (F.col("source_rows") > 0) & (F.col("gold_rows") > 0)
+    return beside.withColumn("differs", F.when(in_both, F.col("differs")).otherwise(nothing)).where(
+        (F.col("source_rows") != F.col("gold_rows")) | (F.size("differs") > 0)
+    )
+
+
 def profile(frame: DataFrame, by: str, *columns: Column, order: str) -> DataFrame:
     """Distribution of a category, largest first; ties in the order of the category."""
     return frame.groupBy(by).agg(*columns).orderBy(F.desc(order), F.asc(by))

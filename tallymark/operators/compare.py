@@ -14,11 +14,12 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.calendar import latest_complete_month, latest_complete_week, reporting_month
 from tallymark.operators.measures import ADDITIVE, DIGITS, DISTINCT, RATE, Measure, evaluate
+from tallymark.sources.staging import written
 
 LABELS = ("comparison", "current_period", "prior_period", "data_until")
 
@@ -382,3 +383,48 @@ def trend(
         until = last.select("last_date").scalar()
         found = found.withColumns({"data_until": until, "is_partial": period_end(F.col(month)) > until})
     return found.orderBy(month, *dims)
+
+
+def dense_trend(
+    rows: DataFrame,
+    measures: Iterable[Measure],
+    period: str,
+    dims: Sequence[str] = (),
+    step: str = "1 month",
+    where: Column | None = None,
+) -> DataFrame:
+    """The measures of every group in every period from the first to the last, with changes.
+
+    A period in which a group has no rows is shown: ``has_rows`` is false, its counts and sums
+    are zero, its averages and rates unknown. Beside each measure stand its value one period
+    before and its change, in points for a rate; both are NULL in the first period. The groups
+    and the periods are those that occur in the selection; ``step`` is the SQL interval
+    between periods. A NULL period is left out; a NULL in a dimension is a group.
+    """
+    chosen = list(measures)
+    selected = rows if where is None else rows.where(where)
+    # A row for each group and period: small, used three times below, so written once.
+    found = written(evaluate(selected.where(F.col(period).isNotNull()), chosen, [period, *dims]), "periods")
+    ends = found.agg(F.min(period).alias("first"), F.max(period).alias("last"))
+    calendar = F.sequence(ends.select("first").scalar(), ends.select("last").scalar(), F.expr(f"INTERVAL {step}"))
+    groups = found.select(*dims).distinct() if dims else found.select(F.lit(True)).limit(1)
+    every = groups.select(*dims, F.explode(calendar).alias(period))
+    known = found.withColumnsRenamed({name: f"_{name}" for name in (period, *dims)}).withColumn("has_rows", F.lit(True))
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in (period, *dims)])
+    dense = every.join(known, same, "left")
+    counts = (ADDITIVE, DISTINCT)
+    filled = dense.select(
+        period, *dims, F.coalesce("has_rows", F.lit(False)).alias("has_rows"),
+        *[(F.coalesce(m.name, F.lit(0)) if m.kind in counts else F.col(m.name)).alias(m.name) for m in chosen],
+    )
+    along = Window.partitionBy(*dims).orderBy(period)
+
+    def change(measure: Measure) -> Column:
+        apart = F.col(measure.name) - F.col(f"{measure.name}_before")
+        if measure.kind == RATE:
+            return F.round(apart * F.lit(100.0), 4).alias(f"{measure.name}_points")
+        return (apart if measure.kind in counts else F.round(apart, DIGITS)).alias(f"{measure.name}_change")
+
+    lagged = filled.withColumns({f"{m.name}_before": F.lag(m.name).over(along) for m in chosen})
+    beside = [column for m in chosen for column in (F.col(m.name), F.col(f"{m.name}_before"), change(m))]
+    return lagged.select(period, *dims, "has_rows", *beside).orderBy(period, *dims)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.functions.scopes import ScopeRules, mention_rows, scoped_phrases
 from tallymark.functions.text import EvidenceRules, evidence_phrases, matches
 from tallymark.operators.joins import collapse, join_dimension
 
@@ -27,9 +28,14 @@ def keyword_candidates(
     return join_dimension(notes.where(matches(text, pattern)), chosen, on)
 
 
-def label_notes(notes: DataFrame, rules: EvidenceRules, text: str = "note_text") -> DataFrame:
+def supporting(text: str, rules: EvidenceRules | ScopeRules) -> Column:
+    """Every supporting clause, by patterns of a clause or by scopes of its mentions."""
+    return scoped_phrases(text, rules) if isinstance(rules, ScopeRules) else evidence_phrases(text, rules)
+
+
+def label_notes(notes: DataFrame, rules: EvidenceRules | ScopeRules, text: str = "note_text") -> DataFrame:
     """Every note with its label, its supporting phrases and their number; no shuffle."""
-    return notes.withColumn("phrases", evidence_phrases(text, rules)).withColumns(
+    return notes.withColumn("phrases", supporting(text, rules)).withColumns(
         {
             "n_phrases": F.size("phrases"),
             "label": F.when(F.size("phrases") > 0, "provided").otherwise("not_provided"),
@@ -37,6 +43,31 @@ def label_notes(notes: DataFrame, rules: EvidenceRules, text: str = "note_text")
     )
 
 
+def mentions(notes: DataFrame, rules: ScopeRules, *keys: str, text: str = "note_text") -> DataFrame:
+    """The review table of scopes: a row for each mention, with its clause and what it is in."""
+    return notes.select(*keys, F.inline(mention_rows(text, rules)))
+
+
+def known_texts(
+    texts: DataFrame, known: DataFrame, rules: EvidenceRules | ScopeRules, text: str = "note_text", expected: str = "expected"
+) -> DataFrame:
+    """Texts of known standing (``known``: a text and its expected label), against the rules.
+
+    Every known text with the rows that hold it, what the rules say of it, and whether that
+    is as expected. One that no row holds says nothing (NULL). Rows are counted where they
+    are, so a text that very many rows hold is one row of each task.
+    """
+    found = (
+        texts.join(known.select(text).distinct(), text, "left_semi")
+        .groupBy(text)
+        .agg(F.count("*").alias("rows"))
+        .withColumn("provided", F.size(supporting(text, rules)) > 0)
+    )
+    return known.join(found, text, "left").select(
+        text, expected, F.coalesce("rows", F.lit(0)).alias("rows"), "provided", (F.col("provided") == F.col(expected)).alias("agrees")
+    )
+
+
 def phrase_rows(labelled: DataFrame, *keys: str) -> DataFrame:
     """The review table: a row for each supporting phrase, with its place in the note."""
     placed = F.posexplode("phrases").alias("place", "phrase")
@@ -77,7 +108,7 @@ def representative(frame: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def contrast_sample(
-    notes: DataFrame, texts: Sequence[str], rules: EvidenceRules, key: str = "note_id", text: str = "note_text"
+    notes: DataFrame, texts: Sequence[str], rules: EvidenceRules | ScopeRules, key: str = "note_id", text: str = "note_text"
 ) -> DataFrame:
     """One note of each chosen text, with its label."""
     chosen = notes.where(F.col(text).isin(*texts))

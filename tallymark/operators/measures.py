@@ -7,8 +7,9 @@ smaller groups.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,6 +143,28 @@ def evaluate(
     return selected.groupBy(*dims).agg(*[measure.column() for measure in measures])
 
 
+def evaluate_levels(
+    rows: DataFrame, measures: Iterable[Measure], levels: Mapping[str, Sequence[str]], where: Column | None = None
+) -> DataFrame:
+    """The measures at several levels of grouping at once, from one pass over the rows.
+
+    ``levels`` maps a level's name to its dimensions, none for the overall. Each row of the
+    result has its ``level``; dimensions that the level does not have are NULL, and the level
+    tells them from a NULL that is a group of its own. Distinct counts are counted for each
+    level, not added up.
+    """
+    dims = list(dict.fromkeys(dim for level in levels.values() for dim in level))
+    if not dims or len({frozenset(level) for level in levels.values()}) < len(levels):
+        raise ValueError("levels need dimensions, and no two of them the same ones")
+    selected = rows if where is None else rows.where(where)
+    grouped = selected.groupingSets([[F.col(d) for d in level] for level in levels.values()], *[F.col(d) for d in dims])
+    found = grouped.agg(F.grouping_id().alias("_level"), *[measure.column() for measure in measures])
+    # Bit by bit from the first dimension on, 1 for one that the level does not have.
+    numbers = {name: sum(1 << at for at, dim in enumerate(reversed(dims)) if dim not in level) for name, level in levels.items()}
+    label = reduce(lambda chain, name: chain.when(F.col("_level") == numbers[name], name), numbers, F.when(F.lit(False), ""))
+    return found.select(label.alias("level"), *dims, *[measure.name for measure in measures])
+
+
 @dataclass(frozen=True)
 class MeasureView:
     """A reporting table with its measures and the dimensions it is reported by."""

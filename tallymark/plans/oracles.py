@@ -539,7 +539,7 @@ ranked AS (
   FROM events
 ),
 encounters AS (
-  SELECT user_id * 1000 + date_diff('day', DATE '2024-01-01', reporting_week) // 7 AS encounter_id,
+  SELECT user_id * 1000000 + date_diff('day', DATE '2024-01-01', reporting_week) // 7 AS encounter_id,
          user_id AS patient_id, CAST(max(ts) AS DATE) AS encounter_date, reporting_week,
          'hours ' || CAST(6 * (hour(max(ts)) // 6) AS VARCHAR) || '+' AS clinic,
          max(event_type) FILTER (WHERE nth = 1) AS coverage_type,
@@ -557,7 +557,7 @@ assessments AS (
   FROM customer
 ),
 notes AS (
-  SELECT conv_id * 1000 + turn AS note_id, conv_id AS patient_id, conv_id * 1000 + turn % 5 AS encounter_id,
+  SELECT conv_id * 1000000 + turn AS note_id, conv_id AS patient_id, conv_id * 1000000 + turn % 5 AS encounter_id,
          role AS note_type, text AS note_text
   FROM conversations
 ),
@@ -631,13 +631,105 @@ WHERE age_at_encounter >= 12 AND tobacco_screen_status = 'current_user' AND NOT
 )
 ORACLES["representative_text"] = "SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text"
 ORACLES["contrast_sample"] = """
-SELECT min(doc_id) AS doc_id, line,
-       CASE line WHEN 'Licensed under the Apache License, Version 2.0.' THEN 'provided'
-                 WHEN 'Released under the MIT License.' THEN 'provided' ELSE 'not_provided' END AS label
+SELECT min(doc_id) AS doc_id, line, expected AS label, expected
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-WHERE line IN ('Licensed under the Apache License, Version 2.0.', 'Released under the MIT License.',
-               'Licensed under CC BY-NC 4.0.', 'All rights reserved.')
-GROUP BY line
+JOIN (VALUES ('Licensed under the Apache License, Version 2.0.', 'provided'), ('Released under the MIT License.', 'provided'),
+             ('Licensed under CC BY-NC 4.0.', 'not_provided'), ('All rights reserved.', 'not_provided')) known(line, expected)
+  USING (line)
+GROUP BY ALL
+"""
+KNOWN = """
+known(line, expected, said) AS (
+  VALUES ('Licensed under the Apache License, Version 2.0.', TRUE, TRUE), ('Released under the MIT License.', TRUE, TRUE),
+         ('This work is licensed under the GNU General Public License, version 3.', TRUE, TRUE),
+         ('Licensed under CC BY-NC 4.0.', FALSE, FALSE), ('All rights reserved.', FALSE, FALSE),
+         ('Of.', FALSE, FALSE), ('The.', FALSE, FALSE), ('To whom it may concern: used by permission.', FALSE, FALSE)
+),
+lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+judged AS (
+  SELECT k.line, k.expected, count(l.line) AS rows, CASE WHEN count(l.line) > 0 THEN k.said END AS provided
+  FROM known k LEFT JOIN lines l ON k.line = l.line GROUP BY k.line, k.expected, k.said
+),
+"""
+ORACLES["known_texts"] = with_parts(KNOWN, "SELECT *, provided = expected AS agrees FROM judged")
+ORACLES["known_text_agreement"] = with_parts(
+    KNOWN,
+    """SELECT *, round(true_positive / CAST(nullif(true_positive + false_positive, 0) AS DOUBLE), 6) AS "precision",
+       round(true_positive / CAST(nullif(true_positive + false_negative, 0) AS DOUBLE), 6) AS recall
+FROM (SELECT CAST(coalesce(sum(rows) FILTER (WHERE expected AND provided), 0) AS BIGINT) AS true_positive,
+             CAST(coalesce(sum(rows) FILTER (WHERE NOT expected AND provided), 0) AS BIGINT) AS false_positive,
+             CAST(coalesce(sum(rows) FILTER (WHERE expected AND NOT provided), 0) AS BIGINT) AS false_negative,
+             CAST(coalesce(sum(rows) FILTER (WHERE NOT expected AND NOT provided), 0) AS BIGINT) AS true_negative,
+             CAST(coalesce(sum(rows) FILTER (WHERE provided IS NULL), 0) AS BIGINT) AS undecided
+      FROM judged)""",
+)
+# Scopes by window functions over the words of a clause, where the library folds over them.
+SCOPED = (
+    ACTIVITY
+    + """
+scoped_clauses AS (
+  SELECT note_id, unnest(range(len(c))) AS i, unnest(c) AS clause
+  FROM (SELECT note_id, regexp_split_to_array(note_text, '[.;!?\\n]+') AS c FROM notes)
+),
+tokens AS (SELECT *, regexp_extract_all(lower(clause), '\\p{L}+|,') AS tk FROM scoped_clauses),
+facts AS (
+  SELECT note_id, i, list_has_any(tk, ['the', 'la', 'der', 'el']) AS topic,
+         list_has_any(tk, ['from', 'pour', 'auf', 'con']) AS other_topic, list_has_any(tk, ['is', 'est', 'ist', 'es']) AS lifted,
+         list_has_any(tk, ['that', 'avec', 'nicht', 'por']) AS has_care, regexp_matches(lower(clause), '^\\s*\\S+\\s*$') AS refusal
+  FROM tokens
+),
+clause_facts AS (
+  SELECT note_id, i, lifted, topic OR (coalesce(lag(topic) OVER n, FALSE) AND NOT other_topic) AS about,
+         coalesce(lead(refusal AND NOT has_care AND NOT topic) OVER n, FALSE) AS taken
+  FROM facts WINDOW n AS (PARTITION BY note_id ORDER BY i)
+),
+placed_words AS (SELECT note_id, i, unnest(range(1, len(tk) + 1)) AS p, unnest(tk) AS w FROM tokens),
+opened AS (
+  SELECT *, max(CASE WHEN w IN ('was', 'dans', 'zu', 'los') THEN p END) OVER b AS negation,
+         max(CASE WHEN w IN ('of', 'de', 'von') THEN p END) OVER b AS plan, max(CASE WHEN w = ',' THEN p END) OVER b AS ended
+  FROM placed_words
+  WINDOW b AS (PARTITION BY note_id, i ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+held AS (
+  SELECT *, coalesce(negation, 0) > coalesce(ended, 0) AS negated, coalesce(plan, 0) > coalesce(ended, 0) AS in_plan FROM opened
+),
+reached AS (
+  SELECT *, max(CASE WHEN w IN ('and', 'et', 'und', 'y') THEN p END) OVER a AS past_cue,
+         max(CASE WHEN w IN ('of', 'de', 'von') AND NOT in_plan THEN p END) OVER a AS plan_cue
+  FROM held
+  WINDOW a AS (PARTITION BY note_id, i ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+),
+scoped AS (
+  SELECT note_id, i, about, taken, negated, past_cue IS NOT NULL AS past,
+         (in_plan OR plan_cue IS NOT NULL) AND NOT lifted AS planned
+  FROM reached JOIN clause_facts USING (note_id, i) WHERE w IN ('that', 'avec', 'nicht', 'por')
+),
+"""
+)
+ORACLES["note_scopes"] = with_parts(
+    SCOPED,
+    """SELECT note_id, count(*) AS mentions, count(*) FILTER (WHERE about) AS about, count(*) FILTER (WHERE taken) AS taken,
+       count(*) FILTER (WHERE negated) AS negated, count(*) FILTER (WHERE past) AS past,
+       count(*) FILTER (WHERE planned) AS planned, count(*) FILTER (WHERE NOT (negated OR past OR planned)) AS affirmed,
+       count(*) FILTER (WHERE NOT (negated OR past OR planned) AND about AND NOT taken) AS supporting
+FROM scoped GROUP BY note_id""",
+)
+ORACLES["scoped_note_labels"] = with_parts(
+    SCOPED,
+    """SELECT CASE WHEN s.note_id IS NOT NULL THEN 'provided' ELSE 'not_provided' END AS by_scope,
+       CASE WHEN len(l.phrases) > 0 THEN 'provided' ELSE 'not_provided' END AS by_clause, count(*) AS notes
+FROM labelled l LEFT JOIN (SELECT DISTINCT note_id FROM scoped
+     WHERE about AND NOT taken AND NOT (negated OR past OR planned)) s ON l.note_id = s.note_id
+GROUP BY ALL""",
+)
+ORACLES["term_candidates"] = """
+WITH item AS (SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+term AS (
+  SELECT DISTINCT array_to_string(w[i:i + 2], ' ') AS term FROM (SELECT w, unnest(range(1, len(w) - 1)) AS i FROM item)
+),
+worded AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+place AS (SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS term FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded))
+SELECT doc_id, term, count(*) AS times FROM place JOIN term USING (term) GROUP BY ALL
 """
 
 # === User-weeks and their measures ========================================================
@@ -737,6 +829,94 @@ ORACLES["assessment_grain"] = """
 SELECT count(*) AS assessment_rows, count(DISTINCT c_custkey) AS distinct_patients FROM customer
 """
 
+# === Several levels, windows and slices at once ==============================================
+
+ORACLES["account_levels"] = with_parts(
+    SALES,
+    f"""SELECT CASE WHEN GROUPING(facility) = 1 THEN 'overview' WHEN GROUPING(product) = 1 THEN 'facility' ELSE 'product' END AS level,
+       facility, product, {measured(FINANCE_NAMES, FINANCE)}
+FROM gold GROUP BY GROUPING SETS ((), (facility), (facility, product))""",
+)
+PATIENTS = "count(DISTINCT patient_id) AS patients, count(DISTINCT CASE WHEN surgical_case_flag THEN patient_id END) AS surgical_patients"
+LOCATED = f"(SELECT *, {month('discharge_date')} AS discharge_month FROM accounts JOIN departments ON discharge_department_id = department_id)"
+ORACLES["distinct_rollups"] = with_parts(
+    SALES,
+    f"""SELECT 'overall' AS level, CAST(NULL AS DATE) AS discharge_month, NULL AS facility, NULL AS product, {PATIENTS} FROM {LOCATED}
+UNION ALL SELECT 'month', discharge_month, NULL, NULL, {PATIENTS} FROM {LOCATED} GROUP BY discharge_month
+UNION ALL SELECT 'segment', NULL, facility, product, {PATIENTS} FROM {LOCATED} GROUP BY facility, product""",
+)
+ORACLES["rolling_windows"] = with_parts(
+    SALES,
+    """SELECT last_day, days, count(*) AS accounts, CAST(sum(total_charges) AS DECIMAL(38,2)) AS charges
+FROM (SELECT CAST(DATE '1995-01-01' + 7 * CAST(i AS INTEGER) AS DATE) AS last_day, CAST(days AS INTEGER) AS days
+      FROM range(345) w(i), (VALUES (7), (28), (91)) lengths(days))
+JOIN accounts ON discharge_date > last_day - days AND discharge_date <= last_day
+GROUP BY last_day, days""",
+)
+ORACLES["dense_trend"] = with_parts(
+    SALES,
+    f"""SELECT discharge_month, service_line, has_rows, accounts, accounts_before, accounts - accounts_before AS accounts_change,
+       patients, patients_before, patients - patients_before AS patients_change, case_mix_index, case_mix_index_before,
+       round(case_mix_index - case_mix_index_before, 6) AS case_mix_index_change
+FROM (
+  SELECT *, lag(accounts) OVER o AS accounts_before, lag(patients) OVER o AS patients_before,
+         lag(case_mix_index) OVER o AS case_mix_index_before
+  FROM (
+    SELECT discharge_month, service_line, found IS NOT NULL AS has_rows, coalesce(accounts, 0) AS accounts,
+           coalesce(patients, 0) AS patients, case_mix_index
+    FROM (SELECT CAST(unnest(generate_series(min(discharge_month), max(discharge_month), INTERVAL 1 MONTH)) AS DATE) AS discharge_month
+          FROM {LOCATED} WHERE facility = 'ASIA' AND surgical_case_flag)
+    CROSS JOIN (SELECT DISTINCT service_line FROM {LOCATED} WHERE facility = 'ASIA' AND surgical_case_flag)
+    LEFT JOIN (SELECT 1 AS found, discharge_month, service_line, {measured(["accounts", "patients", "case_mix_index"], FINANCE)}
+               FROM {LOCATED} WHERE facility = 'ASIA' AND surgical_case_flag GROUP BY discharge_month, service_line)
+      USING (discharge_month, service_line)
+  ) WINDOW o AS (PARTITION BY service_line ORDER BY discharge_month)
+)""",
+)
+SLICED = ["clinic", "transportation_barrier", "has_copd", "has_diabetes"]
+ORACLES["rate_slices"] = with_parts(
+    compare_parts(ACTIVITY, ["two_weeks"], ["cessation_num", "cessation_den"], CLINICAL, SLICED, "reporting_week")
+    + f"""
+cubed AS (
+  SELECT {", ".join(SLICED)}, concat_ws(',', {", ".join(f"CASE WHEN GROUPING({d}) = 0 THEN '{d}' END" for d in SLICED)}) AS fixed,
+         {" + ".join(f"(1 - GROUPING({d}))" for d in SLICED)} AS n_dims,
+         {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("cessation_num", "cessation_den", "cessation_num_prior", "cessation_den_prior"))}
+  FROM changes GROUP BY CUBE ({", ".join(SLICED)})
+),
+overall AS (
+  SELECT CAST(cessation_num AS DOUBLE) AS n1, CAST(cessation_den AS DOUBLE) AS d1, CAST(cessation_num_prior AS DOUBLE) AS n0,
+         CAST(cessation_den_prior AS DOUBLE) AS d0 FROM cubed WHERE n_dims = 0
+),
+weighed AS (
+  SELECT cubed.*, coalesce(cessation_den / nullif(d1, 0), 0) AS w1, coalesce(cessation_den_prior / nullif(d0, 0), 0) AS w0,
+         CAST(cessation_num AS DOUBLE) / nullif(cessation_den, 0) AS own1,
+         CAST(cessation_num_prior AS DOUBLE) / nullif(cessation_den_prior, 0) AS own0,
+         n1 / nullif(d1, 0) AS all1, n0 / nullif(d0, 0) AS all0
+  FROM cubed, overall WHERE n_dims > 0
+),
+slice_parts AS (
+  SELECT *, (w1 + w0) / 2 * (coalesce(own1, own0, 0) - coalesce(own0, own1, 0)) * 100 AS by_rate,
+         (w1 - w0) * ((coalesce(own1, own0, 0) + coalesce(own0, own1, 0)) / 2 - (all1 + all0) / 2) * 100 AS by_mix
+  FROM weighed WHERE greatest(w1, w0) >= 0.02
+),
+""",
+    f"""SELECT fixed, CAST(n_dims AS INTEGER) AS n_dims, {", ".join(SLICED)}, cessation_num, cessation_den, cessation_num_prior, cessation_den_prior,
+       round(greatest(w1, w0), 6) AS share, round(by_rate, 4) AS rate_points, round(by_mix, 4) AS mix_points,
+       round(by_rate + by_mix, 4) AS points FROM slice_parts""",
+)
+ORACLES["row_reconciliation"] = with_parts(
+    SALES,
+    """SELECT hospital_account_id, CAST(1 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS gold_rows, 'estimated_net_revenue' AS differs
+FROM gold JOIN (
+  SELECT l_orderkey, round(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(10,6)))), 2) AS once
+  FROM lineitem GROUP BY l_orderkey) ON hospital_account_id = l_orderkey
+WHERE CAST(once AS DECIMAL(18,2)) <> estimated_net_revenue""",
+)
+ORACLES["refreshed_accounts"] = with_parts(
+    SALES,
+    "SELECT patient_type, count(*) AS accounts, CAST(sum(total_charges) AS DECIMAL(38,2)) AS charges FROM accounts GROUP BY patient_type",
+)
+
 # === Scan and sort forms ==================================================================
 
 ORACLES["preview_ordered"] = """

@@ -8,6 +8,7 @@ encounter and a turn is a note.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.calendar import age_in_years, fiscal_month, fiscal_year, format_date, parse_date
-from tallymark.functions.coding import decode_flag, encode_flag
-from tallymark.operators import checks, compare, conform, derive, evidence, measures
+from tallymark.functions.coding import decode_flag, encode_flag, money, rate
+from tallymark.functions.scopes import BOTH, NEGATED, Cue, Mention, ScopeRules
+from tallymark.operators import checks, compare, conform, derive, distinct, evidence, intervals, measures, slices, terms
 from tallymark.operators import gold as gold_tables
 from tallymark.operators.joins import join_dimension
 from tallymark.plans import activity, sales
 from tallymark.sources import tables as sources
+from tallymark.sources.staging import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -635,19 +638,97 @@ def representative_text(spark, folder):
     return evidence.representative(sources.load(spark, folder, "documents"), "doc_id", "text")
 
 
+CONTRAST_LINES = [
+    ("Licensed under the Apache License, Version 2.0.", "provided"),
+    ("Released under the MIT License.", "provided"),
+    ("Licensed under CC BY-NC 4.0.", "not_provided"),
+    ("All rights reserved.", "not_provided"),
+]
+
+
 @query
 def contrast_sample(spark, folder):
-    """One document of each chosen licence line, labelled."""
-    lines = sources.load(spark, folder, "documents").select(
-        "doc_id", F.explode(F.split("text", "\n")).alias("line")
-    )
-    chosen = [
-        "Licensed under the Apache License, Version 2.0.",
-        "Released under the MIT License.",
-        "Licensed under CC BY-NC 4.0.",
-        "All rights reserved.",
-    ]
-    return evidence.contrast_sample(lines, chosen, LICENCE_RULES, "doc_id", "line").orderBy("doc_id", "line")
+    """One document of each chosen licence line, with its label and the expected one."""
+    lines = document_lines(spark, folder)
+    found = evidence.contrast_sample(lines, [line for line, _ in CONTRAST_LINES], LICENCE_RULES, "doc_id", "line")
+    expected = sources.inline_table(spark, CONTRAST_LINES, "line STRING, expected STRING")
+    return join_dimension(found, expected, "line").select("doc_id", "line", "label", "expected").orderBy("doc_id", "line")
+
+
+def document_lines(spark, folder):
+    return sources.load(spark, folder, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+
+
+# A grant, unless something in its clause or before it takes it back.
+LICENCE_SCOPES = ScopeRules(
+    mentions=(Mention("grant", r"\b(?:licensed|released) under\b"),),
+    cues=(Cue(r"\bcc by-nc\b", NEGATED, BOTH), Cue(r"\b(?:not|never)\b", NEGATED)),
+    refusal=r"^\s*all rights reserved\s*$",
+    boundary=r"(?<!\d)[.]|[.](?!\d)|[;!?\n]+",
+)
+# Lines of known standing, by hand: whether each grants a licence for any use. The last one is
+# in no document.
+KNOWN_LINES = [
+    ("Licensed under the Apache License, Version 2.0.", True),
+    ("Released under the MIT License.", True),
+    ("This work is licensed under the GNU General Public License, version 3.", True),
+    ("Licensed under CC BY-NC 4.0.", False),
+    ("All rights reserved.", False),
+    ("Of.", False),
+    ("The.", False),
+    ("To whom it may concern: used by permission.", False),
+]
+
+
+def judged_lines(spark, folder):
+    known = sources.inline_table(spark, KNOWN_LINES, "line STRING, expected BOOLEAN")
+    return evidence.known_texts(document_lines(spark, folder), known, LICENCE_SCOPES, "line")
+
+
+@query
+def known_texts(spark, folder):
+    """Lines of known standing as they stand in the documents, against the rules."""
+    return judged_lines(spark, folder)
+
+
+@query
+def known_text_agreement(spark, folder):
+    """Confusion counts over the rows that hold those lines."""
+    return checks.agreement(judged_lines(spark, folder), "expected", "provided", "rows")
+
+
+@query
+def note_scopes(spark, folder):
+    """Mentions of every note by the scopes that they stand in."""
+    found = evidence.mentions(activity.notes(spark, folder), activity.TURN_SCOPES, "note_id")
+    free = ~(F.col("negated") | F.col("past") | F.col("other") | F.col("planned") | F.col("offered"))
+    return found.groupBy("note_id").agg(
+        F.count("*").alias("mentions"),
+        *[F.count_if(name).alias(name) for name in ("about", "taken", "negated", "past", "planned")],
+        F.count_if(free).alias("affirmed"),
+        F.count_if(free & F.col("about") & ~F.col("taken")).alias("supporting"),
+    )
+
+
+@query
+def scoped_note_labels(spark, folder):
+    """Every note's label by scopes, beside its label by clause patterns."""
+    by_scope = evidence.label_notes(activity.notes(spark, folder), activity.TURN_SCOPES)
+    both = by_scope.select("note_id", "note_text", F.col("label").alias("by_scope"))
+    by_clause = evidence.label_notes(both, activity.TURN_RULES)
+    return by_clause.groupBy("by_scope", F.col("label").alias("by_clause")).agg(F.count("*").alias("notes"))
+
+
+@query
+def term_candidates(spark, folder):
+    """Documents with a phrase of three words of the benchmark, and how often: thousands of
+    phrases, found by the index."""
+    texts = sources.load(spark, folder, "benchmark").select(terms.words("text").alias("words")).where(F.size("words") >= 3)
+    places = texts.select("words", F.explode(F.sequence(F.lit(1), F.size("words") - 2)).alias("at"))
+    phrases = places.select(F.array_join(F.slice("words", F.col("at"), F.lit(3)), " ").alias("term")).distinct()
+    indexed = written(terms.index(sources.load(spark, folder, "documents"), "doc_id", "text"), "word-index")
+    found = terms.occurrences(indexed, phrases, "doc_id", "term")
+    return found.groupBy("doc_id", "term").agg(F.count("*").alias("times"))
 
 
 # === User-weeks and their measures ========================================================
@@ -703,9 +784,12 @@ def num_le_den(spark, folder):
 
 
 def activity_compare(spark, folder, comparison, dims=(), chosen=measures.CLINICAL):
-    return compare.compare(
-        activity.gold(spark, folder), chosen, activity.PERIOD, activity_extent(spark, folder), [comparison], dims
-    )
+    """A comparison of weeks whose events are cut to its windows where they are read, and
+    whose notes to those weeks."""
+    days = sources.load(spark, folder, "events").select(F.col("ts").cast("date").alias("day"))
+    last = compare.last_date(days, "day")
+    weeks = compare.in_any_window(F.col("ts"), last, [comparison], "timestamp_ntz")
+    return compare.compare(activity.gold(spark, folder, weeks), chosen, activity.PERIOD, last, [comparison], dims)
 
 
 @query
@@ -805,6 +889,93 @@ def assessment_grain(spark, folder):
     return rows.agg(F.count("*").alias("assessment_rows"), F.countDistinct("patient_id").alias("distinct_patients"))
 
 
+# === Several levels, windows and slices at once ==============================================
+
+
+@query
+def account_levels(spark, folder):
+    """All account measures overall, by facility and by product, from one pass."""
+    levels = {"overview": [], "facility": ["facility"], "product": ["facility", "product"]}
+    return measures.evaluate_levels(sales.gold(spark, folder), measures.FINANCE, levels)
+
+
+@query
+def distinct_rollups(spark, folder):
+    """Patients overall, by month and by segment, from bitmaps that are made once."""
+    rows = sales.located_accounts(spark, folder).withColumn("discharge_month", F.trunc("discharge_date", "month"))
+    counts = {"patients": ("patient_id", None), "surgical_patients": ("patient_id", "surgical_case_flag")}
+    made = written(distinct.bitmaps(rows, ["discharge_month", "facility", "product"], counts), "patient-bitmaps")
+    levels = {"overall": [], "month": ["discharge_month"], "segment": ["facility", "product"]}
+    return reduce(
+        lambda one, two: one.unionByName(two, allowMissingColumns=True),
+        [distinct.merged(made, dims, list(counts)).withColumn("level", F.lit(name)) for name, dims in reversed(levels.items())],
+    )
+
+
+@query
+def rolling_windows(spark, folder):
+    """Accounts and charges of the 7, 28 and 91 days up to every Sunday: 1,035 windows that
+    overlap, as a table."""
+    sundays = sources.spine(spark, 345, "week").withColumn("last_day", F.expr("date_add(DATE '1995-01-01', CAST(7 * week AS INT))"))
+    windows = sundays.select("last_day", F.explode(F.array(F.lit(7), F.lit(28), F.lit(91))).alias("days")).withColumn(
+        "first_day", F.date_sub("last_day", F.col("days") - 1)
+    )
+    placed = intervals.in_window_table(sales.accounts(spark, folder), "discharge_date", windows)
+    chosen = [measures.count_rows("accounts"), measures.total("charges", "total_charges")]
+    return measures.evaluate(placed, chosen, ["last_day", "days"])
+
+
+@query
+def dense_trend(spark, folder):
+    """Surgical cases of Asian service lines in every month, months without any included."""
+    rows = sales.located_accounts(spark, folder).withColumn("discharge_month", F.trunc("discharge_date", "month"))
+    chosen = [measures.count_rows("accounts"), *measures.pick(measures.FINANCE, "patients", "case_mix_index")]
+    surgical = (F.col("facility") == "ASIA") & F.col("surgical_case_flag")
+    return compare.dense_trend(rows, chosen, "discharge_month", ["service_line"], "1 month", surgical)
+
+
+SLICE_DIMS = ["clinic", "transportation_barrier", "has_copd", "has_diabetes"]
+
+
+@query
+def rate_slices(spark, folder):
+    """The slices, over all levels of four dimensions, in which the cessation rate changed."""
+    cessation = measures.rate("cessation", "cessation_num", "cessation_den")
+    changes = activity_compare(spark, folder, compare.latest_weeks(WINDOW_WEEKS, "two_weeks"), SLICE_DIMS, cessation)
+    return slices.rate_slices(changes, "cessation", SLICE_DIMS, 0.02)
+
+
+@query
+def row_reconciliation(spark, folder):
+    """Accounts whose revenue, rounded once, is not what the gold table has from rounded lines."""
+    price, discount = money("l_extendedprice"), rate("l_discount")
+    lines = sources.load(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("hospital_account_id")).agg(
+        F.round(F.sum(price * (1 - discount)), 2).cast("decimal(18,2)").alias("estimated_net_revenue")
+    )
+    accounts = sales.accounts(spark, folder).select("hospital_account_id", "patient_id")
+    source = accounts.join(lines, "hospital_account_id", "left")
+    found = checks.reconcile_rows(
+        source, sales.gold(spark, folder), ["hospital_account_id"], ["patient_id", "estimated_net_revenue"]
+    )
+    return found.withColumn("differs", F.concat_ws(",", "differs"))
+
+
+@query
+def refreshed_accounts(spark, folder):
+    """A table refreshed in full, checked before it is published, and read by its name."""
+    table = f"tallymark_accounts_{uuid.uuid4().hex[:12]}"
+    rows = sales.accounts(spark, folder).select("hospital_account_id", "patient_type", "total_charges")
+
+    def unique(staged: DataFrame) -> None:
+        checks.require_empty(checks.duplicates(staged, "hospital_account_id"), "an account occurs twice")
+
+    sources.write_full(rows.where("patient_type = 'Inpatient'"), table)
+    sources.write_full(rows, table, check=unique)
+    return sources.scan(spark, table).groupBy("patient_type").agg(
+        F.count("*").alias("accounts"), F.sum("total_charges").cast("decimal(38,2)").alias("charges")
+    )
+
+
 # === Scan and sort forms ====================================================================
 
 

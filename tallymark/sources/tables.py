@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallymark.sources.staging import swap
+
 
 def spine(spark: SparkSession, count: int, key: str, offset: int = 0) -> DataFrame:
     """``count`` consecutive keys from ``offset``, made on the executors."""
@@ -25,7 +27,11 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     """Small dimension from literal rows and a DDL schema."""
     if not 1 <= len(rows) <= INLINE_LIMIT:
         raise ValueError(f"an inline table holds 1 to {INLINE_LIMIT} rows; write larger ones to a table")
-    return spark.createDataFrame(list(rows), schema)
+    # Literals of the plan, unfolded in the JVM: a frame made of Python rows would be read
+    # through a Python worker in every query that joins it.
+    fields = StructType.fromDDL(schema).fields
+    structs = [F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, fields, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 # Types of the tables that are read by name. With a schema given, Spark plans a scan
@@ -75,24 +81,29 @@ def query_table(spark: SparkSession, text: str, **parameters: str) -> DataFrame:
     return spark.sql(text, args=parameters)
 
 
-def write_full(frame: DataFrame, table: str, bucket_by: str | None = None, buckets: int = 0) -> None:
+def write_full(
+    frame: DataFrame, table: str, bucket_by: str | None = None, buckets: int = 0,
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Replace a table's rows and schema. Running it again gives the same table.
 
-    Tables bucketed alike on a key are joined and grouped on it without a shuffle.
+    The new rows are written beside the table, given to ``check``, which raises if they must
+    not be published, and then put in its place: a job that fails leaves the old rows. The
+    frame may read the table itself. Tables bucketed alike on a key are joined and grouped
+    on it without a shuffle.
     """
     if bool(bucket_by) != (buckets > 0):
         raise ValueError("give both bucket_by and a positive number of buckets, or neither")
-    writer = frame.write.format("parquet").mode("overwrite")
-    if bucket_by:
-        # One task per bucket writes one sorted file, instead of one file per task and bucket.
-        writer = (
-            frame.repartition(buckets, bucket_by)
-            .write.format("parquet")
-            .mode("overwrite")
-            .bucketBy(buckets, bucket_by)
-            .sortBy(bucket_by)
-        )
-    writer.saveAsTable(table)
+
+    def write(name: str) -> None:
+        if bucket_by:
+            # One task per bucket writes one sorted file, instead of one file per task and bucket.
+            sorted_writer = frame.repartition(buckets, bucket_by).write.format("parquet")
+            sorted_writer.bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(name)
+        else:
+            frame.write.format("parquet").saveAsTable(name)
+
+    swap(frame.sparkSession, table, write, check)
 
 
 def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,12 +1,14 @@
 """What reaches the scans, and how many shuffles a plan has."""
 
+import datetime as dt
 import re
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallymark.operators import compare
-from tallymark.plans import queries, sales
+from tallymark.plans import activity, queries, sales
 from tallymark.sources.tables import load
 
 FOLDER = "/root/testdata/sf0.001"
@@ -99,3 +101,37 @@ def test_orphans_read_each_table_once(spark):
     text = plan(spark, "orphans")
     for table in ("orders", "lineitem", "documents", "labels"):
         assert len(re.findall(rf"FileScan[^\n]*/{table}\.parquet", text)) == 1
+
+
+@pytest.mark.parametrize("name", ["two_week_compare", "rate_point_change", "gap_contribution", "rate_contribution", "rate_slices"])
+def test_weeks_are_cut_where_events_are_read(spark, name):
+    last, kinds = dt.date(2024, 1, 30), [compare.latest_weeks(2, "two_weeks")]
+    chosen = compare.in_any_window(F.col("ts"), last, kinds, "timestamp_ntz")
+    text = activity.encounters(spark, FOLDER, chosen)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"GreaterThanOrEqual\(ts,2024-01-\d\d", text)) == 2 and "Or(" in text
+    if name != "rate_slices":  # its rows are written on the way
+        assert re.search(r"PushedFilters: [^\n]*GreaterThanOrEqual\(ts,", plan(spark, name))
+
+
+def test_only_the_notes_of_chosen_weeks_are_read_for_evidence(spark):
+    assert "LeftSemi" in plan(spark, "two_week_compare") and "LeftSemi" not in plan(spark, "patient_period_gold")
+
+
+def test_a_number_of_two_does_not_run_into_the_next(spark):
+    rows = spark.createDataFrame([(1, 0), (1, 999_999), (2, 0), (2, None)], "a long, b long")
+    assert [r[0] for r in rows.select(activity.numbered(F.col("a"), F.col("b"))).collect()] == [10**6, 2 * 10**6 - 1, 2 * 10**6, None]
+    for wrong in (10**6, -1):
+        with pytest.raises(PySparkException):
+            spark.range(1).select(activity.numbered(F.col("id"), F.lit(wrong))).collect()
+
+
+def test_levels_read_each_table_once(spark):
+    text = plan(spark, "account_levels")
+    for table in ("orders", "lineitem", "customer"):
+        assert len(re.findall(rf"FileScan[^\n]*/{table}\.parquet", text)) == 1
+
+
+def test_windows_need_no_nested_loop(spark):
+    text = plan(spark, "rolling_windows")
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert re.search(r"PushedFilters: [^\n]*o_orderdate", text)
