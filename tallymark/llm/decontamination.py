@@ -15,8 +15,10 @@ verified by an alignment restricted to the band.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,9 @@ LONGEST = 2 * PASSAGE - 1  # characters; longer runs hold one of these
 EDITS = 0.1  # of a run's length
 BLOCK_CHARS = 2_000_000  # benchmark characters that are broadcast at once
 FILTER_BITS = 20
-PIECE = 1 << 18  # characters of a document that are looked up together
+STRIDE = 1 << 14  # characters of a document after which its next segment begins
+OVERLAP = 2 * LONGEST  # characters that segments share: any run with its edits lies in one whole
+MOST_HITS = 1 << 17  # q-grams that a segment may share with the benchmark; else it is halved
 STARTS = 1 << 10  # places of a benchmark text whose runs are verified together
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,6 +47,13 @@ def edit_budget(length: int, edits: float = EDITS, q: int = Q) -> int:
     return max(0, min(int(edits * length), (length - q) // q))
 
 
+def gram_size(length: int, edits: float = EDITS) -> int:
+    """Characters of the grams by which a text is looked for: ``Q``, or ``FINE`` for one so
+    short that the lemma would ask for fewer than its share of edits with longer ones."""
+    short = length < PASSAGE and edit_budget(length, edits, Q) < int(edits * length)
+    return FINE if short else Q
+
+
 def _folded() -> np.ndarray:
     """Of each of the first 65,536 code points, its lower case if that is one code point;
     space for the blanks."""
@@ -122,10 +133,18 @@ class Index:
     row: np.ndarray
     place: np.ndarray
     filter: np.ndarray
+    q: int
+
+
+def build_indexes(rows: list[tuple[int, str]], edits: float = EDITS) -> list[Index]:
+    """An index for each size of grams; texts of fewer than ``Q`` characters identify nothing."""
+    known = [(item_id, text) for item_id, text in rows if len(text) >= Q]
+    by_size = [(q, [row for row in known if gram_size(len(row[1]), edits) == q]) for q in (Q, FINE)]
+    return [index for q, part in by_size if (index := build_index(part, q, edits)) is not None]
 
 
 def build_index(rows: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -> Index | None:
-    """None if no text has q characters; such short texts identify nothing."""
+    """None if no text has q characters."""
     rows = [(item_id, text) for item_id, text in rows if len(text) >= q]
     if not rows:
         return None
@@ -150,31 +169,30 @@ def build_index(rows: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -
         np.repeat(np.arange(len(rows)), counts), [item_id for item_id, _ in rows], np.concatenate(begins),
         np.cumsum([0, *counts]), texts, budgets, limits, fine, np.array([min(n for _, n in limit) for limit in limits]),
         shift, max(map(len, texts)) + (1 << int(shift.max())),
-        unique, np.append(first, len(order)), row[order], place[order], bits,
+        unique, np.append(first, len(order)), row[order], place[order], bits, q,
     )
 
 
-def candidates(text: np.ndarray, index: Index, q: int = Q) -> list[tuple[int, int, int, np.ndarray]]:
+def looked_up(text: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the q-grams of a text that the benchmark has, their rank there, and how
+    often it has each."""
+    numbers = grams(text, index.q)
+    likely = np.flatnonzero(index.filter[numbers >> np.uint64(64 - FILTER_BITS)])
+    number = np.searchsorted(index.numbers, numbers[likely])
+    number[number == len(index.numbers)] = 0
+    same = index.numbers[number] == numbers[likely]
+    likely, number = likely[same], number[same]
+    return likely, number, index.first[number + 1] - index.first[number]
+
+
+def candidates(text: np.ndarray, index: Index, seen=None) -> list[tuple[int, int, int, np.ndarray]]:
     """(row, lowest and highest diagonal, begins of runs) of the bands that share enough
     q-grams with some runs of a benchmark text."""
-    hits_at, hits_row, hits_place = [], [], []
-    for start in range(0, len(text), PIECE):
-        numbers = grams(text[start : start + PIECE + q - 1], q)
-        likely = np.flatnonzero(index.filter[numbers >> np.uint64(64 - FILTER_BITS)])
-        number = np.searchsorted(index.numbers, numbers[likely])
-        number[number == len(index.numbers)] = 0
-        same = index.numbers[number] == numbers[likely]
-        likely, number = likely[same], number[same]
-        counts = index.first[number + 1] - index.first[number]
-        entry = np.repeat(index.first[number], counts) + _within(counts)
-        hits_at.append(np.repeat(likely + start, counts))
-        hits_row.append(index.row[entry])
-        hits_place.append(index.place[entry])
-    if not hits_at:
-        return []
-    at, row, place = map(np.concatenate, (hits_at, hits_row, hits_place))
+    at, number, counts = looked_up(text, index) if seen is None else seen
     if not len(at):
         return []
+    entry = np.repeat(index.first[number], counts) + _within(counts)
+    at, row, place = np.repeat(at, counts), index.row[entry], index.place[entry]
     low = (at - place + index.offset) >> (index.shift[row] - 1)
     found = []
     # Each diagonal lies in two bands: the one that begins at its half, and the one before.
@@ -300,11 +318,44 @@ def _together(starts: np.ndarray) -> list[np.ndarray]:
     return np.split(starts, np.flatnonzero(np.diff(starts // STARTS)) + 1) if len(starts) else []
 
 
-def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
-    """(passage, edits, begin, end) of every passage in which a run begins that a text holds,
-    with the best such run: of fewest edits, the longest of those, and the first of those."""
-    of = codes(text)
-    best: dict[int, tuple[int, int, int, int, int]] = {}
+def segments(text: np.ndarray, index: Index) -> Iterator[tuple[int, np.ndarray, tuple]]:
+    """Begin and characters of overlapping segments of a text that share q-grams with the
+    benchmark, and what was looked up. Any run with its edits lies in one of them whole.
+
+    A segment that shares very many, as rows of one character do, is halved, down to twice
+    the overlap. One whose characters an earlier segment had is left out: all that it holds
+    is held there as well, at an earlier place.
+    """
+    waiting = [(begin, min(len(text), begin + STRIDE + OVERLAP)) for begin in range(0, max(1, len(text) - OVERLAP), STRIDE)]
+    waiting.reverse()
+    had: set[bytes] = set()
+    several = len(waiting) > 1
+    while waiting:
+        begin, end = waiting.pop()
+        part = text[begin:end]
+        seen = looked_up(part, index)
+        if not len(seen[0]):
+            continue
+        if several:
+            mark = hashlib.sha256(part.tobytes()).digest()
+            if mark in had:
+                continue
+            had.add(mark)
+        if int(seen[2].sum()) > MOST_HITS and len(part) > 2 * OVERLAP:
+            half = begin + (len(part) - OVERLAP) // 2
+            waiting += [(half, end), (begin, half + OVERLAP)]
+            several = True
+            continue
+        yield begin, part, seen
+
+
+Found = dict[int, tuple[int, int, int, int, int]]
+
+
+def _segment_matches(of: np.ndarray, seen: tuple, index: Index) -> Found:
+    """Of each passage in which a run begins that a segment holds, the best such run: edits,
+    negative length, start in the benchmark text, begin and end in the segment."""
+    best: Found = {}
 
     def passage_of(r: int, starts: np.ndarray) -> np.ndarray:
         first, end = index.passage[r], index.passage[r + 1]
@@ -316,7 +367,7 @@ def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
             best[p] = min(best.get(p, tuple(found)), tuple(found))
 
     close = []
-    for r, low, high, starts in candidates(of, index):
+    for r, low, high, starts in candidates(of, index, seen):
         item = index.texts[r]
         for part in _together(starts):
             length, begin, enough = compare(item, of, part, low, high, index.fine[r])
@@ -331,9 +382,26 @@ def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
             edits, length, begin, end = align(index.texts[r], of, part, low, high, index.budgets).T
             good = edits <= index.budgets.max()
             note(r, part[good], edits[good], length[good], begin[good], end[good])
+    return best
+
+
+def matches(text: str, index: Index) -> list[tuple[int, int, int, int]]:
+    """(passage, edits, begin, end) of every passage in which a run begins that a text holds,
+    with the best such run: of fewest edits, the longest of those, and the first of those."""
+    best: Found = {}
+    for begin, part, seen in segments(codes(text), index):
+        for p, (edits, length, start, first, end) in _segment_matches(part, seen, index).items():
+            found = (edits, length, start, first + begin, end + begin)
+            best[p] = min(best.get(p, found), found)
     return [(p, edits, begin, end) for p, (edits, _, _, begin, end) in sorted(best.items())]
 
 
+def holds_any(text: str, indexes: list[Index]) -> bool:
+    """Whether a text holds a run of any benchmark text."""
+    of = codes(text)
+    return any(_segment_matches(part, seen, index) for index in indexes for _, part, seen in segments(of, index))
+
+
 MATCH = "doc_id long, item_id long, passage_start long, edits long, start long, end long"
 
 
@@ -359,30 +427,49 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``PASSAGE`` of them, or are a shorter text as a whole.
 
     ``passage_start`` is in code points of the benchmark text, ``start`` and ``end`` of the
-    run in the document's. Letters are compared in lower case, blanks as spaces. Null and empty texts and
-    texts of fewer than q characters hold and identify nothing. Repeated benchmark rows
+    run in the document's. Letters are compared in lower case, blanks as spaces. Null and empty
+    texts and texts of fewer than q characters hold and identify nothing. Repeated benchmark rows
     count once; repeated documents give repeated rows. The benchmark is the query set: it
     goes to the executors in blocks of ``BLOCK_CHARS`` characters (and one text at most).
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    result = None
-    for rows in _blocks(benchmark):
-        index = build_index(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])))
-        if index is None:
+    parts = list(_each_block(slim, benchmark, lambda rows, shared: rows.mapInArrow(_search(shared), MATCH), "leaks"))
+    return reduce(DataFrame.unionAll, parts) if parts else docs.sparkSession.createDataFrame([], MATCH)
+
+
+def _each_block(docs: DataFrame, benchmark: DataFrame, search, name: str, chained: bool = False) -> Iterator[DataFrame]:
+    """``search`` over the documents, or chained over what the one before left, for each block
+    of the benchmark. If there are several, each is finished and written, and its index taken
+    off the executors, before the next is sent, so one block is all they ever hold."""
+    context = docs.sparkSession.sparkContext
+    blocks = _blocks(benchmark)
+    rows = next(blocks, None)
+    several = False
+    while rows is not None:
+        following = next(blocks, None)
+        several |= following is not None
+        indexes = build_indexes(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        rows = following
+        if not indexes:
             continue
-        found = slim.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(index)), MATCH)
-        result = found if result is None else result.unionAll(found)
-    return docs.sparkSession.createDataFrame([], MATCH) if result is None else result
+        shared = context.broadcast(indexes)
+        found = search(docs, shared)
+        if several:
+            found = written(found, name)
+            shared.unpersist()
+        if chained:
+            docs = found
+        yield found
 
 
 def _search(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         for batch in batches:
             rows = [
                 (doc_id, index.item_ids[index.items[p]], int(index.places[p]), edits, begin, end)
                 for doc_id, text in rows_of([batch], "doc_id", "text")
                 if text
+                for index in shared.value
                 for p, edits, begin, end in matches(text, index)
             ]
             columns = zip(*rows) if rows else [()] * 6
@@ -392,12 +479,21 @@ def _search(shared):
     return search
 
 
+def _keep(shared):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = [not text or not holds_any(text, shared.value) for (text,) in rows_of([batch], "text")]
+            yield batch.filter(pa.array(stays, pa.bool_()))
+
+    return keep
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose ``doc_id`` holds no run of the benchmark.
+    """The rows of ``docs``, with all columns, whose text holds no run of the benchmark.
 
-    A row without ``doc_id`` goes if any such row holds one.
+    Every row is judged by its own text, whatever its ``doc_id``, where it is read.
     """
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaking_id")).distinct()
-    # Written, so that its true size decides how it is joined to the documents.
-    found = written(found, "leaking")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaking_id")), "left_anti")
+    kept = docs
+    for kept in _each_block(docs, benchmark, lambda rows, shared: rows.mapInArrow(_keep(shared), docs.schema), "clean", True):
+        pass
+    return kept

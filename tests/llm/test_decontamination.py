@@ -1,6 +1,7 @@
 """Benchmark passages: exact and edited ones are found, others not."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -145,3 +146,68 @@ def test_a_straddling_copy_is_not_clean(spark, documents):
     benchmark = spark.createDataFrame([(7, item)], BENCHMARK)
     assert {(r.doc_id, r.item_id) for r in d.leaks(docs, benchmark).collect()} == {(1, 7)}
     assert {r.doc_id for r in d.clean(docs, benchmark).collect()} == {2}
+
+
+def test_every_row_is_judged_by_its_own_text(spark, documents):
+    rng = random.Random(4)
+    leak, fine = sentence(rng, 40), sentence(rng, 30)
+    benchmark = spark.createDataFrame([(1, leak)], BENCHMARK)
+    docs = documents([(None, fine), (None, leak), (3, fine), (4, leak), (4, fine), (4, None)])
+    kept = d.clean(docs, benchmark)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(None, fine), (3, fine), (4, fine), (4, None)], key=repr)
+
+
+def test_cleaning_block_by_block(spark, documents, monkeypatch):
+    rng = random.Random(5)
+    items = [sentence(rng, 20) for _ in range(9)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), BENCHMARK)
+    docs = documents([(i, sentence(rng, 10) + (items[i] if i < 9 else "")) for i in range(14)])
+    monkeypatch.setattr(d, "BLOCK_CHARS", 200)
+    assert sorted(r.doc_id for r in d.clean(docs, benchmark).collect()) == [9, 10, 11, 12, 13]
+    assert {(r.doc_id, r.item_id) for r in d.leaks(docs, benchmark).collect()} >= {(i, i) for i in range(9)}
+
+
+@pytest.mark.parametrize("character", ["=", "-+"])
+def test_long_rows_of_one_character_take_little_memory(character):
+    rng = random.Random(6)
+    item = sentence(rng, 10) + " " + character * (200 // len(character)) + " " + sentence(rng, 10)
+    (index,) = d.build_indexes([(1, item)])
+    text = character * (400_000 // len(character)) + " " + item + " " + character * 5_000
+    tracemalloc.start()
+    found = d.matches(text, index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    assert {edits for _, edits, *_ in found} == {0}
+    assert found[0][2] >= 0 and len(found) == len(d.passages(item))
+
+
+def test_segments_give_what_the_whole_gives(monkeypatch):
+    rng = random.Random(7)
+    items = [(i, sentence(rng, 30) + "=" * 40 + sentence(rng, 20)) for i in range(4)]
+    (index,) = d.build_indexes(items)
+    parts = []
+    for _ in range(60):
+        item = rng.choice(items)[1]
+        begin = rng.randrange(len(item) - 60)
+        parts += [sentence(rng, rng.randrange(12)), item[begin : begin + rng.randrange(30, 150)], "=" * rng.randrange(30)]
+    text = " ".join(parts)
+    whole = d.matches(text, index)
+    monkeypatch.setattr(d, "STRIDE", 700)
+    assert d.matches(text, index) == whole and len(whole) > 10
+    monkeypatch.setattr(d, "MOST_HITS", 300)
+    assert d.matches(text, index) == whole
+
+
+@pytest.mark.parametrize("length", [10, 14, 20, 23, 30, 31, 40, 63])
+def test_short_texts_have_one_edit_in_ten(length):
+    rng = random.Random(length)
+    for _ in range(20):
+        item = sentence(rng, 30)[:length]
+        edited = list(item)
+        for at in rng.sample(range(1, length - 1), length // 10):
+            edited[at] = "#"
+        indexes = d.build_indexes([(1, item)])
+        text = sentence(rng, 5) + " " + "".join(edited) + " " + sentence(rng, 5)
+        assert any(d.matches(text, index) for index in indexes)
+        assert d.holds_any(text, indexes)
