@@ -7,9 +7,10 @@ Counts and scores are one relation of n-grams, exploded, aggregated and joined b
 3. the sums go back to the blocks that asked, are joined to the exploded n-grams, and the
    scores are summed for each document.
 
-Words and pairs are asked for first. A longer n-gram is rarer than both of its parts, so it
-is asked for only where both are frequent enough to count as seen: what is not asked for
-would count as unseen anyway. An n-gram that every document holds is one row of each block,
+A document is scored by what the others say: its own n-grams are taken out of the counts, as
+else each of them would count as seen. Words and pairs are asked for first. A longer n-gram
+that another document holds is held there with both of its parts, so it is asked for only
+where other documents have both: where they have not, its count is known to be zero. An n-gram that every document holds is one row of each block,
 not of each document, so there is no hot key. N-grams travel sorted and packed, some five
 bytes each.
 """
@@ -31,7 +32,7 @@ from tallymark.llm.texts import rows_of
 
 ORDER = 3
 BACKOFF = 0.4
-MIN_COUNT = 2  # an n-gram of two words or more that is rarer counts as unseen
+MIN_COUNT = 1  # in other documents; an n-gram of two words or more that is rarer counts as unseen
 BLOCK_BYTES = 8 << 20  # of text in a block, about
 BUCKET_BYTES = 8 << 20  # of text for each part of the count tables, about
 MICRO = 1e6  # scores are whole millionths of a natural logarithm, so sums are exact
@@ -81,6 +82,7 @@ class Block:
         n = len(hashes)
         #: Words before each place in its text.
         self.history = np.arange(n) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.text = np.repeat(np.arange(len(self.sizes), dtype=np.uint64), self.sizes)
         self.grams: list[np.ndarray] = [hashes]
         for length in range(2, order + 1):
             longer = np.zeros(n, np.uint64)
@@ -92,8 +94,15 @@ class Block:
         words = text.lower().split()
         return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
 
+    def own(self, length: int) -> np.ndarray:
+        """How often the n-gram that ends at each place occurs in the place's own text."""
+        here = _mix(self.grams[length - 1], self.text)
+        here[self.history < length - 1] = 0
+        _, inverse, n = np.unique(here, return_inverse=True, return_counts=True)
+        return n[inverse]
+
     def places(self, length: int, counts: list[np.ndarray], min_count: int) -> np.ndarray:
-        """Where an n-gram of this length ends that may be frequent, by its parts' counts."""
+        """Where an n-gram of this length ends that other texts may hold, by its parts' counts there."""
         there = self.history >= length - 1
         if length > 2:
             frequent = counts[length - 2] >= min_count
@@ -116,10 +125,10 @@ def _cut(grams: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _known(block: Block, answers: pa.Table | None, order: int, n_stages: int, min_count: int):
-    """The number of all words, and the sums that the first stages gave, for each place; 0
-    where none was asked for."""
+    """The number of all words; the sums that the first stages gave for the words; and those of
+    each length less the text's own, for each place; 0 where none was asked for."""
     counts: list[np.ndarray] = []
-    total = 0
+    words, total = np.zeros(len(block.history)), 0
     for stage, lengths in enumerate(stages(order)[:n_stages]):
         found = sorted(
             (bucket, data)
@@ -137,12 +146,14 @@ def _known(block: Block, answers: pa.Table | None, order: int, n_stages: int, mi
         if len(known) != len(grams):
             raise RuntimeError("a block was not answered for all of its n-grams")
         begin = 0
-        for at in places:
+        for length, at in zip(lengths, places):
             count = np.zeros(len(block.history))
             count[at] = known[inverse[begin : begin + len(at)]]
             begin += len(at)
-            counts.append(count)
-    return total, counts
+            if length == 1:
+                words = count
+            counts.append(np.where(count > 0, count - block.own(length), 0))
+    return total, words, counts
 
 
 def _ask(order: int, stage: int, bits: int, min_count: int):
@@ -151,7 +162,7 @@ def _ask(order: int, stage: int, bits: int, min_count: int):
     def ask(texts: pa.Table, answers: pa.Table | None) -> pa.Table:
         number = texts.column("block")[0].as_py() if len(texts) else 0
         block = Block(texts.column("text"), order)
-        _, known = _known(block, answers, order, stage, min_count)
+        _, _, known = _known(block, answers, order, stage, min_count)
         wanted = [block.grams[k - 1][block.places(k, known, min_count)] for k in stages(order)[stage]]
         grams, counts = np.unique(np.concatenate(wanted), return_counts=True)
         if stage == 0:
@@ -216,13 +227,14 @@ def _answer(stage: int):
     return answer
 
 
-def place_scores(block: Block, counts: list[np.ndarray], total: int, backoff: float, min_count: int):
+def place_scores(block: Block, words: np.ndarray, counts: list[np.ndarray], total: int, backoff: float, min_count: int):
     """Score of every place in millionths, and whether it was backed off.
 
-    ``counts``: of the n-gram of each order that ends at the place, where there is one.
+    ``words``: how often all texts have the place's word. ``counts``: how often the others
+    have the n-gram of each length that ends at the place, where there is one.
     """
     n = len(block.history)
-    score = np.log(counts[0]) - math.log(total) if n else np.zeros(0)
+    score = np.log(words) - math.log(total) if n else np.zeros(0)
     used = np.ones(n, np.int64)
     for length in range(2, len(counts) + 1):
         seen = (block.history >= length - 1) & (counts[length - 1] >= min_count)
@@ -237,8 +249,8 @@ def _score(order: int, backoff: float, min_count: int):
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         ids = texts.column("doc_id")
         block = Block(texts.column("text"), order)
-        total, counts = _known(block, answers, order, len(stages(order)), min_count)
-        scores, backed_off = place_scores(block, counts, total, backoff, min_count)
+        total, words, counts = _known(block, answers, order, len(stages(order)), min_count)
+        scores, backed_off = place_scores(block, words, counts, total, backoff, min_count)
         ends = np.cumsum(block.sizes)
 
         def per_text(values: np.ndarray) -> np.ndarray:
@@ -263,9 +275,11 @@ def score_documents(
     """``doc_id, n_tokens, n_backed_off, score_micronats, mean_score`` of every row.
 
     Each word, with A-Z in lower case, scores count(n-gram) / count(its beginning) for the
-    longest n-gram that ends at it, of at most ``order`` words, and occurs ``min_count``
-    times or more in the corpus; every word that this n-gram is shorter than the longest
-    one there is costs the factor ``backoff``; a single word scores its share of all words.
+    longest n-gram that ends at it, of at most ``order`` words, and occurs in other rows, both
+    counted over all other rows; every word that this n-gram is shorter than the longest one
+    there is costs the factor ``backoff``; a single word scores its share of all words, the
+    row's own included, so that a word which no other row has can be scored too. With a
+    ``min_count`` above 1, rarer n-grams count as unseen.
     The logarithms are summed in millionths; ``mean_score`` is the sum over the number of
     words, null if there are none. A null or empty text has no words. Repeated rows are
     text like any other: they count, and get equal rows. Other columns are not read. No

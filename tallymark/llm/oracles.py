@@ -15,24 +15,20 @@ WITH worded AS (
 ), place AS (
     SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS w FROM worded
 ), gram AS (
-    SELECT doc_id, i, w,
-           lag(w, 1) OVER near || ' ' || w AS w2, lag(w, 2) OVER near || ' ' || lag(w, 1) OVER near || ' ' || w AS w3,
-           lag(w, 1) OVER near AS before1, lag(w, 2) OVER near || ' ' || lag(w, 1) OVER near AS before2
+    SELECT doc_id, i, w, lag(w, 1) OVER near || ' ' || w AS w2, lag(w, 2) OVER near || ' ' || lag(w, 1) OVER near || ' ' || w AS w3
     FROM place WINDOW near AS (PARTITION BY doc_id ORDER BY i)
-), c1 AS (SELECT w, count(*) AS n FROM gram GROUP BY w
-), c2 AS (SELECT w2, count(*) AS n FROM gram WHERE w2 IS NOT NULL GROUP BY w2
-), c3 AS (SELECT w3, count(*) AS n FROM gram WHERE w3 IS NOT NULL GROUP BY w3
 ), counted AS (
-    SELECT gram.*, c1.n AS n1, c2.n AS n2, c3.n AS n3, b1.n AS m1, b2.n AS m2,
-           (SELECT count(*) FROM gram) AS total, least(i, 3) AS longest
-    FROM gram JOIN c1 ON gram.w = c1.w LEFT JOIN c2 ON gram.w2 = c2.w2 LEFT JOIN c3 ON gram.w3 = c3.w3
-        LEFT JOIN c1 b1 ON gram.before1 = b1.w LEFT JOIN c2 b2 ON gram.before2 = b2.w2
+    SELECT doc_id, i, count(*) OVER () AS total, least(i, 3) AS longest, count(*) OVER (PARTITION BY w) AS all1,
+           count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY w, doc_id) AS n1,
+           count(w2) OVER (PARTITION BY w2) - count(w2) OVER (PARTITION BY w2, doc_id) AS n2,
+           count(w3) OVER (PARTITION BY w3) - count(w3) OVER (PARTITION BY w3, doc_id) AS n3
+    FROM gram
+), beside AS (
+    SELECT *, lag(n1) OVER near AS m1, lag(n2) OVER near AS m2 FROM counted WINDOW near AS (PARTITION BY doc_id ORDER BY i)
 ), scored AS (
-    SELECT doc_id, longest,
-           CASE WHEN n3 >= 2 THEN 3 WHEN n2 >= 2 THEN 2 ELSE 1 END AS used,
-           CASE WHEN n3 >= 2 THEN ln(n3) - ln(m2) WHEN n2 >= 2 THEN ln(n2) - ln(m1)
-                ELSE ln(n1) - ln(total) END AS score
-    FROM counted
+    SELECT doc_id, longest, CASE WHEN n3 >= 1 THEN 3 WHEN n2 >= 1 THEN 2 ELSE 1 END AS used,
+           CASE WHEN n3 >= 1 THEN ln(n3) - ln(m2) WHEN n2 >= 1 THEN ln(n2) - ln(m1) ELSE ln(all1) - ln(total) END AS score
+    FROM beside
 ), summed AS (
     SELECT doc_id, count(*) AS n_tokens, count(*) FILTER (WHERE used < longest) AS n_backed_off,
            CAST(sum(CAST(round_even((score + (longest - used) * ln(0.4)) * 1e6, 0) AS BIGINT)) AS BIGINT)

@@ -31,3 +31,10 @@ def test_plans(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name in NATIVE:
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_queries_read_no_rows_made_in_python(spark, name):
+    frame = queries.QUERIES[name](spark, SMALL)
+    assert "PythonRDD" not in frame._jdf.rdd().toDebugString()
+    assert "ExistingRDD" not in frame._jdf.queryExecution().executedPlan().toString()

@@ -19,14 +19,19 @@ def brute(rows, order, backoff, min_count):
     found = []
     for (doc_id, _), words in zip(rows, texts):
         score = backed = 0
+        own = Counter(tuple(words[i : i + n]) for n in range(1, order + 1) for i in range(len(words) - n + 1))
+        other = {gram: counts[gram] - own[gram] for gram in own}
         for i in range(len(words)):
             longest = min(order, i + 1)
             for n in range(longest, 0, -1):
                 gram = tuple(words[i - n + 1 : i + 1])
-                if n == 1 or counts[gram] >= min_count:
+                if n == 1 or other[gram] >= min_count:
                     break
-            below = counts[gram[:-1]] if n > 1 else total
-            value = np.log(counts[gram]) - np.log(below) + (longest - n) * math.log(backoff)
+            if n == 1:
+                value = np.log(counts[gram]) - np.log(total)
+            else:
+                value = np.log(other[gram]) - np.log(other[gram[:-1]])
+            value += (longest - n) * math.log(backoff)
             score += int(np.rint(value * 1e6))
             backed += n < longest
         found.append((doc_id, len(words), backed, score))
@@ -47,7 +52,14 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("order,min_count", [(1, 2), (2, 2), (3, 2), (3, 1), (5, 3)])
+def test_only_other_documents_tell(spark, documents):
+    alone = score_documents(documents([(1, "a b c a b c"), (2, "x")])).collect()
+    assert {r.doc_id: (r.n_tokens, r.n_backed_off) for r in alone} == {1: (6, 5), 2: (1, 0)}
+    copied = score_documents(documents([(1, "a b c a b c"), (2, "a b c a b c")])).collect()
+    assert {r.n_backed_off for r in copied} == {0}
+
+
+@pytest.mark.parametrize("order,min_count", [(1, 2), (2, 2), (3, 2), (3, 1), (2, 1), (5, 3), (5, 1)])
 def test_small_corpus(spark, documents, order, min_count):
     frame = documents(ROWS).withColumnRenamed("lang", "n_tokens").withColumnRenamed("source", "block")
     found = score_documents(frame, order, 0.4, min_count).drop("mean_score").collect()
