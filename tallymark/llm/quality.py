@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.shared import written
+from tallymark.llm.shared import fresh, written
 from tallymark.llm.texts import BLANKS, GAP, text_or_empty
 
 MIN_WORDS = 50
@@ -103,7 +103,7 @@ def counts(text: Column) -> Column:
     return F.struct(by_word.alias("by_word"), by_line.alias("by_line"), symbols)
 
 
-def with_counts(docs: DataFrame, struct: str = "__counts") -> DataFrame:
+def with_counts(docs: DataFrame, struct: str) -> DataFrame:
     """``docs`` with a struct of all counts and ``base_failed``.
 
     The counts come out of a one-element array, which filters that follow do not pass, so
@@ -205,48 +205,57 @@ def cutoffs(judged: DataFrame, labels: DataFrame, rules: Mapping = RULES, lost:
     )
 
 
-def learned(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """One row for each stratum that has a cutoff: ``of`` and a column for each rule's cutoff."""
-    judged = with_counts(docs.select("doc_id", F.col(stratum).alias("stratum"), "text"))
-    judged = judged.select(F.col("doc_id").cast("long").alias("doc_id"), "stratum", F.col("__counts").alias("counts"))
-    chosen = cutoffs(written(judged, "counts"), labels)
-    pivoted = chosen.groupBy(F.col("stratum").alias("of")).agg(
+def learned(counted: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row for each stratum that has a cutoff: ``stratum`` and each rule's cutoff.
+
+    ``counted``: ``doc_id, stratum, counts``, as written once.
+    """
+    chosen = cutoffs(counted, labels)
+    pivoted = chosen.groupBy("stratum").agg(
         *[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES]
     )
     # Written, so that its true size decides how it is joined to the documents.
     return written(pivoted, "cutoffs")
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """All columns of ``docs``, and the struct ``__counts`` and the verdict ``__kept``.
+def _verdict(counted: DataFrame, labels: DataFrame, stratum: str, counts: str, kept: str) -> DataFrame:
+    """The rows of ``counted``, which is read twice and so should be written, with the verdict."""
+    narrow = counted.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).alias("stratum"), F.col(counts).alias("counts")
+    )
+    cuts = learned(narrow, labels)
+    of, *names = fresh(counted, "stratum_of", *[f"cut_{rule}" for rule in RULES])
+    cuts = cuts.select(F.col("stratum").alias(of), *[F.col(f"cut_{rule}").alias(n) for rule, n in zip(RULES, names)])
+    over = reduce(
+        lambda x, y: x | y,
+        [
+            F.coalesce(100 * F.col(f"{counts}.{part}") > F.col(name) * F.col(f"{counts}.{whole}"), F.lit(False))
+            for name, (part, whole, _) in zip(names, RULES.values())
+        ],
+    )
+    joined = counted.join(cuts, F.col(stratum).eqNullSafe(F.col(of)), "left")
+    return joined.withColumn(kept, ~F.col(f"{counts}.base_failed") & ~over).drop(of, *names)
+
+
+def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all columns and no other, that the rules keep.
 
     A null or empty text has no words and fails the base rules. A null stratum is a stratum.
     Labels with a null quality or an unknown document count for nothing; of a document
     that is labelled good and bad both labels count. Repeated rows get equal verdicts, and
     count as often as they occur. No rows give no rows, no labels reject nothing beyond
-    the base rules.
+    the base rules. The texts are counted once, and written beside their counts.
     """
-    cuts = learned(docs, labels, stratum)
-    judged = with_counts(docs).join(cuts, F.col(stratum).eqNullSafe(F.col("of")), "left")
-    over = reduce(
-        lambda x, y: x | y,
-        [
-            F.coalesce(
-                100 * F.col(f"__counts.{part}") > F.col(f"cut_{rule}") * F.col(f"__counts.{whole}"), F.lit(False)
-            )
-            for rule, (part, whole, _) in RULES.items()
-        ],
-    )
-    kept = ~F.col("__counts.base_failed") & ~over
-    return judged.select(*docs.columns, "__counts", kept.alias("__kept"))
+    counts, kept = fresh(docs, "counts", "kept")
+    counted = written(with_counts(docs, counts), "counted")
+    return _verdict(counted, labels, stratum, counts, kept).where(kept).select(*docs.columns)
 
 
 def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``doc_id``, the counts, ``base_failed`` and ``kept`` of every row; see ``judge``."""
-    judged = judge(docs.select("doc_id", "text", stratum), labels, stratum)
+    """``doc_id``, the counts, ``base_failed`` and ``kept`` of every row; see ``keep``."""
+    counted = with_counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).alias("stratum"), "text"), "counts")
+    counted = written(counted.select("doc_id", "stratum", "counts"), "counts")
+    judged = _verdict(counted, labels, "stratum", "counts", "kept")
     return judged.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        *[F.col(f"__counts.{name}").alias(name) for name in COUNTS],
-        F.col("__counts.base_failed").alias("base_failed"),
-        F.col("__kept").alias("kept"),
+        "doc_id", *[F.col(f"counts.{name}").alias(name) for name in COUNTS], F.col("counts.base_failed").alias("base_failed"), "kept"
     )

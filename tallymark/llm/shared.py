@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 SETTING = "spark.checkpoint.dir"
 
@@ -32,3 +34,25 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each changed until no column of the frame is called so."""
+    taken = {column.lower() for column in frame.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def row_number_of(frame: DataFrame) -> Column:
+    """A hash of all columns of a row; maps, which have no order, as JSON."""
+
+    def plain(field: StructField) -> Column:
+        kind = field.dataType.simpleString()
+        return F.to_json(F.struct(f"`{field.name}`")) if "map<" in kind or "variant" in kind else F.col(f"`{field.name}`")
+
+    return F.xxhash64(*[plain(field) for field in frame.schema.fields])
