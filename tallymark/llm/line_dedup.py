@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.shared import written
+from tallymark.llm.shared import fresh, written
 from tallymark.llm.texts import BLANKS, lower_ascii, text_or_empty
 
 SMALLEST = -(2**63)  # stands for a null doc_id
@@ -30,11 +30,17 @@ def _hash(key: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``id, line``: 128-bit hashes of the different line keys of each row, if long enough."""
+    """``id, hash, line``: 128-bit hashes of the different line keys of each row, if long
+    enough, by the row's ``doc_id`` and a hash of its text."""
     keys = F.transform(F.split(text_or_empty("text"), "\n"), line_key)
     long_keys = F.filter(F.array_distinct(keys), lambda key: F.length(key) >= min_chars)
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(SMALLEST)).alias("id")
-    return docs.select(ident, F.explode(F.transform(long_keys, _hash)).alias("line"))
+    return docs.select(ident, _text_hash().alias("hash"), F.explode(F.transform(long_keys, _hash)).alias("line"))
+
+
+def _text_hash() -> Column:
+    """Tells rows apart that share a ``doc_id`` or have none."""
+    return F.xxhash64(text_or_empty("text"))
 
 
 def shared_lines(pairs: DataFrame, min_docs: int) -> DataFrame:
@@ -81,18 +87,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     Repeated rows are cut alike. A column that is already called ``n_lines`` or
     ``n_dropped`` is replaced. No rows give no rows.
     """
-    pairs = line_hashes(docs, min_chars)
+    # Written, as lines are split and hashed once for the counts and for the drops.
+    pairs = written(line_hashes(docs, min_chars), "line-hashes")
     # Written, so that the join sees both sides' real sizes and can split a hot line.
     frequent = written(shared_lines(pairs, min_docs), "shared-lines")
     drops = (
         pairs.join(frequent, "line").where("id < last")
-        .groupBy("id").agg(F.collect_set("line").alias("drops"))
+        .groupBy("id", "hash").agg(F.collect_set("line").alias("drops"))
     )
+    # A row's drops come from its own text, so no array is larger than its text.
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(SMALLEST))
     names = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
-    numbered = docs.select(*names, ident.alias("__id"))
-    joined = numbered.join(drops.withColumnsRenamed({"id": "__id", "drops": "__drops"}), "__id", "left")
+    of, hashed, dropped, cut = fresh(docs, "id", "hash", "drops", "cut")
+    numbered = docs.select(*[f"`{name}`" for name in names], ident.alias(of), _text_hash().alias(hashed))
+    joined = numbered.join(drops.withColumnsRenamed({"id": of, "hash": hashed, "drops": dropped}), [of, hashed], "left")
     reassembled = F.pandas_udf(_reassembled, RESULT)
-    result = joined.withColumn("__cut", reassembled(F.col("text").cast("string"), F.col("__drops")))
-    columns = [F.col("__cut.text").alias("text") if name == "text" else F.col(name) for name in names]
-    return result.select(*columns, "__cut.n_lines", "__cut.n_dropped")
+    result = joined.withColumn(cut, reassembled(F.col("text").cast("string"), F.col(dropped)))
+    columns = [F.col(f"{cut}.text").alias("text") if name == "text" else F.col(f"`{name}`") for name in names]
+    return result.select(*columns, f"{cut}.n_lines", f"{cut}.n_dropped")

@@ -45,3 +45,19 @@ def test_columns_repeats_nulls_and_no_rows(spark, documents):
         [(1, ""), (1, ""), (None, ""), (2, LINE + "\nx")], key=repr
     )
     assert dedup_lines(documents([])).collect() == []
+
+
+def test_many_rows_without_an_id_and_clashing_names(spark, documents):
+    # A third of all rows have no id; each line stays in the row of the largest id only.
+    lines = [f"line number {i} that many rows share" for i in range(40)]
+    rows = [(None, "\n".join(lines[i % 40 : i % 40 + 3])) for i in range(200)] + [(i, "\n".join(lines[i % 38 : i % 38 + 3])) for i in range(400)]
+    docs = documents(rows).withColumnRenamed("lang", "hash").withColumnRenamed("source", "drops").withColumnRenamed("n_chars", "cut")
+    found = dedup_lines(docs.withColumn("id", F.lit(1)).withColumn("line", F.lit(2)))
+    assert found.columns == ["doc_id", "text", "hash", "drops", "cut", "id", "line", "n_lines", "n_dropped"]
+    holders = {}
+    for i, text in rows:
+        for line in text.split("\n"):
+            holders.setdefault(line, set()).add(-1 if i is None else i)
+    for r in found.collect():
+        assert all(max(holders[line]) == r.doc_id for line in r.text.split("\n") if line)
+        assert r.n_lines == 3 or r.doc_id is None
