@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.texts import word_count
+from tallymark.llm.shared import written
+from tallymark.llm.texts import text_or_empty, word_count
 
 CELL_DIGITS = 3  # hexadecimal digits of the hash that name one of a source's 4,096 cells
 EXACT = "decimal(38,0)"
@@ -69,16 +70,20 @@ def mix(
     the documents that come first by hash, up to the fractional epoch. The one document
     that this boundary cuts gives its first words only, so that a source gives exactly its
     target, rounded to whole words. A null source is a source; ties of the hash (repeated
-    rows, a null ``doc_id``) are ordered by size; rows that are equal in both can stand for
+    rows, or a repeated ``doc_id``) are ordered by size; rows that are equal in both can stand for
     each other. Other columns are not read. No rows give no rows.
     """
-    order_key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # Rows without an id are told apart by their texts, so that they do not share one place.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(text_or_empty("text"))))
+    order_key = F.md5(F.concat(F.lit(f"{seed}:"), name))
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
         order_key.alias("order_key"),
     ).withColumn("cell", F.substring("order_key", 1, CELL_DIGITS))
+    # Written, as the words are counted once for the cells and for the rows.
+    sized = written(sized, "sizes")
     # Prefix sums in two steps: over a source's cells, then over the rows of one cell.
     cells = sized.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     sources = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
