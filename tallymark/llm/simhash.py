@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from tallymark.llm.components import component_roots
-from tallymark.llm.shared import written
+from tallymark.llm.shared import fresh, row_number_of, written
 from tallymark.llm.texts import rows_of
 
 BITS = 64
@@ -125,25 +125,29 @@ def keep_first(docs: DataFrame, length: int = 3, max_bits: int = 2) -> DataFrame
     """The rows of ``docs``, with all columns, that are their component's ``component_id``,
     and of its rows without ``doc_id`` one.
 
-    Of rows that share this ``doc_id``, and of those without one, the least one stays.
+    Of rows that share this ``doc_id``, and of those without one, the row with the smallest
+    hash of all columns stays. Columns may have any name and type, maps included.
     """
     marked = written(fingerprints(docs, length), "fingerprints")
     members = _members(marked, max_bits)
+    print_, root, first_id, number, row = fresh(docs, "fingerprint", "root", "first_id", "row_number", "row")
     first = members.join(marked, "fingerprint").where("doc_id = component_id")
-    first = first.select(F.col("doc_id").alias("first_id")).distinct()
-    named = docs.join(first, F.col("doc_id").cast("long") == F.col("first_id"), "left_semi")
-    order = [F.col(name) for name in docs.columns if name != "doc_id"]
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    once = named.withColumn("__nth", nth).where("__nth = 1").drop("__nth")
+    first = first.select(F.col("doc_id").alias(first_id)).distinct()
+    named = docs.join(first, F.col("doc_id").cast("long") == F.col(first_id), "left_semi")
+
+    def one_of(rows: DataFrame, *keys: Column) -> DataFrame:
+        # A mergeable aggregate, so that a group of any size is cut down where its rows are.
+        numbered = rows.select(*keys, row_number_of(docs).alias(number), F.struct(*[f"`{c}`" for c in docs.columns]).alias(row))
+        least = numbered.groupBy(*[c for c in numbered.columns if c not in (number, row)]).agg(F.min_by(row, number).alias(row))
+        return least.select(f"{row}.*")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array([fingerprint(text, length) for (text,) in rows_of([batch], "text")], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "__fingerprint"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, print_])
 
     nameless = docs.where("doc_id is null")
-    nameless = nameless.mapInArrow(compute, StructType([*docs.schema.fields, StructField("__fingerprint", LongType())]))
-    root = members.select(F.col("fingerprint").alias("__fingerprint"), F.col("root").alias("__root"))
-    # A mergeable aggregate, so that a group of any size is cut down where its rows are.
-    least = nameless.join(root, "__fingerprint").groupBy("__root").agg(F.min(F.struct(*docs.columns)).alias("__row"))
-    return once.unionByName(least.select("__row.*"))
+    nameless = nameless.mapInArrow(compute, StructType([*docs.schema.fields, StructField(print_, LongType())]))
+    roots = members.select(F.col("fingerprint").alias(print_), F.col("root").alias(root))
+    once = one_of(named, F.col("doc_id").cast("long").alias(first_id))
+    return once.unionByName(one_of(nameless.join(roots, print_), F.col(root)))

@@ -108,6 +108,9 @@ def test_one_row_without_an_id_stays_of_each_group(spark, documents):
     docs = documents(rows).withColumnRenamed("source", "root").withColumnRenamed("n_chars", "fingerprint")
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
-    assert sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=repr) == sorted(
-        [(None, "A B c d", None), (None, far, "de"), (None, None, None), (7, rows[-1][1], None)], key=repr
-    )
+    found = [(r.doc_id, r.text, r.lang) for r in kept.collect()]
+    assert [r for r in found if r[0] == 7] == [(7, rows[-1][1], None)] and len(found) == 4
+    # One of each group, whichever; a repeated row is one choice.
+    assert {(r[1] or "").strip().lower() for r in found if r[0] is None} == {"a b c d", far, ""}
+    assert set(found) <= {(*row, None)[:3] for row in rows}
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(map(tuple, simhash.keep_first(docs.repartition(3)).collect()), key=repr)
