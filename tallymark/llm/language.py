@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.shared import written
@@ -125,46 +125,48 @@ def train(batch: np.ndarray, target: np.ndarray, classes: Sequence[str], seed: i
 
 
 def sample(docs: DataFrame, texts_per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
-    """``doc_id, lang, window``: some windows of about so many texts of each language.
+    """``number, lang, window``: some windows of at most so many texts of each language, all
+    of a language that has no more.
 
-    Which texts and windows depends on hashes of the ``doc_id`` alone. Rows held out are
-    not in it.
+    Which texts and windows depends on a hash of ``doc_id`` and text alone. Rows that are
+    repeated as a whole count once; rows without an id, or of the same one, are rows like any
+    others. Rows held out are not in it.
     """
     learnable = docs.where("lang is not null and text is not null and text <> ''").where(~held_out())
+    slim = learnable.select("lang", F.col("text").cast("string").alias("text"), F.xxhash64(F.lit("language"), "doc_id", "text").alias("number"))
     # Written, so that its true size decides how it is joined.
-    sizes = written(learnable.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n_texts")), "languages")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    chosen = learnable.join(sizes, F.col("lang") == F.col("of")).where(
-        F.pmod(F.xxhash64(F.lit("language"), key), F.col("n_texts")) < texts_per_language
-    )
+    sizes = written(slim.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("number").alias("n_texts")), "languages")
+    # By hash about twice as many as are wanted, whatever the size; then the first of those.
+    some = slim.join(sizes, F.col("lang") == F.col("of")).where(F.pmod(F.col("number"), F.col("n_texts")) < 2 * texts_per_language)
+    once = some.groupBy("lang", "number").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("number"))
+    chosen = once.withColumn("nth", nth).where(F.col("nth") <= texts_per_language)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for doc_id, text, lang in rows_of([batch], "doc_id", "text", "lang"):
+            for number, text, lang in rows_of([batch], "number", "text", "lang"):
                 rows = windows(text)
-                rng = np.random.default_rng(abs(doc_id or 0))
+                rng = np.random.default_rng(number % 2**63)
                 picked = rng.permutation(len(rows))[:WINDOWS_PER_TEXT]
                 cuts = [rows[i].tobytes() for i in sorted(picked)]
                 # And one short piece, as short texts are to be told apart as well.
                 words = text.split()
                 at = rng.integers(len(words)) if words else 0
                 cuts.append(windows(" ".join(words[at : at + rng.integers(1, SHORT_WORDS)]))[0].tobytes())
-                found += [(doc_id, lang, cut) for cut in cuts]
-            ids, langs, pieces = zip(*found) if found else ((), (), ())
+                found += [(number, lang, cut) for cut in cuts]
+            numbers, langs, pieces = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(pieces, pa.binary())],
-                ["doc_id", "lang", "window"],
+                [pa.array(numbers, pa.int64()), pa.array(langs, pa.string()), pa.array(pieces, pa.binary())],
+                ["number", "lang", "window"],
             )
 
-    return chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(
-        cut, "doc_id long, lang string, window binary"
-    )
+    return chosen.select("number", "text", "lang").mapInArrow(cut, "number long, lang string, window binary")
 
 
 def fit(docs: DataFrame) -> Network | None:
     """The network for the sample's languages; None if there is nothing to learn from."""
-    rows = sorted(map(tuple, sample(docs).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    rows = sorted(map(tuple, sample(docs).collect()))
     if not rows:
         return None
     classes = sorted({lang for _, lang, _ in rows})

@@ -53,3 +53,40 @@ def test_edge_cases(spark, documents):
     assert language.identify(documents([])).collect() == []
     only = language.identify(documents([(2, "words", None)])).collect()
     assert only[0].lang_pred == "und"
+
+
+def test_forward_pass_is_a_plain_convolution():
+    rng = np.random.default_rng(2)
+    net = language.Network(["a", "b", "c"], seed=3)
+    net.bias = rng.normal(0, 1, net.bias.shape)
+    net.offset = rng.normal(0, 1, net.offset.shape)
+    batch = rng.integers(0, 256, (3, language.WINDOW)).astype(np.uint8)
+    for row, found in zip(batch, net.probabilities(batch)):
+        pooled = []
+        for kernel in net.kernels:
+            for f in range(language.FILTERS):
+                pooled.append(max(
+                    sum(float(net.embedding[row[at + k]] @ kernel[k, :, f]) for k in range(len(kernel)))
+                    for at in range(language.WINDOW - len(kernel) + 1)
+                ))
+        hidden = np.maximum(np.array(pooled) + net.bias, 0)
+        odds = np.exp(hidden @ net.dense + net.offset)
+        assert np.allclose(found, odds / odds.sum(), atol=1e-4)
+
+
+def test_rows_without_an_id_or_with_one_id_are_learnt_from(spark, documents):
+    english = [(None, f"the quick brown fox {i} runs over the lazy dog", "en") for i in range(900)]
+    german = [(8, f"der schnelle braune Fuchs {i} über den Hund", "de") for i in range(900)]
+    french = [(i, "le renard brun", "fr") for i in range(0, 40)]
+    rows = language.sample(documents(english + german + french), 50).collect()
+    numbers = {}
+    for r in rows:
+        numbers.setdefault(r.lang, set()).add(r.number)
+    # The bound holds whatever the ids are, and is reached.
+    assert {k: len(v) for k, v in numbers.items()} == {"en": 50, "de": 50, "fr": len(numbers["fr"])}
+    assert 20 < len(numbers["fr"]) <= 40 and len(rows) <= 150 * (language.WINDOWS_PER_TEXT + 1)
+
+
+def test_repeated_rows_count_once_in_the_sample(spark, documents):
+    rows = [(8, "the same text", "en")] * 500 + [(9, "other words", "en")]
+    assert len({r.number for r in language.sample(documents(rows), 50).collect()}) == 2
