@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -324,21 +324,27 @@ def excerpt(text: str, chars: int = CHARS_PER_DOC) -> str:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL) -> Machine | None:
-    """Trained on about ``per_label`` documents of each label, chosen by hash of the
-    ``doc_id``, whatever their length; of a long one on an excerpt. Rows held out are never
-    read."""
-    learnable = labels.where("toxic is not null").where(~held_out()).select("doc_id", "toxic").distinct()
-    sizes = learnable.groupBy(F.col("toxic").alias("of")).agg(F.count("*").alias("n"))
-    rank = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("doc_id").cast("string")), F.col("n"))
-    chosen = learnable.join(sizes, F.col("toxic") == F.col("of")).where(rank < per_label)
-    # Written, so that its true size decides how it is joined to the documents.
-    chosen = written(chosen.select(F.col("doc_id").alias("chosen_id"), "toxic", "n"), "toxic-sample")
-    sampled = (
-        docs.where(F.length("text") > 0)
-        .select("doc_id", "text")
-        .join(chosen, F.col("doc_id") == F.col("chosen_id"))
-        .select(F.col("doc_id").cast("long"), F.col("toxic").cast("long"), F.col("text").cast("string"), "n")
+    """Trained on at most ``per_label`` documents of each label, all if there are no more,
+    chosen by hash of ``doc_id`` and text, whatever their length; of a long one on an excerpt.
+    Rows that are repeated as a whole count once. Rows held out are never read."""
+    learnable = labels.where("toxic is not null").where(~held_out())
+    learnable = learnable.select(F.col("doc_id").alias("labelled_id"), F.col("toxic").cast("long").alias("toxic")).distinct()
+    texts = docs.where(F.length("text") > 0).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    ).withColumn("number", F.xxhash64(F.lit("toxicity"), "doc_id", "text"))
+    # Numbers without texts first, so that only the texts of chosen rows are moved.
+    numbers = written(
+        texts.select("doc_id", "number").join(learnable, F.col("doc_id") == F.col("labelled_id")).select("toxic", "number").distinct(),
+        "labelled-numbers",
     )
+    sizes = written(numbers.groupBy(F.col("toxic").alias("of")).agg(F.count("*").alias("n")), "label-sizes")
+    # By hash about twice as many as are wanted, whatever the size; then the first of those.
+    some = numbers.join(sizes, F.col("toxic") == F.col("of")).where(F.pmod(F.col("number"), F.col("n")) < 2 * per_label)
+    nth = F.row_number().over(Window.partitionBy("toxic").orderBy("number"))
+    chosen = some.withColumn("nth", nth).where(F.col("nth") <= per_label)
+    chosen = written(chosen.select(F.col("number").alias("chosen"), "toxic", "n"), "toxic-sample")
+    once = texts.join(chosen, F.col("number") == F.col("chosen")).groupBy("number", "toxic", "n").agg(F.min("text").alias("text"))
+    sampled = once.select(F.col("number").alias("doc_id"), "toxic", "text", "n")
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

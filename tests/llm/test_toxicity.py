@@ -115,3 +115,43 @@ def test_excerpts():
     assert int(short.rsplit("Sentence ")[-1].split()[0]) > 2_900
     assert 19_000 <= len(t.excerpt("x" * 100_000)) <= t.CHARS_PER_DOC
     assert "".join(t.SENTENCE.findall(text + "\n\n||")) == text + "\n\n||"
+
+
+def test_score_is_that_of_all_subsequences(machine):
+    """Every place scored by listing its subsequences one by one, up to the probability."""
+
+    def slow(text):
+        of, starts = t.symbols(text)
+        padded = [*of.tolist(), *[0] * (t.SPAN + t.STRETCH)]
+        places = []
+        for begin in range(len(of)):
+            total = 0.0
+            for i in range(begin, min(begin + t.SPAN - t.STRETCH + 1, len(of))):
+                for (a, b, c), weight in zip(t.FORMS, t.WEIGHTS):
+                    number = 0
+                    for k in (0, a, b, c):
+                        number = number * t.SYMBOLS + padded[i + k]
+                    total += weight * float(machine.weights[number])
+            places.append(total + machine.offset)
+        ends = [*starts[1:].tolist(), len(of)]
+        best = [max(places[s:e]) for s, e in zip(starts.tolist(), ends)]
+        top = sorted(best, reverse=True)[:3]
+        top += [top[-1]] * (3 - len(top))
+        marked = sum(m > 0 for m in best)
+        found = [*[min(3.0, max(-3.0, m)) for m in top], np.log1p(marked), 1000 * marked / (len(text) + 200)]
+        value = sum((f - c) / s * w for f, c, s, w in zip(found, machine.centre, machine.scale, machine.calibration))
+        return 1 / (1 + np.exp(-np.clip(value + machine.calibration[-1], -30, 30)))
+
+    for text in ("", "fine words. and more!", "you clown | of the and.\nworthless", "i d i o t", "Über die id-iot x" * 3):
+        assert abs(t.probability(text, machine) - slow(text)) < 1e-3
+
+
+def test_the_sample_is_bounded_whatever_the_ids(spark, documents, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(t, "train", lambda texts, toxic, shares: seen.update(texts=texts, toxic=toxic.tolist(), shares=shares))
+    rows = [(8, f"text number {i}") for i in range(400)] + [(i, f"rude {i}") for i in range(100, 400)] + [(None, "no id")] * 50
+    labels = spark.createDataFrame([(8, 1, 0), *[(i, 1, 1) for i in range(100, 400)], (None, 1, 1)], "doc_id long, quality int, toxic int")
+    t.fit(documents(rows), labels, per_label=30)
+    assert seen["toxic"].count(0) == 30 and seen["toxic"].count(1) == 30
+    t.fit(documents(rows[:20] + [(100 + i, f"rude {i}") for i in range(20)]), labels, per_label=30)
+    assert seen["toxic"].count(0) == 20 and seen["toxic"].count(1) >= 10
