@@ -3,8 +3,11 @@
 import math
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tallymark.llm import decontamination as d
+from tallymark.llm import simhash
 from tests.llm.test_decontamination import distance
 from tests.llm.test_mixing import check
 from tests.llm.test_simhash import brute
@@ -124,3 +127,25 @@ def test_stages_on_difficult_rows(spark, documents):
 def test_stage_names_and_number():
     assert len(corpus_pipeline.STAGES) == 5
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+HELPERS = (
+    "of counts kept stratum stratum_of cut_symbols cut_dup_lines cut_repeats id hash line drops cut n_lines n_dropped first_id "
+    "row row_number nth fingerprint root leaking_id rest whole cell order_key target taken source_size labelled_id good"
+).split()
+
+
+def test_stages_with_columns_of_any_name_and_a_map(spark, documents):
+    text = "some words of a text that is long enough to be kept by the rules of the corpus " * 6
+    rows = [(1, text, "en", "s"), (1, text, "en", "s"), (None, text + " x", "en", "s"), (3, "few", "en", "t")]
+    docs = documents(rows)
+    docs = docs.select("*", *[F.lit(at).alias(name) for at, name in enumerate(HELPERS)], F.create_map(F.lit("a"), F.lit(1)).alias("map_column"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALL)
+        found = out.collect()
+        if name != "source_mixing":
+            assert out.columns == docs.columns
+            for r in found:
+                assert [r[h] for h in HELPERS] == list(range(len(HELPERS))) and r.map_column == {"a": 1}
+    once = simhash.keep_first(docs).collect()
+    assert sorted((r.doc_id or 0) for r in once) in ([0, 1, 3], [1, 3])
