@@ -25,8 +25,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality rules keep."""
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.where("__kept").select(*docs.columns)
+    return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
