@@ -77,31 +77,45 @@ def _reassembled(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Da
         yield pd.DataFrame(rows, columns=["n_lines", "n_dropped", "text"])
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """All columns of ``docs`` with the remaining ``text``, and ``n_lines, n_dropped``.
-
-    A line goes if its key has ``min_chars`` code points or more, ``min_docs`` documents or
-    more hold the key, and another document with a larger ``doc_id`` holds it. Documents
-    are told apart by ``doc_id``; a null one counts as one document, below all others.
-    A null or empty text is one empty line; a text that loses all its lines is empty.
-    Repeated rows are cut alike. A column that is already called ``n_lines`` or
-    ``n_dropped`` is replaced. No rows give no rows.
-    """
+def _with_cut(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, str]:
+    """The rows with a struct of the remaining text and its counts, and the struct's name."""
     # Written, as lines are split and hashed once for the counts and for the drops.
     pairs = written(line_hashes(docs, min_chars), "line-hashes")
     # Written, so that the join sees both sides' real sizes and can split a hot line.
     frequent = written(shared_lines(pairs, min_docs), "shared-lines")
+    # A row's drops come from its own text, so no array is larger than its text.
     drops = (
         pairs.join(frequent, "line").where("id < last")
         .groupBy("id", "hash").agg(F.collect_set("line").alias("drops"))
     )
-    # A row's drops come from its own text, so no array is larger than its text.
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(SMALLEST))
-    names = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
     of, hashed, dropped, cut = fresh(docs, "id", "hash", "drops", "cut")
-    numbered = docs.select(*[f"`{name}`" for name in names], ident.alias(of), _text_hash().alias(hashed))
+    numbered = docs.select("*", ident.alias(of), _text_hash().alias(hashed))
     joined = numbered.join(drops.withColumnsRenamed({"id": of, "hash": hashed, "drops": dropped}), [of, hashed], "left")
     reassembled = F.pandas_udf(_reassembled, RESULT)
-    result = joined.withColumn(cut, reassembled(F.col("text").cast("string"), F.col(dropped)))
-    columns = [F.col(f"{cut}.text").alias("text") if name == "text" else F.col(f"`{name}`") for name in names]
-    return result.select(*columns, f"{cut}.n_lines", f"{cut}.n_dropped")
+    return joined.withColumn(cut, reassembled(F.col("text").cast("string"), F.col(dropped))), cut
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """All columns of ``docs`` with the remaining ``text``, and ``n_lines, n_dropped``.
+
+    A line goes if its key has ``min_chars`` code points or more, ``min_docs`` documents or
+    more hold the key, and another document with a larger ``doc_id`` holds it. Documents
+    are told apart by ``doc_id``; a null one counts as one document, below all others.
+    A null or empty text is one empty line; a text that loses all its lines is empty.
+    Repeated rows are cut alike. A column that is already called ``n_lines`` or
+    ``n_dropped`` is replaced. No rows give no rows.
+    """
+    rest = docs.select(*[f"`{name}`" for name in docs.columns if name not in ("n_lines", "n_dropped")])
+    result, cut = _with_cut(rest, min_chars, min_docs)
+    return result.select(*_columns(rest, cut), f"{cut}.n_lines", f"{cut}.n_dropped")
+
+
+def cut_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """The columns of ``docs``, of which the text alone is cut; see ``dedup_lines``."""
+    result, cut = _with_cut(docs, min_chars, min_docs)
+    return result.select(*_columns(docs, cut))
+
+
+def _columns(docs: DataFrame, cut: str) -> list[Column]:
+    return [F.col(f"{cut}.text").alias("text") if name == "text" else F.col(f"`{name}`") for name in docs.columns]

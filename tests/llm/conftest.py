@@ -27,7 +27,7 @@ def given(spark):
 @pytest.fixture(scope="session")
 def duck():
     connection = duckdb.connect()
-    for name in "documents benchmark labels conversations".split():
+    for name in "documents benchmark labels conversations embeddings".split():
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     return connection
 
