@@ -33,7 +33,7 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A document that loses all its lines stays, empty; ``n_chars`` follows the text.
     """
-    cut = line_dedup.dedup_lines(docs, LINE_CHARS, LINE_DOCS).select(*docs.columns)
+    cut = line_dedup.cut_lines(docs, LINE_CHARS, LINE_DOCS)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast("long"))
     return cut.select(*docs.columns)
