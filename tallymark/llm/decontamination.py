@@ -193,22 +193,37 @@ def candidates(text: np.ndarray, index: Index, seen=None) -> list[tuple[int, int
         return []
     entry = np.repeat(index.first[number], counts) + _within(counts)
     at, row, place = np.repeat(at, counts), index.row[entry], index.place[entry]
-    low = (at - place + index.offset) >> (index.shift[row] - 1)
+    # A row that shares too few q-grams in all does so in every band.
+    kept = (np.bincount(row, minlength=len(index.needed)) >= index.needed)[row]
+    at, row, place = at[kept], row[kept], place[kept]
+    if not len(at):
+        return []
+    # Bands lie over halves: each diagonal is in the band that begins at its half, and in the
+    # one before. Hits are counted by half, and those of two neighbours added up.
+    half = (at - place + index.offset) >> (index.shift[row] - 1)
+    keys, of, counts = np.unique((row << 40) | half, return_inverse=True, return_counts=True)
+    after = np.minimum(np.searchsorted(keys, keys + 1), len(keys) - 1)
+    two = keys[after] == keys + 1
+    alone = np.append(True, keys[1:] != keys[:-1] + 1)  # no hit lies in the half before
+    needed = index.needed[keys >> 40]
+    whole = np.flatnonzero(counts + np.where(two, counts[after], 0) >= needed)
+    upper = np.flatnonzero(alone & (counts >= needed))
+    if not len(whole) and not len(upper):
+        return []
+    order = np.argsort(of, kind="stable")
+    ends = np.cumsum(counts)
+    begins = ends - counts
     found = []
-    # Each diagonal lies in two bands: the one that begins at its half, and the one before.
-    for band in (low, low - 1):
-        keys, of, counts = np.unique((row << 40) | band, return_inverse=True, return_counts=True)
-        likely = np.flatnonzero((counts >= index.needed[keys >> 40])[of])
-        likely = likely[np.lexsort((place[likely], of[likely]))]
-        heads = np.flatnonzero(np.diff(of[likely], prepend=-1))
-        for head, end in zip(heads, np.append(heads[1:], len(likely))):
-            r, b = divmod(int(keys[of[likely[head]]]), 1 << 40)
-            # A text's q-gram counts once in a band, however often the document repeats it.
-            starts = _begins(np.unique(place[likely[head:end]]), len(index.texts[r]), index.bounds[r])
-            if len(starts):
-                shift = int(index.shift[r])
-                lowest = (b << (shift - 1)) - index.offset
-                found.append((r, lowest, lowest + (1 << shift) - 1, starts))
+    for i, down in [*((i, 0) for i in whole.tolist()), *((i, 1) for i in upper.tolist())]:
+        last = int(after[i]) if two[i] and not down else i
+        # A text's q-gram counts once in a band, however often the document repeats it.
+        places = np.unique(place[order[begins[i] : ends[last]]])
+        r, b = divmod(int(keys[i]) - down, 1 << 40)
+        starts = _begins(places, len(index.texts[r]), index.bounds[r])
+        if len(starts):
+            shift = int(index.shift[r])
+            lowest = (b << (shift - 1)) - index.offset
+            found.append((r, lowest, lowest + (1 << shift) - 1, starts))
     return sorted(found, key=lambda f: f[:2])
 
 
