@@ -726,7 +726,8 @@ def term_candidates(spark, folder):
     texts = sources.load(spark, folder, "benchmark").select(terms.words("text").alias("words")).where(F.size("words") >= 3)
     places = texts.select("words", F.explode(F.sequence(F.lit(1), F.size("words") - 2)).alias("at"))
     phrases = places.select(F.array_join(F.slice("words", F.col("at"), F.lit(3)), " ").alias("term")).distinct()
-    indexed = written(terms.index(sources.load(spark, folder, "documents"), "doc_id", "text"), "word-index")
+    indexed = terms.index(sources.load(spark, folder, "documents"), "doc_id", "text")
+    indexed = written(indexed, "word-index", compression="zstd")
     found = terms.occurrences(indexed, phrases, "doc_id", "term")
     return found.groupBy("doc_id", "term").agg(F.count("*").alias("times"))
 

@@ -23,11 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
+def written(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame's rows, written to the shared folder and read again: computed once however
-    often they are used, safe from lost executors, and joined by their real size."""
+    often they are used, safe from lost executors, and joined by their real size. ``options``
+    are those of the writer."""
     path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators import checks, compare, distinct, intervals, measures, slices, terms
+from tallymark.sources import staging
 
 
 def plan_of(frame):
@@ -219,3 +220,37 @@ def test_terms_against_plain_search(spark):
     found = terms.candidates(frame, "id", "text", table, "term")
     assert {(r.id, r.term): r.times for r in found.collect()} == expected
     assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+
+
+def test_terms_shuffle_the_places_of_their_pairs_only(spark):
+    # All words of the terms are in every text; side by side they stand in the last two only.
+    rng = random.Random(7)
+    texts = [" ".join(f"{'ab'[i % 2]}{rng.randrange(40)}" for i in range(1000)) for _ in range(100)] + ["a1 a2 a3 a4", "b1 b2 a3 a4 b5 b1 b2 b3"]
+    given = [("a1 a2 a3",), ("a2 a3 a4",), ("b1 b2 b3",), ("b1 b2 b3 b4",), ("a3 a4",)]
+    indexed = staging.written(terms.index(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "id", "text"), "words")
+    table = staging.written(spark.createDataFrame(given, "term string"), "terms")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "65536")
+    try:
+        found = terms.occurrences(indexed, table, "id", "term")
+        rows = sorted(map(tuple, found.collect()))
+    finally:
+        spark.conf.set(threshold, before)
+    assert rows == [(100, "a1 a2 a3", 0), (100, "a2 a3 a4", 1), (100, "a3 a4", 2), (101, "a3 a4", 2), (101, "b1 b2 b3", 5)]
+    assert 0 < shuffled_rows(found) < 100
+
+
+def shuffled_rows(frame):
+    """Rows that the shuffles of an executed frame wrote."""
+
+    def of(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return of(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return of(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(of(node.children().apply(i)) for i in range(node.children().size()))
+
+    return of(frame._jdf.queryExecution().executedPlan())
